@@ -37,18 +37,22 @@ def _others(column: str, fold: Column, k: int) -> Column:
 def cross_validate(
     entries: DataFrame,
     k: int,
-    vocabulary_size: int,
     tfidf: bool,
+    vocabulary_size: int | None = None,
     classes: Sequence[int] = CLASSES,
     alpha: float = 1.0,
     bounded_rows: int | None = None,
 ) -> DataFrame:
     """``doc_id, label, fold, prediction`` with each document scored by the other folds.
 
-    ``entries`` has ``doc_id, label, fold, term, tf``. With ``tfidf`` the IDF is refitted
-    for every fold and the prior is smoothed; otherwise raw counts and a plain prior.
+    ``entries`` has ``doc_id, label, fold, term, tf``; documents with a null fold only add
+    their terms to the vocabulary, whose size is counted unless given. With ``tfidf`` the
+    IDF is refitted for every fold and the prior is smoothed; otherwise raw counts and a
+    plain prior.
     """
     table = materialise(count_by_fold(entries, k, classes), "fold-counts")
+    if vocabulary_size is None:
+        vocabulary_size = real_terms(table).count()
     sizes = table.filter(F.col("term") == _extra_term(table)).first()
     inside = {c: sizes[f"tfs_{c}"] if sizes else [0] * k for c in classes}
     n_docs = {(f, c): sum(inside[c]) - inside[c][f] for f in range(k) for c in classes}
@@ -82,7 +86,8 @@ def cross_validate(
             unit[f, c] = math.log(alpha / (mass + alpha * vocabulary_size))
 
     hot = None if bounded_rows else hottest(table)
-    joined = join_per_term(entries, terms.drop("df"), hot, bounded_rows)
+    inside_folds = entries.filter(F.col("fold").isNotNull())
+    joined = join_per_term(inside_folds, terms.drop("df"), hot, bounded_rows)
     fold = F.col("fold")
     real = F.col("term") != _extra_term(entries)
     # Two steps, so that the IDF of an entry is computed once for all classes.

@@ -18,6 +18,22 @@ def accuracy(predictions: DataFrame, *by: str) -> DataFrame:
     return counted.withColumn("accuracy", share).withColumn("accuracy_pct", 100.0 * share)
 
 
+def accuracy_of_models(predictions: DataFrame, names: Sequence[str], *by: str) -> DataFrame:
+    """The same for every ``<name>_prediction`` column, from one aggregation."""
+    hits = [
+        F.count_if(F.col("label") == F.col(f"{name}_prediction")).alias(f"hits_{name}")
+        for name in names
+    ]
+    counted = predictions.groupBy(*by).agg(F.count("*").alias("n_rows"), *hits)
+    lines = [
+        F.struct(F.lit(name).alias("model"), F.col(f"hits_{name}").alias("n_correct"))
+        for name in names
+    ]
+    table = counted.select(*by, "n_rows", F.inline(F.array(*lines)))
+    share = F.col("n_correct") / F.col("n_rows")
+    return table.withColumn("accuracy", share).withColumn("accuracy_pct", 100.0 * share)
+
+
 def _cell(actual: int, predicted: int) -> Column:
     return F.col(f"n_{actual}_{predicted}")
 

@@ -15,18 +15,21 @@ from .skew import join_per_term
 NUM_FEATURES = 25_000
 
 
-def term_entries(df: DataFrame, terms: Column, keep: Sequence[str]) -> DataFrame:
-    """``keep`` columns, ``term``, ``tf``; each document also has one ``NO_TERM`` entry."""
-    # inline_outer: plain inline would evaluate the array again to filter out empty ones.
-    return df.select(*keep, F.inline_outer(count_entries(terms, NO_TERM)))
+def term_vector(terms: Column) -> Column:
+    """Counted terms of a document, with one ``NO_TERM`` entry."""
+    return count_entries(terms, NO_TERM)
 
 
-def bucket_entries(
-    df: DataFrame, tokens: Column, keep: Sequence[str], num_features: int = NUM_FEATURES
-) -> DataFrame:
+def bucket_vector(tokens: Column, num_features: int = NUM_FEATURES) -> Column:
     """The same with ``term`` a bucket number below ``num_features``, or ``NO_BUCKET``."""
     buckets = F.transform(tokens, lambda t: hash_bucket(t, num_features))
-    return df.select(*keep, F.inline_outer(count_entries(buckets, NO_BUCKET)))
+    return count_entries(buckets, NO_BUCKET)
+
+
+def unfold(df: DataFrame, vector: Column, keep: Sequence[str]) -> DataFrame:
+    """``keep`` columns, ``term`` and ``tf``: one row per entry of ``vector``."""
+    # inline_outer: plain inline would evaluate the array again to filter out empty ones.
+    return df.select(*keep, F.inline_outer(vector))
 
 
 def real_terms(entries: DataFrame) -> DataFrame:

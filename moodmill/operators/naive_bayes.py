@@ -12,7 +12,7 @@ it did see, so zero cells are never stored and a term outside the model costs no
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.terms import NO_BUCKET, NO_TERM
 from ..storage import materialise
-from .features import idf_plain, idf_smooth, real_terms, tfidf, unit_length
+from .features import idf_plain, idf_smooth, real_terms, tfidf
 from .skew import hottest, join_per_term
 
 CLASSES = (0, 1, 2)
@@ -160,19 +160,30 @@ def smooth_idf_table(counts: Counts) -> DataFrame:
 
 
 def fit_unit_tfidf(
-    counts: Counts, train_entries: DataFrame, score_on: str = "count", alpha: float = 1.0
+    counts: Counts,
+    train_docs: DataFrame,
+    entries: Callable[..., DataFrame],
+    score_on: str = "count",
+    alpha: float = 1.0,
 ) -> Model:
-    """Multinomial on smoothed tf-idf of unit length, scored on counts or on tf-idf."""
+    """Multinomial on smoothed tf-idf of unit length, scored on counts or on tf-idf.
+
+    ``entries(docs, *keep)`` unfolds documents to term rows. The mass of a term in a class is
+    ``idf * sum(tf / length)``, so a document needs one number from the join with the IDF
+    table, its length; only ``(doc_id, square)`` sums travel back, not the weighted rows.
+    """
     idf = smooth_idf_table(counts)
-    weighted = unit_length(tfidf(real_terms(train_entries), idf, counts.hot, counts.bounded_rows))
-    sums = weighted.groupBy("term").agg(
-        *[
-            F.coalesce(F.sum(F.when(F.col("label") == c, F.col("tfidf"))), F.lit(0.0)).alias(f"s_{c}")
-            for c in counts.classes
-        ]
+    weighted = tfidf(real_terms(entries(train_docs)), idf, counts.hot, counts.bounded_rows)
+    lengths = weighted.groupBy("doc_id").agg(
+        F.sqrt(F.sum(F.col("tfidf") * F.col("tfidf"))).alias("length")
     )
+    measured = real_terms(entries(train_docs.join(lengths, "doc_id"), "label", "length"))
+    shares = {c: F.when(F.col("label") == c, F.col("tf") / F.col("length")) for c in counts.classes}
+    sums = measured.groupBy("term").agg(*[F.sum(e).alias(f"s_{c}") for c, e in shares.items()])
     # Terms without training documents keep a row: they count as known and weigh nothing.
-    filled = [F.coalesce(f"s_{c}", F.lit(0.0)).alias(f"s_{c}") for c in counts.classes]
+    filled = [
+        F.coalesce(F.col("idf") * F.col(f"s_{c}"), F.lit(0.0)).alias(f"s_{c}") for c in counts.classes
+    ]
     masses = materialise(idf.join(sums, "term", "left").select("term", "idf", *filled), "masses")
     on_tfidf = {"value": "tfidf", "unit_length": True} if score_on == "tfidf" else {}
     return _multinomial(counts, masses, masses.count(), alpha, 0.0, extra=["idf"], **on_tfidf)
@@ -206,55 +217,84 @@ def log_likelihoods(model: Model) -> DataFrame:
     )
 
 
-def score(
-    model: Model, entries: DataFrame, keep: Sequence[str], known_only: bool = False
+def score_all(
+    models: Mapping[str, Model], entries: DataFrame, keep: Sequence[str], known_only: bool = False
 ) -> DataFrame:
-    """``keep`` columns (``doc_id`` first) and ``score_c`` per class, one row per document.
+    """``keep`` columns (``doc_id`` first) and ``<name>score_<c>`` for every model and class.
 
-    With ``known_only`` a term that has no weight row is ignored; otherwise it counts as a
-    term that no class has seen. Set ``hot`` to None in a model that meets other texts
-    than it was trained on, so that the hot terms of those texts are looked up.
+    All models are scored in one join of the entries with their weights side by side. With
+    ``known_only`` a term that has no weight row is ignored; otherwise it counts as a term
+    that no class has seen. Set ``hot`` to None in a model that meets other texts than it
+    was trained on, so that the hot terms of those texts are looked up.
     """
-    joined = join_per_term(entries, model.weights, model.hot, model.bounded_rows)
-    value = {"count": F.col("tf"), "presence": F.lit(1.0)}.get(model.value)
-    if value is None:
-        idf = F.col("idf")
-        value = F.col("tf") * (idf if model.unseen_idf is None else F.coalesce(idf, F.lit(model.unseen_idf)))
+    weights = None
+    for name, model in models.items():
+        columns = [F.col(c).alias(f"{name}{c}") for c in model.weights.columns if c != "term"]
+        part = model.weights.select("term", *columns)
+        weights = part if weights is None else weights.join(part, "term", "full")
+    any_model = next(iter(models.values()))
+    joined = join_per_term(entries, weights, any_model.hot, any_model.bounded_rows)
     real = F.col("term") != _extra_term(entries)
-    if known_only:
-        real &= F.col(f"w_{model.classes[0]}").isNotNull()
-    valued = joined.withColumn("x", F.when(real, value.cast("double")).otherwise(0.0))
-    sums = [
-        F.sum(F.col("x") * F.coalesce(f"w_{c}", F.lit(0.0))).alias(f"sum_{c}") for c in model.classes
-    ]
-    per_doc = valued.groupBy(*keep).agg(
-        F.sum("x").alias("x"), F.sum(F.col("x") * F.col("x")).alias("xx"), *sums
-    )
-    length = F.when(F.col("xx") > 0, F.sqrt("xx")).otherwise(1.0) if model.unit_length else F.lit(1.0)
-    scores = [
-        (model.bias[c] + (model.unit[c] * F.col("x") + F.col(f"sum_{c}")) / length).alias(f"score_{c}")
-        for c in model.classes
-    ]
+
+    values, sums, scores = [], [], []
+    for name, model in models.items():
+        counted = real
+        if known_only:
+            counted = real & F.col(f"{name}w_{model.classes[0]}").isNotNull()
+        if model.value == "tfidf":
+            idf = F.col(f"{name}idf")
+            if model.unseen_idf is not None:
+                idf = F.coalesce(idf, F.lit(model.unseen_idf))
+            value = F.col("tf") * idf
+        else:
+            value = F.lit(1) if model.value == "presence" else F.col("tf")
+        x = F.col(f"{name}x")
+        values.append(F.when(counted, value.cast("double")).otherwise(0.0).alias(f"{name}x"))
+        sums.append(F.sum(x).alias(f"{name}x"))
+        length = F.lit(1.0)
+        if model.unit_length:
+            sums.append(F.sum(x * x).alias(f"{name}xx"))
+            length = F.when(F.col(f"{name}xx") > 0, F.sqrt(f"{name}xx")).otherwise(1.0)
+        for c in model.classes:
+            weight = F.coalesce(f"{name}w_{c}", F.lit(0.0))
+            sums.append(F.sum(x * weight).alias(f"{name}sum_{c}"))
+            total = model.unit[c] * x + F.col(f"{name}sum_{c}")
+            scores.append((model.bias[c] + total / length).alias(f"{name}score_{c}"))
+    weight_columns = [c for c in weights.columns if c != "term"]
+    per_doc = joined.select(*keep, *weight_columns, *values).groupBy(*keep).agg(*sums)
     return per_doc.select(*keep, *scores)
 
 
-def best_class(scores: DataFrame, classes: Sequence[int]) -> DataFrame:
-    """Add ``prediction``: the class with the highest score, the lowest one on a tie."""
+def best_class(scores: DataFrame, classes: Sequence[int], name: str = "") -> DataFrame:
+    """Add ``<name>prediction``: the class with the highest score, the lowest one on a tie."""
     ranked = F.array_max(
         F.array(
             *[
-                F.struct(F.round(f"score_{c}", TIE_DIGITS).alias("score"), F.lit(-c).alias("order"))
+                F.struct(
+                    F.round(f"{name}score_{c}", TIE_DIGITS).alias("score"), F.lit(-c).alias("order")
+                )
                 for c in classes
             ]
         )
     )
-    return scores.withColumn("prediction", -ranked["order"])
+    return scores.withColumn(f"{name}prediction", -ranked["order"])
+
+
+KEEP = ("doc_id", "label", "split")
 
 
 def predict(
-    model: Model,
-    entries: DataFrame,
-    keep: Sequence[str] = ("doc_id", "label", "split"),
-    known_only: bool = False,
+    model: Model, entries: DataFrame, keep: Sequence[str] = KEEP, known_only: bool = False
+) -> DataFrame:
+    return best_class(score_all({"": model}, entries, keep, known_only), model.classes)
+
+
+def predict_all(
+    models: Mapping[str, Model], entries: DataFrame, keep: Sequence[str] = KEEP
 ) -> DataFrame:
-    return best_class(score(model, entries, keep, known_only), model.classes)
+    """``keep`` columns and ``<name>_prediction`` of every model."""
+    models = {f"{name}_": model for name, model in models.items()}
+    scored = score_all(models, entries, keep)
+    for name, model in models.items():
+        scored = best_class(scored, model.classes, name)
+    return scored.select(*keep, *[f"{name}prediction" for name in models])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Class ids of named sentiments and of the numeric labels; every other
@@ -38,13 +38,22 @@ def encode_label(
     return df.withColumn(into, value)
 
 
+def _group_key(df: DataFrame, column: str) -> Column:
+    # A digest stands for a text, so that the shuffle moves 64 characters of it.
+    return F.sha2(column, 256) if dict(df.dtypes)[column] == "string" else F.col(column)
+
+
 def dedup_rows(df: DataFrame, columns: Sequence[str], key: str = "doc_id") -> DataFrame:
-    """One row per distinct ``columns``; the smallest key survives.
+    """One row per distinct ``columns``; the one with the smallest ``key`` survives.
 
-    Copies are merged inside each task before the shuffle, so a text that fills a
-    third of the table reaches its reducer as one row per task.
+    Only digests and keys are grouped, and copies are merged inside each task before the
+    shuffle: a text that fills a third of the table reaches its reducer as one row per task.
+    The texts meet the surviving keys in a join on ``key``, by which they are already
+    partitioned when ``df`` is itself a join on it.
     """
-    return df.groupBy(*columns).agg(F.min(key).alias(key))
+    groups = [_group_key(df, c).alias(f"_group_{i}") for i, c in enumerate(columns)]
+    survivors = df.groupBy(*groups).agg(F.min(key).alias(key)).select(key)
+    return df.join(survivors, key, "left_semi")
 
 
 def replicate(df: DataFrame, times: int, copy: str = "copy") -> DataFrame:
@@ -60,7 +69,8 @@ def profile_columns(df: DataFrame) -> DataFrame:
     """One row per column: its type, rows, non-null and distinct values."""
     exprs = []
     for name in df.columns:
-        exprs += [F.count(name).alias(f"c_{name}"), F.count_distinct(name).alias(f"d_{name}")]
+        exprs.append(F.count(name).alias(f"c_{name}"))
+        exprs.append(F.count_distinct(_group_key(df, name)).alias(f"d_{name}"))
     totals = df.agg(F.count("*").alias("n_rows"), *exprs)
     lines = [
         F.struct(

@@ -7,53 +7,62 @@ from pyspark.sql import functions as F
 
 from ..functions.tokens import clean_tokens
 from ..operators import crossval, naive_bayes, prepare, splits
-from ..operators.features import NUM_FEATURES, bucket_entries
+from ..operators.features import NUM_FEATURES, bucket_vector, unfold
 from ..sources import SENTIMENT_CLASSES, labelled_documents
+from ..storage import materialise
 
 BUCKET_ROWS = NUM_FEATURES + 1
 CV_FOLDS = 2
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, label, text``: allowed labels only, copies merged, labels encoded."""
+    """``doc_id, label, text, split``: allowed labels only, copies merged, labels encoded."""
     rows = prepare.keep_labels(labelled_documents(spark, sf_dir), "sentiment", SENTIMENT_CLASSES)
     rows = prepare.drop_nulls(rows, "text")
     rows = prepare.dedup_rows(rows, ["sentiment", "text"])
-    return prepare.encode_label(rows, "sentiment").select("doc_id", "label", "text")
+    rows = prepare.encode_label(rows, "sentiment").select("doc_id", "label", "text")
+    return splits.train_test(rows)
 
 
-def entries(docs: DataFrame, *keep: str) -> DataFrame:
-    return bucket_entries(docs, clean_tokens(F.col("text")), ["doc_id", "label", *keep])
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, label, split, vector`` with the counted buckets of each document."""
+    vector = bucket_vector(clean_tokens(F.col("text"))).alias("vector")
+    return prepared(spark, sf_dir).select("doc_id", "label", "split", vector)
+
+
+def stored_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, written once: training and scoring read bucket numbers, not texts."""
+    return materialise(vectors(spark, sf_dir), "bucket-vectors")
 
 
-def split_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entries(splits.train_test(prepared(spark, sf_dir)), "split")
+def entries(docs: DataFrame, *keep: str) -> DataFrame:
+    return unfold(docs, F.col("vector"), ["doc_id", *keep])
 
 
-def counts(spark: SparkSession, sf_dir: str) -> naive_bayes.Counts:
-    return naive_bayes.count_training(split_entries(spark, sf_dir), bounded_rows=BUCKET_ROWS)
+def counts(docs: DataFrame) -> naive_bayes.Counts:
+    return naive_bayes.count_training(entries(docs, "label", "split"), bounded_rows=BUCKET_ROWS)
 
 
-def fitted(spark: SparkSession, sf_dir: str) -> naive_bayes.Model:
-    return naive_bayes.fit_plain_tfidf(counts(spark, sf_dir), NUM_FEATURES)
+def fitted(docs: DataFrame) -> naive_bayes.Model:
+    return naive_bayes.fit_plain_tfidf(counts(docs), NUM_FEATURES)
 
 
-def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def predictions(docs: DataFrame) -> DataFrame:
     """Every document, training and test, scored by the model of the training part."""
-    return naive_bayes.predict(fitted(spark, sf_dir), split_entries(spark, sf_dir))
+    return naive_bayes.predict(fitted(docs), entries(docs, "label", "split"))
 
 
-def test_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    test = splits.train_test(prepared(spark, sf_dir)).filter(F.col("split") == "test")
-    return naive_bayes.predict(fitted(spark, sf_dir), entries(test, "split"))
+def test_predictions(docs: DataFrame) -> DataFrame:
+    test = docs.filter(F.col("split") == "test")
+    return naive_bayes.predict(fitted(docs), entries(test, "label", "split"))
 
 
-def cross_validated(spark: SparkSession, sf_dir: str, k: int = CV_FOLDS) -> DataFrame:
-    train = splits.train_test(prepared(spark, sf_dir)).filter(F.col("split") == "train")
+def cross_validated(docs: DataFrame, k: int = CV_FOLDS) -> DataFrame:
+    train = splits.folds(docs.filter(F.col("split") == "train"), k)
     return crossval.cross_validate(
-        entries(splits.folds(train, k), "fold"),
+        entries(train, "label", "fold"),
         k,
-        vocabulary_size=NUM_FEATURES,
         tfidf=True,
+        vocabulary_size=NUM_FEATURES,
         bounded_rows=BUCKET_ROWS,
     )

@@ -24,7 +24,7 @@ from ..sources import (
     spread_small,
     write_csv,
 )
-from ..storage import new_path
+from ..storage import materialise, new_path
 from . import hashed, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,9 +150,9 @@ def union_replicate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and distinct terms of each part: the shape of its feature matrix."""
-    by_split = vocabulary.split_entries(spark, sf_dir).groupBy("split", "term").agg(
-        F.count("*").alias("df")
-    )
+    docs = vocabulary.with_words(vocabulary.prepared(spark, sf_dir))
+    rows = vocabulary.scored_entries(docs)
+    by_split = rows.groupBy("split", "term").agg(F.count("*").alias("df"))
     is_doc = F.col("term") == ""
     return by_split.groupBy("split").agg(
         F.sum(F.when(is_doc, F.col("df"))).alias("n_rows"), F.count_if(~is_doc).alias("n_terms")
@@ -222,7 +222,7 @@ def _words(text: Column) -> Column:
 def _word_entries(spark: SparkSession, sf_dir: str, low: int, high: int) -> DataFrame:
     docs = _documents(spark, sf_dir)
     terms = ngrams(word_terms(normalize.normalize_text(F.col("text"))), low, high)
-    return features.term_entries(docs, terms, ["doc_id"])
+    return features.unfold(docs, features.term_vector(terms), ["doc_id"])
 
 
 def term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,51 +230,58 @@ def term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ngram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = features.real_terms(vocabulary.entries(vocabulary.prepared(spark, sf_dir)))
-    return entries.select("doc_id", "term", "tf")
+    docs = vocabulary.with_words(vocabulary.prepared(spark, sf_dir))
+    return features.real_terms(vocabulary.entries(docs))
 
 
 def vocabulary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.vocabulary(features.real_terms(_word_entries(spark, sf_dir, 1, 2)))
 
 
-def _ml_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = splits.train_test(hashed.prepared(spark, sf_dir))
-    return docs.select("doc_id", "label", "split", tokens.clean_tokens(F.col("text")).alias("words"))
+def _clean_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = tokens.clean_tokens(F.col("text")).alias("words")
+    return hashed.prepared(spark, sf_dir).select("doc_id", "label", "split", words)
 
 
 def hashing_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.ml_hashing_tf(_ml_tokens(spark, sf_dir), "words")
+    return features.ml_hashing_tf(_clean_words(spark, sf_dir), "words")
 
 
 def hash_bucket_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = features.real_terms(hashed.entries(hashed.prepared(spark, sf_dir)))
+    entries = features.real_terms(hashed.entries(hashed.vectors(spark, sf_dir)))
     return entries.select("doc_id", F.col("term").alias("bucket"), "tf")
 
 
-def _bucket_idf(spark: SparkSession, sf_dir: str) -> tuple[naive_bayes.Counts, DataFrame]:
-    counts = hashed.counts(spark, sf_dir)
+def _bucket_idf(counts: naive_bayes.Counts) -> DataFrame:
     idf = features.idf_plain(counts.train_df, counts.n_train)
     known = counts.terms.filter(counts.train_df > 0)
-    return counts, known.select("term", counts.train_df.alias("df"), idf.alias("idf"))
+    return known.select("term", counts.train_df.alias("df"), idf.alias("idf"))
+
+
+def _bucket_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = hashed.stored_vectors(spark, sf_dir)
+    counts = hashed.counts(docs)
+    train = hashed.entries(docs.filter(F.col("split") == "train"), "label")
+    idf = _bucket_idf(counts).select("term", "idf")
+    return features.tfidf(features.real_terms(train), idf, bounded_rows=counts.bounded_rows)
 
 
 def idf_spark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, idf = _bucket_idf(spark, sf_dir)
-    return _rounded(idf.withColumnRenamed("term", "bucket"))
+    counts = hashed.counts(hashed.vectors(spark, sf_dir))
+    return _rounded(_bucket_idf(counts).withColumnRenamed("term", "bucket"))
 
 
 def tfidf_spark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts, idf = _bucket_idf(spark, sf_dir)
-    train = hashed.split_entries(spark, sf_dir).filter(F.col("split") == "train")
-    weighted = features.tfidf(features.real_terms(train), idf, bounded_rows=counts.bounded_rows)
+    weighted = _bucket_weights(spark, sf_dir)
     return _rounded(weighted.select("doc_id", F.col("term").alias("bucket"), "tfidf"))
 
 
 def tfidf_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = vocabulary.counts(spark, sf_dir)
-    train = features.real_terms(vocabulary.train_entries(spark, sf_dir))
-    weighted = features.tfidf(train, naive_bayes.smooth_idf_table(counts), counts.hot)
+    docs = vocabulary.labelled_words(spark, sf_dir)
+    counts = vocabulary.counts(docs)
+    train = vocabulary.entries(docs.filter(F.col("split") == "train"))
+    idf = naive_bayes.smooth_idf_table(counts)
+    weighted = features.tfidf(features.real_terms(train), idf, counts.hot)
     return _rounded(features.unit_length(weighted).select("doc_id", "term", "tfidf"))
 
 
@@ -282,17 +289,14 @@ def tfidf_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts, idf = _bucket_idf(spark, sf_dir)
-    train = hashed.split_entries(spark, sf_dir).filter(F.col("split") == "train")
-    weighted = features.tfidf(features.real_terms(train), idf, bounded_rows=counts.bounded_rows)
-    points = weighted.groupBy("doc_id", "label").agg(
+    points = _bucket_weights(spark, sf_dir).groupBy("doc_id", "label").agg(
         F.count("*").alias("n_features"), F.sum("tfidf").alias("total")
     )
     return _rounded(points)
 
 
 def nb_priors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = hashed.counts(spark, sf_dir)
+    counts = hashed.counts(hashed.vectors(spark, sf_dir))
     plain, smooth = counts.log_prior(), counts.log_prior(1.0)
     lines = [
         F.struct(
@@ -307,18 +311,23 @@ def nb_priors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(sizes.select(F.inline(F.array(*lines))))
 
 
+def _word_counts(spark: SparkSession, sf_dir: str) -> naive_bayes.Counts:
+    # A single pass over the texts, so nothing is stored before the counts.
+    return vocabulary.counts(vocabulary.with_words(vocabulary.prepared(spark, sf_dir)))
+
+
 def nb_model_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = naive_bayes.fit_counts(vocabulary.counts(spark, sf_dir))
+    model = naive_bayes.fit_counts(_word_counts(spark, sf_dir))
     return _rounded(naive_bayes.log_likelihoods(model))
 
 
 def nb_model_spark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = hashed.fitted(spark, sf_dir)
+    model = hashed.fitted(hashed.vectors(spark, sf_dir))
     return _rounded(naive_bayes.log_likelihoods(model).withColumnRenamed("term", "bucket"))
 
 
 def nb_model_bernoulli(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = vocabulary.counts(spark, sf_dir)
+    counts = _word_counts(spark, sf_dir)
     logs = [
         F.log((F.col(f"df_{c}") + 1.0) / (counts.n_docs[c] + 2.0)).alias(f"logp_{c}")
         for c in counts.classes
@@ -327,43 +336,40 @@ def nb_model_bernoulli(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nb_model_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(naive_bayes.log_likelihoods(vocabulary.fitted_tfidf(spark, sf_dir)))
+    docs = vocabulary.labelled_words(spark, sf_dir)
+    model = vocabulary.fit_tfidf(vocabulary.counts(docs), docs)
+    return _rounded(naive_bayes.log_likelihoods(model))
 
 
 def nb_spark_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(hashed.predictions(spark, sf_dir))
-
+    return _rounded(hashed.predictions(hashed.stored_vectors(spark, sf_dir)))
 
-def _count_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = vocabulary.split_entries(spark, sf_dir)
-    return naive_bayes.predict(naive_bayes.fit_counts(vocabulary.counts(spark, sf_dir)), entries)
 
-
-def _bernoulli_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = vocabulary.split_entries(spark, sf_dir)
-    return naive_bayes.predict(naive_bayes.fit_bernoulli(vocabulary.counts(spark, sf_dir)), entries)
-
-
-def _tfidf_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = vocabulary.split_entries(spark, sf_dir)
-    return naive_bayes.predict(vocabulary.fitted_tfidf(spark, sf_dir), entries)
+def _count_predictions(docs: DataFrame, part: str | None = None) -> DataFrame:
+    model = naive_bayes.fit_counts(vocabulary.counts(docs))
+    wanted = docs if part is None else docs.filter(F.col("split") == part)
+    return naive_bayes.predict(model, vocabulary.scored_entries(wanted))
 
 
 def nb_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_count_predictions(spark, sf_dir))
+    return _rounded(_count_predictions(vocabulary.labelled_words(spark, sf_dir)))
 
 
 def nb_bernoulli_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_bernoulli_predictions(spark, sf_dir))
+    docs = vocabulary.labelled_words(spark, sf_dir)
+    model = naive_bayes.fit_bernoulli(vocabulary.counts(docs))
+    return _rounded(naive_bayes.predict(model, vocabulary.scored_entries(docs)))
 
 
 def nb_tfidf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_tfidf_predictions(spark, sf_dir))
+    docs = vocabulary.labelled_words(spark, sf_dir)
+    model = vocabulary.fit_tfidf(vocabulary.counts(docs), docs)
+    return _rounded(naive_bayes.predict(model, vocabulary.scored_entries(docs)))
 
 
 def nb_ml_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same job with ``pyspark.ml`` stages."""
-    rows = _ml_tokens(spark, sf_dir)
+    rows = materialise(_clean_words(spark, sf_dir), "clean-words")
     model = Pipeline(
         stages=[
             HashingTF(inputCol="words", outputCol="counts", numFeatures=features.NUM_FEATURES),
@@ -380,9 +386,7 @@ def nb_roles_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second labelled set: the role of a conversation turn, on word counts."""
     rows = prepare.drop_nulls(labelled_conversations(spark, sf_dir), "text", "role")
     rows = prepare.encode_label(rows, "role", ROLE_LABELS, ROLE_OTHER)
-    entries = vocabulary.entries(splits.train_test(rows), "split")
-    model = naive_bayes.fit_counts(naive_bayes.count_training(entries))
-    return _rounded(naive_bayes.predict(model, entries))
+    return _rounded(_count_predictions(vocabulary.stored_words(splits.train_test(rows))))
 
 
 def score_new_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -397,56 +401,57 @@ def score_new_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def accuracy_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(evaluate.accuracy(hashed.predictions(spark, sf_dir), "split"))
+    scored = hashed.predictions(hashed.stored_vectors(spark, sf_dir))
+    return _rounded(evaluate.accuracy(scored, "split"))
 
 
 def accuracy_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Training and test accuracy of the three vocabulary models, from one set of counts."""
-    counts = vocabulary.counts(spark, sf_dir)
-    train = vocabulary.train_entries(spark, sf_dir)
+    """Training and test accuracy of the three vocabulary models, scored side by side."""
+    docs = vocabulary.labelled_words(spark, sf_dir)
+    counts = vocabulary.counts(docs)
     models = {
         "multinomial": naive_bayes.fit_counts(counts),
         "bernoulli": naive_bayes.fit_bernoulli(counts),
-        "tfidf": naive_bayes.fit_unit_tfidf(counts, train),
+        "tfidf": vocabulary.fit_tfidf(counts, docs),
     }
-    parts = []
-    for name, model in models.items():
-        scored = naive_bayes.predict(model, vocabulary.split_entries(spark, sf_dir))
-        parts.append(evaluate.accuracy(scored, "split").withColumn("model", F.lit(name)))
-    return _rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]))
-
-
-def _on_test(predictions: DataFrame) -> DataFrame:
-    return predictions.filter(F.col("split") == "test")
+    scored = naive_bayes.predict_all(models, vocabulary.scored_entries(docs))
+    return _rounded(evaluate.accuracy_of_models(scored, list(models), "split"))
 
 
 def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate.confusion_matrix(_on_test(_count_predictions(spark, sf_dir)))
+    docs = vocabulary.labelled_words(spark, sf_dir)
+    return evaluate.confusion_matrix(_count_predictions(docs, "test"))
 
 
 def classification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(evaluate.classification_report(_on_test(_count_predictions(spark, sf_dir))))
+    docs = vocabulary.labelled_words(spark, sf_dir)
+    return _rounded(evaluate.classification_report(_count_predictions(docs, "test")))
+
+
+def _bucket_test_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hashed.test_predictions(hashed.stored_vectors(spark, sf_dir))
 
 
 def per_class_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(evaluate.per_class_metrics(hashed.test_predictions(spark, sf_dir)))
+    return _rounded(evaluate.per_class_metrics(_bucket_test_predictions(spark, sf_dir)))
 
 
 def weighted_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(evaluate.weighted_metrics(hashed.test_predictions(spark, sf_dir)))
+    return _rounded(evaluate.weighted_metrics(_bucket_test_predictions(spark, sf_dir)))
 
 
 def auc_from_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(evaluate.auc_from_classes(hashed.test_predictions(spark, sf_dir)))
+    return _rounded(evaluate.auc_from_classes(_bucket_test_predictions(spark, sf_dir)))
 
 
 def cv_fold_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(crossval.fold_accuracy(hashed.cross_validated(spark, sf_dir)))
+    scored = hashed.cross_validated(hashed.stored_vectors(spark, sf_dir))
+    return _rounded(crossval.fold_accuracy(scored))
 
 
 def cv_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folds = crossval.fold_accuracy(vocabulary.cross_validated(spark, sf_dir))
-    return _rounded(crossval.summarise_folds(folds))
+    scored = vocabulary.cross_validated(vocabulary.labelled_words(spark, sf_dir))
+    return _rounded(crossval.summarise_folds(crossval.fold_accuracy(scored)))
 
 
 QUERIES: dict[str, Query] = {

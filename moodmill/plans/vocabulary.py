@@ -10,76 +10,88 @@ from pyspark.sql import functions as F
 from ..functions.normalize import normalize_text
 from ..functions.terms import ngrams, word_terms
 from ..operators import crossval, naive_bayes, prepare, splits
-from ..operators.features import term_entries
+from ..operators.features import term_vector, unfold
 from ..sources import labelled_documents, read_table, spread_small
-from ..storage import new_path
+from ..storage import materialise, new_path
 from ..streaming.score import score_stream
 
 CV_FOLDS = 10
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, label, text``; copies stay, as each counts as a document of its own."""
+    """``doc_id, label, text, split``; copies stay, as each counts as a document of its own."""
     rows = prepare.drop_nulls(labelled_documents(spark, sf_dir), "text", "sentiment")
-    return prepare.encode_label(rows, "sentiment").select("doc_id", "label", "text")
+    rows = prepare.encode_label(rows, "sentiment").select("doc_id", "label", "text")
+    return splits.train_test(rows)
 
 
-def entries(docs: DataFrame, *keep: str) -> DataFrame:
-    terms = ngrams(word_terms(normalize_text(F.col("text"))))
-    return term_entries(docs, terms, ["doc_id", "label", *keep])
+def with_words(docs: DataFrame) -> DataFrame:
+    """``doc_id, label, split, words`` with the words of the normalised text."""
+    words = word_terms(normalize_text(F.col("text")))
+    return docs.select("doc_id", "label", "split", words.alias("words"))
 
 
-def split_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entries(splits.train_test(prepared(spark, sf_dir)), "split")
+def stored_words(docs: DataFrame) -> DataFrame:
+    """The same, written once, so that texts are joined and cleaned a single time."""
+    return materialise(with_words(docs), "words")
 
 
-def counts(spark: SparkSession, sf_dir: str) -> naive_bayes.Counts:
-    """The vocabulary covers training and test documents; class counts only training ones."""
-    return naive_bayes.count_training(split_entries(spark, sf_dir))
+def labelled_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_words(prepared(spark, sf_dir))
+
+
+def entries(docs: DataFrame, *keep: str) -> DataFrame:
+    """Counted words and word pairs."""
+    return unfold(docs, term_vector(ngrams(F.col("words"))), ["doc_id", *keep])
+
 
+def scored_entries(docs: DataFrame) -> DataFrame:
+    return entries(docs, "label", "split")
 
-def train_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train = splits.train_test(prepared(spark, sf_dir)).filter(F.col("split") == "train")
-    return entries(train, "split")
+
+def counts(docs: DataFrame) -> naive_bayes.Counts:
+    """The vocabulary covers training and test documents; class counts only training ones."""
+    return naive_bayes.count_training(scored_entries(docs))
 
 
-def fitted_tfidf(spark: SparkSession, sf_dir: str, score_on: str = "count") -> naive_bayes.Model:
-    return naive_bayes.fit_unit_tfidf(
-        counts(spark, sf_dir), train_entries(spark, sf_dir), score_on
-    )
+def fit_tfidf(
+    counted: naive_bayes.Counts, docs: DataFrame, score_on: str = "count"
+) -> naive_bayes.Model:
+    train = docs.filter(F.col("split") == "train")
+    return naive_bayes.fit_unit_tfidf(counted, train, entries, score_on)
 
 
 def score_texts(model: naive_bayes.Model, docs: DataFrame) -> DataFrame:
     """Score new ``doc_id, text`` rows: no string cleaning, and unknown terms are dropped."""
     model = replace(model, hot=None)
-    docs = prepare.drop_nulls(docs, "text")
-    new_entries = term_entries(docs, ngrams(word_terms(F.col("text"))), ["doc_id"])
-    return naive_bayes.predict(model, new_entries, ["doc_id"], known_only=True)
+    words = prepare.drop_nulls(docs, "text").select("doc_id", word_terms(F.col("text")).alias("words"))
+    return naive_bayes.predict(model, entries(words), ["doc_id"], known_only=True)
 
 
 def score_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark texts as new documents."""
-    model = fitted_tfidf(spark, sf_dir, "tfidf")
+    docs = labelled_words(spark, sf_dir)
+    model = fit_tfidf(counts(docs), docs, "tfidf")
     texts = read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
     return score_texts(model, spread_small(texts, "doc_id"))
 
 
 def score_new_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same texts read as a stream of files; returns the stored predictions."""
-    model = fitted_tfidf(spark, sf_dir, "tfidf")
+    docs = labelled_words(spark, sf_dir)
+    model = fit_tfidf(counts(docs), docs, "tfidf")
     schema = read_table(spark, sf_dir, "benchmark").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "benchmark.parquet").parquet(sf_dir)
-    texts = stream.select(F.col("item_id").alias("doc_id"), "text")
+    files = spark.readStream.schema(schema).option("pathGlobFilter", "benchmark.parquet")
+    texts = files.parquet(sf_dir).select(F.col("item_id").alias("doc_id"), "text")
     out, progress = new_path(spark, "scored"), new_path(spark, "progress")
     query = score_stream(texts, lambda batch: score_texts(model, batch), out, progress)
     query.awaitTermination()
     return spark.read.parquet(out).drop("batch")
 
 
-def cross_validated(spark: SparkSession, sf_dir: str, k: int = CV_FOLDS) -> DataFrame:
-    """Folds of the training part; the vocabulary size stays that of all documents."""
-    size = counts(spark, sf_dir).terms.count()
-    train = splits.train_test(prepared(spark, sf_dir)).filter(F.col("split") == "train")
-    return crossval.cross_validate(
-        entries(splits.folds(train, k), "fold"), k, vocabulary_size=size, tfidf=False
-    )
+def cross_validated(docs: DataFrame, k: int = CV_FOLDS) -> DataFrame:
+    """Folds of the training part; the vocabulary is that of all documents."""
+    folded = splits.folds(docs, k)
+    fold = F.when(F.col("split") == "train", F.col("fold"))
+    rows = entries(folded.withColumn("fold", fold), "label", "fold")
+    return crossval.cross_validate(rows, k, tfidf=False)
