@@ -74,6 +74,8 @@ def expand_contractions(
         words = F.filter(F.split(x, f"[{SPACE}]+"), lambda w: F.lower(w).isin(shorts))
         return F.aggregate(words, x, lambda acc, w: F.replace(acc, w, longs[F.lower(w)]))
 
+    if all("'" in short for short in shorts):
+        return only_if(text, lambda x: x.contains("'"), expand)
     return let(text, expand)
 
 

@@ -25,7 +25,12 @@ def ngrams(tokens: Column, low: int = 1, high: int = 2) -> Column:
         if n == 1:
             return t
         starts = F.slice(t, F.lit(1), F.greatest(F.size(t) - (n - 1), F.lit(0)))
-        return F.transform(starts, lambda _, i: F.array_join(F.slice(t, i + 1, F.lit(n)), " "))
+
+        def join(word: Column, i: Column) -> Column:
+            rest = [part for k in range(1, n) for part in (F.lit(" "), F.get(t, i + k))]
+            return F.concat(word, *rest)
+
+        return F.transform(starts, join)
 
     return let(tokens, lambda t: F.concat(*[of_size(t, n) for n in range(low, high + 1)]))
 

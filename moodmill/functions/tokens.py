@@ -79,10 +79,12 @@ def squeeze_runs(text: Column) -> Column:
 
 def drop_number_led(text: Column) -> Column:
     """Empty every token whose first character is a digit."""
+    # The wide digit class is tried only at the start of a token.
+    number_led = rf"(^|[{SPACE}]){DIGIT}[^{SPACE}]*"
     return only_if(
         text,
-        lambda x: x.rlike(DIGIT),
-        lambda x: F.regexp_replace(x, rf"{TOKEN_START}{DIGIT}[^{SPACE}]*", ""),
+        lambda x: x.rlike(rf"(?:^|[{SPACE}]){DIGIT}"),
+        lambda x: F.regexp_replace(x, number_led, "$1"),
     )
 
 

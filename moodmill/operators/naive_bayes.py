@@ -177,7 +177,9 @@ def fit_unit_tfidf(
     lengths = weighted.groupBy("doc_id").agg(
         F.sqrt(F.sum(F.col("tfidf") * F.col("tfidf"))).alias("length")
     )
-    measured = real_terms(entries(train_docs.join(lengths, "doc_id"), "label", "length"))
+    # A left join: the documents stay the streamed side and keep their partitions.
+    measured_docs = train_docs.join(lengths, "doc_id", "left")
+    measured = real_terms(entries(measured_docs, "label", "length"))
     shares = {c: F.when(F.col("label") == c, F.col("tf") / F.col("length")) for c in counts.classes}
     sums = measured.groupBy("term").agg(*[F.sum(e).alias(f"s_{c}") for c, e in shares.items()])
     # Terms without training documents keep a row: they count as known and weigh nothing.

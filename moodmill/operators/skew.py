@@ -14,18 +14,23 @@ HOT_TERMS = 500
 SKETCH_ITEMS = 8_192
 
 
+def _local(terms: DataFrame) -> DataFrame:
+    # At most HOT_TERMS rows: held in the plan, so that using the list twice costs nothing.
+    return terms.sparkSession.createDataFrame(terms.collect(), terms.schema)
+
+
 def hot_terms(entries: DataFrame) -> DataFrame:
     """The most frequent terms, at most ``HOT_TERMS`` rows, from one mergeable sketch per task.
 
     The list only decides how rows travel, never which rows match, so an estimate is enough.
     """
     sketch = entries.agg(F.expr(f"approx_top_k(term, {HOT_TERMS}, {SKETCH_ITEMS})").alias("top"))
-    return sketch.select(F.explode("top.item").alias("term"))
+    return _local(sketch.select(F.explode("top.item").alias("term")))
 
 
 def hottest(stats: DataFrame, order: str = "df") -> DataFrame:
     """The same list from a table that already counts each term."""
-    return stats.orderBy(F.desc(order), "term").limit(HOT_TERMS).select("term")
+    return _local(stats.orderBy(F.desc(order), "term").limit(HOT_TERMS).select("term"))
 
 
 def join_per_term(
