@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import materialise
@@ -14,24 +14,32 @@ from .naive_bayes import CLASSES, _extra_term, best_class
 from .skew import hottest, join_per_term
 
 
-def count_by_fold(entries: DataFrame, k: int, classes: Sequence[int] = CLASSES) -> DataFrame:
-    """Per term: ``dfs`` and one ``tfs_c`` per class, arrays with a number for each fold."""
-    sums = [F.count("*").alias("df")]
-    sums.append(F.array(*[F.count_if(F.col("fold") == f) for f in range(k)]).alias("dfs"))
-    for c in classes:
-        cells = [
-            F.coalesce(
-                F.sum(F.when((F.col("fold") == f) & (F.col("label") == c), F.col("tf"))), F.lit(0)
-            )
-            for f in range(k)
-        ]
-        sums.append(F.array(*cells).alias(f"tfs_{c}"))
-    return entries.groupBy("term").agg(*sums)
-
+def count_by_fold(entries: DataFrame, classes: Sequence[int] = CLASSES) -> DataFrame:
+    """One row per term and fold that holds it: counts of the other folds and of all folds.
 
-def _others(column: str, fold: Column, k: int) -> Column:
-    cells = [F.col(column)[f] for f in range(k)]
-    return sum(cells[1:], cells[0]) - F.get(F.col(column), fold)
+    ``df, tf_c`` count the documents of the other folds, ``all_df, all_tf_c`` those of every
+    fold, and ``first`` marks one row of each term. Only pairs that occur are stored: a
+    document of a fold can only ask for terms that its fold holds. Rows with a null fold stand
+    for terms of documents outside the folds.
+    """
+    own = [F.count("*").alias("own_df")]
+    for c in classes:
+        mine = F.sum(F.when(F.col("label") == c, F.col("tf")))
+        own.append(F.coalesce(mine, F.lit(0)).alias(f"own_tf_{c}"))
+    counted = entries.groupBy("term", "fold").agg(*own)
+
+    # At most one row per fold in a window partition.
+    term = Window.partitionBy("term")
+    names = ["df", *[f"tf_{c}" for c in classes]]
+    inside = F.col("fold").isNotNull()
+    totals = [
+        F.coalesce(F.sum(F.when(inside, F.col(f"own_{n}"))).over(term), F.lit(0)).alias(f"all_{n}")
+        for n in names
+    ]
+    first = (F.row_number().over(term.orderBy("fold")) == 1).alias("first")
+    rows = counted.select("*", *totals, first)
+    others = [(F.col(f"all_{n}") - F.col(f"own_{n}")).alias(n) for n in names]
+    return rows.select("term", "fold", "first", *others, *[f"all_{n}" for n in names])
 
 
 def cross_validate(
@@ -48,68 +56,79 @@ def cross_validate(
     ``entries`` has ``doc_id, label, fold, term, tf``; documents with a null fold only add
     their terms to the vocabulary, whose size is counted unless given. With ``tfidf`` the
     IDF is refitted for every fold and the prior is smoothed; otherwise raw counts and a
-    plain prior.
+    plain prior. ``bounded_rows`` bounds the number of terms.
     """
-    table = materialise(count_by_fold(entries, k, classes), "fold-counts")
-    if vocabulary_size is None:
-        vocabulary_size = real_terms(table).count()
-    sizes = table.filter(F.col("term") == _extra_term(table)).first()
-    inside = {c: sizes[f"tfs_{c}"] if sizes else [0] * k for c in classes}
-    n_docs = {(f, c): sum(inside[c]) - inside[c][f] for f in range(k) for c in classes}
-    n_train = [sum(n_docs[f, c] for c in classes) for f in range(k)]
-
-    def per_fold(values: Sequence[float | None], fold: Column) -> Column:
-        return F.get(F.array(*[F.lit(v).cast("double") for v in values]), fold)
-
-    def idf(fold: Column) -> Column:
+    table = materialise(count_by_fold(entries, classes), "fold-counts")
+    inside = table.filter(F.col("fold").isNotNull())
+    # At most k rows: the class sizes outside each fold.
+    sizes = {r.fold: r for r in inside.filter(F.col("term") == _extra_term(table)).collect()}
+    folds = sorted(sizes)
+    n_docs = {(f, c): sizes[f][f"tf_{c}"] for f in folds for c in classes}
+    n_train = {f: sizes[f]["df"] for f in folds}
+
+    def per_fold(values: dict[int, float | None]) -> Column:
+        return F.get(F.array(*[F.lit(values.get(f)).cast("double") for f in range(k)]), F.col("fold"))
+
+    def idf(df: Column) -> Column:
         if not tfidf:
             return F.lit(1.0)
-        return F.log(per_fold([n + 1.0 for n in n_train], fold) / (_others("dfs", fold, k) + 1.0))
+        return F.log(per_fold({f: n + 1.0 for f, n in n_train.items()}) / (df + 1.0))
+
+    # A term that a fold does not hold weighs in it as it does over all folds. So the mass of a
+    # class outside a fold is a sum over all terms, corrected for the terms of the fold.
+    terms, pairs = real_terms(table), real_terms(inside)
+    over_all = [F.count("*").alias("n_terms")]
+    corrections = []
+    for c in classes:
+        whole = F.col(f"all_tf_{c}")
+        over_all.append(F.sum(whole).alias(f"t_{c}"))
+        over_all.append(F.sum(F.log(F.col("all_df") + 1.0) * whole).alias(f"l_{c}"))
+        change = idf(F.col("df")) * F.col(f"tf_{c}") - idf(F.col("all_df")) * whole
+        corrections.append(F.sum(change).alias(f"b_{c}"))
+    totals = terms.filter("first").agg(*over_all).first()
+    by_fold = {r.fold: r for r in pairs.groupBy("fold").agg(*corrections).collect()}
+    if vocabulary_size is None:
+        vocabulary_size = totals["n_terms"]
 
-    terms = real_terms(table)
-    masses = terms.agg(
-        *[
-            F.sum(idf(F.lit(f)) * _others(f"tfs_{c}", F.lit(f), k)).alias(f"s_{f}_{c}")
-            for f in range(k)
-            for c in classes
-        ]
-    ).first()
-    bias, unit = {}, {}
     smoothing = alpha if tfidf else 0.0
-    for f in range(k):
+    bias: dict[int, dict[int, float | None]] = {c: {} for c in classes}
+    unit: dict[int, dict[int, float]] = {c: {} for c in classes}
+    for f in folds:
         present = [c for c in classes if n_docs[f, c]]
+        total = n_train[f] + smoothing * len(present)
         for c in classes:
-            total = n_train[f] + smoothing * len(present)
-            known = c in present
-            bias[f, c] = math.log((n_docs[f, c] + smoothing) / total) if known else None
-            mass = masses[f"s_{f}_{c}"] or 0.0
-            unit[f, c] = math.log(alpha / (mass + alpha * vocabulary_size))
-
-    hot = None if bounded_rows else hottest(table)
-    inside_folds = entries.filter(F.col("fold").isNotNull())
-    joined = join_per_term(inside_folds, terms.drop("df"), hot, bounded_rows)
-    fold = F.col("fold")
-    real = F.col("term") != _extra_term(entries)
-    # Two steps, so that the IDF of an entry is computed once for all classes.
-    valued = joined.withColumn("idf", F.when(real, idf(fold)).otherwise(0.0))
-    valued = valued.withColumn("x", F.col("tf") * F.col("idf"))
-    surplus = {
-        c: F.col("x") * F.log1p(F.when(real, F.col("idf") * _others(f"tfs_{c}", fold, k)).otherwise(0.0) / alpha)
-        for c in classes
-    }
+            bias[c][f] = math.log((n_docs[f, c] + smoothing) / total) if c in present else None
+            mass = totals[f"t_{c}"] or 0.0
+            if tfidf:
+                mass = math.log(n_train[f] + 1.0) * mass - (totals[f"l_{c}"] or 0.0)
+            mass += by_fold[f][f"b_{c}"] if f in by_fold else 0.0
+            unit[c][f] = math.log(alpha / (mass + alpha * vocabulary_size))
+
+    hot = None if bounded_rows else hottest(terms.filter("first").withColumnRenamed("all_df", "n"), "n")
+    weights = pairs.select(
+        "term",
+        "fold",
+        idf(F.col("df")).alias("idf"),
+        *[F.log1p(idf(F.col("df")) * F.col(f"tf_{c}") / alpha).alias(f"w_{c}") for c in classes],
+    )
+    scored = entries.filter(F.col("fold").isNotNull())
+    bound = bounded_rows * k if bounded_rows else None
+    joined = join_per_term(scored, weights, hot, bound, on=("term", "fold"))
+    x = F.coalesce(F.col("tf") * F.col("idf"), F.lit(0.0))
+    valued = joined.select("doc_id", "label", "fold", x.alias("x"), *[f"w_{c}" for c in classes])
     per_doc = valued.groupBy("doc_id", "label", "fold").agg(
-        F.sum("x").alias("x"), *[F.sum(e).alias(f"sum_{c}") for c, e in surplus.items()]
+        F.sum("x").alias("x"),
+        *[
+            F.sum(F.col("x") * F.coalesce(f"w_{c}", F.lit(0.0))).alias(f"sum_{c}")
+            for c in classes
+        ],
     )
     scores = [
-        (
-            per_fold([bias[f, c] for f in range(k)], fold)
-            + per_fold([unit[f, c] for f in range(k)], fold) * F.col("x")
-            + F.col(f"sum_{c}")
-        ).alias(f"score_{c}")
+        (per_fold(bias[c]) + per_fold(unit[c]) * F.col("x") + F.col(f"sum_{c}")).alias(f"score_{c}")
         for c in classes
     ]
-    scored = per_doc.select("doc_id", "label", "fold", *scores)
-    return best_class(scored, classes).select("doc_id", "label", "fold", "prediction")
+    ranked = best_class(per_doc.select("doc_id", "label", "fold", *scores), classes)
+    return ranked.select("doc_id", "label", "fold", "prediction")
 
 
 def fold_accuracy(predictions: DataFrame) -> DataFrame:

@@ -106,14 +106,18 @@ class Model:
 def _multinomial(
     counts: Counts,
     masses: DataFrame,
-    vocabulary_size: int,
+    vocabulary_size: int | None,
     alpha: float,
     prior_smoothing: float,
     extra: Sequence[str] = (),
     **options,
 ) -> Model:
-    # masses: term, s_c per class (the summed feature values of the class)
-    totals = masses.agg(*[F.sum(f"s_{c}").alias(f"s_{c}") for c in counts.classes]).first()
+    # masses: term, s_c per class (the summed feature values of the class), one row for each
+    # term of the vocabulary unless its size is given
+    sums = [F.sum(f"s_{c}").alias(f"s_{c}") for c in counts.classes]
+    totals = masses.agg(F.count("*").alias("n_terms"), *sums).first()
+    if vocabulary_size is None:
+        vocabulary_size = totals["n_terms"]
     unit = {
         c: math.log(alpha / ((totals[f"s_{c}"] or 0.0) + alpha * vocabulary_size))
         for c in counts.classes
@@ -133,7 +137,7 @@ def _multinomial(
 def fit_counts(counts: Counts, alpha: float = 1.0) -> Model:
     """Multinomial on raw counts; the vocabulary is every term of the counted table."""
     masses = counts.terms.select("term", *[F.col(f"tf_{c}").alias(f"s_{c}") for c in counts.classes])
-    return _multinomial(counts, masses, masses.count(), alpha, 0.0)
+    return _multinomial(counts, masses, None, alpha, 0.0)
 
 
 def fit_plain_tfidf(counts: Counts, num_features: int, alpha: float = 1.0) -> Model:
@@ -188,7 +192,7 @@ def fit_unit_tfidf(
     ]
     masses = materialise(idf.join(sums, "term", "left").select("term", "idf", *filled), "masses")
     on_tfidf = {"value": "tfidf", "unit_length": True} if score_on == "tfidf" else {}
-    return _multinomial(counts, masses, masses.count(), alpha, 0.0, extra=["idf"], **on_tfidf)
+    return _multinomial(counts, masses, None, alpha, 0.0, extra=["idf"], **on_tfidf)
 
 
 def fit_bernoulli(counts: Counts, alpha: float = 1.0) -> Model:

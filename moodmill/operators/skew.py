@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,8 +42,9 @@ def join_per_term(
     bounded_rows: int | None = None,
     how: str = "left",
     spread_by: str = "doc_id",
+    on: Sequence[str] = ("term",),
 ) -> DataFrame:
-    """``entries`` joined on ``term`` with ``table`` (unique on ``term``).
+    """``entries`` joined with ``table``, which is unique on ``on`` (``term`` first).
 
     A table with a small proven bound is broadcast. Otherwise both sides are
     shuffled by term: a hot term gets one key per shuffle partition, its entries
@@ -50,7 +53,7 @@ def join_per_term(
     size of the table is below its threshold.
     """
     if bounded_rows is not None and bounded_rows <= BROADCAST_ROWS:
-        return entries.join(F.broadcast(table), "term", how)
+        return entries.join(F.broadcast(table), list(on), how)
     if hot is None:
         hot = hot_terms(entries)
     salts = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -63,4 +66,4 @@ def join_per_term(
     right = right.withColumn(
         "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))
     ).drop("_hot")
-    return left.join(right, ["term", "_salt"], how).drop("_salt")
+    return left.join(right, [*on, "_salt"], how).drop("_salt")
