@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,10 +54,10 @@ class Counts:
     n_docs: dict[int, int]
     bounded_rows: int | None = None
     hot: DataFrame | None = field(default=None, repr=False)
+    terms: DataFrame = field(init=False, repr=False)
 
-    @property
-    def terms(self) -> DataFrame:
-        return real_terms(self.table)
+    def __post_init__(self) -> None:
+        self.terms = real_terms(self.table)
 
     @property
     def n_train(self) -> int:
@@ -90,44 +90,48 @@ def count_training(
 
 @dataclass
 class Model:
-    """``weights`` has ``term``, one ``w_c`` per class and, for tf-idf values, ``idf``."""
+    """``columns`` over ``terms``: one ``w_c`` per class and, for tf-idf values, ``idf``."""
 
     classes: tuple[int, ...]
     bias: dict[int, float]
     unit: dict[int, float]
-    weights: DataFrame
+    terms: DataFrame
+    columns: dict[str, Column]
     value: str = "count"
     unseen_idf: float | None = None
     unit_length: bool = False
     bounded_rows: int | None = None
     hot: DataFrame | None = field(default=None, repr=False)
 
+    @property
+    def weights(self) -> DataFrame:
+        return self.terms.select("term", *[c.alias(name) for name, c in self.columns.items()])
+
 
 def _multinomial(
     counts: Counts,
-    masses: DataFrame,
-    vocabulary_size: int | None,
+    masses: dict[int, Column],
     alpha: float,
-    prior_smoothing: float,
-    extra: Sequence[str] = (),
+    prior_smoothing: float = 0.0,
+    vocabulary_size: int | None = None,
+    idf: Column | None = None,
     **options,
 ) -> Model:
-    # masses: term, s_c per class (the summed feature values of the class), one row for each
-    # term of the vocabulary unless its size is given
-    sums = [F.sum(f"s_{c}").alias(f"s_{c}") for c in counts.classes]
-    totals = masses.agg(F.count("*").alias("n_terms"), *sums).first()
-    if vocabulary_size is None:
-        vocabulary_size = totals["n_terms"]
-    unit = {
-        c: math.log(alpha / ((totals[f"s_{c}"] or 0.0) + alpha * vocabulary_size))
-        for c in counts.classes
-    }
-    surplus = [F.log1p(F.col(f"s_{c}") / alpha).alias(f"w_{c}") for c in counts.classes]
+    # masses: the summed feature values of each class, over counts.terms; the vocabulary is
+    # every row of counts.terms unless its size is given
+    sums = [F.sum(mass).alias(f"s_{c}") for c, mass in masses.items()]
+    totals = counts.terms.agg(F.count("*").alias("n_terms"), *sums).first()
+    size = totals["n_terms"] if vocabulary_size is None else vocabulary_size
+    unit = {c: math.log(alpha / ((totals[f"s_{c}"] or 0.0) + alpha * size)) for c in masses}
+    columns = {f"w_{c}": F.log1p(mass / alpha) for c, mass in masses.items()}
+    if idf is not None:
+        columns["idf"] = idf
     return Model(
         counts.classes,
         counts.log_prior(prior_smoothing),
         unit,
-        masses.select("term", *surplus, *extra),
+        counts.terms,
+        columns,
         bounded_rows=counts.bounded_rows,
         hot=counts.hot,
         **options,
@@ -136,41 +140,38 @@ def _multinomial(
 
 def fit_counts(counts: Counts, alpha: float = 1.0) -> Model:
     """Multinomial on raw counts; the vocabulary is every term of the counted table."""
-    masses = counts.terms.select("term", *[F.col(f"tf_{c}").alias(f"s_{c}") for c in counts.classes])
-    return _multinomial(counts, masses, None, alpha, 0.0)
+    return _multinomial(counts, {c: F.col(f"tf_{c}") for c in counts.classes}, alpha)
 
 
 def fit_plain_tfidf(counts: Counts, num_features: int, alpha: float = 1.0) -> Model:
     """Multinomial on ``tf * idf`` of hash buckets, with a smoothed prior."""
+    counts = replace(counts, table=counts.table.filter(counts.train_df > 0))
     idf = idf_plain(counts.train_df, counts.n_train)
-    seen = counts.terms.filter(counts.train_df > 0).withColumn("idf", idf)
-    masses = seen.select(
-        "term", "idf", *[(F.col("idf") * F.col(f"tf_{c}")).alias(f"s_{c}") for c in counts.classes]
-    )
+    masses = {c: idf * F.col(f"tf_{c}") for c in counts.classes}
     return _multinomial(
         counts,
         masses,
-        num_features,
         alpha,
-        alpha,
-        extra=["idf"],
+        prior_smoothing=alpha,
+        vocabulary_size=num_features,
+        idf=idf,
         value="tfidf",
         unseen_idf=math.log(counts.n_train + 1.0),
     )
 
 
+def smooth_idf(counts: Counts) -> Column:
+    return idf_smooth(counts.train_df, counts.n_train)
+
+
 def smooth_idf_table(counts: Counts) -> DataFrame:
-    return counts.terms.select("term", idf_smooth(counts.train_df, counts.n_train).alias("idf"))
+    return counts.terms.select("term", smooth_idf(counts).alias("idf"))
 
 
-def fit_unit_tfidf(
-    counts: Counts,
-    train_docs: DataFrame,
-    entries: Callable[..., DataFrame],
-    score_on: str = "count",
-    alpha: float = 1.0,
-) -> Model:
-    """Multinomial on smoothed tf-idf of unit length, scored on counts or on tf-idf.
+def with_unit_masses(
+    counts: Counts, train_docs: DataFrame, entries: Callable[..., DataFrame]
+) -> Counts:
+    """The counts with ``u_c``, the summed tf-idf of unit-length documents, stored once more.
 
     ``entries(docs, *keep)`` unfolds documents to term rows. The mass of a term in a class is
     ``idf * sum(tf / length)``, so a document needs one number from the join with the IDF
@@ -187,12 +188,19 @@ def fit_unit_tfidf(
     shares = {c: F.when(F.col("label") == c, F.col("tf") / F.col("length")) for c in counts.classes}
     sums = measured.groupBy("term").agg(*[F.sum(e).alias(f"s_{c}") for c, e in shares.items()])
     # Terms without training documents keep a row: they count as known and weigh nothing.
-    filled = [
-        F.coalesce(F.col("idf") * F.col(f"s_{c}"), F.lit(0.0)).alias(f"s_{c}") for c in counts.classes
+    masses = [
+        F.coalesce(smooth_idf(counts) * F.col(f"s_{c}"), F.lit(0.0)).alias(f"u_{c}")
+        for c in counts.classes
     ]
-    masses = materialise(idf.join(sums, "term", "left").select("term", "idf", *filled), "masses")
+    joined = counts.table.join(sums, "term", "left")
+    return replace(counts, table=materialise(joined.select(counts.table["*"], *masses), "masses"))
+
+
+def fit_unit_tfidf(counts: Counts, score_on: str = "count", alpha: float = 1.0) -> Model:
+    """Multinomial on ``with_unit_masses`` counts, scored on term counts or on tf-idf."""
+    masses = {c: F.col(f"u_{c}") for c in counts.classes}
     on_tfidf = {"value": "tfidf", "unit_length": True} if score_on == "tfidf" else {}
-    return _multinomial(counts, masses, None, alpha, 0.0, extra=["idf"], **on_tfidf)
+    return _multinomial(counts, masses, alpha, idf=smooth_idf(counts), **on_tfidf)
 
 
 def fit_bernoulli(counts: Counts, alpha: float = 1.0) -> Model:
@@ -204,12 +212,12 @@ def fit_bernoulli(counts: Counts, alpha: float = 1.0) -> Model:
         *[F.sum(F.log(1.0 - p)).alias(f"a_{c}") for c, p in probability.items()]
     ).first()
     prior = counts.log_prior()
-    weights = [(F.log(p) - F.log(1.0 - p)).alias(f"w_{c}") for c, p in probability.items()]
     return Model(
         counts.classes,
-        {c: prior[c] + absent[f"a_{c}"] for c in counts.classes},
+        {c: prior[c] + (absent[f"a_{c}"] or 0.0) for c in counts.classes},
         {c: 0.0 for c in counts.classes},
-        counts.terms.select("term", *weights),
+        counts.terms,
+        {f"w_{c}": F.log(p) - F.log(1.0 - p) for c, p in probability.items()},
         value="presence",
         bounded_rows=counts.bounded_rows,
         hot=counts.hot,
@@ -228,15 +236,21 @@ def score_all(
 ) -> DataFrame:
     """``keep`` columns (``doc_id`` first) and ``<name>score_<c>`` for every model and class.
 
-    All models are scored in one join of the entries with their weights side by side. With
-    ``known_only`` a term that has no weight row is ignored; otherwise it counts as a term
-    that no class has seen. Set ``hot`` to None in a model that meets other texts than it
-    was trained on, so that the hot terms of those texts are looked up.
+    All models are scored in one join of the entries with their weights side by side; models
+    fitted from the same counts read one table. With ``known_only`` a term that has no weight
+    row is ignored; otherwise it counts as a term that no class has seen. Set ``hot`` to None
+    in a model that meets other texts than it was trained on, so that the hot terms of those
+    texts are looked up.
     """
-    weights = None
-    for name, model in models.items():
-        columns = [F.col(c).alias(f"{name}{c}") for c in model.weights.columns if c != "term"]
-        part = model.weights.select("term", *columns)
+    weights, tables = None, {id(m.terms): m.terms for m in models.values()}
+    for key, table in tables.items():
+        columns = [
+            column.alias(f"{name}{alias}")
+            for name, m in models.items()
+            if id(m.terms) == key
+            for alias, column in m.columns.items()
+        ]
+        part = table.select("term", *columns)
         weights = part if weights is None else weights.join(part, "term", "full")
     any_model = next(iter(models.values()))
     joined = join_per_term(entries, weights, any_model.hot, any_model.bounded_rows)

@@ -337,7 +337,7 @@ def nb_model_bernoulli(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nb_model_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = vocabulary.labelled_words(spark, sf_dir)
-    model = vocabulary.fit_tfidf(vocabulary.counts(docs), docs)
+    model = vocabulary.fit_tfidf(docs)
     return _rounded(naive_bayes.log_likelihoods(model))
 
 
@@ -363,7 +363,7 @@ def nb_bernoulli_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nb_tfidf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = vocabulary.labelled_words(spark, sf_dir)
-    model = vocabulary.fit_tfidf(vocabulary.counts(docs), docs)
+    model = vocabulary.fit_tfidf(docs)
     return _rounded(naive_bayes.predict(model, vocabulary.scored_entries(docs)))
 
 
@@ -408,11 +408,11 @@ def accuracy_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def accuracy_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training and test accuracy of the three vocabulary models, scored side by side."""
     docs = vocabulary.labelled_words(spark, sf_dir)
-    counts = vocabulary.counts(docs)
+    counts = vocabulary.unit_counts(docs)
     models = {
         "multinomial": naive_bayes.fit_counts(counts),
         "bernoulli": naive_bayes.fit_bernoulli(counts),
-        "tfidf": vocabulary.fit_tfidf(counts, docs),
+        "tfidf": naive_bayes.fit_unit_tfidf(counts),
     }
     scored = naive_bayes.predict_all(models, vocabulary.scored_entries(docs))
     return _rounded(evaluate.accuracy_of_models(scored, list(models), "split"))

@@ -54,11 +54,13 @@ def counts(docs: DataFrame) -> naive_bayes.Counts:
     return naive_bayes.count_training(scored_entries(docs))
 
 
-def fit_tfidf(
-    counted: naive_bayes.Counts, docs: DataFrame, score_on: str = "count"
-) -> naive_bayes.Model:
+def unit_counts(docs: DataFrame) -> naive_bayes.Counts:
     train = docs.filter(F.col("split") == "train")
-    return naive_bayes.fit_unit_tfidf(counted, train, entries, score_on)
+    return naive_bayes.with_unit_masses(counts(docs), train, entries)
+
+
+def fit_tfidf(docs: DataFrame, score_on: str = "count") -> naive_bayes.Model:
+    return naive_bayes.fit_unit_tfidf(unit_counts(docs), score_on)
 
 
 def score_texts(model: naive_bayes.Model, docs: DataFrame) -> DataFrame:
@@ -71,7 +73,7 @@ def score_texts(model: naive_bayes.Model, docs: DataFrame) -> DataFrame:
 def score_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark texts as new documents."""
     docs = labelled_words(spark, sf_dir)
-    model = fit_tfidf(counts(docs), docs, "tfidf")
+    model = fit_tfidf(docs, "tfidf")
     texts = read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
     return score_texts(model, spread_small(texts, "doc_id"))
 
@@ -79,7 +81,7 @@ def score_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 def score_new_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same texts read as a stream of files; returns the stored predictions."""
     docs = labelled_words(spark, sf_dir)
-    model = fit_tfidf(counts(docs), docs, "tfidf")
+    model = fit_tfidf(docs, "tfidf")
     schema = read_table(spark, sf_dir, "benchmark").schema
     files = spark.readStream.schema(schema).option("pathGlobFilter", "benchmark.parquet")
     texts = files.parquet(sf_dir).select(F.col("item_id").alias("doc_id"), "text")

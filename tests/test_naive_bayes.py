@@ -123,7 +123,8 @@ def test_unit_tfidf_masses(docs):
         for w, x in weights.items():
             mass[r.label, w] += x / length
     train_docs = docs.filter("split = 'train'")
-    model = naive_bayes.fit_unit_tfidf(counted(docs), train_docs, word_entries)
+    counts = naive_bayes.with_unit_masses(counted(docs), train_docs, word_entries)
+    model = naive_bayes.fit_unit_tfidf(counts)
     total = {c: sum(mass[c, w] for w in words) for c in range(3)}
     for r in naive_bayes.log_likelihoods(model).collect():
         want = [math.log((mass[c, r.term] + 1) / (total[c] + len(words))) for c in range(3)]
@@ -203,11 +204,12 @@ def test_cross_validation_equals_separate_fits(docs, tfidf):
 
 
 def test_models_side_by_side_equal_single_ones(docs):
-    counts = counted(docs)
+    plain = counted(docs)
+    counts = naive_bayes.with_unit_masses(plain, docs.filter("split = 'train'"), word_entries)
     models = {
         "m": naive_bayes.fit_counts(counts),
-        "b": naive_bayes.fit_bernoulli(counts),
-        "t": naive_bayes.fit_unit_tfidf(counts, docs.filter("split = 'train'"), word_entries),
+        "b": naive_bayes.fit_bernoulli(plain),
+        "t": naive_bayes.fit_unit_tfidf(counts),
     }
     entries = word_entries(docs, "label", "split")
     together = {r.doc_id: r for r in naive_bayes.predict_all(models, entries).collect()}
