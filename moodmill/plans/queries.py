@@ -150,7 +150,7 @@ def union_replicate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and distinct terms of each part: the shape of its feature matrix."""
-    docs = vocabulary.with_words(vocabulary.prepared(spark, sf_dir))
+    docs = vocabulary.with_vectors(vocabulary.prepared(spark, sf_dir))
     rows = vocabulary.scored_entries(docs)
     by_split = rows.groupBy("split", "term").agg(F.count("*").alias("df"))
     is_doc = F.col("term") == ""
@@ -230,7 +230,7 @@ def term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ngram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = vocabulary.with_words(vocabulary.prepared(spark, sf_dir))
+    docs = vocabulary.with_vectors(vocabulary.prepared(spark, sf_dir))
     return features.real_terms(vocabulary.entries(docs))
 
 
@@ -277,7 +277,7 @@ def tfidf_spark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tfidf_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = vocabulary.labelled_words(spark, sf_dir)
+    docs = vocabulary.labelled_vectors(spark, sf_dir)
     counts = vocabulary.counts(docs)
     train = vocabulary.entries(docs.filter(F.col("split") == "train"))
     idf = naive_bayes.smooth_idf_table(counts)
@@ -313,7 +313,7 @@ def nb_priors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _word_counts(spark: SparkSession, sf_dir: str) -> naive_bayes.Counts:
     # A single pass over the texts, so nothing is stored before the counts.
-    return vocabulary.counts(vocabulary.with_words(vocabulary.prepared(spark, sf_dir)))
+    return vocabulary.counts(vocabulary.with_vectors(vocabulary.prepared(spark, sf_dir)))
 
 
 def nb_model_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -336,7 +336,7 @@ def nb_model_bernoulli(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nb_model_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = vocabulary.labelled_words(spark, sf_dir)
+    docs = vocabulary.labelled_vectors(spark, sf_dir)
     model = vocabulary.fit_tfidf(docs)
     return _rounded(naive_bayes.log_likelihoods(model))
 
@@ -352,17 +352,17 @@ def _count_predictions(docs: DataFrame, part: str | None = None) -> DataFrame:
 
 
 def nb_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_count_predictions(vocabulary.labelled_words(spark, sf_dir)))
+    return _rounded(_count_predictions(vocabulary.labelled_vectors(spark, sf_dir)))
 
 
 def nb_bernoulli_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = vocabulary.labelled_words(spark, sf_dir)
+    docs = vocabulary.labelled_vectors(spark, sf_dir)
     model = naive_bayes.fit_bernoulli(vocabulary.counts(docs))
     return _rounded(naive_bayes.predict(model, vocabulary.scored_entries(docs)))
 
 
 def nb_tfidf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = vocabulary.labelled_words(spark, sf_dir)
+    docs = vocabulary.labelled_vectors(spark, sf_dir)
     model = vocabulary.fit_tfidf(docs)
     return _rounded(naive_bayes.predict(model, vocabulary.scored_entries(docs)))
 
@@ -386,7 +386,7 @@ def nb_roles_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second labelled set: the role of a conversation turn, on word counts."""
     rows = prepare.drop_nulls(labelled_conversations(spark, sf_dir), "text", "role")
     rows = prepare.encode_label(rows, "role", ROLE_LABELS, ROLE_OTHER)
-    return _rounded(_count_predictions(vocabulary.stored_words(splits.train_test(rows))))
+    return _rounded(_count_predictions(vocabulary.stored_vectors(splits.train_test(rows))))
 
 
 def score_new_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -407,7 +407,7 @@ def accuracy_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def accuracy_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training and test accuracy of the three vocabulary models, scored side by side."""
-    docs = vocabulary.labelled_words(spark, sf_dir)
+    docs = vocabulary.labelled_vectors(spark, sf_dir)
     counts = vocabulary.unit_counts(docs)
     models = {
         "multinomial": naive_bayes.fit_counts(counts),
@@ -419,12 +419,12 @@ def accuracy_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = vocabulary.labelled_words(spark, sf_dir)
+    docs = vocabulary.labelled_vectors(spark, sf_dir)
     return evaluate.confusion_matrix(_count_predictions(docs, "test"))
 
 
 def classification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = vocabulary.labelled_words(spark, sf_dir)
+    docs = vocabulary.labelled_vectors(spark, sf_dir)
     return _rounded(evaluate.classification_report(_count_predictions(docs, "test")))
 
 
@@ -450,7 +450,7 @@ def cv_fold_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cv_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = vocabulary.cross_validated(vocabulary.labelled_words(spark, sf_dir))
+    scored = vocabulary.cross_validated(vocabulary.labelled_vectors(spark, sf_dir))
     return _rounded(crossval.summarise_folds(crossval.fold_accuracy(scored)))
 
 

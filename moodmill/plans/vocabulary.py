@@ -25,24 +25,23 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.train_test(rows)
 
 
-def with_words(docs: DataFrame) -> DataFrame:
-    """``doc_id, label, split, words`` with the words of the normalised text."""
-    words = word_terms(normalize_text(F.col("text")))
-    return docs.select("doc_id", "label", "split", words.alias("words"))
+def with_vectors(docs: DataFrame) -> DataFrame:
+    """``doc_id, label, split, vector``: counted words and word pairs of the normalised text."""
+    vector = term_vector(ngrams(word_terms(normalize_text(F.col("text")))))
+    return docs.select("doc_id", "label", "split", vector.alias("vector"))
 
 
-def stored_words(docs: DataFrame) -> DataFrame:
-    """The same, written once, so that texts are joined and cleaned a single time."""
-    return materialise(with_words(docs), "words")
+def stored_vectors(docs: DataFrame) -> DataFrame:
+    """The same, written once: training, lengths and scoring all read the counted terms."""
+    return materialise(with_vectors(docs), "term-vectors")
 
 
-def labelled_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored_words(prepared(spark, sf_dir))
+def labelled_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_vectors(prepared(spark, sf_dir))
 
 
 def entries(docs: DataFrame, *keep: str) -> DataFrame:
-    """Counted words and word pairs."""
-    return unfold(docs, term_vector(ngrams(F.col("words"))), ["doc_id", *keep])
+    return unfold(docs, F.col("vector"), ["doc_id", *keep])
 
 
 def scored_entries(docs: DataFrame) -> DataFrame:
@@ -66,13 +65,14 @@ def fit_tfidf(docs: DataFrame, score_on: str = "count") -> naive_bayes.Model:
 def score_texts(model: naive_bayes.Model, docs: DataFrame) -> DataFrame:
     """Score new ``doc_id, text`` rows: no string cleaning, and unknown terms are dropped."""
     model = replace(model, hot=None)
-    words = prepare.drop_nulls(docs, "text").select("doc_id", word_terms(F.col("text")).alias("words"))
-    return naive_bayes.predict(model, entries(words), ["doc_id"], known_only=True)
+    vector = term_vector(ngrams(word_terms(F.col("text")))).alias("vector")
+    vectors = prepare.drop_nulls(docs, "text").select("doc_id", vector)
+    return naive_bayes.predict(model, entries(vectors), ["doc_id"], known_only=True)
 
 
 def score_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark texts as new documents."""
-    docs = labelled_words(spark, sf_dir)
+    docs = labelled_vectors(spark, sf_dir)
     model = fit_tfidf(docs, "tfidf")
     texts = read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
     return score_texts(model, spread_small(texts, "doc_id"))
@@ -80,7 +80,7 @@ def score_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def score_new_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same texts read as a stream of files; returns the stored predictions."""
-    docs = labelled_words(spark, sf_dir)
+    docs = labelled_vectors(spark, sf_dir)
     model = fit_tfidf(docs, "tfidf")
     schema = read_table(spark, sf_dir, "benchmark").schema
     files = spark.readStream.schema(schema).option("pathGlobFilter", "benchmark.parquet")

@@ -228,7 +228,7 @@ def test_result_does_not_depend_on_partitions(docs):
 
 
 def test_plans_stay_on_the_jvm(spark, small):
-    docs = vocabulary.with_words(vocabulary.prepared(spark, small))
+    docs = vocabulary.with_vectors(vocabulary.prepared(spark, small))
     rows = naive_bayes.predict(naive_bayes.fit_counts(vocabulary.counts(docs)), vocabulary.scored_entries(docs))
     buckets = hashed.predictions(hashed.vectors(spark, small))
     for df in (rows, buckets):
