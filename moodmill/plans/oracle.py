@@ -188,6 +188,13 @@ H_ENT = ",\n".join(
     ]
 )
 
+X_DOCS = f"""docs AS (
+  SELECT *, {SPLIT} AS split FROM (
+    SELECT doc_id || '-' || copy AS doc_id, text, {LABEL} AS label
+    FROM labelled CROSS JOIN (SELECT unnest(range(8)) AS copy) WHERE text IS NOT NULL)),
+texts AS (SELECT doc_id, text FROM docs)"""
+X_ENT = H_ENT.replace(H_DOCS, X_DOCS)
+
 # -- models ----------------------------------------------------------------------------
 
 CLASS_SIZES = """nc AS (SELECT label AS c, count(*) AS n FROM docs WHERE split = 'train' GROUP BY label),
@@ -572,6 +579,10 @@ ORACLE: dict[str, str] = {
     "accuracy_by_split": with_(
         H_PREDICTED, then=f"SELECT split, {ACCURACY} FROM predicted GROUP BY split"
     ),
+    "accuracy_replicated": with_(
+        H_PREDICTED.replace(H_ENT, X_ENT),
+        then=f"SELECT split, {ACCURACY} FROM predicted GROUP BY split",
+    ),
     "accuracy_by_model": " UNION ALL ".join(
         f"SELECT * FROM ({with_(ctes, then=f'SELECT split, {ACCURACY}, {q(name)} AS model FROM predicted GROUP BY split')})"
         for name, ctes in [

@@ -367,7 +367,7 @@ def nb_tfidf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(naive_bayes.predict(model, vocabulary.scored_entries(docs)))
 
 
-def nb_ml_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def nb_ml_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same job with ``pyspark.ml`` stages."""
     rows = materialise(_clean_words(spark, sf_dir), "clean-words")
     model = Pipeline(
@@ -405,6 +405,12 @@ def accuracy_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(evaluate.accuracy(scored, "split"))
 
 
+def accuracy_replicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load form: every labelled document eight times, without deduplication."""
+    docs = materialise(hashed.replicated_vectors(spark, sf_dir, REPLICAS), "replicated-vectors")
+    return _rounded(evaluate.accuracy(hashed.predictions(docs), "split"))
+
+
 def accuracy_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training and test accuracy of the three vocabulary models, scored side by side."""
     docs = vocabulary.labelled_vectors(spark, sf_dir)
@@ -521,11 +527,12 @@ QUERIES: dict[str, Query] = {
     "nb_predict": nb_predict,
     "nb_bernoulli_predict": nb_bernoulli_predict,
     "nb_tfidf_predict": nb_tfidf_predict,
-    "nb_ml_pipeline": nb_ml_pipeline,
+    "nb_ml_stages": nb_ml_stages,
     "nb_roles_predict": nb_roles_predict,
     "score_new_docs": score_new_docs,
     "score_new_stream": score_new_stream,
     "accuracy_by_split": accuracy_by_split,
+    "accuracy_replicated": accuracy_replicated,
     "accuracy_by_model": accuracy_by_model,
     "confusion_matrix": confusion_matrix,
     "classification_report": classification_report,

@@ -238,6 +238,22 @@ def test_plans_stay_on_the_jvm(spark, small):
         assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
 
 
+def test_dedup_moves_texts_once(spark, small, monkeypatch):
+    monkeypatch.setattr("moodmill.sources.tables.spread_small", lambda df, *keys: df)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        plan = hashed.prepared(spark, small)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    # One scan of the texts, one exchange of them, and one reuse of that exchange.
+    assert plan.count("documents.parquet") == 1
+    assert "ReusedExchange [doc_id" in plan and ", text" in plan.split("ReusedExchange")[1][:60]
+
+
 def test_pairs_are_counted_in_the_row(spark):
     df = spark.createDataFrame([(1, ["a", "b", "a", "b"])], "doc_id long, words array<string>")
     rows = features.unfold(df, features.term_vector(ngrams(F.col("words"))), ["doc_id"])
