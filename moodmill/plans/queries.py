@@ -225,13 +225,20 @@ def _word_entries(spark: SparkSession, sf_dir: str, low: int, high: int) -> Data
     return features.unfold(docs, features.term_vector(terms), ["doc_id"])
 
 
+def _long_count() -> Column:
+    # Stored vectors hold ints; results show counts as the long that a count is elsewhere.
+    return F.col("tf").cast("bigint").alias("tf")
+
+
 def term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.real_terms(_word_entries(spark, sf_dir, 1, 1))
+    entries = features.real_terms(_word_entries(spark, sf_dir, 1, 1))
+    return entries.select("doc_id", "term", _long_count())
 
 
 def ngram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = vocabulary.with_vectors(vocabulary.prepared(spark, sf_dir))
-    return features.real_terms(vocabulary.entries(docs))
+    entries = features.real_terms(vocabulary.entries(docs))
+    return entries.select("doc_id", "term", _long_count())
 
 
 def vocabulary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,7 +256,7 @@ def hashing_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hash_bucket_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = features.real_terms(hashed.entries(hashed.vectors(spark, sf_dir)))
-    return entries.select("doc_id", F.col("term").alias("bucket"), "tf")
+    return entries.select("doc_id", F.col("term").alias("bucket"), _long_count())
 
 
 def _bucket_idf(counts: naive_bayes.Counts) -> DataFrame:
