@@ -14,6 +14,7 @@ BROADCAST_ROWS = 100_000
 # Most terms that are given a spread key of their own.
 HOT_TERMS = 500
 SKETCH_ITEMS = 8_192
+SKETCH_GROUPS = 256
 
 
 def _local(terms: DataFrame) -> DataFrame:
@@ -24,10 +25,16 @@ def _local(terms: DataFrame) -> DataFrame:
 def hot_terms(entries: DataFrame) -> DataFrame:
     """The most frequent terms, at most ``HOT_TERMS`` rows, from one mergeable sketch per task.
 
-    The list only decides how rows travel, never which rows match, so an estimate is enough.
+    The sketches are merged in two steps, so that the last task meets ``SKETCH_GROUPS`` of
+    them. The list only decides how rows travel, never which rows match, so an estimate is
+    enough.
     """
-    sketch = entries.agg(F.expr(f"approx_top_k(term, {HOT_TERMS}, {SKETCH_ITEMS})").alias("top"))
-    return _local(sketch.select(F.explode("top.item").alias("term")))
+    group = (F.spark_partition_id() % SKETCH_GROUPS).alias("sketch_group")
+    sketch = F.expr(f"approx_top_k_accumulate(term, {SKETCH_ITEMS})").alias("sketch")
+    merged = F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch")
+    top = F.expr(f"approx_top_k_estimate(sketch, {HOT_TERMS})").alias("top")
+    estimated = entries.groupBy(group).agg(sketch).agg(merged).select(top)
+    return _local(estimated.select(F.explode("top.item").alias("term")))
 
 
 def hottest(stats: DataFrame, order: str = "df") -> DataFrame:

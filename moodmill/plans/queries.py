@@ -355,7 +355,7 @@ def nb_spark_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _count_predictions(docs: DataFrame, part: str | None = None) -> DataFrame:
     model = naive_bayes.fit_counts(vocabulary.counts(docs))
     wanted = docs if part is None else docs.filter(F.col("split") == part)
-    return naive_bayes.predict(model, vocabulary.scored_entries(wanted))
+    return vocabulary.predictions(model, wanted)
 
 
 def nb_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -365,13 +365,13 @@ def nb_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nb_bernoulli_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = vocabulary.labelled_vectors(spark, sf_dir)
     model = naive_bayes.fit_bernoulli(vocabulary.counts(docs))
-    return _rounded(naive_bayes.predict(model, vocabulary.scored_entries(docs)))
+    return _rounded(vocabulary.predictions(model, docs))
 
 
 def nb_tfidf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = vocabulary.labelled_vectors(spark, sf_dir)
     model = vocabulary.fit_tfidf(docs)
-    return _rounded(naive_bayes.predict(model, vocabulary.scored_entries(docs)))
+    return _rounded(vocabulary.predictions(model, docs))
 
 
 def nb_ml_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -427,7 +427,7 @@ def accuracy_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
         "bernoulli": naive_bayes.fit_bernoulli(counts),
         "tfidf": naive_bayes.fit_unit_tfidf(counts),
     }
-    scored = naive_bayes.predict_all(models, vocabulary.scored_entries(docs))
+    scored = vocabulary.predictions(models, docs)
     return _rounded(evaluate.accuracy_of_models(scored, list(models), "split"))
 
 

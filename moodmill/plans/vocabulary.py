@@ -62,6 +62,18 @@ def fit_tfidf(docs: DataFrame, score_on: str = "count") -> naive_bayes.Model:
     return naive_bayes.fit_unit_tfidf(unit_counts(docs), score_on)
 
 
+def predictions(models: naive_bayes.Model | dict[str, naive_bayes.Model], docs: DataFrame) -> DataFrame:
+    """``doc_id, label, split`` and the prediction of one model or of several.
+
+    Only the key travels with the terms; label and split meet the result once per document.
+    """
+    if isinstance(models, dict):
+        scored = naive_bayes.predict_all(models, entries(docs), ["doc_id"])
+    else:
+        scored = naive_bayes.predict(models, entries(docs), ["doc_id"])
+    return docs.select("doc_id", "label", "split").join(scored, "doc_id")
+
+
 def score_texts(model: naive_bayes.Model, docs: DataFrame) -> DataFrame:
     """Score new ``doc_id, text`` rows: no string cleaning, and unknown terms are dropped."""
     model = replace(model, hot=None)

@@ -238,6 +238,17 @@ def test_plans_stay_on_the_jvm(spark, small):
         assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
 
 
+def test_new_sentences_get_a_class(spark):
+    good, bad = "Such a fabulous, perfect flight! Thank you", "This is awful. My bag is lost, bye"
+    texts = [(i, 2 if i % 2 else 0, good if i % 2 else bad, "train") for i in range(6)]
+    rows = spark.createDataFrame(texts, "doc_id long, label int, text string, split string")
+    model = vocabulary.fit_tfidf(vocabulary.stored_vectors(rows), "tfidf")
+    new = ["very fabulous", "this is very awful", "bye", "good perfect", "nothing known"]
+    asked = spark.createDataFrame(list(enumerate(new)), "doc_id long, text string")
+    got = {new[r.doc_id]: r.prediction for r in vocabulary.score_texts(model, asked).collect()}
+    assert got == dict(zip(new, [2, 0, 0, 2, 0], strict=True))
+
+
 def test_dedup_moves_texts_once(spark, small, monkeypatch):
     monkeypatch.setattr("moodmill.sources.tables.spread_small", lambda df, *keys: df)
     settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
