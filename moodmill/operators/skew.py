@@ -25,16 +25,14 @@ def _local(terms: DataFrame) -> DataFrame:
 def hot_terms(entries: DataFrame) -> DataFrame:
     """The most frequent terms, at most ``HOT_TERMS`` rows, from one mergeable sketch per task.
 
-    The sketches are merged in two steps, so that the last task meets ``SKETCH_GROUPS`` of
-    them. The list only decides how rows travel, never which rows match, so an estimate is
-    enough.
+    The sketches are merged in ``SKETCH_GROUPS`` groups, whose short lists are then added up,
+    so no task meets the sketches of all tasks. The list only decides how rows travel, never
+    which rows match, so an estimate is enough.
     """
     group = (F.spark_partition_id() % SKETCH_GROUPS).alias("sketch_group")
-    sketch = F.expr(f"approx_top_k_accumulate(term, {SKETCH_ITEMS})").alias("sketch")
-    merged = F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch")
-    top = F.expr(f"approx_top_k_estimate(sketch, {HOT_TERMS})").alias("top")
-    estimated = entries.groupBy(group).agg(sketch).agg(merged).select(top)
-    return _local(estimated.select(F.explode("top.item").alias("term")))
+    sketch = F.expr(f"approx_top_k(term, {HOT_TERMS}, {SKETCH_ITEMS})").alias("top")
+    found = entries.groupBy(group).agg(sketch).select(F.inline_outer("top").alias("term", "n"))
+    return hottest(found.groupBy("term").agg(F.sum("n").alias("df")))
 
 
 def hottest(stats: DataFrame, order: str = "df") -> DataFrame:
