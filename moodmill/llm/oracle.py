@@ -48,7 +48,119 @@ q_kept AS (
   FROM q_judged)
 """
 
+ASSIGN = "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+
+
+def scanned(kind: int, pattern: str, value: str, passes: str) -> str:
+    """Spans of one pattern: places are running lengths of the matches and of what lies between."""
+    return f"""
+  SELECT rid, start, {kind} AS kind, start + length(m) AS stop, {value} AS value FROM (
+    SELECT rid, m, sum(length(gap) + coalesce(length(before), 0)) OVER (PARTITION BY rid ORDER BY i) AS start FROM (
+      SELECT rid, i, ms[i] AS m, ms[i - 1] AS before, gaps[i] AS gap FROM (
+        SELECT rid, ms, gaps, unnest(range(1, len(ms) + 1)) AS i FROM (
+          SELECT rid, regexp_extract_all(text, '{pattern}') AS ms, string_split_regex(text, '{pattern}') AS gaps
+          FROM s_docs))))
+  WHERE {passes}"""
+
+
+SECRETS = f"""
+WITH s_docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner,
+    coalesce(source, '') || '/' || coalesce(lang, '') AS repository
+  FROM documents),
+s_base AS (
+{scanned(0, ASSIGN, f"regexp_extract(m, '{ASSIGN}', 2)", f"length(regexp_extract(m, '{ASSIGN}', 2)) >= 6")}
+  UNION ALL
+{scanned(1, "AKIA[A-Z0-9]+", "m", "length(m) >= 20")}
+  UNION ALL
+{scanned(2, "[0-9a-f]+", "m", "length(m) >= 24")}),
+s_bare AS (
+{scanned(3, "[A-Za-z0-9+/_-]{20,}", "m", "regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]')")}),
+s_all AS (
+  SELECT * FROM s_base
+  UNION ALL
+  SELECT * FROM s_bare r WHERE NOT EXISTS (
+    SELECT 1 FROM s_base b WHERE b.rid = r.rid AND b.start < r.stop AND r.start < b.stop)),
+s_owners AS (
+  SELECT value, count(DISTINCT owner) AS n,
+    length(value) >= 12 AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AS live
+  FROM s_all JOIN s_docs USING (rid) GROUP BY value),
+s_judged AS (
+  SELECT s_all.*, CASE WHEN n >= 3 THEN 'example' WHEN n = 1 AND live THEN 'live' ELSE 'shared' END AS verdict,
+    ['assign', 'access', 'hex', 'bare'][kind + 1] || ':' || start::BIGINT || ':' || stop::BIGINT AS said
+  FROM s_all JOIN s_owners USING (value)),
+s_totals AS (
+  SELECT rid, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+    count(*) FILTER (kind = 2) AS n_hex,
+    string_agg(said, ',' ORDER BY start, kind) FILTER (kind < 3) AS base,
+    string_agg(said, ',' ORDER BY start, kind) FILTER (kind < 3 OR verdict = 'live') AS spans,
+    count(*) FILTER (verdict = 'live') AS n_live, count(*) FILTER (verdict = 'example') AS n_example
+  FROM s_judged GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+  coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM s_docs LEFT JOIN s_totals USING (rid)
+"""
+
+
+def inverted(share: str, schedule: tuple[tuple[float, float], ...]) -> str:
+    """Training time at which the integral of a piecewise linear weight reaches ``share``."""
+    steps = list(zip(schedule, schedule[1:], strict=False))
+    area = sum((t1 - t0) * (w0 + w1) / 2 for (t0, w0), (t1, w1) in steps)
+    cases, done = [], 0.0
+    for (t0, w0), (t1, w1) in steps:
+        height, slope = w0 / area, (w1 - w0) / (t1 - t0) / area
+        part = (t1 - t0) * (w0 + w1) / 2 / area
+        rest = f"greatest({share} - {done!r}::DOUBLE, 0::DOUBLE)"
+        root = f"sqrt(greatest({height * height!r}::DOUBLE + {2.0 * slope!r}::DOUBLE * {rest}, 0::DOUBLE))"
+        cases.append((done + part, f"{t0!r}::DOUBLE + 2 * {rest} / ({height!r}::DOUBLE + {root})"))
+        done += part
+    whens = " ".join(f"WHEN {share} < {end!r}::DOUBLE THEN {time}" for end, time in cases[:-1])
+    return f"CASE {whens} ELSE {cases[-1][1]} END" if whens else cases[-1][1]
+
+
+CURRICULA = (
+    ((0.0, 1.0), (1.0, 1.0)),
+    ((0.0, 0.25), (0.5, 1.0), (1.0, 1.75)),
+    ((0.0, 1.5), (0.75, 0.5), (1.0, 0.5)),
+)
+
+MIXING = f"""
+WITH m_docs AS (
+  SELECT doc_id, source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+  FROM documents),
+m_sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM m_docs GROUP BY source),
+m_weighed AS (
+  SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS turn,
+    [3, 1, 2][(turn % 3) + 1]::DOUBLE AS weight, 2.0::DOUBLE * source_size AS cap,
+    1.5::DOUBLE * sum(source_size) OVER () AS everything
+  FROM m_sources),
+m_levels AS (
+  SELECT *, (everything - coalesce(sum(cap) OVER (ORDER BY cap / weight, turn
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) /
+    sum(weight) OVER (ORDER BY cap / weight, turn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM m_weighed),
+m_targets AS (SELECT *, least(cap, max(level) OVER () * weight) AS target FROM m_levels),
+m_placed AS (
+  SELECT d.*, source_size, target, turn, floor(target + 0.5)::BIGINT AS words,
+    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h % 4096, h, doc_id, size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS place
+  FROM m_docs d JOIN m_targets t ON d.source IS NOT DISTINCT FROM t.source),
+m_taken AS (
+  SELECT *, greatest(0, least(size, words - place)) AS first, greatest(0, least(size, words - place - source_size)) AS again,
+    place / target AS share
+  FROM m_placed)
+SELECT doc_id, size, source_size, target, (first + again)::BIGINT AS taken,
+  CASE WHEN first > 0 THEN CASE turn % 3 WHEN 0 THEN {inverted("share", CURRICULA[0])}
+    WHEN 1 THEN {inverted("share", CURRICULA[1])} ELSE {inverted("share", CURRICULA[2])} END END AS position
+FROM m_taken
+"""
+
 ORACLE = {
+    "op4_secret_scans": SECRETS,
+    "op8_mixing": MIXING,
     "op7_quality_rules": f"""
 WITH {QUALITY_ROWS}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM q_kept

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from moodmill.llm import quality_rules
+from moodmill.llm import mixing, quality_rules, secret_scan
 from moodmill.llm.oracle import ORACLE
+from moodmill.llm.text import word_count
 from moodmill.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +20,13 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    repository = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")))
+    return secret_scan.report(docs, F.col("source"), repository)
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
@@ -33,4 +42,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    mixed = mixing.sequence_by_position(mixing.mix(docs, word_count(F.col("text"))))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
 __all__ = ["ORACLE", "QUERIES"]
