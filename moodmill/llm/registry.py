@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodmill.llm import mixing, quality_rules, secret_scan
+from moodmill.llm import mixing, quality_rules, secret_scan, simhash_dedup
 from moodmill.llm.oracle import ORACLE
 from moodmill.llm.text import word_count
 from moodmill.sources.tables import read_table
@@ -20,6 +20,13 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+    fingerprint = simhash_dedup.hexadecimal(F.col("fp")).alias("fingerprint")
+    return found.select("doc_id", fingerprint, "component_id")
+
+
 @query
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
