@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodmill.llm import mixing, quality_rules, secret_scan, simhash_dedup
+from moodmill.llm import mixing, packing, quality_rules, secret_scan, simhash_dedup
 from moodmill.llm.oracle import ORACLE
 from moodmill.llm.text import word_count
 from moodmill.sources.tables import read_table
@@ -34,6 +35,12 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(docs, F.col("source"), repository)
 
 
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
