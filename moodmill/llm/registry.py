@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodmill.llm import mixing, packing, quality_rules, secret_scan, simhash_dedup
+from moodmill.llm import mixing, packing, quality_rules, secret_scan, simhash_dedup, token_file
 from moodmill.llm.oracle import ORACLE
 from moodmill.llm.text import word_count
 from moodmill.sources.tables import read_table
@@ -28,6 +28,12 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", fingerprint, "component_id")
 
 
+@query
+def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return token_file.digest(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
