@@ -3,22 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodmill.llm import mixing, packing, quality_rules, secret_scan, simhash_dedup, token_file
+from moodmill.llm import mixing, packing, quality_rules, secret_scan, simhash_dedup, token_file, toxicity
 from moodmill.llm.oracle import ORACLE
 from moodmill.llm.text import word_count
+from moodmill.llm.workers import let_workers_import
 from moodmill.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[f.__name__] = f
-    return f
+    @wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        let_workers_import(spark)
+        return f(spark, sf_dir)
+
+    QUERIES[f.__name__] = run
+    return run
 
 
 @query
@@ -28,6 +35,13 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", fingerprint, "component_id")
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model)
+
+
 @query
 def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
@@ -65,7 +79,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    mixed = mixing.sequence_by_position(mixing.mix(docs, word_count(F.col("text"))))
+    mixed = mixing.sequence_by_position(mixing.mix(docs, word_count(F.col("text"))), "doc_id")
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
