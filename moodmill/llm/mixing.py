@@ -172,9 +172,9 @@ def _position(start: Column, taken: Column, schedules: Sequence[Schedule]) -> Co
     return F.when(taken > 0, time)
 
 
-def sequence_by_position(mixed: DataFrame) -> DataFrame:
-    """Documents in training order; those without a position last."""
-    return mixed.orderBy(F.col("position").asc_nulls_last())
+def sequence_by_position(mixed: DataFrame, *keys: str) -> DataFrame:
+    """Documents in training order; those without a position last, spread by the keys."""
+    return mixed.orderBy(F.col("position").asc_nulls_last(), *keys)
 
 
 def curriculum(docs: DataFrame, size: Column, key: str = "doc_id", source: str = "source", **options) -> DataFrame:

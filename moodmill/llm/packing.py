@@ -57,8 +57,8 @@ def pieces(docs: DataFrame, key: str, text: str, tokenizer: str, end_id: int, ca
         encode = encoder(tokenizer, keeps_space=False)
         for batch in batches:
             counts, cut = [], []
-            for value in batch.column(1):
-                ids = encode(value.as_py()) + end
+            for encoded in encode(value.as_py() for value in batch.column(1)):
+                ids = encoded + end
                 total = len(ids) // 4
                 counts.append(total)
                 cut.append(

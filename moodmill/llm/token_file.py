@@ -109,9 +109,10 @@ def write(
                 yield pa.RecordBatch.from_arrays([pa.array([record], pa.binary())], ["record"])
 
         for batch in batches:
-            for k, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            encoded = encode(value.as_py() for value in batch.column(1))
+            for k, own in zip(batch.column(0).to_pylist(), encoded, strict=True):
                 keys.append(k)
-                ids.append(encode(value.as_py()) + end)
+                ids.append(own + end)
                 held += len(ids[-1]) // 4
                 if held >= GATHER_IDS:
                     yield from flush()

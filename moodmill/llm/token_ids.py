@@ -7,86 +7,127 @@ through the library once. Texts where a break touches another break are encoded
 
 from __future__ import annotations
 
+import os
 import re
-from collections.abc import Callable
+from array import array
+from collections.abc import Callable, Iterable
 
-import numpy as np
 from tokenizers import Tokenizer
 
-#: Words that a task remembers; those met later are encoded each time.
-CACHE_WORDS = 300_000
+#: A task has one core; the library's own threads would only compete for it.
+os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
+#: Words that a task remembers; those met later are encoded once per group of texts.
+CACHE_WORDS = 600_000
 #: Characters of the longest word that is worth remembering.
 CACHE_CHARS = 64
+#: Texts whose unknown words are encoded together, as a number and in characters.
+GROUP_TEXTS = 512
+GROUP_CHARS = 1 << 21
 
 #: A blank or a line end beside other white space, or at either end of the text.
 _UNEVEN = re.compile(r"[ \n]\s|\s[ \n]|\A\s|\s\Z")
 
-_loaded: dict[tuple[str, bool], Callable[[str | None], bytes]] = {}
-
-
-def _encoded(tokenizer: Tokenizer, text: str) -> bytes:
-    return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+Encode = Callable[[list[str]], list[bytes]]
+_loaded: dict[tuple[str, bool], Callable[[Iterable[str | None]], list[bytes]]] = {}
 
 
-def spaced_encoder(path: str) -> Callable[[str | None], bytes]:
-    """For a byte-level tokenizer that keeps white space: a word's ids depend on the blank before it."""
+def _library(path: str) -> Encode:
     tokenizer = Tokenizer.from_file(path)
-    first: dict[str, bytes] = {}
-    later: dict[str, bytes] = {}
-
-    def ids_of(word: str, known: dict[str, bytes], blank: str) -> bytes:
-        ids = known.get(word)
-        if ids is None:
-            ids = _encoded(tokenizer, blank + word)
-            if len(known) < CACHE_WORDS and len(word) <= CACHE_CHARS:
-                known[word] = ids
-        return ids
-
-    line_end = _encoded(tokenizer, "\n")
-
-    def encode(text: str | None) -> bytes:
-        if not text:
-            return b""
-        if _UNEVEN.search(text):
-            return _encoded(tokenizer, text)
-        out = []
-        for line in text.split("\n"):
-            words = line.split(" ")
-            if out:
-                out.append(line_end)
-            out.append(first.get(words[0]) or ids_of(words[0], first, ""))
-            for word in words[1:]:
-                out.append(later.get(word) or ids_of(word, later, " "))
-        return b"".join(out)
+
+    def encode(texts: list[str]) -> list[bytes]:
+        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
 
     return encode
 
 
-def bare_encoder(path: str) -> Callable[[str | None], bytes]:
+class _Words:
+    """Ids by word: the lasting ones and those of the group of texts at hand."""
+
+    def __init__(self, encode: Encode, written: Callable[[str | bytes], str]) -> None:
+        self.encode, self.written = encode, written
+        self.lasting: dict[str | bytes, bytes] = {}
+        self.now: dict[str | bytes, bytes] = {}
+
+    def learn(self, words: set) -> None:
+        self.now = {}
+        unknown = [w for w in words if w not in self.lasting]
+        if not unknown:
+            return
+        for word, ids in zip(unknown, self.encode([self.written(w) for w in unknown]), strict=True):
+            if len(self.lasting) < CACHE_WORDS and len(word) <= CACHE_CHARS:
+                self.lasting[word] = ids
+            else:
+                self.now[word] = ids
+
+    def ids(self, words: list) -> list[bytes]:
+        if not self.now:
+            return list(map(self.lasting.__getitem__, words))
+        get, now = self.lasting.get, self.now
+        return [now[w] if (ids := get(w)) is None else ids for w in words]
+
+
+def _groups(texts: Iterable[str | None]) -> Iterable[list[str]]:
+    group, chars = [], 0
+    for text in texts:
+        group.append(text or "")
+        chars += len(group[-1])
+        if len(group) >= GROUP_TEXTS or chars >= GROUP_CHARS:
+            yield group
+            group, chars = [], 0
+    if group:
+        yield group
+
+
+def spaced_encoder(path: str) -> Callable[[Iterable[str | None]], list[bytes]]:
+    """For a byte-level tokenizer that keeps white space: a word's ids depend on the blank before it."""
+    encode = _library(path)
+    first, later = _Words(encode, str), _Words(encode, " ".__add__)
+    line_end = encode(["\n"])[0]
+
+    def run(texts: Iterable[str | None]) -> list[bytes]:
+        out: list[bytes] = []
+        for group in _groups(texts):
+            split: list[list[list[str]] | None] = [
+                None if _UNEVEN.search(t) else [line.split(" ") for line in t.split("\n")] if t else []
+                for t in group
+            ]
+            first.learn({line[0] for lines in split if lines for line in lines})
+            later.learn({w for lines in split if lines for line in lines for w in line[1:]})
+            for text, lines in zip(group, split, strict=True):
+                if lines is None:
+                    out.append(encode([text])[0])
+                    continue
+                pieces: list[bytes] = []
+                for line in lines:
+                    if pieces:
+                        pieces.append(line_end)
+                    pieces += first.ids(line[:1])
+                    pieces += later.ids(line[1:])
+                out.append(b"".join(pieces))
+        return out
+
+    return run
+
+
+def bare_encoder(path: str) -> Callable[[Iterable[str | None]], list[bytes]]:
     """For a tokenizer that drops white space: a word's ids do not depend on what is around it."""
-    tokenizer = Tokenizer.from_file(path)
-    known: dict[bytes, bytes] = {}
-
-    def ids_of(word: bytes) -> bytes:
-        ids = _encoded(tokenizer, word.decode("utf-8"))
-        if len(known) < CACHE_WORDS and len(word) <= CACHE_CHARS:
-            known[word] = ids
-        return ids
-
-    def encode(text: str | None) -> bytes:
-        if not text:
-            return b""
-        out = []
-        for word in text.encode("utf-8").split():
-            ids = known.get(word)
-            out.append(ids_of(word) if ids is None else ids)
-        return b"".join(out)
+    words = _Words(_library(path), bytes.decode)
 
-    return encode
+    def run(texts: Iterable[str | None]) -> list[bytes]:
+        out: list[bytes] = []
+        for group in _groups(texts):
+            split = [t.encode("utf-8").split() for t in group]
+            words.learn({w for own in split for w in own})
+            out.extend(b"".join(words.ids(own)) for own in split)
+        return out
+
+    return run
 
 
-def encoder(path: str, keeps_space: bool) -> Callable[[str | None], bytes]:
-    """The encoder of a file, made once in each Python worker: text to little-endian 32-bit ids."""
+def encoder(path: str, keeps_space: bool) -> Callable[[Iterable[str | None]], list[bytes]]:
+    """The encoder of a file, made once in each Python worker: texts to little-endian 32-bit ids."""
     if (path, keeps_space) not in _loaded:
         _loaded[path, keeps_space] = (spaced_encoder if keeps_space else bare_encoder)(path)
     return _loaded[path, keeps_space]
