@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodmill.llm import mixing, packing, quality_rules, secret_scan, simhash_dedup, substring_dedup, token_file, toxicity
+from moodmill.llm import hnsw, mixing, packing, quality_rules, secret_scan, simhash_dedup, substring_dedup, token_file, toxicity
 from moodmill.llm.oracle import ORACLE
 from moodmill.llm.text import word_count
 from moodmill.llm.workers import let_workers_import
@@ -88,4 +88,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
+@query
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hnsw.valid_vectors(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return hnsw.nearest(rows.filter("id % 100 = 0"), hnsw.index(rows))
+
+
 __all__ = ["ORACLE", "QUERIES"]
