@@ -43,7 +43,10 @@ def _library(path: str) -> Encode:
 
 
 class _Words:
-    """Ids by word: the lasting ones and those of the group of texts at hand."""
+    """Ids by word: the lasting ones, and in ``now`` those of the group of texts at hand.
+
+    The lasting table is too large for a processor's cache, so it is asked once per word and group.
+    """
 
     def __init__(self, encode: Encode, written: Callable[[str | bytes], str]) -> None:
         self.encode, self.written = encode, written
@@ -51,21 +54,19 @@ class _Words:
         self.now: dict[str | bytes, bytes] = {}
 
     def learn(self, words: set) -> None:
-        self.now = {}
-        unknown = [w for w in words if w not in self.lasting]
+        known = list(words)
+        found = list(map(self.lasting.get, known))
+        self.now = now = dict(zip(known, found, strict=True))
+        unknown = [w for w, ids in now.items() if ids is None]
         if not unknown:
             return
         for word, ids in zip(unknown, self.encode([self.written(w) for w in unknown]), strict=True):
+            now[word] = ids
             if len(self.lasting) < CACHE_WORDS and len(word) <= CACHE_CHARS:
                 self.lasting[word] = ids
-            else:
-                self.now[word] = ids
 
-    def ids(self, words: list) -> list[bytes]:
-        if not self.now:
-            return list(map(self.lasting.__getitem__, words))
-        get, now = self.lasting.get, self.now
-        return [now[w] if (ids := get(w)) is None else ids for w in words]
+    def ids(self, words: list) -> Iterable[bytes]:
+        return map(self.now.__getitem__, words)
 
 
 def _groups(texts: Iterable[str | None]) -> Iterable[list[str]]:
@@ -90,14 +91,20 @@ def spaced_encoder(path: str) -> Callable[[Iterable[str | None]], list[bytes]]:
         out: list[bytes] = []
         for group in _groups(texts):
             split: list[list[list[str]] | None] = [
-                None if _UNEVEN.search(t) else [line.split(" ") for line in t.split("\n")] if t else []
+                [line.split(" ") for line in t.split("\n")] if t and not _UNEVEN.search(t) else None
                 for t in group
             ]
-            first.learn({line[0] for lines in split if lines for line in lines})
-            later.learn({w for lines in split if lines for line in lines for w in line[1:]})
+            starting: set[str] = set()
+            others: set[str] = set()
+            for lines in split:
+                for line in lines or ():
+                    starting.add(line[0])
+                    others.update(line)
+            first.learn(starting)
+            later.learn(others)
             for text, lines in zip(group, split, strict=True):
                 if lines is None:
-                    out.append(encode([text])[0])
+                    out.append(encode([text])[0] if text else b"")
                     continue
                 pieces: list[bytes] = []
                 for line in lines:
@@ -119,7 +126,7 @@ def bare_encoder(path: str) -> Callable[[Iterable[str | None]], list[bytes]]:
         out: list[bytes] = []
         for group in _groups(texts):
             split = [t.encode("utf-8").split() for t in group]
-            words.learn({w for own in split for w in own})
+            words.learn(set().union(*split))
             out.extend(b"".join(words.ids(own)) for own in split)
         return out
 
