@@ -15,7 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moodmill.llm.text import BREAKS, word_array
+from moodmill.llm.text import BREAKS, filter_computed, word_array
 
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -134,4 +134,4 @@ def verdict(rules: tuple[Rule, ...]) -> Column:
 def keep(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns and no others."""
     whole = docs.select(F.struct("*").alias("_row"), F.col(text).alias("_text"))
-    return measure(whole, "_row", text="_text").filter("kept").select("_row.*")
+    return filter_computed(measure(whole, "_row", text="_text"), F.col("kept")).select("_row.*")

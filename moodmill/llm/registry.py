@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodmill.llm import hnsw, mixing, packing, quality_rules, secret_scan, simhash_dedup, substring_dedup, token_file, toxicity
+from moodmill.llm import hnsw, language_id, mixing, packing, quality_rules, secret_scan, simhash_dedup, substring_dedup, token_file, toxicity
 from moodmill.llm.oracle import ORACLE
 from moodmill.llm.text import word_count
 from moodmill.llm.workers import let_workers_import
@@ -94,4 +95,15 @@ def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.nearest(rows.filter("id % 100 = 0"), hnsw.index(rows))
 
 
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.fit(docs))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 __all__ = ["ORACLE", "QUERIES"]

@@ -22,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from moodmill.llm.text import filter_computed
 from moodmill.storage import materialise
 
 #: The base patterns, in the order in which kinds are listed.
@@ -144,7 +145,7 @@ def judge(
     )
     scanned = scan(owned, [*keep, "_owner", "_repository"], text)
     if only_found:
-        scanned = scanned.filter((F.size("_base") > 0) | (F.size("_bare") > 0))
+        scanned = filter_computed(scanned, (F.size("_base") > 0) | (F.size("_bare") > 0))
     stored = materialise(scanned.withColumn("_rid", F.monotonically_increasing_id()), "secret-spans")
     candidates = stored.select(
         "_rid", "_owner", "_repository", F.explode(F.concat("_base", "_bare")).alias("span")
@@ -222,7 +223,8 @@ def redact(docs: DataFrame, owner: str, repository: str, text: str = "text", mar
     Rows without a candidate pass unchanged; overlapping spans are replaced once.
     """
     row = docs.select(F.struct("*").alias("_row"), F.col(text).alias("_text"))
-    clean = scan(row, ["_row"], "_text").filter((F.size("_base") == 0) & (F.size("_bare") == 0))
+    scanned = scan(row, ["_row"], "_text")
+    clean = filter_computed(scanned, (F.size("_base") == 0) & (F.size("_bare") == 0))
     found = judge(
         row, ["_row"], F.col(f"_row.{owner}"), F.col(f"_row.{repository}"), "_text", only_found=True
     )

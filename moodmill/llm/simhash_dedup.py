@@ -19,7 +19,7 @@ least one, and a component of null keys alone has a null id; an empty table give
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -95,18 +95,24 @@ def _unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def trie_components(values: np.ndarray, groups: np.ndarray, budget: int) -> np.ndarray:
     """Component (as the least place) of every entry among those of its group within the budget.
 
-    ``values`` are distinct within a group and both arrays are sorted by (group, value).
+    A row of ``values`` is a fingerprint of one or more 64-bit words; rows are distinct within a group
+    and sorted by (group, words).
     """
-    n = len(values)
+    n, words = values.shape
     parent = np.arange(n)
-    # ones[d][i]: set bits at depth d among the first i entries; splits a node without a search.
-    ones = np.zeros((64, n + 1), dtype=np.int32)
-    for depth in range(64):
-        np.cumsum((values >> np.uint64(63 - depth)) & np.uint64(1), out=ones[depth, 1:], dtype=np.int32)
+    ones: dict[int, np.ndarray] = {}
+
+    def ones_before(depth: int) -> np.ndarray:
+        """Set bits at a depth among the first i entries, for all i; splits nodes without a search."""
+        if depth not in ones:
+            bit = (values[:, depth // 64] >> np.uint64(63 - depth % 64)) & np.uint64(1)
+            ones[depth] = np.r_[0, np.cumsum(bit, dtype=np.int32)].astype(np.int32)
+        return ones[depth]
+
     starts = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]]).astype(np.int32)
     stops = np.r_[starts[1:], n].astype(np.int32)
     live = stops - starts > 1
-    none = np.zeros(int(live.sum()), np.int8)
+    none = np.zeros(int(live.sum()), np.int16)
     stack = [(0, starts[live], stops[live], starts[live], stops[live], none)]
     while stack:
         depth, alo, ahi, blo, bhi, diff = stack.pop()
@@ -121,13 +127,17 @@ def trie_components(values: np.ndarray, groups: np.ndarray, budget: int) -> np.n
         single = (ahi - alo == 1) & (bhi - blo == 1)
         if single.any():
             a, b = alo[single], blo[single]
-            near = np.bitwise_count(values[a] ^ values[b]) <= budget
+            apart = np.zeros(len(a), dtype=np.int64)
+            for word in range(words):
+                apart += np.bitwise_count(values[a, word] ^ values[b, word])
+            near = apart <= budget
             parent = _unite(parent, a[near], b[near])
             alo, ahi, blo, bhi, diff = (x[~single] for x in (alo, ahi, blo, bhi, diff))
         if not len(alo):
             continue
-        amid = ahi - (ones[depth][ahi] - ones[depth][alo])
-        bmid = bhi - (ones[depth][bhi] - ones[depth][blo])
+        set_bits = ones_before(depth)
+        amid = ahi - (set_bits[ahi] - set_bits[alo])
+        bmid = bhi - (set_bits[bhi] - set_bits[blo])
         same = alo == blo
         parts = (
             (alo, amid, blo, bmid, diff, None),
@@ -155,81 +165,89 @@ def _block_bounds(budget: int) -> list[tuple[int, int]]:
     return [(sum(sizes[:i]), size) for i, size in enumerate(sizes)]
 
 
-def links(distinct: DataFrame, budget: int = BUDGET, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Stars ``(a, b)`` that connect all distinct ``fp`` within the budget of each other."""
-    bounds = _block_bounds(budget)
-    blocks = F.array(
-        *(
-            F.struct(
-                F.lit(i).alias("block"),
-                F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << size) - 1)).alias("value"),
-            )
-            for i, (shift, size) in enumerate(bounds)
-        )
-    )
-    entries = distinct.select("fp", F.inline(blocks))
+def _met(entries: DataFrame, group_rows: int, node: str) -> DataFrame:
+    """Entries gathered by (block, value); a group above ``group_rows`` as pairs of its chunks."""
     large = (
         entries.groupBy("block", "value")
         .count()
         .filter(F.col("count") > group_rows)
         .select("block", "value", F.ceil(F.col("count") * 2 / group_rows).cast("int").alias("chunks"))
     )
-    chunk = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
+    chunk = F.pmod(F.xxhash64(node), F.col("chunks")).cast("int")
     others = F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: c != F.col("chunk"))
     pair = F.transform(
         others,
         lambda c: F.least(c, F.col("chunk")).cast("long") * F.col("chunks") + F.greatest(c, F.col("chunk")),
     )
+    alone = F.array(F.lit(-1).cast("long"))
     dealt = (
         entries.join(large, ["block", "value"], "left")
         .withColumn("chunk", chunk)
-        .select(
-            "fp",
-            "block",
-            "value",
-            F.explode(F.when(F.col("chunks").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(pair)).alias(
-                "pair"
-            ),
+        .withColumn("pair", F.explode(F.when(F.col("chunks").isNull(), alone).otherwise(pair)))
+        .drop("chunks", "chunk")
+    )
+    return dealt.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
+
+
+_GROUP = ["block", "value", "pair"]
+
+
+def _stars(solve: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame]):
+    """A task body that gives ``solve`` whole groups, several at a time, with the number of each row's group."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def solved(rows: pd.DataFrame) -> pd.DataFrame:
+            keys = rows[_GROUP].to_numpy()
+            return solve(rows, np.cumsum(np.r_[0, (keys[1:] != keys[:-1]).any(axis=1)]))
+
+        waiting: list[pd.DataFrame] = []
+        held = 0
+        for batch in batches:
+            waiting.append(batch)
+            held += len(batch)
+            if held < BATCH_ROWS:
+                continue
+            rows = pd.concat(waiting, ignore_index=True)
+            keys = rows[_GROUP].to_numpy()
+            # The last group may go on in the next batch.
+            changes = np.flatnonzero((keys != keys[-1]).any(axis=1))
+            whole = int(changes[-1]) + 1 if len(changes) else 0
+            if whole:
+                yield solved(rows.iloc[:whole])
+            waiting, held = [rows.iloc[whole:].reset_index(drop=True)], len(rows) - whole
+        if held:
+            yield solved(pd.concat(waiting, ignore_index=True))
+
+    return run
+
+
+def links(distinct: DataFrame, budget: int = BUDGET, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Stars ``(a, b)`` that connect all distinct ``fp`` within the budget of each other."""
+    bounds = _block_bounds(budget)
+    blocks = F.array(
+        *(
+            F.struct(
+                F.lit(i).alias("block"),
+                F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << size) - 1)).alias("value"),
+            )
+            for i, (shift, size) in enumerate(bounds)
         )
     )
-    group = ["block", "value", "pair"]
-    met = dealt.repartition(*group).sortWithinPartitions(*group)
+    met = _met(distinct.select("fp", F.inline(blocks)), group_rows, "fp")
     shifts = np.array([(64 - shift - size) % 64 for shift, size in bounds], dtype=np.uint64)
 
-    def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = rows[group].to_numpy()
-        group_id = np.cumsum(np.r_[0, (keys[1:] != keys[:-1]).any(axis=1)])
+    def solve(rows: pd.DataFrame, group: np.ndarray) -> pd.DataFrame:
         fps = rows["fp"].to_numpy().view(np.uint64)
         turn = shifts[rows["block"].to_numpy()]
         # The shared block comes first, so that the walk starts below it.
         turned = (fps << turn) | (fps >> ((np.uint64(64) - turn) % np.uint64(64)))
-        order = np.lexsort((turned, group_id))
+        order = np.lexsort((turned, group))
         fps = fps[order].view(np.int64)
-        root = trie_components(turned[order], group_id[order], budget)
+        root = trie_components(turned[order][:, None], group[order], budget)
         linked = root != np.arange(len(root))
         return pd.DataFrame({"a": fps[linked], "b": fps[root[linked]]})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        waiting: list[pd.DataFrame] = []
-        rows = 0
-        for batch in batches:
-            waiting.append(batch)
-            rows += len(batch)
-            if rows >= BATCH_ROWS:
-                held = pd.concat(waiting, ignore_index=True)
-                keys = held[group].to_numpy()
-                tail = len(held) - int(np.argmin((keys == keys[-1]).all(axis=1)[::-1]))
-                if (keys == keys[-1]).all():
-                    tail = 0
-                if tail:
-                    yield solve(held.iloc[:tail])
-                waiting = [held.iloc[tail:].reset_index(drop=True)]
-                rows = len(waiting[0])
-        held = pd.concat(waiting, ignore_index=True) if waiting else None
-        if held is not None and len(held):
-            yield solve(held)
-
-    return met.mapInPandas(run, "a bigint, b bigint")
+    return met.mapInPandas(_stars(solve), "a bigint, b bigint")
 
 
 def near_duplicates(

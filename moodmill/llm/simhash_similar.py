@@ -1,0 +1,170 @@
+"""SimHash near-duplicates by similarity: wide fingerprints, bit samples, and the same trie walk.
+
+Four bits of 64 only cover texts that agree in all but a few shingles. For a stated Jaccard similarity of
+shingle sets the fingerprint is wider (``WORDS`` times 64 bits) and the budget is the number of bits
+in which texts of that similarity differ on average. No block of exact agreement is certain then,
+so blocks are seeded samples of bits: long enough that a group holds about ``GROUP`` unrelated
+texts whatever the size of the corpus, and as many that texts at the threshold share one with
+chance ``RECALL``; more similar texts nearly always do. Both numbers follow from the number of
+distinct fingerprints, by the same rule at every size. Inside a group, tries are walked in pairs
+as in ``simhash_dedup``, and large groups are cut into pairs of chunks.
+
+Defined results: as in ``simhash_dedup``; texts without words are copies of each other. ``keep_one`` keeps
+the row with the least (key, digest of the text) of each component, null keys first, and one of
+rows that are equal in both.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from moodmill.llm.components import components
+from moodmill.llm.simhash_dedup import GROUP_ROWS, _met, _stars, trie_components
+from moodmill.storage import materialise
+
+SHINGLE = 5
+SIMILARITY = 0.8
+WORDS = 4
+GROUP = 8
+RECALL = 0.95
+LEAST_BITS, MOST_BITS = 12, 32
+
+_FIELDS = [f"f{i}" for i in range(WORDS)]
+_SEEDS = np.random.default_rng(42).integers(1, 1 << 63, size=WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def differing_share(similarity: float) -> float:
+    """Share of bits in which texts of this Jaccard similarity differ on average."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def wide_fingerprint(text: str | None, width: int = SHINGLE) -> np.ndarray:
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.zeros(WORDS, dtype=np.uint64)
+    joined = b" ".join(words)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(lengths + 1) - 1
+    width = min(width, len(words))
+    begins = (ends - lengths)[: len(words) - width + 1].tolist()
+    digest = xxhash.xxh64_intdigest
+    hashes = np.array(
+        [digest(joined[a:b], 42) for a, b in zip(begins, ends[width - 1 :].tolist(), strict=True)], dtype=np.uint64
+    )
+    out = np.empty(WORDS, dtype=np.uint64)
+    for i, seed in enumerate(_SEEDS):
+        mixed = hashes * seed
+        mixed ^= mixed >> np.uint64(29)
+        mixed *= np.uint64(0xBF58476D1CE4E5B9)
+        mixed ^= mixed >> np.uint64(32)
+        bits = np.unpackbits(mixed.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1)
+        out[i] = np.packbits(bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes)).view("<u8")[0]
+    return out
+
+
+def _fingerprints(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
+    body = F.coalesce(F.col(text), F.lit(""))
+    narrow = docs.select(F.col(key).alias("k"), F.md5(body).alias("digest"), body.alias("t"))
+    kind = narrow.schema["k"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [wide_fingerprint(x.as_py(), width) for x in batch.column(2)]
+            values = np.vstack(rows).view(np.int64) if rows else np.zeros((0, WORDS), np.int64)
+            columns = [pa.array(np.ascontiguousarray(values[:, i])) for i in range(WORDS)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *columns], ["k", "digest", *_FIELDS]
+            )
+
+    fields = ", ".join(f"{f} bigint" for f in _FIELDS)
+    return narrow.mapInArrow(run, f"k {kind}, digest string, {fields}")
+
+
+def block_plan(count: int, similarity: float) -> tuple[int, int]:
+    """Bits of a block and number of blocks for so many distinct fingerprints."""
+    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(count, 1) / GROUP + 1))))
+    agree = (1 - differing_share(similarity)) ** bits
+    return bits, math.ceil(math.log(1 - RECALL) / math.log(1 - agree))
+
+
+def similar_links(distinct: DataFrame, count: int, similarity: float, group_rows: int) -> DataFrame:
+    """Stars ``(a, b)`` over the ``node`` numbers of fingerprints within the budget of each other."""
+    size, blocks = block_plan(count, similarity)
+    budget = math.floor(64 * WORDS * differing_share(similarity))
+    samples = np.random.default_rng(size).permuted(np.tile(np.arange(64 * WORDS), (blocks, 1)), axis=1)[:, :size]
+    powers = np.int64(1) << np.arange(size, dtype=np.int64)
+
+    def sampled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            words = np.ascontiguousarray(rows[_FIELDS].to_numpy()).astype("<i8")
+            bits = np.unpackbits(words.view(np.uint8).reshape(len(rows), -1), axis=1)
+            values = np.stack([bits[:, s] @ powers for s in samples], axis=1)
+            yield rows.assign(blocks=list(values))
+
+    fields = ", ".join(f"{f} bigint" for f in _FIELDS)
+    entries = distinct.select("node", *_FIELDS).mapInPandas(sampled, f"node bigint, {fields}, blocks array<bigint>")
+    met = _met(
+        entries.select("node", *_FIELDS, F.posexplode("blocks").alias("block", "value")), group_rows, "node"
+    )
+
+    def solve(rows: pd.DataFrame, group: np.ndarray) -> pd.DataFrame:
+        words = np.ascontiguousarray(rows[_FIELDS].to_numpy()).view(np.uint64)
+        order = np.lexsort((*words.T[::-1], group))
+        root = trie_components(words[order], group[order], budget)
+        node = rows["node"].to_numpy()[order]
+        linked = root != np.arange(len(root))
+        return pd.DataFrame({"a": node[linked], "b": node[root[linked]]})
+
+    return met.mapInPandas(_stars(solve), "a bigint, b bigint")
+
+
+def keepers(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    width: int = SHINGLE,
+    similarity: float = SIMILARITY,
+    group_rows: int = GROUP_ROWS,
+) -> DataFrame:
+    """``k, digest`` of the row that stays of each component."""
+    stored = materialise(_fingerprints(docs, key, text, width), "similar-fingerprints")
+    distinct = materialise(
+        stored.groupBy(*_FIELDS)
+        .agg(F.min(F.struct("k", "digest")).alias("first"))
+        .withColumn("node", F.monotonically_increasing_id()),
+        "similar-distinct",
+    )
+    count = distinct.count()
+    labels = components(similar_links(distinct, count, similarity, group_rows))
+    rooted = distinct.select("node", "first").join(labels, "node", "left")
+    groups = rooted.groupBy(F.coalesce("label", "node").alias("label")).agg(F.min("first").alias("first"))
+    return materialise(groups.select("first.k", "first.digest"), "similar-keepers")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row of each component of similar texts, with all columns of ``docs``."""
+    kept = keepers(docs, key, text, **options)
+    marked = docs.select(
+        F.struct("*").alias("_row"),
+        F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_k"),
+        F.col(key).isNull().alias("_null"),
+        F.md5(F.coalesce(F.col(text), F.lit(""))).alias("_digest"),
+    )
+    staying = kept.select(
+        F.coalesce(F.col("k").cast("string"), F.lit("")).alias("_k"),
+        F.col("k").isNull().alias("_null"),
+        F.col("digest").alias("_digest"),
+    )
+    same = ["_k", "_null", "_digest"]
+    met = marked.join(staying, same, "left_semi")
+    # Rows equal in key and text, of which one stays.
+    first = Window.partitionBy(*same).orderBy(F.xxhash64("_row"))
+    return met.withColumn("_n", F.row_number().over(first)).filter("_n = 1").select("_row.*")
