@@ -274,11 +274,13 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     seen = long.select(half, F.explode("once").alias("name"), F.lit(False).alias("twice")).unionByName(
         long.select(half, F.explode("again").alias("name"), F.lit(True).alias("twice"))
     )
-    shared = (
+    # Stored, as an aggregation right below a join would keep Spark from splitting its common keys.
+    shared = materialise(
         seen.groupBy("name")
         .agg(F.min("half").alias("a"), F.max("half").alias("b"), F.max("twice").alias("twice"))
         .filter("twice or a <> b")
-        .select("name")
+        .select("name"),
+        "repeat-shared",
     )
     flagged = (
         long.select("key", F.explode("once").alias("name"))
@@ -296,7 +298,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         "repeat-windows",
     )
     placed = windows.select("key", F.inline(F.arrays_zip("starts", "high", "low")))
-    repeated = placed.groupBy("high", "low").count().filter("count > 1").select("high", "low")
+    repeated = materialise(
+        placed.groupBy("high", "low").count().filter("count > 1").select("high", "low"), "repeat-names"
+    )
     starts = (
         placed.join(repeated, ["high", "low"], "left_semi")
         .groupBy("key")
