@@ -6,7 +6,7 @@ characters mean the Unicode classes, whatever the regex engine's default is.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,17 +32,22 @@ EMOTICONS = (
 )
 
 
+# What counts as a mention and as a link.
+MENTION = f"@[^{SPACE}]+"
+LINK = rf"(www\.[^{SPACE}]+)|(https?://[^{SPACE}]+)"
+
+
 def normalize_basic(text: Column) -> Column:
     """Lower-case; remove mentions; blank out links, digits and quote entities."""
     text = only_if(
         F.lower(text),
         lambda x: x.contains("@"),
-        lambda x: F.regexp_replace(x, f"@[^{SPACE}]+", ""),
+        lambda x: F.regexp_replace(x, MENTION, ""),
     )
     text = only_if(
         text,
         lambda x: x.contains("www.") | x.contains("http"),
-        lambda x: F.regexp_replace(x, rf"(www\.[^{SPACE}]+)|(https?://[^{SPACE}]+)", " "),
+        lambda x: F.regexp_replace(x, LINK, " "),
     )
     text = F.regexp_replace(text, r"\p{Nd}+", " ")
     return F.replace(text, F.lit("&quot;"), F.lit(" "))
@@ -61,18 +66,27 @@ def drop_single_letters(text: Column) -> Column:
     return F.regexp_replace(text, f"(?<![{WORD}])[a-zA-Z](?![{WORD}])", "")
 
 
+def _expanded(text: Column, longs: Column, known: Callable[[Column], Column]) -> Column:
+    words = F.filter(F.split(text, f"[{SPACE}]+"), lambda w: known(F.lower(w)))
+    return F.aggregate(words, text, lambda acc, w: F.replace(acc, w, longs[F.lower(w)]))
+
+
 def expand_contractions(
-    text: Column, contractions: Mapping[str, str] = COMMON_CONTRACTIONS
+    text: Column, contractions: Mapping[str, str] | Column = COMMON_CONTRACTIONS
 ) -> Column:
-    """Expand each white-space word found in the dictionary, wherever it occurs in the text."""
+    """Expand each white-space word found in the dictionary, wherever it occurs in the text.
+
+    The dictionary is a short mapping, or a map column of any size.
+    """
+    if isinstance(contractions, Column):
+        return let(text, lambda x: _expanded(x, contractions, lambda w: F.map_contains_key(contractions, w)))
     if not contractions:
         return text
     shorts = list(contractions)
     longs = F.create_map(*[F.lit(x) for pair in contractions.items() for x in pair])
 
     def expand(x: Column) -> Column:
-        words = F.filter(F.split(x, f"[{SPACE}]+"), lambda w: F.lower(w).isin(shorts))
-        return F.aggregate(words, x, lambda acc, w: F.replace(acc, w, longs[F.lower(w)]))
+        return _expanded(x, longs, lambda w: w.isin(shorts))
 
     if all("'" in short for short in shorts):
         return only_if(text, lambda x: x.contains("'"), expand)
@@ -93,7 +107,7 @@ def collapse_spaces(text: Column) -> Column:
 
 
 def normalize_text(
-    text: Column, contractions: Mapping[str, str] = COMMON_CONTRACTIONS
+    text: Column, contractions: Mapping[str, str] | Column = COMMON_CONTRACTIONS
 ) -> Column:
     """The whole chain, in its fixed order."""
     text = drop_single_letters(replace_emoticons(normalize_basic(text)))

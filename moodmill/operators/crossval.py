@@ -5,13 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import materialise
 from .features import real_terms
 from .naive_bayes import CLASSES, _extra_term, best_class
-from .skew import hottest, join_per_term
+from .skew import hot_keys, join_per_term
 
 
 def count_by_fold(entries: DataFrame, classes: Sequence[int] = CLASSES) -> DataFrame:
@@ -28,18 +28,20 @@ def count_by_fold(entries: DataFrame, classes: Sequence[int] = CLASSES) -> DataF
         own.append(F.coalesce(mine, F.lit(0)).alias(f"own_tf_{c}"))
     counted = entries.groupBy("term", "fold").agg(*own)
 
-    # At most one row per fold in a window partition.
-    term = Window.partitionBy("term")
+    # One row per term with a list of at most one entry per fold, and back again.
     names = ["df", *[f"tf_{c}" for c in classes]]
     inside = F.col("fold").isNotNull()
     totals = [
-        F.coalesce(F.sum(F.when(inside, F.col(f"own_{n}"))).over(term), F.lit(0)).alias(f"all_{n}")
-        for n in names
+        F.coalesce(F.sum(F.when(inside, F.col(f"own_{n}"))), F.lit(0)).alias(f"all_{n}") for n in names
     ]
-    first = (F.row_number().over(term.orderBy("fold")) == 1).alias("first")
-    rows = counted.select("*", *totals, first)
-    others = [(F.col(f"all_{n}") - F.col(f"own_{n}")).alias(n) for n in names]
-    return rows.select("term", "fold", "first", *others, *[f"all_{n}" for n in names])
+    parts = F.sort_array(F.collect_list(F.struct("fold", *[f"own_{n}" for n in names])))
+    per_term = counted.groupBy("term").agg(*totals, parts.alias("parts"))
+    all_names = [f"all_{n}" for n in names]
+    rows = per_term.select("term", *all_names, F.posexplode("parts").alias("place", "part"))
+    others = [(F.col(f"all_{n}") - F.col(f"part.own_{n}")).alias(n) for n in names]
+    return rows.select(
+        "term", "part.fold", (F.col("place") == 0).alias("first"), *others, *all_names
+    )
 
 
 def cross_validate(
@@ -49,14 +51,13 @@ def cross_validate(
     vocabulary_size: int | None = None,
     classes: Sequence[int] = CLASSES,
     alpha: float = 1.0,
-    bounded_rows: int | None = None,
 ) -> DataFrame:
     """``doc_id, label, fold, prediction`` with each document scored by the other folds.
 
     ``entries`` has ``doc_id, label, fold, term, tf``; documents with a null fold only add
     their terms to the vocabulary, whose size is counted unless given. With ``tfidf`` the
     IDF is refitted for every fold and the prior is smoothed; otherwise raw counts and a
-    plain prior. ``bounded_rows`` bounds the number of terms.
+    plain prior.
     """
     table = materialise(count_by_fold(entries, classes), "fold-counts")
     inside = table.filter(F.col("fold").isNotNull())
@@ -104,7 +105,10 @@ def cross_validate(
             mass += by_fold[f][f"b_{c}"] if f in by_fold else 0.0
             unit[c][f] = math.log(alpha / (mass + alpha * vocabulary_size))
 
-    hot = None if bounded_rows else hottest(terms.filter("first").withColumnRenamed("all_df", "n"), "n")
+    # The extra entry is a key too: every document of a fold carries it.
+    own = inside.select("term", "fold", (F.col("all_df") - F.col("df")).alias("own"))
+    n_entries = own.agg(F.sum("own")).first()[0]
+    hot = hot_keys(own, n_entries or 0, ("term", "fold"), "own")
     weights = pairs.select(
         "term",
         "fold",
@@ -112,8 +116,7 @@ def cross_validate(
         *[F.log1p(idf(F.col("df")) * F.col(f"tf_{c}") / alpha).alias(f"w_{c}") for c in classes],
     )
     scored = entries.filter(F.col("fold").isNotNull())
-    bound = bounded_rows * k if bounded_rows else None
-    joined = join_per_term(scored, weights, hot, bound, on=("term", "fold"))
+    joined = join_per_term(scored, weights, hot, on=("term", "fold"))
     x = F.coalesce(F.col("tf") * F.col("idf"), F.lit(0.0))
     valued = joined.select("doc_id", "label", "fold", x.alias("x"), *[f"w_{c}" for c in classes])
     per_doc = valued.groupBy("doc_id", "label", "fold").agg(

@@ -64,11 +64,10 @@ def idf_smooth(df_column: Column, n_docs: Column | int) -> Column:
 def tfidf(
     entries: DataFrame,
     idf: DataFrame,
-    hot: DataFrame | None = None,
-    bounded_rows: int | None = None,
+    hot: DataFrame,
 ) -> DataFrame:
     """``tf * idf`` of the entries whose term is in ``idf(term, idf)``."""
-    joined = join_per_term(entries, idf, hot, bounded_rows, how="inner")
+    joined = join_per_term(entries, idf, hot, how="inner")
     return joined.withColumn("tfidf", F.col("tf") * F.col("idf"))
 
 

@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from ..functions.terms import NO_BUCKET, NO_TERM
 from ..storage import materialise
-from .features import idf_plain, idf_smooth, real_terms, tfidf
-from .skew import hottest, join_per_term
+from .features import idf_plain, idf_smooth, real_terms, tfidf, unit_length
+from .skew import count_hot_keys, hot_keys, join_per_term
 
 CLASSES = (0, 1, 2)
 TIE_DIGITS = 9
@@ -52,8 +52,7 @@ class Counts:
     table: DataFrame
     classes: tuple[int, ...]
     n_docs: dict[int, int]
-    bounded_rows: int | None = None
-    hot: DataFrame | None = field(default=None, repr=False)
+    hot: DataFrame = field(repr=False)
     terms: DataFrame = field(init=False, repr=False)
 
     def __post_init__(self) -> None:
@@ -77,15 +76,16 @@ def count_training(
     entries: DataFrame,
     classes: Sequence[int] = CLASSES,
     train: Column | None = None,
-    bounded_rows: int | None = None,
 ) -> Counts:
     """Count once, store the counts, and keep the classes that have training documents."""
     train = F.col("split") == "train" if train is None else train
     table = materialise(count_by_class(entries, classes, train), "counts")
-    sizes = table.filter(F.col("term") == _extra_term(table)).first()
-    n_docs = {c: sizes[f"df_{c}"] for c in classes if sizes and sizes[f"df_{c}"]}
-    hot = None if bounded_rows else hottest(table)
-    return Counts(table, tuple(n_docs), n_docs, bounded_rows, hot)
+    # One scan for the number of entries and the class sizes, which the extra entry's row holds.
+    extra = F.col("term") == _extra_term(table)
+    in_class = [F.max(F.when(extra, F.col(f"df_{c}"))).alias(f"n_{c}") for c in classes]
+    sizes = table.agg(F.sum("df").alias("entries"), *in_class).first()
+    n_docs = {c: sizes[f"n_{c}"] for c in classes if sizes[f"n_{c}"]}
+    return Counts(table, tuple(n_docs), n_docs, hot_keys(table, sizes["entries"] or 0))
 
 
 @dataclass
@@ -100,7 +100,7 @@ class Model:
     value: str = "count"
     unseen_idf: float | None = None
     unit_length: bool = False
-    bounded_rows: int | None = None
+    #: The hot terms of the texts to score; counted from their entries if not given.
     hot: DataFrame | None = field(default=None, repr=False)
 
     @property
@@ -132,7 +132,6 @@ def _multinomial(
         unit,
         counts.terms,
         columns,
-        bounded_rows=counts.bounded_rows,
         hot=counts.hot,
         **options,
     )
@@ -173,25 +172,17 @@ def with_unit_masses(
 ) -> Counts:
     """The counts with ``u_c``, the summed tf-idf of unit-length documents, stored once more.
 
-    ``entries(docs, *keep)`` unfolds documents to term rows. The mass of a term in a class is
-    ``idf * sum(tf / length)``, so a document needs one number from the join with the IDF
-    table, its length; only ``(doc_id, square)`` sums travel back, not the weighted rows.
+    ``entries(docs, *keep)`` unfolds documents to term rows, once. After the join with the IDF
+    table the weighted rows go to their document, where the sum of squares gives its length, and
+    the shares go back to their term: three shuffles of narrow rows, and no vector travels.
     """
     idf = smooth_idf_table(counts)
-    weighted = tfidf(real_terms(entries(train_docs)), idf, counts.hot, counts.bounded_rows)
-    lengths = weighted.groupBy("doc_id").agg(
-        F.sqrt(F.sum(F.col("tfidf") * F.col("tfidf"))).alias("length")
-    )
-    # A left join: the documents stay the streamed side and keep their partitions.
-    measured_docs = train_docs.join(lengths, "doc_id", "left")
-    measured = real_terms(entries(measured_docs, "label", "length"))
-    shares = {c: F.when(F.col("label") == c, F.col("tf") / F.col("length")) for c in counts.classes}
-    sums = measured.groupBy("term").agg(*[F.sum(e).alias(f"s_{c}") for c, e in shares.items()])
+    weighted = tfidf(real_terms(entries(train_docs, "label")), idf, counts.hot)
+    shares = unit_length(weighted.select("doc_id", "label", "term", "tfidf"))
+    in_class = {c: F.when(F.col("label") == c, F.col("tfidf")) for c in counts.classes}
+    sums = shares.groupBy("term").agg(*[F.sum(e).alias(f"s_{c}") for c, e in in_class.items()])
     # Terms without training documents keep a row: they count as known and weigh nothing.
-    masses = [
-        F.coalesce(smooth_idf(counts) * F.col(f"s_{c}"), F.lit(0.0)).alias(f"u_{c}")
-        for c in counts.classes
-    ]
+    masses = [F.coalesce(F.col(f"s_{c}"), F.lit(0.0)).alias(f"u_{c}") for c in counts.classes]
     joined = counts.table.join(sums, "term", "left")
     return replace(counts, table=materialise(joined.select(counts.table["*"], *masses), "masses"))
 
@@ -219,7 +210,6 @@ def fit_bernoulli(counts: Counts, alpha: float = 1.0) -> Model:
         counts.terms,
         {f"w_{c}": F.log(p) - F.log(1.0 - p) for c, p in probability.items()},
         value="presence",
-        bounded_rows=counts.bounded_rows,
         hot=counts.hot,
     )
 
@@ -239,8 +229,8 @@ def score_all(
     All models are scored in one join of the entries with their weights side by side; models
     fitted from the same counts read one table. With ``known_only`` a term that has no weight
     row is ignored; otherwise it counts as a term that no class has seen. Set ``hot`` to None
-    in a model that meets other texts than it was trained on, so that the hot terms of those
-    texts are looked up.
+    in a model that meets other texts than it was trained on: their entries are then counted
+    first, so hand over entries of a stored table.
     """
     weights, tables = None, {id(m.terms): m.terms for m in models.values()}
     for key, table in tables.items():
@@ -253,7 +243,8 @@ def score_all(
         part = table.select("term", *columns)
         weights = part if weights is None else weights.join(part, "term", "full")
     any_model = next(iter(models.values()))
-    joined = join_per_term(entries, weights, any_model.hot, any_model.bounded_rows)
+    hot = count_hot_keys(entries) if any_model.hot is None else any_model.hot
+    joined = join_per_term(entries, weights, hot)
     real = F.col("term") != _extra_term(entries)
 
     values, sums, scores = [], [], []

@@ -46,14 +46,14 @@ def _group_key(df: DataFrame, column: str) -> Column:
 def dedup_rows(df: DataFrame, columns: Sequence[str], key: str = "doc_id") -> DataFrame:
     """One row per distinct ``columns``; the one with the smallest ``key`` survives.
 
-    Only digests and keys are grouped, and copies are merged inside each task before the
-    shuffle: a text that fills a third of the table reaches its reducer as one row per task.
-    The texts meet the surviving keys in a join on ``key``, by which they are already
-    partitioned when ``df`` is itself a join on it.
+    One aggregation carries the rows, so the input is read once. Rows are grouped by digests, and
+    copies are merged inside each task before the shuffle: a text that fills a third of the table
+    reaches its reducer as one row per task.
     """
     groups = [_group_key(df, c).alias(f"_group_{i}") for i, c in enumerate(columns)]
-    survivors = df.groupBy(*groups).agg(F.min(key).alias(key)).select(key)
-    return df.join(survivors, key, "left_semi")
+    rest = [c for c in df.columns if c != key]
+    first = df.groupBy(*groups).agg(F.min(F.struct(key, *rest)).alias("_first"))
+    return first.select(*[F.col(f"_first.`{c}`").alias(c) for c in df.columns])
 
 
 def replicate(df: DataFrame, times: int, copy: str = "copy") -> DataFrame:

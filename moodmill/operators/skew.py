@@ -7,68 +7,53 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A per-term table is broadcast outright only when its row count is bounded by
-# construction (hash buckets) and the bound is at most this.
-BROADCAST_ROWS = 100_000
 
-# Most terms that are given a spread key of their own.
-HOT_TERMS = 500
-SKETCH_ITEMS = 8_192
-SKETCH_GROUPS = 256
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _local(terms: DataFrame) -> DataFrame:
-    # At most HOT_TERMS rows: held in the plan, so that using the list twice costs nothing.
-    return terms.sparkSession.createDataFrame(terms.collect(), terms.schema)
+def hot_keys(stats: DataFrame, total: int, on: Sequence[str] = ("term",), order: str = "df") -> DataFrame:
+    """``on`` columns and ``salts`` of the keys that outweigh an average shuffle partition.
 
-
-def hot_terms(entries: DataFrame) -> DataFrame:
-    """The most frequent terms, at most ``HOT_TERMS`` rows, from one mergeable sketch per task.
-
-    The sketches are merged in ``SKETCH_GROUPS`` groups, whose short lists are then added up,
-    so no task meets the sketches of all tasks. The list only decides how rows travel, never
-    which rows match, so an estimate is enough.
+    ``stats`` has one row per key with its entries in ``order``, and ``total`` entries in all. A key
+    with more than ``total / partitions`` of them gets as many salts as it fills partitions. Fewer
+    keys than partitions can be that frequent, and all salts together are at most twice the
+    partitions, so the list is short whatever the data. It only decides how rows travel.
     """
-    group = (F.spark_partition_id() % SKETCH_GROUPS).alias("sketch_group")
-    sketch = F.expr(f"approx_top_k(term, {HOT_TERMS}, {SKETCH_ITEMS})").alias("top")
-    found = entries.groupBy(group).agg(sketch).select(F.inline_outer("top").alias("term", "n"))
-    return hottest(found.groupBy("term").agg(F.sum("n").alias("df")))
+    partitions = shuffle_partitions(stats)
+    limit = max(total, 1) / partitions
+    share = F.col(order) / F.lit(limit)
+    found = stats.filter(share > 1.0).select(*on, F.ceil(share).cast("int").alias("salts"))
+    # Held in the plan, so that using the list twice costs nothing.
+    return stats.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
-def hottest(stats: DataFrame, order: str = "df") -> DataFrame:
-    """The same list from a table that already counts each term."""
-    return _local(stats.orderBy(F.desc(order), "term").limit(HOT_TERMS).select("term"))
+def count_hot_keys(entries: DataFrame, on: Sequence[str] = ("term",)) -> DataFrame:
+    """The same list for entries that nothing has counted yet."""
+    stats = entries.groupBy(*on).agg(F.count("*").alias("df"))
+    return hot_keys(stats, entries.count(), on)
 
 
 def join_per_term(
     entries: DataFrame,
     table: DataFrame,
-    hot: DataFrame | None = None,
-    bounded_rows: int | None = None,
+    hot: DataFrame,
     how: str = "left",
     spread_by: str = "doc_id",
     on: Sequence[str] = ("term",),
 ) -> DataFrame:
     """``entries`` joined with ``table``, which is unique on ``on`` (``term`` first).
 
-    A table with a small proven bound is broadcast. Otherwise both sides are
-    shuffled by term: a hot term gets one key per shuffle partition, its entries
-    are dealt over these keys by document, and its single table row is repeated
-    for each. Spark still turns the join into a broadcast one when the measured
-    size of the table is below its threshold.
+    A hot key gets ``salts`` keys: its entries are dealt over these by document, and its single
+    table row is repeated for each. Whether the table is broadcast or both sides are shuffled is
+    left to Spark, which knows the measured size of a stored table.
     """
-    if bounded_rows is not None and bounded_rows <= BROADCAST_ROWS:
-        return entries.join(F.broadcast(table), list(on), how)
-    if hot is None:
-        hot = hot_terms(entries)
-    salts = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    marked = F.broadcast(hot.select("term", F.lit(True).alias("_hot")))
-    own = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
-    left = entries.join(marked, "term", "left")
-    left = left.withColumn("_salt", F.when(F.col("_hot"), own).otherwise(0)).drop("_hot")
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    right = table.join(marked, "term", "left")
-    right = right.withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))
-    ).drop("_hot")
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    keys = list(on)
+    # Fewer rows than shuffle partitions.
+    marked = F.broadcast(hot)
+    own = F.pmod(F.xxhash64(spread_by), F.col("salts")).cast("int")
+    left = entries.join(marked, keys, "left")
+    left = left.withColumn("_salt", F.coalesce(own, F.lit(0))).drop("salts")
+    every = F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - 1)
+    right = table.join(marked, keys, "left").withColumn("_salt", F.explode(every)).drop("salts")
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")

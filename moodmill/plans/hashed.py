@@ -11,7 +11,6 @@ from ..operators.features import NUM_FEATURES, bucket_vector, unfold
 from ..sources import SENTIMENT_CLASSES, labelled_documents
 from ..storage import materialise
 
-BUCKET_ROWS = NUM_FEATURES + 1
 CV_FOLDS = 2
 
 
@@ -53,7 +52,7 @@ def entries(docs: DataFrame, *keep: str) -> DataFrame:
 
 
 def counts(docs: DataFrame) -> naive_bayes.Counts:
-    return naive_bayes.count_training(entries(docs, "label", "split"), bounded_rows=BUCKET_ROWS)
+    return naive_bayes.count_training(entries(docs, "label", "split"))
 
 
 def fitted(docs: DataFrame) -> naive_bayes.Model:
@@ -77,5 +76,4 @@ def cross_validated(docs: DataFrame, k: int = CV_FOLDS) -> DataFrame:
         k,
         tfidf=True,
         vocabulary_size=NUM_FEATURES,
-        bounded_rows=BUCKET_ROWS,
     )

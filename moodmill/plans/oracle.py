@@ -6,10 +6,6 @@ the rearrangement that the Spark side uses.
 
 from __future__ import annotations
 
-from ..functions.normalize import EMOTICONS
-from ..functions.normalize import SPACE as SP
-from ..functions.normalize import WORD
-from ..functions.tokens import DIGIT
 from ..functions.wordlists import (
     COMMON_CONTRACTIONS,
     MOJIBAKE_QUOTE,
@@ -20,6 +16,21 @@ from .queries import BREAK_MARKS, COMMA_MARKS, STOP_MARKS
 
 NUM_FEATURES = 25_000
 
+# Fixed values, written out once more so that a wrong pattern on the Spark side shows: white space,
+# word characters, a leading digit, and the emoticon rules in their order.
+SP = r"\x09-\x0D\x1C-\x20\x{85}\p{Z}"
+WORD = r"\p{L}\p{N}_"
+DIGIT = r"\p{Nd}"
+GOOD, BAD = " positiveemoji ", " negetiveemoji "
+EMOTICONS = (
+    (rf":[{SP}]?\)|:-\)|\([{SP}]?:|\(-:|:'\)|:O", GOOD),
+    (rf":[{SP}]?D|:-D|[xX]-?D", GOOD),
+    (r"<3|:\*", GOOD),
+    (r";-?\)|;-?D|\(-?;|@-\)", GOOD),
+    (rf":[{SP}]?\(|:-\(|\)[{SP}]?:|\)-:|:-/|:-\|", BAD),
+    (r""":,\(|:'\(|:"\(""", BAD),
+)
+
 
 def q(text: str) -> str:
     """A SQL string literal; line breaks are spelled by chr(10)."""
@@ -420,7 +431,12 @@ def tweets(expr: str) -> str:
 
 
 ORACLE: dict[str, str] = {
-    "load_csv": with_(LABELLED, then="SELECT doc_id, sentiment, text FROM labelled"),
+    "load_csv": with_(
+        LABELLED,
+        then="SELECT code AS sentiment, text, CASE code WHEN '0' THEN 0 WHEN '4' THEN 2 ELSE 1 END AS label FROM "
+        "(SELECT *, CASE sentiment WHEN 'negative' THEN '0' WHEN 'positive' THEN '4' ELSE '2' END AS code "
+        "FROM labelled WHERE doc_id % 11 <> 0 AND doc_id % 13 <> 0 AND text IS NOT NULL AND text <> '')",
+    ),
     "load_csv_latin1": with_(
         LABELLED,
         then=r"SELECT doc_id, sentiment, regexp_replace(text, '[^\x{00}-\x{FF}]', '?', 'g') AS text "
@@ -428,8 +444,7 @@ ORACLE: dict[str, str] = {
     ),
     "load_csv_lines": with_(
         LABELLED,
-        then="SELECT sentiment, count(*) AS n_rows, count(DISTINCT doc_id) AS n_docs "
-        "FROM labelled GROUP BY sentiment",
+        then="SELECT doc_id, sentiment, string_split(text, chr(10))[1] AS text FROM labelled",
     ),
     "project_labelled": with_(LABELLED, then="SELECT sentiment, text FROM labelled"),
     "profile_columns": profile(),
@@ -570,6 +585,7 @@ ORACLE: dict[str, str] = {
     ),
     "nb_model_tfidf": with_(V_UNIT, then=theta_columns()),
     "nb_spark_predict": with_(H_PREDICTED, then=WIDE),
+    "nb_ml_stages": with_(H_PREDICTED, then="SELECT doc_id, label, split, prediction FROM predicted"),
     "nb_predict": with_(V_PREDICTED, then=WIDE),
     "nb_bernoulli_predict": with_(V_BERNOULLI, then=WIDE),
     "nb_tfidf_predict": with_(V_TFIDF, then=WIDE),

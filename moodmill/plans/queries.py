@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import IDF, HashingTF
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.feature import IDF, CountVectorizerModel
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import normalize, tokens
+from ..functions.hashing import hash_bucket
 from ..functions.terms import ngrams, word_terms
-from ..functions.wordlists import MOJIBAKE_QUOTE, STOP_WORDS
+from ..functions.wordlists import COMMON_CONTRACTIONS, MOJIBAKE_QUOTE, STOP_WORDS
 from ..operators import crossval, evaluate, features, naive_bayes, prepare, splits
 from ..sources import (
     SENTIMENT_CLASSES,
@@ -20,9 +21,10 @@ from ..sources import (
     labelled_conversations,
     labelled_documents,
     read_csv,
+    read_dictionary,
     read_table,
-    spread_small,
     write_csv,
+    write_dictionary,
 )
 from ..storage import materialise, new_path
 from . import hashed, vocabulary
@@ -39,7 +41,7 @@ EXACT_SEED = 69
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spread_small(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    rows = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return prepare.drop_nulls(rows, "text")
 
 
@@ -69,10 +71,21 @@ def _csv_copy(spark: SparkSession, sf_dir: str, encoding: str) -> str:
 
 
 def load_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _csv_copy(spark, sf_dir, "UTF-8")
-    rows = read_csv(spark, path, ["a", "b", "c"], multi_line=True)
-    bound = bind_positions(rows, {0: "doc_id", 1: "sentiment", 2: "text"})
-    return bound.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    """Six columns under other names, bound at 0 and 5; numeric labels; whitelist; null rows out."""
+    grade = F.when(F.col("sentiment") == "negative", "0").when(F.col("sentiment") == "positive", "4").otherwise("2")
+    wide = labelled_documents(spark, sf_dir).select(
+        F.when(F.col("doc_id") % 11 == 0, "9").otherwise(grade).alias("a"),
+        F.col("doc_id").alias("b"),
+        F.lit("date").alias("c"),
+        F.lit("flag").alias("d"),
+        F.lit("user").alias("e"),
+        F.when(F.col("doc_id") % 13 != 0, F.col("text")).alias("f"),
+    )
+    path = write_csv(wide, new_path(spark, "csv"), "UTF-8")
+    rows = read_csv(spark, path, ["c0", "c1", "c2", "c3", "c4", "c5"], multi_line=True)
+    bound = bind_positions(rows, {0: "sentiment", 5: "text"})
+    kept = prepare.drop_nulls(prepare.keep_labels(bound, "sentiment", ["0", "2", "4"]))
+    return prepare.encode_label(kept, "sentiment", prepare.NUMERIC_LABELS)
 
 
 def load_csv_latin1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,9 +99,7 @@ def load_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _csv_copy(spark, sf_dir, "UTF-8")
     rows = read_csv(spark, path, CSV_COLUMNS)
     kept = prepare.keep_labels(rows, "sentiment", SENTIMENT_CLASSES)
-    return kept.groupBy("sentiment").agg(
-        F.count("*").alias("n_rows"), F.count_distinct("doc_id").alias("n_docs")
-    )
+    return kept.select(F.col("doc_id").cast("bigint").alias("doc_id"), "sentiment", "text")
 
 
 # -- preparation -----------------------------------------------------------------------
@@ -114,7 +125,7 @@ def filter_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drop_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
-    rows = spread_small(documents, "doc_id").join(labels, "doc_id", "left")
+    rows = documents.join(labels, "doc_id", "left")
     return prepare.drop_nulls(rows, "text", "quality").select("doc_id", "quality")
 
 
@@ -201,9 +212,9 @@ def _tweet_like(change: Callable[[Column], Column]) -> Query:
 
 
 # What a comma, a full stop and a line break become in the derived texts.
-COMMA_MARKS = " :) they'll, @some.one &quot;we've&quot; :-( "
-STOP_MARKS = " http://t.co/x4 you're ;) &amp; don't (: www.a.org :* #1 2nd. "
-BREAK_MARKS = "\n :'( we're a-b :-/ We've ok "
+COMMA_MARKS = " :) they'll, @some.one &quot;we've&quot; :-( : ) ( : :') :O :D <3 "
+STOP_MARKS = " http://t.co/x4 you're ;) &amp; don't (: www.a.org :* #1 2nd. :-) (-: ;-) (; (-; ;D @-) xD "
+BREAK_MARKS = "\n :'( we're a-b :-/ We've ok : ( ): )-: ) : :-| :,( :\"( :-D x-D "
 
 
 def tweet_text(text: Column) -> Column:
@@ -212,6 +223,16 @@ def tweet_text(text: Column) -> Column:
     return F.replace(text, F.lit("\n"), F.lit(BREAK_MARKS))
 
 
+def norm_contractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the dictionary read back from a JSON file."""
+    path = write_dictionary(spark, new_path(spark, "dictionary"), COMMON_CONTRACTIONS)
+    texts = _documents(spark, sf_dir).select(
+        "doc_id", tweet_text(F.col("text")).alias("text"), read_dictionary(spark, path).alias("dictionary")
+    )
+    expanded = normalize.expand_contractions(F.lower("text"), F.col("dictionary"))
+    return texts.select("doc_id", expanded.alias("result"))
+
+
 def _words(text: Column) -> Column:
     return tokens.drop_empty(F.split(text, f"[{tokens.SPACE}]"))
 
@@ -270,7 +291,7 @@ def _bucket_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = hashed.counts(docs)
     train = hashed.entries(docs.filter(F.col("split") == "train"), "label")
     idf = _bucket_idf(counts).select("term", "idf")
-    return features.tfidf(features.real_terms(train), idf, bounded_rows=counts.bounded_rows)
+    return features.tfidf(features.real_terms(train), idf, counts.hot)
 
 
 def idf_spark(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,19 +324,20 @@ def labelled_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nb_priors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = hashed.counts(hashed.vectors(spark, sf_dir))
-    plain, smooth = counts.log_prior(), counts.log_prior(1.0)
-    lines = [
-        F.struct(
-            F.lit(c).alias("label"),
-            F.col(f"df_{c}").alias("n_docs"),
-            F.lit(plain[c]).alias("log_prior"),
-            F.lit(smooth[c]).alias("log_prior_smoothed"),
+    """Class sizes after the deduplication; no text is cleaned for them."""
+    train = hashed.prepared(spark, sf_dir).filter(F.col("split") == "train")
+    sizes = train.groupBy("label").agg(F.count("*").alias("n_docs"))
+    # One row per class.
+    everything = Window.partitionBy()
+    total, classes = F.sum("n_docs").over(everything), F.count("*").over(everything)
+    return _rounded(
+        sizes.select(
+            "label",
+            "n_docs",
+            F.log(F.col("n_docs") / total).alias("log_prior"),
+            F.log((F.col("n_docs") + 1.0) / (total + classes)).alias("log_prior_smoothed"),
         )
-        for c in counts.classes
-    ]
-    sizes = counts.table.filter(F.col("term") == features.NO_BUCKET)
-    return _rounded(sizes.select(F.inline(F.array(*lines))))
+    )
 
 
 def _word_counts(spark: SparkSession, sf_dir: str) -> naive_bayes.Counts:
@@ -375,11 +397,14 @@ def nb_tfidf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nb_ml_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same job with ``pyspark.ml`` stages."""
-    rows = materialise(_clean_words(spark, sf_dir), "clean-words")
+    """The same job with ``pyspark.ml`` stages, on the same bucket numbers."""
+    bucket = F.transform("words", lambda w: hash_bucket(w, features.NUM_FEATURES).cast("string"))
+    words = _clean_words(spark, sf_dir)
+    rows = materialise(words.select("doc_id", "label", "split", bucket.alias("buckets")), "clean-buckets")
+    numbers = [str(i) for i in range(features.NUM_FEATURES)]
     model = Pipeline(
         stages=[
-            HashingTF(inputCol="words", outputCol="counts", numFeatures=features.NUM_FEATURES),
+            CountVectorizerModel.from_vocabulary(numbers, inputCol="buckets", outputCol="counts"),
             IDF(inputCol="counts", outputCol="features"),
             NaiveBayes(smoothing=1.0, modelType="multinomial"),
         ]
@@ -511,7 +536,7 @@ QUERIES: dict[str, Query] = {
     "norm_basic": _tweet_like(normalize.normalize_basic),
     "norm_emoticons": _tweet_like(lambda t: normalize.replace_emoticons(F.lower(t))),
     "norm_single_letters": _tweet_like(lambda t: normalize.drop_single_letters(F.lower(t))),
-    "norm_contractions": _tweet_like(lambda t: normalize.expand_contractions(F.lower(t))),
+    "norm_contractions": norm_contractions,
     "norm_punct": _tweet_like(lambda t: normalize.blank_punctuation(F.lower(t))),
     "squeeze_to_two": _per_document(normalize.squeeze_to_two),
     "normalize_text": _per_document(normalize.normalize_text),

@@ -11,7 +11,7 @@ from ..functions.normalize import normalize_text
 from ..functions.terms import ngrams, word_terms
 from ..operators import crossval, naive_bayes, prepare, splits
 from ..operators.features import term_vector, unfold
-from ..sources import labelled_documents, read_table, spread_small
+from ..sources import labelled_documents, read_table
 from ..storage import materialise, new_path
 from ..streaming.score import score_stream
 
@@ -75,10 +75,13 @@ def predictions(models: naive_bayes.Model | dict[str, naive_bayes.Model], docs:
 
 
 def score_texts(model: naive_bayes.Model, docs: DataFrame) -> DataFrame:
-    """Score new ``doc_id, text`` rows: no string cleaning, and unknown terms are dropped."""
+    """Score new ``doc_id, text`` rows: no string cleaning, and unknown terms are dropped.
+
+    The texts are read and counted once; what travels afterwards comes from the stored vectors.
+    """
     model = replace(model, hot=None)
     vector = term_vector(ngrams(word_terms(F.col("text")))).alias("vector")
-    vectors = prepare.drop_nulls(docs, "text").select("doc_id", vector)
+    vectors = materialise(prepare.drop_nulls(docs, "text").select("doc_id", vector), "new-vectors")
     return naive_bayes.predict(model, entries(vectors), ["doc_id"], known_only=True)
 
 
@@ -87,7 +90,7 @@ def score_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = labelled_vectors(spark, sf_dir)
     model = fit_tfidf(docs, "tfidf")
     texts = read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
-    return score_texts(model, spread_small(texts, "doc_id"))
+    return score_texts(model, texts)
 
 
 def score_new_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "16g") -> SparkSession:
+def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("moodmill")

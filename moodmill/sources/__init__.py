@@ -1,12 +1,11 @@
 from .csv import bind_positions, read_csv, write_csv
-from .dictionary import read_dictionary
+from .dictionary import read_dictionary, write_dictionary
 from .sinks import write_table
 from .tables import (
     SENTIMENT_CLASSES,
     labelled_conversations,
     labelled_documents,
     read_table,
-    spread_small,
 )
 
 __all__ = [
@@ -17,7 +16,7 @@ __all__ = [
     "read_csv",
     "read_dictionary",
     "read_table",
-    "spread_small",
     "write_csv",
+    "write_dictionary",
     "write_table",
 ]

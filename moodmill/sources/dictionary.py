@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import json
+from collections.abc import Mapping
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-MAX_ENTRIES = 10_000
+FIELD = "contractions"
 
 
-def read_dictionary(spark: SparkSession, path: str, field: str = "contractions") -> dict[str, str]:
-    """Load a replacement dictionary; refuses more than ``MAX_ENTRIES`` entries.
+def read_dictionary(spark: SparkSession, path: str, field: str = FIELD) -> Column:
+    """A replacement dictionary as a map column, for use in an expression.
 
-    The entries become literals of a column expression, so their number is checked.
+    It is a scalar subquery over the file, which Spark runs once per query and hands to the tasks;
+    an object that is split over several files is merged.
     """
     table = spark.read.schema(f"`{field}` map<string,string>").option("multiLine", True).json(path)
-    entries = table.select(F.explode(field).alias("short", "long"))
-    rows = entries.limit(MAX_ENTRIES + 1).collect()
-    if len(rows) > MAX_ENTRIES:
-        raise ValueError(f"{path}: more than {MAX_ENTRIES} entries")
-    return {row.short: row.long for row in rows}
+    entries = table.select(F.explode(field).alias("short", "long")).groupBy("short").agg(F.max("long").alias("long"))
+    return entries.agg(F.map_from_entries(F.collect_list(F.struct("short", "long")))).scalar()
+
+
+def write_dictionary(spark: SparkSession, path: str, entries: Mapping[str, str], field: str = FIELD) -> str:
+    """Store a dictionary in that form, through Spark's own writer."""
+    line = json.dumps({field: dict(entries)}, ensure_ascii=False)
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.text(path)
+    return path

@@ -8,18 +8,15 @@ from pyspark.sql import functions as F
 SENTIMENT_CLASSES = ("negative", "neutral", "positive")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+#: Session setting: the number of partitions that wide tables are dealt to after the scan. For inputs
+#: stored as a few large splits, which cannot keep a session's cores busy; unset, nothing is moved.
+SPREAD = "spark.moodmill.spreadInputs"
 
-def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread rows when the input has fewer splits than the job has cores.
 
-    Only an input of a few splits is moved; a table with enough splits to keep
-    every core busy is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    partitions = spark.conf.get(SPREAD, None)
+    return table.repartition(int(partitions)) if partitions else table
 
 
 def sentiment_of(quality: Column, toxic: Column) -> Column:
@@ -32,11 +29,10 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read_table(spark, sf_dir, "labels").select(
         "doc_id", sentiment_of(F.col("quality"), F.col("toxic")).alias("sentiment")
     )
-    return spread_small(documents, "doc_id").join(labels, "doc_id")
+    return documents.join(labels, "doc_id")
 
 
 def labelled_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, text, role`` with one row per turn; the key joins both id columns."""
     turns = read_table(spark, sf_dir, "conversations")
-    keyed = turns.select(F.concat_ws("-", "conv_id", "turn").alias("doc_id"), "text", "role")
-    return spread_small(keyed, "doc_id")
+    return turns.select(F.concat_ws("-", "conv_id", "turn").alias("doc_id"), "text", "role")

@@ -79,7 +79,7 @@ def test_hashed_form_equals_ml(docs):
     long = long.select("doc_id", F.col("bucket").alias("term"), F.col("tf").cast("int").alias("tf"))
     extra = docs.select("doc_id", F.lit(features.NO_BUCKET).alias("term"), F.lit(1).alias("tf"))
     entries = long.unionByName(extra).join(docs.drop("words"), "doc_id")
-    counts = naive_bayes.count_training(entries, bounded_rows=BUCKETS + 1)
+    counts = naive_bayes.count_training(entries)
     mine = naive_bayes.fit_plain_tfidf(counts, BUCKETS)
     got = {r.doc_id: r.prediction for r in naive_bayes.predict(mine, entries).collect()}
     assert got == want
@@ -150,33 +150,40 @@ def test_ties_go_to_the_lowest_class(spark):
 def test_unknown_terms_of_new_texts(docs, spark):
     model = naive_bayes.fit_counts(counted(docs))
     new = spark.createDataFrame([(1, ["a0", "zzz", "zzz"]), (2, ["a0"]), (3, ["zzz"])], "doc_id long, words array<string>")
-    model.hot = None
+    model.hot = None  # the new entries are counted
     rows = {r.doc_id: r for r in naive_bayes.predict(model, word_entries(new), ["doc_id"], known_only=True).collect()}
     assert rows[1].score_0 == pytest.approx(rows[2].score_0)
     assert rows[3].score_0 == pytest.approx(model.bias[0])
 
 
-@pytest.mark.parametrize("size_bound", [None, 1000])
-def test_join_per_term_with_a_hot_term(spark, size_bound):
+def test_join_per_term_with_a_hot_term(spark):
     entries = spark.range(6000).select(
         F.col("id").alias("doc_id"),
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id") % 500)).alias("term"),
     )
     table = entries.select("term").distinct().filter("term <> 't1'").withColumn("w", F.length("term"))
-    joined = skew.join_per_term(entries, table, bounded_rows=size_bound)
+    joined = skew.join_per_term(entries, table, skew.count_hot_keys(entries))
     assert joined.count() == 6000
     assert joined.filter("w is null").select("term").distinct().collect()[0].term == "t1"
     assert joined.filter("term = 'hot' and w = 3").count() == 2000
 
 
-def test_hot_terms_share_work_between_tasks(spark, docs):
+@pytest.fixture
+def many_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    yield 64
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_hot_terms_share_work_between_tasks(spark, docs, many_partitions):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         entries = word_entries(docs, "label", "split")
         table = entries.select("term").distinct().withColumn("w", F.lit(1))
-        joined = skew.join_per_term(entries, table).filter("term = 'hot'")
+        joined = skew.join_per_term(entries, table, skew.count_hot_keys(entries)).filter("term = 'hot'")
         assert joined.select(F.spark_partition_id()).distinct().count() > 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -249,20 +256,84 @@ def test_new_sentences_get_a_class(spark):
     assert got == dict(zip(new, [2, 0, 0, 2, 0], strict=True))
 
 
-def test_dedup_moves_texts_once(spark, small, monkeypatch):
-    monkeypatch.setattr("moodmill.sources.tables.spread_small", lambda df, *keys: df)
-    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
-    before = {name: spark.conf.get(name) for name in settings}
-    for name, value in settings.items():
-        spark.conf.set(name, value)
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])  # small labels, large labels
+def test_dedup_reads_texts_once(spark, small, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
         plan = hashed.prepared(spark, small)._jdf.queryExecution().executedPlan().toString()
     finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
-    # One scan of the texts, one exchange of them, and one reuse of that exchange.
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert plan.count("documents.parquet") == 1
-    assert "ReusedExchange [doc_id" in plan and ", text" in plan.split("ReusedExchange")[1][:60]
+    # The labelled texts travel once, by their digest; small labels leave the others in place.
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    by_key = sum("hashpartitioning(doc_id" in line for line in exchanges)
+    assert (len(exchanges) - by_key, by_key) == (1, 0 if threshold == "10MB" else 2)
+
+
+def test_no_key_outweighs_an_average_partition(spark):
+    """An entry that every document carries, and 700 terms beside it, each near a whole partition."""
+    partitions = 3000
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        rare = F.concat(F.lit("r"), F.col("id").cast("string"))
+        frequent = F.concat(F.lit("t"), (F.col("id") % 700).cast("string"))
+        entries = spark.range(70_000).select(
+            F.col("id").alias("doc_id"), F.explode(F.array(F.lit(""), frequent, rare)).alias("term")
+        )
+        hot = skew.count_hot_keys(entries)
+        salts = {r.term: r.salts for r in hot.collect()}
+        average = 3 * 70_000 / partitions
+        assert salts[""] == math.ceil(70_000 / average) and 700 < len(salts) <= partitions
+        assert sum(salts.values()) <= 2 * partitions
+        table = entries.select("term").distinct().withColumn("w", F.lit(1))
+        joined = skew.join_per_term(entries, table, hot)
+        assert joined.count() == 210_000
+        salted = entries.join(hot, "term", "left").withColumn(
+            "salt", F.pmod(F.xxhash64("doc_id"), F.coalesce("salts", F.lit(1)))
+        )
+        largest = salted.groupBy("term", "salt").count().agg(F.max("count")).first()[0]
+        assert largest <= 1.5 * average  # hashing deals unevenly
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_cross_validation_splits_the_common_entry(spark, docs, many_partitions):
+    folded = splits.folds(docs, 2)
+    entries = features.unfold(folded, features.term_vector(F.col("words")), ["doc_id", "label", "fold"])
+    table = crossval.count_by_fold(entries)
+    own = table.select("term", "fold", (F.col("all_df") - F.col("df")).alias("own"))
+    hot = skew.hot_keys(own, entries.count(), ("term", "fold"), "own")
+    salts = {(r.term, r.fold): r.salts for r in hot.collect()}
+    assert salts["", 0] > 1 and salts["", 1] > 1
+    counted_ = {(r.term, r.fold): r.own for r in own.collect()}
+    assert counted_["", 0] + counted_["", 1] == 300
+
+
+def test_masses_do_not_move_vectors(spark, small):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs_ = vocabulary.labelled_vectors(spark, small)
+        counts = vocabulary.counts(docs_)
+        idf = naive_bayes.smooth_idf_table(counts)
+        entries = features.real_terms(vocabulary.entries(docs_, "label"))
+        shares = features.unit_length(features.tfidf(entries, idf, counts.hot).drop("tf", "idf"))
+        plan = shares.groupBy("term").agg(F.sum("tfidf"))._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("term-vectors") == 1
+        for block in plan.split("Exchange hashpartitioning")[1:]:
+            assert "vector" not in block.split("+-")[1].split("Generate")[0].split("[")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+
+
+def test_new_texts_are_read_once(spark, small):
+    docs_ = vocabulary.labelled_vectors(spark, small)
+    model = vocabulary.fit_tfidf(docs_, "tfidf")
+    texts = spark.read.parquet(f"{small}/benchmark.parquet").select(F.col("item_id").alias("doc_id"), "text")
+    plan = vocabulary.score_texts(model, texts)._jdf.queryExecution().executedPlan().toString()
+    assert "benchmark.parquet" not in plan  # what is left reads the stored vectors
+    assert plan.count("new-vectors") == 1
 
 
 def test_pairs_are_counted_in_the_row(spark):

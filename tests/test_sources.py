@@ -4,14 +4,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from moodmill import storage
+from moodmill.functions import normalize
 from moodmill.operators import prepare
 from moodmill.sources import (
     SENTIMENT_CLASSES,
     bind_positions,
     read_csv,
     read_dictionary,
-    spread_small,
+    read_table,
     write_csv,
+    write_dictionary,
     write_table,
 )
 from moodmill.streaming.score import score_stream
@@ -45,13 +47,24 @@ def test_binding_by_position_without_a_header(spark, tmp_path):
     assert sorted(map(tuple, coded.collect())) == [("0", "x", 0), ("4", "café", 2)]
 
 
-def test_dictionary(spark, tmp_path, monkeypatch):
-    (tmp_path / "d.json").write_text(json.dumps({"contractions": {"you're": "you are", "we've": "we have"}}, indent=1))
+def expanded(spark, dictionary, text):
+    rows = spark.createDataFrame([(text,)], "text string").withColumn("d", dictionary)
+    return rows.select(normalize.expand_contractions(F.col("text"), F.col("d"))).first()[0]
+
+
+def test_dictionary(spark, tmp_path):
+    entries = {"you're": "you are", "we've": "we have"}
+    (tmp_path / "d.json").write_text(json.dumps({"contractions": entries}, indent=1))
     path = str(tmp_path / "d.json")
-    assert read_dictionary(spark, path) == {"you're": "you are", "we've": "we have"}
-    monkeypatch.setattr("moodmill.sources.dictionary.MAX_ENTRIES", 1)
-    with pytest.raises(ValueError):
-        read_dictionary(spark, path)
+    dictionary = read_dictionary(spark, path)
+    assert spark.range(1).select(dictionary).first()[0] == entries
+    assert expanded(spark, dictionary, "Ok we've won, you're late") == "Ok we have won, you are late"
+
+
+def test_dictionary_of_any_size(spark, tmp_path):
+    entries = {f"w{i}": f"long {i}" for i in range(12_000)}
+    path = write_dictionary(spark, str(tmp_path / "d"), entries)
+    assert expanded(spark, read_dictionary(spark, path), "w11999 w0 x") == "long 11999 long 0 x"
 
 
 def test_write_table(spark, tmp_path):
@@ -59,10 +72,16 @@ def test_write_table(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
 
 
-def test_spread_only_small_inputs(spark):
-    few, many = spark.range(10, numPartitions=1), spark.range(10, numPartitions=64)
-    assert spread_small(few, "id").rdd.getNumPartitions() > 1
-    assert spread_small(many, "id") is many
+def test_inputs_move_only_when_asked_to(spark, small):
+    def plan():
+        return read_table(spark, small, "documents")._jdf.queryExecution().executedPlan().toString()
+
+    assert "Exchange" not in plan()
+    spark.conf.set("spark.moodmill.spreadInputs", "5")
+    try:
+        assert "RoundRobinPartitioning(5)" in plan()
+    finally:
+        spark.conf.unset("spark.moodmill.spreadInputs")
 
 
 class FakeSession:
