@@ -199,6 +199,47 @@ H_ENT = ",\n".join(
     ]
 )
 
+
+
+def low32(expr: str) -> str:
+    return f"(({expr}) & 4294967295)"
+
+
+def turned(name: str, bits: int) -> str:
+    """A 32-bit number turned to the left."""
+    return low32(f"({name} << {bits}) | ({name} >> {32 - bits})")
+
+
+def mixed(blocks: str) -> str:
+    """The multiply, turn, multiply step on every 32-bit block of a list."""
+    first = f"list_transform({blocks}, lambda k: {low32('k * 3432918353')})"
+    second = f"list_transform({first}, lambda k: {turned('k', 15)})"
+    return f"list_transform({second}, lambda k: {low32('k * 461845907')})"
+
+
+def little_endian(start: str, n_bytes: str) -> str:
+    """The number in some bytes of the hex string ``x``."""
+    digits = f"list_transform(range({n_bytes}), lambda j: substr(x, 2 * ({start} + {n_bytes} - 1 - j) + 1, 2))"
+    return f"CAST('0x0' || array_to_string({digits}, '') AS UBIGINT)"
+
+
+# Murmur3 with seed 42 over the UTF-8 bytes of a word, from its definition.
+MURMUR = f"""bytes AS (
+  SELECT w, x, length(x) // 2 AS n FROM (SELECT w, hex(encode(w)) AS x FROM (SELECT DISTINCT w FROM cleaned))),
+blocks AS (
+  SELECT w, n, list_transform(range(n // 4), lambda i: {little_endian("4 * i", "4")}) AS whole,
+    [{little_endian("(n // 4 * 4)", "(n % 4)")}] AS rest FROM bytes),
+body AS (
+  SELECT w, n, list_reduce(list_prepend(42::UBIGINT, {mixed("whole")}),
+      lambda h, k: {low32(turned("xor(h, k)", 13) + " * 5 + 3864292196")}) AS h, ({mixed("rest")})[1] AS tail
+  FROM blocks),
+closed AS (SELECT w, xor(xor(h, tail), n::UBIGINT) AS h FROM body),
+once AS (SELECT w, {low32("xor(h, h >> 16) * 2246822507")} AS h FROM closed),
+twice AS (SELECT w, {low32("xor(h, h >> 13) * 3266489909")} AS h FROM once),
+murmur AS (
+  SELECT w, CASE WHEN h >= 2147483648 THEN h::BIGINT - 4294967296 ELSE h::BIGINT END AS h
+  FROM (SELECT w, xor(h, h >> 16) AS h FROM twice))"""
+
 X_DOCS = f"""docs AS (
   SELECT *, {SPLIT} AS split FROM (
     SELECT doc_id || '-' || copy AS doc_id, text, {LABEL} AS label
@@ -444,7 +485,7 @@ ORACLE: dict[str, str] = {
     ),
     "load_csv_lines": with_(
         LABELLED,
-        then="SELECT doc_id, sentiment, string_split(text, chr(10))[1] AS text FROM labelled",
+        then="SELECT doc_id, sentiment, replace(string_split(text, chr(10))[1], '\"', '') AS text FROM labelled",
     ),
     "project_labelled": with_(LABELLED, then="SELECT sentiment, text FROM labelled"),
     "profile_columns": profile(),
@@ -537,6 +578,12 @@ ORACLE: dict[str, str] = {
         word_entries("normal", "x", "doc_id"),
         then="SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS tf FROM ent GROUP BY term",
     ),
+    "hashing_tf": with_(
+        H_ENT,
+        MURMUR,
+        then=f"SELECT doc_id, CAST((h % {NUM_FEATURES} + {NUM_FEATURES}) % {NUM_FEATURES} AS INTEGER) AS bucket, "
+        "CAST(count(*) AS DOUBLE) AS tf FROM cleaned JOIN murmur USING (w) GROUP BY ALL",
+    ),
     "hash_bucket_tf": with_(H_ENT, then="SELECT doc_id, CAST(term AS INTEGER) AS bucket, tf FROM ent"),
     "idf_spark": with_(
         H_ENT,

@@ -95,8 +95,13 @@ def load_csv_latin1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Single-line records: a text ends at its first line break, the rest is filtered out."""
-    path = _csv_copy(spark, sf_dir, "UTF-8")
+    """Single-line records: a text ends at its first line break, the rest is filtered out.
+
+    Texts are written without quotes of their own, which a cut record could not close.
+    """
+    bare = F.replace(F.col("text"), F.lit('"'), F.lit(""))
+    rows = labelled_documents(spark, sf_dir).select("doc_id", "sentiment", bare.alias("text"))
+    path = write_csv(rows, new_path(spark, "csv"), "UTF-8")
     rows = read_csv(spark, path, CSV_COLUMNS)
     kept = prepare.keep_labels(rows, "sentiment", SENTIMENT_CLASSES)
     return kept.select(F.col("doc_id").cast("bigint").alias("doc_id"), "sentiment", "text")

@@ -3,15 +3,23 @@
 A written table cuts the lineage, survives lost executors and gives the
 optimizer the real size of the table, so that Spark's own broadcast threshold
 decides on a measured number.
+
+Stored tables live until ``removing_tables`` ends, or for good outside of it: a result is lazy, so only
+its caller knows when it has been written.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_open_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("_open_scopes", default=())
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a scratch folder only in local mode."""
@@ -26,7 +34,28 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/moodmill/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/moodmill/{name}-{uuid.uuid4().hex}"
+    for scope in _open_scopes.get():
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def removing_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that were stored inside, once the results that need them are written.
+
+    They are removed through the file system of the folder, whichever it is.
+    """
+    paths: list[str] = []
+    token = _open_scopes.set((*_open_scopes.get(), paths))
+    try:
+        yield
+    finally:
+        _open_scopes.reset(token)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in paths:
+            place = hadoop.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

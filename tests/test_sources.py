@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,6 +118,18 @@ def test_stored_tables_go_to_that_folder(spark):
     assert any(folder in path for path in stored.inputFiles())
 
 
+def test_a_scope_leaves_nothing_behind(spark, tmp_path):
+    folder = Path(storage.shared_dir(spark).removeprefix("file:")) / "moodmill"
+    before = set(folder.glob("*"))
+    out = str(tmp_path / "out")
+    with storage.removing_tables(spark):
+        first = storage.materialise(spark.range(5), "first")
+        storage.materialise(first.selectExpr("id * 2 AS id"), "second").write.parquet(out)
+        assert len(set(folder.glob("*")) - before) == 2
+    assert set(folder.glob("*")) == before
+    assert spark.read.parquet(out).count() == 5
+
+
 def test_stream_batches_are_stored_once(spark, tmp_path):
     source, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
     for text in ("a", "bb"):
