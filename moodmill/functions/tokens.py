@@ -18,7 +18,6 @@ from .wordlists import PUNCTUATION, STOP_WORDS
 SPACE = r" \t\n\x0B\f\r"
 TOKEN_START = rf"(?<![^{SPACE}])"
 RUN = r"(?s)(.)\1{2,}"
-TWO_RUNS = rf"(?s)([^{SPACE}])\1{{2,}}+[^{SPACE}]*?(?!\1)[^{SPACE}]\1{{3}}"
 
 # Every character that Unicode gives a digit value: decimal digits, then the
 # superscript, subscript, circled and other digits outside that category.
@@ -60,20 +59,26 @@ def _squeeze_token(token: Column) -> Column:
     return F.aggregate(F.regexp_extract_all(token, F.lit(RUN), 0), token, cut)
 
 
+def _same_letter_twice(text: Column) -> Column:
+    """Whether two runs are of one letter; found in a single pass, however long the text is."""
+    letters = F.regexp_extract_all(text, F.lit(RUN), F.lit(1))
+    return let(letters, lambda x: F.size(x) > F.size(F.array_distinct(x)))
+
+
 def squeeze_runs(text: Column) -> Column:
     """Cut a run of three or more equal characters to one, token by token."""
     plain = lambda x: F.regexp_replace(x, RUN, "$1")
     by_token = lambda x: F.array_join(
         F.transform(
             F.split(x, f"[{SPACE}]"),
-            lambda w: F.when(w.rlike(TWO_RUNS), _squeeze_token(w)).otherwise(plain(w)),
+            lambda w: F.when(_same_letter_twice(w), _squeeze_token(w)).otherwise(plain(w)),
         ),
         " ",
     )
     return only_if(
         text,
         lambda x: x.rlike(RUN),
-        lambda x: F.when(x.rlike(TWO_RUNS), by_token(x)).otherwise(plain(x)),
+        lambda x: F.when(_same_letter_twice(x), by_token(x)).otherwise(plain(x)),
     )
 
 
