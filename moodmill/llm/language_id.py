@@ -235,7 +235,13 @@ def _sample(docs: DataFrame, key: str, text: str, lang: str, bound: int) -> Data
     learnt = docs.select(F.col(key).alias("k"), F.col(lang).alias("lang")).filter(
         F.col("k").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("k"))
     )
-    chosen = learnt.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= bound)
+    # A share of each language that holds about twice the bound, so that no task ranks a whole language.
+    sizes = learnt.groupBy("lang").agg(F.count("*").alias("n"))
+    slices = 1 << 20
+    share = F.pmod(F.xxhash64("lang", "k"), F.lit(slices)) * F.col("n") < 2 * bound * slices
+    # One row per language, each of which the model has a column for.
+    few = learnt.join(F.broadcast(sizes), "lang").filter(share).drop("n")
+    chosen = few.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= bound)
     keys = materialise(chosen.select("k", F.col("lang").alias("l"), "place").dropDuplicates(["k", "l"]), "language-keys")
     texts = docs.select(F.col(key).alias("k"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     # At most ``bound`` keys per language.
