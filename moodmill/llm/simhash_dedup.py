@@ -39,6 +39,19 @@ GROUP_ROWS = 4096
 BATCH_ROWS = 1 << 16
 FRONTIER = 1 << 18
 
+_BYTE_ONES = np.uint64(0x0101010101010101)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The 64-bit number whose bits are 1 where more than half of the hashes have a 1."""
+    steps = np.arange(0, len(hashes), 255)
+    ones = np.empty((8, 8), dtype=np.int64)
+    for bit in range(8):
+        # Eight counters in a word, one per byte, that hold up to 255 each.
+        lanes = np.add.reduceat((hashes >> np.uint64(bit)) & _BYTE_ONES, steps)
+        ones[:, bit] = lanes.astype("<u8").view(np.uint8).reshape(-1, 8).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones.reshape(-1) * 2 > len(hashes), bitorder="little").view("<u8")[0])
+
 
 def fingerprint(text: str | None, width: int = SHINGLE) -> int:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -51,9 +64,7 @@ def fingerprint(text: str | None, width: int = SHINGLE) -> int:
     begins = (ends - lengths)[: len(words) - width + 1].tolist()
     digest = xxhash.xxh64_intdigest
     hashes = [digest(joined[a:b], 42) for a, b in zip(begins, ends[width - 1 :].tolist(), strict=True)]
-    bits = np.unpackbits(np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8), axis=1)
-    ones = bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > len(hashes)).view("<u8")[0])
+    return majority(np.array(hashes, dtype=np.uint64))
 
 
 def fingerprints(docs: DataFrame, keep: str, text: str = "text", width: int = SHINGLE) -> DataFrame:

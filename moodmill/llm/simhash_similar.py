@@ -1,13 +1,19 @@
 """SimHash near-duplicates by similarity: wide fingerprints, bit samples, and the same trie walk.
 
 Four bits of 64 only cover texts that agree in all but a few shingles. For a stated Jaccard similarity of
-shingle sets the fingerprint is wider (``WORDS`` times 64 bits) and the budget is the number of bits
-in which texts of that similarity differ on average. No block of exact agreement is certain then,
-so blocks are seeded samples of bits: long enough that a group holds about ``GROUP`` unrelated
-texts whatever the size of the corpus, and as many that texts at the threshold share one with
-chance ``RECALL``; more similar texts nearly always do. Both numbers follow from the number of
-distinct fingerprints, by the same rule at every size. Inside a group, tries are walked in pairs
-as in ``simhash_dedup``, and large groups are cut into pairs of chunks.
+shingle sets the fingerprint is wider (``WORDS`` times 64 bits), and the similarity gives the share
+of bits in which texts differ on average.
+
+*Candidates* use the first ``FIRST`` words, with a budget of ``SLACK`` standard deviations above the
+average. No block of exact agreement is certain, so blocks are seeded samples of bits: long enough
+that a group holds about ``GROUP`` unrelated texts whatever the size of the corpus, and as many
+that texts at the threshold share one with chance ``RECALL``; more similar texts nearly always do.
+Both numbers follow from the number of distinct fingerprints, by the same rule at every size.
+Inside a group, tries are walked in pairs as in ``simhash_dedup``; large groups are cut into pairs
+of chunks.
+
+*Decision.* The groups of the second walk are the components of the candidates. It takes all words
+and the average itself as its budget, which tells similarities that are 0.03 apart.
 
 Defined results: as in ``simhash_dedup``; texts without words are copies of each other. ``keep_one`` keeps
 the row with the least (key, digest of the text) of each component, null keys first, and one of
@@ -27,17 +33,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from moodmill.llm.components import components
-from moodmill.llm.simhash_dedup import GROUP_ROWS, _met, _stars, trie_components
+from moodmill.llm.simhash_dedup import GROUP_ROWS, _met, _stars, majority, trie_components
 from moodmill.storage import materialise
 
 SHINGLE = 5
 SIMILARITY = 0.8
-WORDS = 4
+WORDS = 16
+FIRST = 4
+SLACK = 2.0
 GROUP = 8
 RECALL = 0.95
 LEAST_BITS, MOST_BITS = 12, 32
 
 _FIELDS = [f"f{i}" for i in range(WORDS)]
+_KINDS = ", ".join(f"{f} bigint" for f in _FIELDS)
 _SEEDS = np.random.default_rng(42).integers(1, 1 << 63, size=WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -65,8 +74,7 @@ def wide_fingerprint(text: str | None, width: int = SHINGLE) -> np.ndarray:
         mixed ^= mixed >> np.uint64(29)
         mixed *= np.uint64(0xBF58476D1CE4E5B9)
         mixed ^= mixed >> np.uint64(32)
-        bits = np.unpackbits(mixed.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1)
-        out[i] = np.packbits(bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes)).view("<u8")[0]
+        out[i] = majority(mixed)
     return out
 
 
@@ -84,8 +92,7 @@ def _fingerprints(docs: DataFrame, key: str, text: str, width: int) -> DataFrame
                 [batch.column(0), batch.column(1), *columns], ["k", "digest", *_FIELDS]
             )
 
-    fields = ", ".join(f"{f} bigint" for f in _FIELDS)
-    return narrow.mapInArrow(run, f"k {kind}, digest string, {fields}")
+    return narrow.mapInArrow(run, f"k {kind}, digest string, {_KINDS}")
 
 
 def block_plan(count: int, similarity: float) -> tuple[int, int]:
@@ -95,28 +102,17 @@ def block_plan(count: int, similarity: float) -> tuple[int, int]:
     return bits, math.ceil(math.log(1 - RECALL) / math.log(1 - agree))
 
 
-def similar_links(distinct: DataFrame, count: int, similarity: float, group_rows: int) -> DataFrame:
-    """Stars ``(a, b)`` over the ``node`` numbers of fingerprints within the budget of each other."""
-    size, blocks = block_plan(count, similarity)
-    budget = math.floor(64 * WORDS * differing_share(similarity))
-    samples = np.random.default_rng(size).permuted(np.tile(np.arange(64 * WORDS), (blocks, 1)), axis=1)[:, :size]
-    powers = np.int64(1) << np.arange(size, dtype=np.int64)
+def budget_of(words: int, similarity: float, slack: float) -> int:
+    """Bits of so many words in which similar texts may differ."""
+    bits, share = 64 * words, differing_share(similarity)
+    return math.floor(bits * share + slack * math.sqrt(bits * share * (1 - share)))
 
-    def sampled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            words = np.ascontiguousarray(rows[_FIELDS].to_numpy()).astype("<i8")
-            bits = np.unpackbits(words.view(np.uint8).reshape(len(rows), -1), axis=1)
-            values = np.stack([bits[:, s] @ powers for s in samples], axis=1)
-            yield rows.assign(blocks=list(values))
 
-    fields = ", ".join(f"{f} bigint" for f in _FIELDS)
-    entries = distinct.select("node", *_FIELDS).mapInPandas(sampled, f"node bigint, {fields}, blocks array<bigint>")
-    met = _met(
-        entries.select("node", *_FIELDS, F.posexplode("blocks").alias("block", "value")), group_rows, "node"
-    )
+def _walked(met: DataFrame, fields: list[str], budget: int) -> DataFrame:
+    """Stars ``(a, b)`` over the nodes of each group that are within the budget of each other."""
 
     def solve(rows: pd.DataFrame, group: np.ndarray) -> pd.DataFrame:
-        words = np.ascontiguousarray(rows[_FIELDS].to_numpy()).view(np.uint64)
+        words = np.ascontiguousarray(rows[fields].to_numpy()).view(np.uint64)
         order = np.lexsort((*words.T[::-1], group))
         root = trie_components(words[order], group[order], budget)
         node = rows["node"].to_numpy()[order]
@@ -126,6 +122,40 @@ def similar_links(distinct: DataFrame, count: int, similarity: float, group_rows
     return met.mapInPandas(_stars(solve), "a bigint, b bigint")
 
 
+def candidate_links(distinct: DataFrame, count: int, similarity: float, group_rows: int) -> DataFrame:
+    """Stars over the ``node`` numbers of fingerprints that may be similar."""
+    size, blocks = block_plan(count, similarity)
+    samples = np.random.default_rng(size).permuted(np.tile(np.arange(64 * FIRST), (blocks, 1)), axis=1)[:, :size]
+    powers = np.int64(1) << np.arange(size, dtype=np.int64)
+    fields = _FIELDS[:FIRST]
+
+    def sampled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            words = np.ascontiguousarray(rows[fields].to_numpy()).astype("<i8")
+            bits = np.unpackbits(words.view(np.uint8).reshape(len(rows), -1), axis=1)
+            values = np.stack([bits[:, s] @ powers for s in samples], axis=1)
+            yield rows.assign(blocks=list(values))
+
+    kinds = ", ".join(f"{f} bigint" for f in fields)
+    entries = distinct.select("node", *fields).mapInPandas(sampled, f"node bigint, {kinds}, blocks array<bigint>")
+    dealt = entries.select("node", *fields, F.posexplode("blocks").alias("block", "value"))
+    # Nodes with equal first words are one entry of a group; they are linked beside it.
+    shared = distinct.groupBy(*fields).agg(F.min("node").alias("b"))
+    equal = distinct.select(F.col("node").alias("a"), *fields).join(shared, fields).filter("a <> b")
+    firsts = dealt.join(equal.select(F.col("a").alias("node")), "node", "left_anti")
+    walked = _walked(_met(firsts, group_rows, "node"), fields, budget_of(FIRST, similarity, SLACK))
+    return walked.unionByName(equal.select("a", "b"))
+
+
+def similar_labels(distinct: DataFrame, count: int, similarity: float, group_rows: int) -> DataFrame:
+    """``node, label`` of the fingerprints that are similar to another."""
+    near = components(candidate_links(distinct, count, similarity, group_rows))
+    entries = distinct.select("node", *_FIELDS).join(near, "node").select(
+        "node", *_FIELDS, F.lit(0).alias("block"), F.col("label").alias("value")
+    )
+    return components(_walked(_met(entries, group_rows, "node"), _FIELDS, budget_of(WORDS, similarity, 0.0)))
+
+
 def keepers(
     docs: DataFrame,
     key: str = "doc_id",
@@ -143,7 +173,7 @@ def keepers(
         "similar-distinct",
     )
     count = distinct.count()
-    labels = components(similar_links(distinct, count, similarity, group_rows))
+    labels = similar_labels(distinct, count, similarity, group_rows)
     rooted = distinct.select("node", "first").join(labels, "node", "left")
     groups = rooted.groupBy(F.coalesce("label", "node").alias("label")).agg(F.min("first").alias("first"))
     return materialise(groups.select("first.k", "first.digest"), "similar-keepers")
