@@ -332,6 +332,13 @@ V_BERNOULLI = ",\n".join([V_BASE, BERNOULLI, BERNOULLI_SUMS, SCORED])
 V_UNIT = ",\n".join([V_BASE, UNIT, UNIT_THETA])
 V_TFIDF = ",\n".join([V_UNIT, COUNT_VALUES, SUMS, SCORED])
 
+E_DOCS = f"""parts AS (
+  SELECT doc_id, CASE WHEN r < ceil(n * 2 / 10) THEN 'test' ELSE 'train' END AS split FROM (
+    SELECT doc_id, count(*) OVER () AS n, row_number() OVER (ORDER BY {hash32("'69:' || doc_id")}, doc_id) - 1 AS r
+    FROM labels)),
+docs AS (
+  SELECT doc_id, text, {LABEL} AS label, split FROM labelled JOIN parts USING (doc_id) WHERE text IS NOT NULL)"""
+
 R_DOCS = f"""docs AS (
   SELECT *, {SPLIT} AS split FROM (
     SELECT conv_id || '-' || turn AS doc_id, text,
@@ -550,6 +557,11 @@ ORACLE: dict[str, str] = {
     ),
     "clean_tokens": with_(TEXTS, CLEAN_CHAIN, then=joined("cleaned", "w")),
     "clean_tokens_tweets": with_(TWEETS, CLEAN_CHAIN, then=joined("cleaned", "w")),
+    "clean_tokens_128": with_(
+        TWEETS.replace(" AS text FROM", f" || ' ' || {q(MOJIBAKE_QUOTE)} || ' end' AS text FROM"),
+        CLEAN_CHAIN.replace(STOP_LIST, f"{STOP_LIST}, {q(MOJIBAKE_QUOTE)}"),
+        then=joined("cleaned", "w"),
+    ),
     "norm_basic": tweets(basic("text")),
     "norm_emoticons": tweets(emoticons("lower(text)")),
     "norm_single_letters": tweets(single_letters("lower(text)")),
@@ -654,6 +666,10 @@ ORACLE: dict[str, str] = {
             ("tfidf", V_TFIDF),
         ]
     ),
+    "exact_split_models": " UNION ALL ".join(
+        f"SELECT * FROM ({with_(ctes.replace(V_DOCS, E_DOCS), then=f'SELECT split, {ACCURACY}, {q(name)} AS model FROM predicted GROUP BY split')})"
+        for name, ctes in [("multinomial", V_PREDICTED), ("bernoulli", V_BERNOULLI)]
+    ),
     "confusion_matrix": with_(
         V_PREDICTED,
         then="SELECT c AS label, "

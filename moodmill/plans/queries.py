@@ -461,6 +461,19 @@ def accuracy_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(evaluate.accuracy_of_models(scored, list(models), "split"))
 
 
+def exact_split_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two models trained on exactly eight tenths of the labelled documents."""
+    keys = read_table(spark, sf_dir, "labels").select("doc_id")
+    parts = splits.exact_split(keys, (2, 10), vocabulary.CV_FOLDS, EXACT_SEED).drop("fold")
+    rows = prepare.drop_nulls(labelled_documents(spark, sf_dir), "text", "sentiment")
+    rows = prepare.encode_label(rows, "sentiment").select("doc_id", "label", "text")
+    docs = vocabulary.stored_vectors(rows.join(parts, "doc_id"))
+    counts = vocabulary.counts(docs)
+    models = {"multinomial": naive_bayes.fit_counts(counts), "bernoulli": naive_bayes.fit_bernoulli(counts)}
+    scored = vocabulary.predictions(models, docs)
+    return _rounded(evaluate.accuracy_of_models(scored, list(models), "split"))
+
+
 def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = vocabulary.labelled_vectors(spark, sf_dir)
     return evaluate.confusion_matrix(_count_predictions(docs, "test"))
@@ -538,6 +551,11 @@ QUERIES: dict[str, Query] = {
     ),
     "clean_tokens": _per_document(lambda t: _joined(tokens.clean_tokens(t))),
     "clean_tokens_tweets": _tweet_like(lambda t: _joined(tokens.clean_tokens(t))),
+    "clean_tokens_128": _tweet_like(
+        lambda t: _joined(
+            tokens.clean_tokens(F.concat(t, F.lit(f" {MOJIBAKE_QUOTE} end")), [*STOP_WORDS, MOJIBAKE_QUOTE])
+        )
+    ),
     "norm_basic": _tweet_like(normalize.normalize_basic),
     "norm_emoticons": _tweet_like(lambda t: normalize.replace_emoticons(F.lower(t))),
     "norm_single_letters": _tweet_like(lambda t: normalize.drop_single_letters(F.lower(t))),
@@ -571,6 +589,7 @@ QUERIES: dict[str, Query] = {
     "accuracy_by_split": accuracy_by_split,
     "accuracy_replicated": accuracy_replicated,
     "accuracy_by_model": accuracy_by_model,
+    "exact_split_models": exact_split_models,
     "confusion_matrix": confusion_matrix,
     "classification_report": classification_report,
     "per_class_metrics": per_class_metrics,
