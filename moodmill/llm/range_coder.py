@@ -221,21 +221,25 @@ def _encode_lanes(blocks: list[np.ndarray]) -> list[bytes]:
 def _packed(rows: np.ndarray, kinds: np.ndarray, lengths: np.ndarray) -> list[bytes]:
     """The plain bits of each lane: slot numbers and offsets in turn, in 16-bit words."""
     longest, lanes = rows.shape
-    out = []
-    for lane in range(lanes):
-        ids = rows[: lengths[lane], lane].astype(np.int64)
-        kind = kinds[: lengths[lane], lane]
-        bits = _RAW_BITS[kind]
+    out: list[bytes] = []
+    for some in range(0, lanes, 64):
+        ids = rows[:, some : some + 64].T.astype(np.int64)
+        kind = kinds[:, some : some + 64].T
+        real = np.arange(longest) < lengths[some : some + 64, None]
+        bits = _RAW_BITS[kind] * real
         value = np.where(kind == HIT0, ids & (ORDER0 - 1), ids - _RAW_START[kind]) * (bits > 0)
-        end = np.cumsum(bits)
+        end = np.cumsum(bits, axis=1)
         at = end - bits
         # A value lies in the 32 bits from its first word on; fields do not overlap, so sums are unions.
         field = value << (32 - (at & 15) - bits)
-        word = at >> 4
-        size = int(end[-1] + 15 >> 4) + 1 if len(end) else 1
-        high = np.bincount(word, weights=field >> 16, minlength=size + 1)
-        high[1:] += np.bincount(word, weights=field & 0xFFFF, minlength=size)[:size]
-        out.append(high.astype("<u2").tobytes())
+        used = (end[:, -1] + 15 >> 4) + 1 if longest else np.ones(len(ids), dtype=np.int64)
+        stride = longest + 2
+        word = ((at >> 4) + np.arange(len(ids))[:, None] * stride).reshape(-1)
+        size = len(ids) * stride
+        words = np.bincount(word, weights=(field >> 16).reshape(-1), minlength=size)
+        words[1:] += np.bincount(word, weights=(field & 0xFFFF).reshape(-1), minlength=size)[:-1]
+        table = words.astype("<u2").reshape(len(ids), stride)
+        out.extend(table[i, : used[i]].tobytes() for i in range(len(ids)))
     return out
 
 

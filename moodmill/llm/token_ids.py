@@ -2,13 +2,13 @@
 
 Both tokenizers cut a text into pieces before they merge inside a piece, and a break between two
 words always is such a cut. So a text's ids are its words' ids in a row, and a task encodes a word
-through the library once. Texts where a break touches another break are encoded whole.
+through the library once. Texts with white space other than single blanks and line ends between words
+are encoded whole.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from array import array
 from collections.abc import Callable, Iterable
 
@@ -25,9 +25,6 @@ CACHE_CHARS = 64
 GROUP_TEXTS = 512
 GROUP_CHARS = 1 << 21
 
-#: A blank or a line end beside other white space, or at either end of the text.
-_UNEVEN = re.compile(r"[ \n]\s|\s[ \n]|\A\s|\s\Z")
-
 Encode = Callable[[list[str]], list[bytes]]
 _loaded: dict[tuple[str, bool], Callable[[Iterable[str | None]], list[bytes]]] = {}
 
@@ -81,6 +78,15 @@ def _groups(texts: Iterable[str | None]) -> Iterable[list[str]]:
         yield group
 
 
+def _line_starts(text: str) -> list[int]:
+    """Numbers of the words that begin a line, in a text with single blanks."""
+    starts, at = [], 0
+    for line in text.split("\n"):
+        starts.append(at)
+        at += line.count(" ") + 1
+    return starts
+
+
 def spaced_encoder(path: str) -> Callable[[Iterable[str | None]], list[bytes]]:
     """For a byte-level tokenizer that keeps white space: a word's ids depend on the blank before it."""
     encode = _library(path)
@@ -90,28 +96,29 @@ def spaced_encoder(path: str) -> Callable[[Iterable[str | None]], list[bytes]]:
     def run(texts: Iterable[str | None]) -> list[bytes]:
         out: list[bytes] = []
         for group in _groups(texts):
-            split: list[list[list[str]] | None] = [
-                [line.split(" ") for line in t.split("\n")] if t and not _UNEVEN.search(t) else None
-                for t in group
-            ]
+            split: list[tuple[list[str], list[int]] | None] = []
             starting: set[str] = set()
             others: set[str] = set()
-            for lines in split:
-                for line in lines or ():
-                    starting.add(line[0])
-                    others.update(line)
+            for text in group:
+                flat = text.replace("\n", " ")
+                words = flat.split()
+                if not words or " ".join(words) != flat:
+                    split.append(None)
+                    continue
+                starts = _line_starts(text)
+                split.append((words, starts))
+                starting.update(words[i] for i in starts)
+                others.update(words)
             first.learn(starting)
             later.learn(others)
-            for text, lines in zip(group, split, strict=True):
-                if lines is None:
+            for text, parts in zip(group, split, strict=True):
+                if parts is None:
                     out.append(encode([text])[0] if text else b"")
                     continue
-                pieces: list[bytes] = []
-                for line in lines:
-                    if pieces:
-                        pieces.append(line_end)
-                    pieces += first.ids(line[:1])
-                    pieces += later.ids(line[1:])
+                words, starts = parts
+                pieces = list(later.ids(words))
+                for i in starts:
+                    pieces[i] = line_end + first.now[words[i]] if i else first.now[words[i]]
                 out.append(b"".join(pieces))
         return out
 
