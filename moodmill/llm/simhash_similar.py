@@ -65,8 +65,9 @@ def wide_fingerprint(text: str | None, width: int = SHINGLE) -> np.ndarray:
     width = min(width, len(words))
     begins = (ends - lengths)[: len(words) - width + 1].tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.array(
-        [digest(joined[a:b], 42) for a, b in zip(begins, ends[width - 1 :].tolist(), strict=True)], dtype=np.uint64
+    # A set: a shingle that a text repeats has one voice.
+    hashes = np.unique(
+        np.array([digest(joined[a:b], 42) for a, b in zip(begins, ends[width - 1 :].tolist(), strict=True)], np.uint64)
     )
     out = np.empty(WORDS, dtype=np.uint64)
     for i, seed in enumerate(_SEEDS):

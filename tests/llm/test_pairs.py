@@ -134,6 +134,15 @@ def test_similar_texts_stay_once(spark, odd, empty):
     assert simhash_similar.keep_one(empty).count() == 0
 
 
+def test_a_repeated_line_does_not_make_texts_similar(spark):
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    part = lambda: " ".join(word() for _ in range(20)) + " one line that comes back"
+    text = lambda: "\n".join(part() for _ in range(400))
+    df = spark.createDataFrame([(i, text()) for i in range(2)], "doc_id long, text string")
+    assert {r.doc_id for r in simhash_similar.keep_one(df).collect()} == {0, 1}
+
+
 def test_block_plan_keeps_recall_at_every_size():
     for count in (0, 10, 10**4, 10**7, 10**10):
         bits, blocks = simhash_similar.block_plan(count, 0.8)
