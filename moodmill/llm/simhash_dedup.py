@@ -39,6 +39,9 @@ GROUP_ROWS = 4096
 BATCH_ROWS = 1 << 16
 FRONTIER = 1 << 18
 
+#: Which of the pairs of places ``(a, b)`` belong together.
+Alike = Callable[[np.ndarray, np.ndarray], np.ndarray]
+
 _BYTE_ONES = np.uint64(0x0101010101010101)
 
 
@@ -103,10 +106,23 @@ def _unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         parent = _roots(parent)
 
 
-def trie_components(values: np.ndarray, groups: np.ndarray, budget: int) -> np.ndarray:
+def _unite_alike(parent: np.ndarray, a: np.ndarray, b: np.ndarray, apart: np.ndarray, alike: Alike) -> np.ndarray:
+    """Unites the pairs that ``alike`` confirms, nearest first; pairs that are united by then are not asked."""
+    order = np.argsort(apart, kind="stable")
+    a, b, step = a[order], b[order], 64
+    while len(a):
+        open_ = parent[a] != parent[b]
+        a, b = a[open_], b[open_]
+        good = alike(a[:step], b[:step])
+        parent = _unite(parent, a[:step][good], b[:step][good])
+        a, b, step = a[step:], b[step:], min(2 * step, 4096)
+    return parent
+
+
+def trie_components(values: np.ndarray, groups: np.ndarray, budget: int, alike: Alike | None = None) -> np.ndarray:
     """Component (as the least place) of every entry among those of its group within the budget.
 
-    A row of ``values`` is a fingerprint of one or more 64-bit words; rows are distinct within a group
+    With ``alike`` a pair within the budget is united only if that confirms it. A row of ``values`` is a fingerprint of one or more 64-bit words; rows are distinct within a group
     and sorted by (group, words).
     """
     n, words = values.shape
@@ -142,7 +158,10 @@ def trie_components(values: np.ndarray, groups: np.ndarray, budget: int) -> np.n
             for word in range(words):
                 apart += np.bitwise_count(values[a, word] ^ values[b, word])
             near = apart <= budget
-            parent = _unite(parent, a[near], b[near])
+            if alike is None:
+                parent = _unite(parent, a[near], b[near])
+            else:
+                parent = _unite_alike(parent, a[near], b[near], apart[near], alike)
             alo, ahi, blo, bhi, diff = (x[~single] for x in (alo, ahi, blo, bhi, diff))
         if not len(alo):
             continue
@@ -203,7 +222,9 @@ def _met(entries: DataFrame, group_rows: int, node: str) -> DataFrame:
 _GROUP = ["block", "value", "pair"]
 
 
-def _stars(solve: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame]):
+def _stars(
+    solve: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame], weigh: Callable[[pd.DataFrame], int] = len
+):
     """A task body that gives ``solve`` whole groups, several at a time, with the number of each row's group."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -215,7 +236,7 @@ def _stars(solve: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame]):
         held = 0
         for batch in batches:
             waiting.append(batch)
-            held += len(batch)
+            held += weigh(batch)
             if held < BATCH_ROWS:
                 continue
             rows = pd.concat(waiting, ignore_index=True)
@@ -225,7 +246,8 @@ def _stars(solve: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame]):
             whole = int(changes[-1]) + 1 if len(changes) else 0
             if whole:
                 yield solved(rows.iloc[:whole])
-            waiting, held = [rows.iloc[whole:].reset_index(drop=True)], len(rows) - whole
+            waiting = [rows.iloc[whole:].reset_index(drop=True)]
+            held = weigh(waiting[0])
         if held:
             yield solved(pd.concat(waiting, ignore_index=True))
 

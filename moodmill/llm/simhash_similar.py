@@ -1,19 +1,19 @@
-"""SimHash near-duplicates by similarity: wide fingerprints, bit samples, and the same trie walk.
+"""Near-duplicates by Jaccard similarity of shingle sets: shared rare shingles, trie walks, exact sets.
 
-Four bits of 64 only cover texts that agree in all but a few shingles. For a stated Jaccard similarity of
-shingle sets the fingerprint is wider (``WORDS`` times 64 bits), and the similarity gives the share
-of bits in which texts differ on average.
+*Sets.* A text is the set of the 64-bit hashes of its shingles; texts of equal sets are one node.
 
-*Candidates* use the first ``FIRST`` words, with a budget of ``SLACK`` standard deviations above the
-average. No block of exact agreement is certain, so blocks are seeded samples of bits: long enough
-that a group holds about ``GROUP`` unrelated texts whatever the size of the corpus, and as many
-that texts at the threshold share one with chance ``RECALL``; more similar texts nearly always do.
-Both numbers follow from the number of distinct fingerprints, by the same rule at every size.
-Inside a group, tries are walked in pairs as in ``simhash_dedup``; large groups are cut into pairs
-of chunks.
+*Meeting.* All shingles have one order: those of crowded hash buckets last (``BUCKETS`` counts over the whole
+corpus), then by hash. Two sets of similarity ``s`` share at least ``s`` times the larger one, so they
+share a shingle among the first ``n - ceil(s * n) + 1`` of each: nodes that share such a one meet in its
+group, and no pair at the threshold is lost here. Shingles with the same nodes make one group.
 
-*Decision.* The groups of the second walk are the components of the candidates. It takes all words
-and the average itself as its budget, which tells similarities that are 0.03 apart.
+*Candidates.* Inside a group, tries over ``WORDS`` times 64 fingerprint bits are walked in pairs as in
+``simhash_dedup``, with a budget of ``SLACK`` standard deviations above the average at the threshold.
+Large groups are cut into pairs of chunks. Stars of these links give components of candidates.
+
+*Decision.* The nodes of a component of candidates meet again with their sets. The same walk finds pairs;
+a pair is linked only if the exact similarity of its sets is at the threshold or above. Pairs that are
+connected already are left out. The components of these links are the result.
 
 Defined results: as in ``simhash_dedup``; texts without words are copies of each other. ``keep_one`` keeps
 the row with the least (key, digest of the text) of each component, null keys first, and one of
@@ -22,6 +22,7 @@ rows that are equal in both.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -33,14 +34,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from moodmill.llm.components import components
-from moodmill.llm.simhash_dedup import GROUP_ROWS, _met, _stars, majority, trie_components
+from moodmill.llm.simhash_dedup import GROUP_ROWS, Alike, _met, _stars, majority, trie_components
 from moodmill.storage import materialise
 
 SHINGLE = 5
 SIMILARITY = 0.8
 WORDS = 16
-FIRST = 4
-SLACK = 2.0
+SLACK = 6.0
+#: Average share of differing bits that is allowed for at least: sets of four and five shingles, the
+#: most that ties in the majority of small sets make of a similarity of 0.8.
+SMALL_SHARE = 3 / 16
+#: Counters of the shingles' order, and how crowded one is, at least, to come later.
+BUCKETS = 1 << 18
+CROWDED = 4
+LEAST_CROWD = 16
+#: Bytes of sets that weigh as much as a row when a task gathers rows.
+ROW_BYTES = 1024
+#: Of ``block_plan``, which the join does not use: its groups lose no pair by chance.
 GROUP = 8
 RECALL = 0.95
 LEAST_BITS, MOST_BITS = 12, 32
@@ -55,10 +65,11 @@ def differing_share(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
-def wide_fingerprint(text: str | None, width: int = SHINGLE) -> np.ndarray:
+def shingle_set(text: str | None, width: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes of a text's shingles."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return np.zeros(WORDS, dtype=np.uint64)
+        return np.zeros(0, dtype=np.uint64)
     joined = b" ".join(words)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1) - 1
@@ -66,10 +77,15 @@ def wide_fingerprint(text: str | None, width: int = SHINGLE) -> np.ndarray:
     begins = (ends - lengths)[: len(words) - width + 1].tolist()
     digest = xxhash.xxh64_intdigest
     # A set: a shingle that a text repeats has one voice.
-    hashes = np.unique(
+    return np.unique(
         np.array([digest(joined[a:b], 42) for a, b in zip(begins, ends[width - 1 :].tolist(), strict=True)], np.uint64)
     )
-    out = np.empty(WORDS, dtype=np.uint64)
+
+
+def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
+    out = np.zeros(WORDS, dtype=np.uint64)
+    if not len(hashes):
+        return out
     for i, seed in enumerate(_SEEDS):
         mixed = hashes * seed
         mixed ^= mixed >> np.uint64(29)
@@ -79,21 +95,72 @@ def wide_fingerprint(text: str | None, width: int = SHINGLE) -> np.ndarray:
     return out
 
 
-def _fingerprints(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(40)).astype(np.int64) % BUCKETS
+
+
+def crowding(docs: DataFrame, text: str, width: int) -> np.ndarray:
+    """How late the shingles of each bucket come in the order: 0, or more the more crowded it is."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            found = [_bucket(shingle_set(x.as_py(), width)) for x in batch.column(0)]
+            counts += np.bincount(np.concatenate([*found, np.zeros(0, np.int64)]), minlength=BUCKETS)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["bucket", "n"])
+
+    counted = docs.select(F.col(text).alias("t")).mapInArrow(run, "bucket bigint, n bigint")
+    stored = materialise(counted.groupBy("bucket").agg(F.sum("n").alias("n")), "similar-buckets")
+    total = stored.agg(F.sum("n")).first()[0] or 0
+    limit = max(CROWDED * total / BUCKETS, LEAST_CROWD)
+    # At most a CROWDED-th of the buckets.
+    found = stored.filter(F.col("n") > limit).collect()
+    late = np.zeros(BUCKETS, np.uint8)
+    for row in found:
+        late[row["bucket"]] = 1 + int(math.log2(row["n"] / limit))
+    return late
+
+
+def prefix(hashes: np.ndarray, late: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles of a set, of which similar sets share one."""
+    if not len(hashes):
+        return hashes
+    # The small term keeps a product that is whole from being rounded up.
+    count = len(hashes) - math.ceil(similarity * len(hashes) - 1e-6) + 1
+    return hashes[np.argsort(late[_bucket(hashes)], kind="stable")[:count]]
+
+
+def _nodes(docs: DataFrame, key: str, text: str, width: int, similarity: float) -> DataFrame:
+    """``node, k, digest, prefix`` and the fingerprint of each distinct set; the row is the least of its copies."""
+    late = docs.sparkSession.sparkContext.broadcast(crowding(docs, text, width))
     body = F.coalesce(F.col(text), F.lit(""))
     narrow = docs.select(F.col(key).alias("k"), F.md5(body).alias("digest"), body.alias("t"))
     kind = narrow.schema["k"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [wide_fingerprint(x.as_py(), width) for x in batch.column(2)]
-            values = np.vstack(rows).view(np.int64) if rows else np.zeros((0, WORDS), np.int64)
-            columns = [pa.array(np.ascontiguousarray(values[:, i])) for i in range(WORDS)]
+            sets = [shingle_set(x.as_py(), width) for x in batch.column(2)]
+            firsts = [prefix(s, late.value, similarity).view(np.int64) for s in sets]
+            names = [hashlib.md5(s.tobytes()).digest() for s in sets]
+            prints = np.array([wide_fingerprint(s) for s in sets], np.uint64).reshape(-1, WORDS).view(np.int64)
+            columns = [pa.array(np.ascontiguousarray(prints[:, i])) for i in range(WORDS)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *columns], ["k", "digest", *_FIELDS]
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(names, pa.binary()),
+                    pa.array(firsts, pa.list_(pa.int64())),
+                    *columns,
+                ],
+                ["k", "digest", "name", "prefix", *_FIELDS],
             )
 
-    return narrow.mapInArrow(run, f"k {kind}, digest string, {_KINDS}")
+    read = narrow.mapInArrow(run, f"k {kind}, digest string, name binary, prefix array<bigint>, {_KINDS}")
+    least = read.groupBy("name").agg(F.min(F.struct("k", "digest", "prefix", *_FIELDS)).alias("first"))
+    return materialise(
+        least.select(F.monotonically_increasing_id().alias("node"), "first.*"), "similar-nodes"
+    )
 
 
 def block_plan(count: int, similarity: float) -> tuple[int, int]:
@@ -105,56 +172,103 @@ def block_plan(count: int, similarity: float) -> tuple[int, int]:
 
 def budget_of(words: int, similarity: float, slack: float) -> int:
     """Bits of so many words in which similar texts may differ."""
-    bits, share = 64 * words, differing_share(similarity)
+    bits, share = 64 * words, max(differing_share(similarity), SMALL_SHARE)
     return math.floor(bits * share + slack * math.sqrt(bits * share * (1 - share)))
 
 
-def _walked(met: DataFrame, fields: list[str], budget: int) -> DataFrame:
-    """Stars ``(a, b)`` over the nodes of each group that are within the budget of each other."""
+def alike_sets(sets: list[np.ndarray], similarity: float) -> Alike:
+    """The exact decision for pairs of places in ``sets``."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+
+    def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        small, large = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
+        good = small >= similarity * large - 1e-6
+        for i in np.flatnonzero(good).tolist():
+            both = np.concatenate([sets[a[i]], sets[b[i]]])
+            both.sort(kind="stable")
+            shared = int((both[1:] == both[:-1]).sum())
+            good[i] = shared >= similarity * (len(both) - shared) - 1e-6
+        return good
+
+    return alike
+
+
+def _walked(met: DataFrame, similarity: float, exact: bool) -> DataFrame:
+    """Stars ``(a, b)`` over the nodes of each group that may be similar, or are by their sets."""
+    budget = budget_of(WORDS, similarity, SLACK)
 
     def solve(rows: pd.DataFrame, group: np.ndarray) -> pd.DataFrame:
-        words = np.ascontiguousarray(rows[fields].to_numpy()).view(np.uint64)
+        words = np.ascontiguousarray(rows[_FIELDS].to_numpy(dtype=np.int64)).view(np.uint64)
         order = np.lexsort((*words.T[::-1], group))
-        root = trie_components(words[order], group[order], budget)
-        node = rows["node"].to_numpy()[order]
+        words, group, node = words[order], group[order], rows["node"].to_numpy()[order]
+        fresh = np.r_[True, (group[1:] != group[:-1]) | (words[1:] != words[:-1]).any(axis=1)]
+        rank = np.arange(len(group)) - np.maximum.accumulate(np.where(fresh, np.arange(len(group)), 0))
+        # Equal fingerprints are told apart by bits of their own, for which the budget has room.
+        words = np.c_[words, rank.astype(np.uint64)]
+        room = int(rank.max()).bit_length()
+        alike = None
+        if exact:
+            held = rows["hashes"].to_numpy()[order]
+            alike = alike_sets([np.frombuffer(s, "<u8") for s in held], similarity)
+        root = trie_components(words, group, budget + room, alike)
         linked = root != np.arange(len(root))
         return pd.DataFrame({"a": node[linked], "b": node[root[linked]]})
 
-    return met.mapInPandas(_stars(solve), "a bigint, b bigint")
-
-
-def candidate_links(distinct: DataFrame, count: int, similarity: float, group_rows: int) -> DataFrame:
-    """Stars over the ``node`` numbers of fingerprints that may be similar."""
-    size, blocks = block_plan(count, similarity)
-    samples = np.random.default_rng(size).permuted(np.tile(np.arange(64 * FIRST), (blocks, 1)), axis=1)[:, :size]
-    powers = np.int64(1) << np.arange(size, dtype=np.int64)
-    fields = _FIELDS[:FIRST]
-
-    def sampled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            words = np.ascontiguousarray(rows[fields].to_numpy()).astype("<i8")
-            bits = np.unpackbits(words.view(np.uint8).reshape(len(rows), -1), axis=1)
-            values = np.stack([bits[:, s] @ powers for s in samples], axis=1)
-            yield rows.assign(blocks=list(values))
-
-    kinds = ", ".join(f"{f} bigint" for f in fields)
-    entries = distinct.select("node", *fields).mapInPandas(sampled, f"node bigint, {kinds}, blocks array<bigint>")
-    dealt = entries.select("node", *fields, F.posexplode("blocks").alias("block", "value"))
-    # Nodes with equal first words are one entry of a group; they are linked beside it.
-    shared = distinct.groupBy(*fields).agg(F.min("node").alias("b"))
-    equal = distinct.select(F.col("node").alias("a"), *fields).join(shared, fields).filter("a <> b")
-    firsts = dealt.join(equal.select(F.col("a").alias("node")), "node", "left_anti")
-    walked = _walked(_met(firsts, group_rows, "node"), fields, budget_of(FIRST, similarity, SLACK))
-    return walked.unionByName(equal.select("a", "b"))
-
-
-def similar_labels(distinct: DataFrame, count: int, similarity: float, group_rows: int) -> DataFrame:
-    """``node, label`` of the fingerprints that are similar to another."""
-    near = components(candidate_links(distinct, count, similarity, group_rows))
-    entries = distinct.select("node", *_FIELDS).join(near, "node").select(
-        "node", *_FIELDS, F.lit(0).alias("block"), F.col("label").alias("value")
+    def weigh(rows: pd.DataFrame) -> int:
+        return len(rows) + sum(map(len, rows["hashes"])) // ROW_BYTES
+
+    return met.mapInPandas(_stars(solve, weigh) if exact else _stars(solve), "a bigint, b bigint")
+
+
+def shared_shingles(nodes: DataFrame) -> DataFrame:
+    """``block, value, node`` and fingerprint: the groups in which nodes meet."""
+    entries = nodes.select("node", F.explode("prefix").alias("value"))
+    groups = (
+        entries.groupBy("value")
+        .agg(
+            F.count("*").alias("n"),
+            F.bit_xor(F.xxhash64("node")).alias("s"),
+            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("t"),
+        )
+        .filter("n > 1")
+        # Shingles that the same nodes share need one group.
+        .groupBy("n", "s", "t")
+        .agg(F.min("value").alias("value"))
+        .select("value")
     )
-    return components(_walked(_met(entries, group_rows, "node"), _FIELDS, budget_of(WORDS, similarity, 0.0)))
+    met = entries.join(groups, "value").join(nodes.select("node", *_FIELDS), "node")
+    return materialise(met.select(F.lit(0).alias("block"), "value", "node", *_FIELDS), "similar-groups")
+
+
+def candidate_sets(docs: DataFrame, nodes: DataFrame, near: DataFrame, key: str, text: str, width: int) -> DataFrame:
+    """``block, value, node``, fingerprint and ``hashes`` (the set) of the nodes in components of candidates."""
+    wanted = nodes.drop("prefix").join(near, "node")
+    body = F.coalesce(F.col(text), F.lit(""))
+    read = docs.select(F.col(key).alias("_k"), F.md5(body).alias("_digest"), body.alias("t"))
+    same = (F.col("digest") == F.col("_digest")) & F.col("k").eqNullSafe(F.col("_k"))
+    # Rows equal in key and text are one.
+    found = read.join(wanted, same).groupBy("node", "label", *_FIELDS).agg(F.min("t").alias("t"))
+    narrow = found.select("node", F.col("label").alias("value"), *_FIELDS, "t")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [shingle_set(x.as_py(), width).astype("<u8").tobytes() for x in batch.column("t")]
+            columns = [batch.column(c) for c in ("node", "value", *_FIELDS)]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(held, pa.binary())], ["node", "value", *_FIELDS, "hashes"]
+            )
+
+    sets = narrow.mapInArrow(run, f"node bigint, value bigint, {_KINDS}, hashes binary")
+    return materialise(sets.withColumn("block", F.lit(0)), "similar-sets")
+
+
+def similar_labels(
+    docs: DataFrame, nodes: DataFrame, key: str, text: str, width: int, similarity: float, group_rows: int
+) -> DataFrame:
+    """``node, label`` of the nodes that are similar to another."""
+    near = components(_walked(_met(shared_shingles(nodes), group_rows, "node"), similarity, exact=False))
+    sets = candidate_sets(docs, nodes, near, key, text, width)
+    return components(_walked(_met(sets, group_rows, "node"), similarity, exact=True))
 
 
 def keepers(
@@ -166,16 +280,9 @@ def keepers(
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """``k, digest`` of the row that stays of each component."""
-    stored = materialise(_fingerprints(docs, key, text, width), "similar-fingerprints")
-    distinct = materialise(
-        stored.groupBy(*_FIELDS)
-        .agg(F.min(F.struct("k", "digest")).alias("first"))
-        .withColumn("node", F.monotonically_increasing_id()),
-        "similar-distinct",
-    )
-    count = distinct.count()
-    labels = similar_labels(distinct, count, similarity, group_rows)
-    rooted = distinct.select("node", "first").join(labels, "node", "left")
+    nodes = _nodes(docs, key, text, width, similarity)
+    labels = similar_labels(docs, nodes, key, text, width, similarity, group_rows)
+    rooted = nodes.select("node", F.struct("k", "digest").alias("first")).join(labels, "node", "left")
     groups = rooted.groupBy(F.coalesce("label", "node").alias("label")).agg(F.min("first").alias("first"))
     return materialise(groups.select("first.k", "first.digest"), "similar-keepers")
 

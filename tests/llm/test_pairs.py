@@ -143,6 +143,22 @@ def test_a_repeated_line_does_not_make_texts_similar(spark):
     assert {r.doc_id for r in simhash_similar.keep_one(df).collect()} == {0, 1}
 
 
+def test_similarity_is_exact_on_both_sides_of_the_threshold(spark):
+    rng = random.Random(33)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    rows = []
+    for pair in range(80):
+        # 396 shingles, of which the last 44 (0.8 exactly) or 45 (0.796) differ; or 5 and 4 shingles (0.8).
+        base = [word() for _ in range(400)]
+        if pair >= 60:
+            base, other = base[:9], base[:8]
+        else:
+            other = [*base[: -44 - pair % 2], *(word() for _ in range(44 + pair % 2))]
+        rows += [(2 * pair, " ".join(base)), (2 * pair + 1, " ".join(other))]
+    got = {r.doc_id for r in simhash_similar.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {2 * p for p in range(80)} | {2 * p + 1 for p in range(60) if p % 2}
+
+
 def test_block_plan_keeps_recall_at_every_size():
     for count in (0, 10, 10**4, 10**7, 10**10):
         bits, blocks = simhash_similar.block_plan(count, 0.8)
