@@ -158,8 +158,67 @@ SELECT doc_id, size, source_size, target, (first + again)::BIGINT AS taken,
 FROM m_taken
 """
 
+
+
+def any_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" for c in word)
+
+
+NUMBER_AFTER_CUE = (
+    f"\\b({'|'.join(map(any_case, ('iban', 'account', 'acct', 'passport', 'ssn')))})"
+    f"(\\x20?({'|'.join(map(any_case, ('number', 'no', 'nr')))}))?[.:#=]{{0,2}}\\x20{{0,2}}"
+    "([A-Z]{2}[0-9]{2}(?:\\x20?[A-Z0-9]{4}){2,7}(?:\\x20?[A-Z0-9]{1,3})?|[0-9](?:-?[0-9])+)"
+)
+LOGIN = (
+    f"({any_case('http')}[Ss]?|[Ss]?{any_case('ftp')}|{any_case('ssh')})"
+    "://[A-Za-z0-9._~%!$&''()*+,;=:-]+@[A-Za-z0-9.-]+(:[0-9]+)?"
+)
+DIGITS_OF = "regexp_replace({}, '[^0-9]', '', 'g')"
+LUHN = """list_sum(list_transform(range(1, length(d) + 1), lambda i:
+    CASE WHEN (length(d) - i) % 2 = 0 THEN d[i]::BIGINT
+      ELSE 2 * d[i]::BIGINT - CASE WHEN d[i]::BIGINT > 4 THEN 9 ELSE 0 END END)) % 10 = 0"""
+#: An IBAN's remainder by 97, digit by digit, with letters as two digits.
+REMAINDER = """list_reduce(list_concat([0::BIGINT], list_transform(string_split(b[5:] || b[:4], ''), lambda c:
+    CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END)),
+    lambda r, v: (r * CASE WHEN v > 9 THEN 100 ELSE 10 END + v) % 97)"""
+
+PERSONAL = f"""
+WITH s_docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+p_found AS (
+{scanned(0, "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+", "m", "true")}
+  UNION ALL
+{scanned(1, "[0-9]+(\\.[0-9]+)(\\.[0-9]+)(\\.[0-9]+)", "m",
+    "len(list_filter(string_split(m, '.'), lambda x: length(ltrim(x, '0')) > 3 OR ('0' || right(x, 3))::BIGINT > 255)) = 0")}
+  UNION ALL
+  SELECT rid, start, kind, stop, value FROM (SELECT *, {DIGITS_OF.format("value")} AS d FROM (
+{scanned(2, "[0-9]([\\x20-]?[0-9])+", "m", "true")})) WHERE length(d) BETWEEN 16 AND 19 AND {LUHN}
+  UNION ALL
+{scanned(3, "\\+[0-9][\\x20().0-9-]+[0-9]", "m", f"length({DIGITS_OF.format('m')}) BETWEEN 8 AND 15")}
+  UNION ALL
+{scanned(4, LOGIN, "m", "true")}
+  UNION ALL
+  SELECT rid, stop - length(value) AS start, kind, stop, value FROM (
+    SELECT *, replace(value, ' ', '') AS b, {DIGITS_OF.format("value")} AS d FROM (
+{scanned(5, NUMBER_AFTER_CUE, f"regexp_extract(m, '{NUMBER_AFTER_CUE}', 4)", "true")}))
+  WHERE CASE WHEN value BETWEEN 'A' AND 'Z~' THEN length(b) BETWEEN 15 AND 34 AND {REMAINDER} = 1
+    ELSE length(d) BETWEEN 6 AND 20 END),
+p_said AS (
+  SELECT *, ['email', 'ip', 'card', 'phone', 'url', 'account'][kind + 1] || ':' || start::BIGINT || ':' || stop::BIGINT AS said
+  FROM p_found),
+p_totals AS (
+  SELECT rid, count(*) FILTER (kind = 0) AS n_email, count(*) FILTER (kind = 1) AS n_ip,
+    count(*) FILTER (kind = 2) AS n_card, count(*) FILTER (kind = 3) AS n_phone,
+    string_agg(said, ',' ORDER BY kind, start) FILTER (kind < 4) AS base,
+    string_agg(said, ',' ORDER BY kind, start) AS spans
+  FROM p_said GROUP BY rid)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+  coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM s_docs LEFT JOIN p_totals USING (rid)
+"""
+
 ORACLE = {
     "op4_secret_scans": SECRETS,
+    "op11_personal_data": PERSONAL,
     "op8_mixing": MIXING,
     "op7_quality_rules": f"""
 WITH {QUALITY_ROWS}

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodmill.llm import hnsw, language_id, mixing, packing, quality_rules, secret_scan, simhash_dedup, substring_dedup, token_file, toxicity
+from moodmill.llm import hnsw, language_id, mixing, packing, personal_data, quality_rules, secret_scan, simhash_dedup, substring_dedup, token_file, toxicity
 from moodmill.llm.oracle import ORACLE
 from moodmill.llm.text import word_count
 from moodmill.llm.workers import let_workers_import
@@ -101,6 +101,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.fit(docs))
 
 
+@query
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.report(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
