@@ -216,8 +216,31 @@ SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coale
 FROM s_docs LEFT JOIN p_totals USING (rid)
 """
 
+NEGATIVES = """
+WITH n_rows AS (
+  SELECT DISTINCT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+n_pairs AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+    CASE WHEN len(a.q) = 0 THEN 0 ELSE list_dot_product(a.q, r.q) END::BIGINT AS score
+  FROM n_rows a JOIN n_rows r ON len(a.q) = len(r.q) AND a.vec_id % 100 = 0),
+n_positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM n_pairs WHERE same AND vec_id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+  row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM n_positives JOIN n_pairs USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 ORACLE = {
     "op4_secret_scans": SECRETS,
+    "op12_hard_negatives": NEGATIVES,
     "op11_personal_data": PERSONAL,
     "op8_mixing": MIXING,
     "op7_quality_rules": f"""

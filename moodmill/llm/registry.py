@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodmill.llm import hnsw, language_id, mixing, packing, personal_data, quality_rules, secret_scan, simhash_dedup, substring_dedup, token_file, toxicity
+from moodmill.llm import hard_negatives, hnsw, language_id, mixing, packing, personal_data, quality_rules, secret_scan, simhash_dedup, substring_dedup, token_file, toxicity
 from moodmill.llm.oracle import ORACLE
 from moodmill.llm.text import word_count
 from moodmill.llm.workers import let_workers_import
@@ -106,6 +106,14 @@ def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.report(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.valid_rows(vectors, "vec_id", "embedding", label)
+    return hard_negatives.mine(rows, rows.filter("id % 100 = 0"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
