@@ -238,8 +238,93 @@ WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * po
 QUALIFY rank <= 10
 """
 
+
+def cheapest(*choices: str) -> str:
+    return f"list_sort(list_filter([{', '.join(choices)}], lambda x: x IS NOT NULL))[1]"
+
+
+def edited(letter: str, cost: str, state: int, line: str, when: str = "true") -> str:
+    rest = f"s[{state + 1}]"
+    return (
+        f"CASE WHEN {when} THEN struct_pack(c := ({rest}.c + {cost})::BIGINT, a := '{letter}' || {rest}.a,"
+        f" r := {line} || {rest}.r) END"
+    )
+
+
+def consumed(state: int) -> str:
+    """The cheapest way to use up a row in one of the states: nothing yet, after system, user, assistant."""
+    after = 3 if state == 2 else 2
+    name = "assistant" if after == 3 else "user"
+    own = "role || ':' || text || chr(10)"
+    kept = edited("K", "extra", after, own, f"NOT gone AND initial = '{name[0]}'")
+    system = [edited("K", "extra", 1, own, "NOT gone AND initial = 's'")] if state == 0 else []
+    given = edited("R", "1 + extra", after, f"'{name}:' || text || chr(10)", "NOT gone")
+    return cheapest(edited("D", "2", state, "''"), kept, *system, given)
+
+
+def inserted(name: str, behind: str) -> str:
+    return f"struct_pack(c := ({behind}.c + 5)::BIGINT, a := 'I' || {behind}.a, r := '{name}:' || chr(10) || {behind}.r)"
+
+
+REPAIR = f"""
+WITH RECURSIVE
+c_bytes AS (
+  SELECT i, list_reduce(list_concat([i], range(8)), lambda c, k:
+    CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) t(i)),
+c_table AS (SELECT list(v ORDER BY i) AS t FROM c_bytes),
+c_keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT) AS key
+  FROM conversations),
+c_hit AS (
+  SELECT * EXCLUDE (key, t), xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], key), lambda c, b:
+    xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 20 AS hit
+  FROM c_keyed, c_table),
+c_damaged AS (
+  SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+    CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN hit = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM c_hit WHERE hit <> 0),
+c_placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || ':' || text), copy) AS pos
+  FROM c_damaged),
+c_rows AS (
+  SELECT *, left(role, 1) AS initial, NOT regexp_matches(text, '[^ 	-
+]') AS blank,
+    NOT blank AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS duplicate,
+    NOT blank AND NOT duplicate AND NOT regexp_matches(text, '[.!?][ 	-
+]*$') AS truncated,
+    blank OR duplicate AS gone, CASE WHEN truncated THEN 5 ELSE 0 END AS extra,
+    pos > 1 AND lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) || initial NOT IN ('su', 'ua', 'au') AS illegal
+  FROM c_placed),
+c_back AS (
+  SELECT conv_id, max(pos) + 1 AS pos, [
+    struct_pack(c := 0::BIGINT, a := '', r := ''), struct_pack(c := 10::BIGINT, a := 'II', r := 'user:' || chr(10) || 'assistant:' || chr(10)),
+    struct_pack(c := 5::BIGINT, a := 'I', r := 'assistant:' || chr(10)), struct_pack(c := 0::BIGINT, a := '', r := '')] AS s
+  FROM c_rows GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, pos, [{cheapest("m0", inserted("user", "w2"))}, {cheapest("m1", inserted("user", "w2"))}, w2,
+    {cheapest("m3", inserted("user", "m2"))}] AS s
+  FROM (SELECT *, {cheapest("m2", inserted("assistant", "m3"))} AS w2 FROM (
+    SELECT r.conv_id, r.pos, {consumed(0)} AS m0, {consumed(1)} AS m1, {consumed(2)} AS m2, {consumed(3)} AS m3
+    FROM c_back b JOIN c_rows r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.pos = b.pos - 1))),
+c_counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+    count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM c_rows GROUP BY conv_id)
+SELECT k.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(s[1].c, 0) AS cost, coalesce(s[1].a, '') AS audit,
+  sha256(coalesce(CASE WHEN s[1].r <> '' THEN left(s[1].r, length(s[1].r) - 1) ELSE '' END, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) k
+LEFT JOIN c_counts n ON n.conv_id IS NOT DISTINCT FROM k.conv_id
+LEFT JOIN c_back b ON b.conv_id IS NOT DISTINCT FROM k.conv_id AND b.pos = 1
+"""
+
 ORACLE = {
     "op4_secret_scans": SECRETS,
+    "op13_conversation_repair": REPAIR,
     "op12_hard_negatives": NEGATIVES,
     "op11_personal_data": PERSONAL,
     "op8_mixing": MIXING,

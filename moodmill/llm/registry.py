@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodmill.llm import hard_negatives, hnsw, language_id, mixing, packing, personal_data, quality_rules, secret_scan, simhash_dedup, substring_dedup, token_file, toxicity
+from moodmill.llm import conversation_repair, hard_negatives, hnsw, language_id, mixing, packing, personal_data, quality_rules, secret_scan, simhash_dedup, substring_dedup, token_file, toxicity
 from moodmill.llm.oracle import ORACLE
 from moodmill.llm.text import word_count
 from moodmill.llm.workers import let_workers_import
@@ -114,6 +114,12 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(rows, rows.filter("id % 100 = 0"))
 
 
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read_table(spark, sf_dir, "conversations")
+    return conversation_repair.report(conversations, conversation_repair.damaged(conversations))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
