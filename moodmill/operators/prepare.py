@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import materialise
+
 # Class ids of named sentiments and of the numeric labels; every other
 # value, null included, is the middle class.
 NAMED_LABELS = {"negative": 0, "positive": 2}
@@ -38,22 +40,39 @@ def encode_label(
     return df.withColumn(into, value)
 
 
-def _group_key(df: DataFrame, column: str) -> Column:
-    # A digest stands for a text, so that the shuffle moves 64 characters of it.
-    return F.sha2(column, 256) if dict(df.dtypes)[column] == "string" else F.col(column)
+def digest(df: DataFrame, column: str) -> Column:
+    """What stands for a value in a group: 32 bytes for a text, else the value itself."""
+    return F.unhex(F.sha2(column, 256)) if dict(df.dtypes)[column] == "string" else F.col(column)
+
+
+def least_keys(df: DataFrame, columns: Sequence[str], key: str = "doc_id") -> DataFrame:
+    """The least ``key`` of each distinct ``columns``, with ``_group_0``, ``_group_1``, ... in their place.
+
+    A hash aggregation of a number by digests: no text leaves its task, and a text that fills a
+    third of the table reaches its reducer as one narrow row per task.
+    """
+    groups = [digest(df, c).alias(f"_group_{i}") for i, c in enumerate(columns)]
+    return df.groupBy(*groups).agg(F.min(key).alias(key))
+
+
+def keep_least(df: DataFrame, survivors: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Rows of ``df``, which has the same ``_group_i`` columns, that ``least_keys`` chose; nulls are equal.
+
+    Survivors are a stored narrow table, so Spark broadcasts it or shuffles on its measured size.
+    """
+    groups = [c for c in survivors.columns if c.startswith("_group_")]
+    same = [F.col(f"_row.{c}").eqNullSafe(F.col(f"_first.{c}")) for c in (key, *groups)]
+    return df.alias("_row").join(survivors.alias("_first"), same, "left_semi").drop(*groups)
 
 
 def dedup_rows(df: DataFrame, columns: Sequence[str], key: str = "doc_id") -> DataFrame:
     """One row per distinct ``columns``; the one with the smallest ``key`` survives.
 
-    One aggregation carries the rows, so the input is read once. Rows are grouped by digests, and
-    copies are merged inside each task before the shuffle: a text that fills a third of the table
-    reaches its reducer as one row per task.
+    Two phases: digests choose the surviving keys, and a semi-join keeps their rows.
     """
-    groups = [_group_key(df, c).alias(f"_group_{i}") for i, c in enumerate(columns)]
-    rest = [c for c in df.columns if c != key]
-    first = df.groupBy(*groups).agg(F.min(F.struct(key, *rest)).alias("_first"))
-    return first.select(*[F.col(f"_first.`{c}`").alias(c) for c in df.columns])
+    survivors = materialise(least_keys(df, columns, key), "survivors")
+    marked = df.withColumns({f"_group_{i}": digest(df, c) for i, c in enumerate(columns)})
+    return keep_least(marked, survivors, key)
 
 
 def replicate(df: DataFrame, times: int, copy: str = "copy") -> DataFrame:
@@ -70,7 +89,7 @@ def profile_columns(df: DataFrame) -> DataFrame:
     exprs = []
     for name in df.columns:
         exprs.append(F.count(name).alias(f"c_{name}"))
-        exprs.append(F.count_distinct(_group_key(df, name)).alias(f"d_{name}"))
+        exprs.append(F.count_distinct(digest(df, name)).alias(f"d_{name}"))
     totals = df.agg(F.count("*").alias("n_rows"), *exprs)
     lines = [
         F.struct(

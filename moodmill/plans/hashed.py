@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.tokens import clean_tokens
@@ -14,24 +14,45 @@ from ..storage import materialise
 CV_FOLDS = 2
 
 
-def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, label, text, split``: allowed labels only, copies merged, labels encoded."""
+def allowed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, sentiment, text`` of the allowed labels, copies included."""
     rows = prepare.keep_labels(labelled_documents(spark, sf_dir), "sentiment", SENTIMENT_CLASSES)
-    rows = prepare.drop_nulls(rows, "text")
-    rows = prepare.dedup_rows(rows, ["sentiment", "text"])
-    rows = prepare.encode_label(rows, "sentiment").select("doc_id", "label", "text")
-    return splits.train_test(rows)
+    return prepare.drop_nulls(rows, "text")
+
+
+def _labelled(rows: DataFrame, *keep: str) -> DataFrame:
+    coded = prepare.encode_label(rows, "sentiment").select("doc_id", "label", *keep)
+    return splits.train_test(coded)
+
+
+def survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, label, split`` of one document per text and label; only digests and keys travel."""
+    rows = allowed(spark, sf_dir)
+    marked = rows.select("doc_id", "sentiment", prepare.digest(rows, "text").alias("digest"))
+    return _labelled(marked.groupBy("sentiment", "digest").agg(F.min("doc_id").alias("doc_id")))
+
+
+def features(spark: SparkSession, sf_dir: str, value: Column, name: str) -> DataFrame:
+    """``doc_id, label, split`` and ``value`` of each text, copies merged.
+
+    ``value`` is computed in the one pass over the texts and stored; copies are then left out of the
+    stored table, so a text is read once and moved nowhere.
+    """
+    rows = allowed(spark, sf_dir)
+    marks = [prepare.digest(rows, c).alias(f"_group_{i}") for i, c in enumerate(("sentiment", "text"))]
+    stored = materialise(rows.select("doc_id", "sentiment", *marks, value.alias(name)), f"document-{name}")
+    first = stored.groupBy("_group_0", "_group_1").agg(F.min("doc_id").alias("doc_id"))
+    return _labelled(prepare.keep_least(stored, materialise(first, "survivors")), name)
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, label, split, vector`` with the counted buckets of each document."""
-    vector = bucket_vector(clean_tokens(F.col("text"))).alias("vector")
-    return prepared(spark, sf_dir).select("doc_id", "label", "split", vector)
+    """``doc_id, label, split, vector`` with the counted buckets of each document, from a stored table."""
+    return features(spark, sf_dir, bucket_vector(clean_tokens(F.col("text"))), "vector")
 
 
-def stored_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same, written once: training and scoring read bucket numbers, not texts."""
-    return materialise(vectors(spark, sf_dir), "bucket-vectors")
+def words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, label, split, words``: the cleaned words of each document, from a stored table."""
+    return features(spark, sf_dir, clean_tokens(F.col("text")), "words")
 
 
 def replicated_vectors(spark: SparkSession, sf_dir: str, times: int) -> DataFrame:

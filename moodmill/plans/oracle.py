@@ -413,6 +413,27 @@ UNION ALL SELECT 'weighted avg', round(sum(p * support) / sum(support), 6),
   round(sum(r * support) / sum(support), 6), round(sum(f * support) / sum(support), 6),
   CAST(sum(support) AS BIGINT) FROM metrics"""
 
+ODDS = """others AS (
+  SELECT a.doc_id, a.c, a.score, max(b.score) AS m FROM scored a JOIN scored b ON b.doc_id = a.doc_id AND b.c <> a.c
+  GROUP BY a.doc_id, a.c, a.score),
+odds AS (
+  SELECT o.doc_id, o.c, round(o.score - o.m - ln(sum(exp(b.score - o.m))), 6) AS x
+  FROM others o JOIN scored b ON b.doc_id = o.doc_id AND b.c <> o.c GROUP BY o.doc_id, o.c, o.score, o.m)"""
+
+
+def pairs_in_order(ranked: str) -> str:
+    """Over all pairs of a positive and a negative row of ``(g, x, positive)``."""
+    return f"""ranked AS ({ranked}),
+wins AS (
+  SELECT p.g, avg(CASE WHEN p.x > n.x THEN 1.0 WHEN p.x = n.x THEN 0.5 ELSE 0.0 END) AS auc
+  FROM ranked p JOIN ranked n ON p.g = n.g AND p.positive AND NOT n.positive GROUP BY p.g),
+sizes AS (
+  SELECT g, count(*) FILTER (positive) AS n_positive, count(*) FILTER (NOT positive) AS n_negative
+  FROM ranked GROUP BY g)"""
+
+
+AUC_ROW = "n_positive, n_negative, round(auc, 6) AS auc FROM sizes LEFT JOIN wins USING (g)"
+
 FOLD = f"({hash32('doc_id')} // 10)"
 
 
@@ -701,6 +722,22 @@ ORACLE: dict[str, str] = {
         "WHEN a.prediction = b.prediction THEN 0.5 ELSE 0.0 END), 6) AS auc "
         "FROM tested a JOIN tested b ON a.label > 0.5 AND b.label <= 0.5",
     ),
+    "auc_from_scores": with_(
+        H_PREDICTED,
+        ODDS,
+        pairs_in_order(
+            "SELECT 0 AS g, -x AS x, label > 0 AS positive FROM odds JOIN predicted USING (doc_id) WHERE c = 0 AND split = 'test'"
+        ),
+        then=f"SELECT {AUC_ROW}",
+    ),
+    "auc_by_class": with_(
+        V_PREDICTED,
+        ODDS,
+        pairs_in_order(
+            "SELECT c AS g, x, label = c AS positive FROM odds JOIN predicted USING (doc_id) WHERE split = 'test'"
+        ),
+        then=f"SELECT g AS label, {AUC_ROW}",
+    ),
     "cv_fold_accuracy": with_(
         cross_validated(H_ENT, 2, str(NUM_FEATURES), True),
         then="SELECT fold, n_rows, n_correct, round(accuracy, 6) AS accuracy FROM acc",

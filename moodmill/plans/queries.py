@@ -14,7 +14,7 @@ from ..functions import normalize, tokens
 from ..functions.hashing import hash_bucket
 from ..functions.terms import ngrams, word_terms
 from ..functions.wordlists import COMMON_CONTRACTIONS, MOJIBAKE_QUOTE, STOP_WORDS
-from ..operators import crossval, evaluate, features, naive_bayes, prepare, splits
+from ..operators import crossval, evaluate, features, naive_bayes, prepare, ranking, splits
 from ..sources import (
     SENTIMENT_CLASSES,
     bind_positions,
@@ -271,13 +271,8 @@ def vocabulary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.vocabulary(features.real_terms(_word_entries(spark, sf_dir, 1, 2)))
 
 
-def _clean_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = tokens.clean_tokens(F.col("text")).alias("words")
-    return hashed.prepared(spark, sf_dir).select("doc_id", "label", "split", words)
-
-
 def hashing_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.ml_hashing_tf(_clean_words(spark, sf_dir), "words")
+    return features.ml_hashing_tf(hashed.words(spark, sf_dir), "words")
 
 
 def hash_bucket_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -292,7 +287,7 @@ def _bucket_idf(counts: naive_bayes.Counts) -> DataFrame:
 
 
 def _bucket_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = hashed.stored_vectors(spark, sf_dir)
+    docs = hashed.vectors(spark, sf_dir)
     counts = hashed.counts(docs)
     train = hashed.entries(docs.filter(F.col("split") == "train"), "label")
     idf = _bucket_idf(counts).select("term", "idf")
@@ -329,8 +324,8 @@ def labelled_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nb_priors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Class sizes after the deduplication; no text is cleaned for them."""
-    train = hashed.prepared(spark, sf_dir).filter(F.col("split") == "train")
+    """Class sizes after the deduplication; no text is cleaned or moved for them."""
+    train = hashed.survivors(spark, sf_dir).filter(F.col("split") == "train")
     sizes = train.groupBy("label").agg(F.count("*").alias("n_docs"))
     # One row per class.
     everything = Window.partitionBy()
@@ -376,7 +371,7 @@ def nb_model_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nb_spark_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(hashed.predictions(hashed.stored_vectors(spark, sf_dir)))
+    return _rounded(hashed.predictions(hashed.vectors(spark, sf_dir)))
 
 
 def _count_predictions(docs: DataFrame, part: str | None = None) -> DataFrame:
@@ -404,7 +399,7 @@ def nb_tfidf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nb_ml_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same job with ``pyspark.ml`` stages, on the same bucket numbers."""
     bucket = F.transform("words", lambda w: hash_bucket(w, features.NUM_FEATURES).cast("string"))
-    words = _clean_words(spark, sf_dir)
+    words = hashed.words(spark, sf_dir)
     rows = materialise(words.select("doc_id", "label", "split", bucket.alias("buckets")), "clean-buckets")
     numbers = [str(i) for i in range(features.NUM_FEATURES)]
     model = Pipeline(
@@ -438,7 +433,7 @@ def score_new_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def accuracy_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = hashed.predictions(hashed.stored_vectors(spark, sf_dir))
+    scored = hashed.predictions(hashed.vectors(spark, sf_dir))
     return _rounded(evaluate.accuracy(scored, "split"))
 
 
@@ -485,7 +480,7 @@ def classification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bucket_test_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hashed.test_predictions(hashed.stored_vectors(spark, sf_dir))
+    return hashed.test_predictions(hashed.vectors(spark, sf_dir))
 
 
 def per_class_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -500,8 +495,21 @@ def auc_from_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(evaluate.auc_from_classes(_bucket_test_predictions(spark, sf_dir)))
 
 
+def auc_from_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same positives, ranked by the log-odds of the classes above the lowest instead of the class id."""
+    scored = _bucket_test_predictions(spark, sf_dir)
+    above = -ranking.log_odds(naive_bayes.CLASSES[0], naive_bayes.CLASSES)
+    return _rounded(ranking.auc(scored.select(above.alias("score"), (F.col("label") > 0.5).alias("positive"))))
+
+
+def auc_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each class against the rest on the test part, by its own log-odds."""
+    scored = _count_predictions(vocabulary.labelled_vectors(spark, sf_dir), "test")
+    return _rounded(ranking.auc(ranking.one_vs_rest(scored, naive_bayes.CLASSES), ["label"]))
+
+
 def cv_fold_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = hashed.cross_validated(hashed.stored_vectors(spark, sf_dir))
+    scored = hashed.cross_validated(hashed.vectors(spark, sf_dir))
     return _rounded(crossval.fold_accuracy(scored))
 
 
@@ -595,6 +603,8 @@ QUERIES: dict[str, Query] = {
     "per_class_metrics": per_class_metrics,
     "weighted_metrics": weighted_metrics,
     "auc_from_classes": auc_from_classes,
+    "auc_from_scores": auc_from_scores,
+    "auc_by_class": auc_by_class,
     "cv_fold_accuracy": cv_fold_accuracy,
     "cv_summary": cv_summary,
 }

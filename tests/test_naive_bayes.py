@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import pytest
 from pyspark.ml.classification import NaiveBayes
@@ -9,7 +10,7 @@ from pyspark.ml.feature import IDF, HashingTF
 from pyspark.sql import functions as F
 
 from moodmill.functions.terms import ngrams
-from moodmill.operators import crossval, features, naive_bayes, skew, splits
+from moodmill.operators import crossval, features, naive_bayes, prepare, skew, splits
 from moodmill.plans import hashed, vocabulary
 
 BUCKETS = 64
@@ -242,33 +243,50 @@ def test_plans_stay_on_the_jvm(spark, small):
         plan = df._jdf.queryExecution().executedPlan().toString()
         for word in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert word not in plan
-        assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+        # A scan that reads texts reads nothing else but their key; stored features need none.
+        read = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+        assert read and all(schema == "doc_id:bigint,text:string" for schema in read if "text" in schema)
+        assert any("text" in schema for schema in read) == (df is rows)
 
 
 def test_new_sentences_get_a_class(spark):
-    good, bad = "Such a fabulous, perfect flight! Thank you", "This is awful. My bag is lost, bye"
+    good, bad = "What a calm crossing, warm food, friendly crew", "Delayed again, cold seats, nobody answers"
     texts = [(i, 2 if i % 2 else 0, good if i % 2 else bad, "train") for i in range(6)]
     rows = spark.createDataFrame(texts, "doc_id long, label int, text string, split string")
     model = vocabulary.fit_tfidf(vocabulary.stored_vectors(rows), "tfidf")
-    new = ["very fabulous", "this is very awful", "bye", "good perfect", "nothing known"]
+    new = ["warm and calm", "cold, delayed", "nobody", "friendly food", "zebra"]
     asked = spark.createDataFrame(list(enumerate(new)), "doc_id long, text string")
     got = {new[r.doc_id]: r.prediction for r in vocabulary.score_texts(model, asked).collect()}
     assert got == dict(zip(new, [2, 0, 0, 2, 0], strict=True))
 
 
-@pytest.mark.parametrize("threshold", ["10MB", "-1"])  # small labels, large labels
-def test_dedup_reads_texts_once(spark, small, threshold):
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    try:
-        plan = hashed.prepared(spark, small)._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert plan.count("documents.parquet") == 1
-    # The labelled texts travel once, by their digest; small labels leave the others in place.
-    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    by_key = sum("hashpartitioning(doc_id" in line for line in exchanges)
-    assert (len(exchanges) - by_key, by_key) == (1, 0 if threshold == "10MB" else 2)
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def moved(plan):
+    """What lies right below each exchange."""
+    lines = plan.splitlines()
+    return [below for line, below in zip(lines, lines[1:]) if "Exchange hashpartitioning" in line]
+
+
+def test_survivors_move_digests_only(spark, small):
+    plan = plan_of(hashed.survivors(spark, small))
+    assert plan.count("documents.parquet") == 1 and "SortAggregate" not in plan
+    assert moved(plan) and not any("text#" in below for below in moved(plan))
+
+
+def test_stored_features_need_no_text(spark, small):
+    plan = plan_of(hashed.vectors(spark, small))
+    assert "documents.parquet" not in plan and "SortAggregate" not in plan
+    assert "LeftSemi" in plan
+
+
+def test_deduplicated_rows_move_no_text(spark, small):
+    rows = hashed.allowed(spark, small)
+    plan = plan_of(prepare.dedup_rows(rows, ["sentiment", "text"]))
+    assert plan.count("documents.parquet") == 1 and "Aggregate" not in plan
+    assert not any("text#" in below for below in moved(plan))
 
 
 def test_no_key_outweighs_an_average_partition(spark):

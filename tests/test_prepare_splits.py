@@ -18,6 +18,13 @@ def test_dedup_keeps_case_and_label_variants(spark):
     assert [r.doc_id for r in kept] == [2, 3, 4]
 
 
+def test_dedup_treats_nulls_as_equal_and_keeps_a_null_key(spark):
+    rows = [(1, None, "x"), (2, None, "x"), (3, "a", None), (4, "a", None), (None, "b", "x"), (5, "a", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, sentiment string, text string")
+    kept = prepare.dedup_rows(df, ["sentiment", "text"]).collect()
+    assert sorted((r.doc_id for r in kept), key=str) == [1, 3, 5, None]
+
+
 def test_dedup_with_a_third_of_all_rows_equal(spark):
     df = spark.range(3000).select(
         F.col("id").alias("doc_id"),
