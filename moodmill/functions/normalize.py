@@ -76,7 +76,8 @@ def expand_contractions(
 ) -> Column:
     """Expand each white-space word found in the dictionary, wherever it occurs in the text.
 
-    The dictionary is a short mapping, or a map column of any size.
+    The dictionary is a short mapping, or a map column with at least the words of its row; ``operators.lookup`` makes
+    that column from a dictionary table of any size.
     """
     if isinstance(contractions, Column):
         return let(text, lambda x: _expanded(x, contractions, lambda w: F.map_contains_key(contractions, w)))

@@ -51,6 +51,7 @@ def cross_validate(
     vocabulary_size: int | None = None,
     classes: Sequence[int] = CLASSES,
     alpha: float = 1.0,
+    training_vocabulary: bool = False,
 ) -> DataFrame:
     """``doc_id, label, fold, prediction`` with each document scored by the other folds.
 
@@ -58,6 +59,10 @@ def cross_validate(
     their terms to the vocabulary, whose size is counted unless given. With ``tfidf`` the
     IDF is refitted for every fold and the prior is smoothed; otherwise raw counts and a
     plain prior.
+
+    With ``training_vocabulary`` the vocabulary too is refitted: that of a fold's model is what the other folds
+    hold, its size is the size of all less the terms that only this fold holds, and a term outside it is
+    left out of the score. The terms of all folds are still counted in one pass.
     """
     table = materialise(count_by_fold(entries, classes), "fold-counts")
     inside = table.filter(F.col("fold").isNotNull())
@@ -78,8 +83,8 @@ def cross_validate(
     # A term that a fold does not hold weighs in it as it does over all folds. So the mass of a
     # class outside a fold is a sum over all terms, corrected for the terms of the fold.
     terms, pairs = real_terms(table), real_terms(inside)
-    over_all = [F.count("*").alias("n_terms")]
-    corrections = []
+    over_all = [F.count("*").alias("n_terms"), F.count_if(F.col("all_df") > 0).alias("n_inside")]
+    corrections = [F.count_if(F.col("df") == 0).alias("exclusive")]
     for c in classes:
         whole = F.col(f"all_tf_{c}")
         over_all.append(F.sum(whole).alias(f"t_{c}"))
@@ -90,6 +95,9 @@ def cross_validate(
     by_fold = {r.fold: r for r in pairs.groupBy("fold").agg(*corrections).collect()}
     if vocabulary_size is None:
         vocabulary_size = totals["n_terms"]
+    sizes_of = dict.fromkeys(folds, vocabulary_size)
+    if training_vocabulary:
+        sizes_of = {f: totals["n_inside"] - (by_fold[f]["exclusive"] if f in by_fold else 0) for f in folds}
 
     smoothing = alpha if tfidf else 0.0
     bias: dict[int, dict[int, float | None]] = {c: {} for c in classes}
@@ -103,7 +111,7 @@ def cross_validate(
             if tfidf:
                 mass = math.log(n_train[f] + 1.0) * mass - (totals[f"l_{c}"] or 0.0)
             mass += by_fold[f][f"b_{c}"] if f in by_fold else 0.0
-            unit[c][f] = math.log(alpha / (mass + alpha * vocabulary_size))
+            unit[c][f] = math.log(alpha / (mass + alpha * max(sizes_of[f], 1)))
 
     # The extra entry is a key too: every document of a fold carries it.
     own = inside.select("term", "fold", (F.col("all_df") - F.col("df")).alias("own"))
@@ -112,7 +120,7 @@ def cross_validate(
     weights = pairs.select(
         "term",
         "fold",
-        idf(F.col("df")).alias("idf"),
+        F.when(F.lit(not training_vocabulary) | (F.col("df") > 0), idf(F.col("df"))).alias("idf"),
         *[F.log1p(idf(F.col("df")) * F.col(f"tf_{c}") / alpha).alias(f"w_{c}") for c in classes],
     )
     scored = entries.filter(F.col("fold").isNotNull())
@@ -134,6 +142,20 @@ def cross_validate(
     return ranked.select("doc_id", "label", "fold", "prediction")
 
 
+def vocabulary_sizes(entries: DataFrame, classes: Sequence[int] = CLASSES) -> DataFrame:
+    """``fold``, the terms that only this fold holds, and the size of the vocabulary without it.
+
+    One count over (term, fold) pairs: a term is exclusive to a fold if no other document has it, so no
+    fold needs a pass of its own.
+    """
+    table = materialise(count_by_fold(entries, classes), "fold-counts")
+    inside = real_terms(table).filter(F.col("fold").isNotNull())
+    exclusive = inside.groupBy("fold").agg(F.count_if(F.col("df") == 0).alias("n_exclusive"))
+    # One row of each term is marked, inside the folds or outside.
+    n_all = real_terms(table).agg(F.count_if(F.col("first") & (F.col("all_df") > 0)).alias("n_all")).scalar()
+    return exclusive.select("fold", "n_exclusive", (n_all - F.col("n_exclusive")).alias("n_terms"))
+
+
 def fold_accuracy(predictions: DataFrame) -> DataFrame:
     """One row per fold: documents, hits and accuracy."""
     hit = F.count_if(F.col("label") == F.col("prediction"))

@@ -79,7 +79,11 @@ def count_training(
 ) -> Counts:
     """Count once, store the counts, and keep the classes that have training documents."""
     train = F.col("split") == "train" if train is None else train
-    table = materialise(count_by_class(entries, classes, train), "counts")
+    return of_table(materialise(count_by_class(entries, classes, train), "counts"), classes)
+
+
+def of_table(table: DataFrame, classes: Sequence[int] = CLASSES) -> Counts:
+    """The counts in a stored table of ``count_by_class`` rows."""
     # One scan for the number of entries and the class sizes, which the extra entry's row holds.
     extra = F.col("term") == _extra_term(table)
     in_class = [F.max(F.when(extra, F.col(f"df_{c}"))).alias(f"n_{c}") for c in classes]
@@ -88,6 +92,14 @@ def count_training(
     return Counts(table, tuple(n_docs), n_docs, hot_keys(table, sizes["entries"] or 0))
 
 
+def training_vocabulary(counts: Counts) -> Counts:
+    """The counts without terms that only other documents hold, so that nothing of these shows in a model.
+
+    Score such a model with ``known_only``: a term that training never met is then left out.
+    """
+    return replace(counts, table=counts.table.filter(counts.train_df > 0))
+
+
 @dataclass
 class Model:
     """``columns`` over ``terms``: one ``w_c`` per class and, for tf-idf values, ``idf``."""
@@ -144,7 +156,7 @@ def fit_counts(counts: Counts, alpha: float = 1.0) -> Model:
 
 def fit_plain_tfidf(counts: Counts, num_features: int, alpha: float = 1.0) -> Model:
     """Multinomial on ``tf * idf`` of hash buckets, with a smoothed prior."""
-    counts = replace(counts, table=counts.table.filter(counts.train_df > 0))
+    counts = training_vocabulary(counts)
     idf = idf_plain(counts.train_df, counts.n_train)
     masses = {c: idf * F.col(f"tf_{c}") for c in counts.classes}
     return _multinomial(
@@ -301,11 +313,11 @@ def predict(
 
 
 def predict_all(
-    models: Mapping[str, Model], entries: DataFrame, keep: Sequence[str] = KEEP
+    models: Mapping[str, Model], entries: DataFrame, keep: Sequence[str] = KEEP, known_only: bool = False
 ) -> DataFrame:
     """``keep`` columns and ``<name>_prediction`` of every model."""
     models = {f"{name}_": model for name, model in models.items()}
-    scored = score_all(models, entries, keep)
+    scored = score_all(models, entries, keep, known_only)
     for name, model in models.items():
         scored = best_class(scored, model.classes, name)
     return scored.select(*keep, *[f"{name}prediction" for name in models])

@@ -84,22 +84,81 @@ def class_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("n_rows"))
 
 
-def profile_columns(df: DataFrame) -> DataFrame:
-    """One row per column: its type, rows, non-null and distinct values."""
-    exprs = []
-    for name in df.columns:
-        exprs.append(F.count(name).alias(f"c_{name}"))
-        exprs.append(F.count_distinct(digest(df, name)).alias(f"d_{name}"))
-    totals = df.agg(F.count("*").alias("n_rows"), *exprs)
+#: log2 of the buckets of a distinct-count sketch, and the relative standard error that it gives.
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def _per_column(df: DataFrame, totals: DataFrame, *more: str) -> DataFrame:
     lines = [
         F.struct(
             F.lit(i).alias("position"),
             F.lit(field.name).alias("column_name"),
             F.lit(field.dataType.simpleString()).alias("column_type"),
             F.col("n_rows"),
-            F.col(f"c_{field.name}").alias("n_present"),
-            F.col(f"d_{field.name}").alias("n_distinct"),
+            F.col(f"present_{i}").alias("n_present"),
+            *[F.col(f"{name}_{i}").alias(name) for name in more],
         )
         for i, field in enumerate(df.schema.fields)
     ]
     return totals.select(F.inline(F.array(*lines)))
+
+
+def _presence(df: DataFrame) -> list[Column]:
+    return [F.count("*").alias("n_rows"), *[F.count(F.col(f"`{c}`")).alias(f"present_{i}") for i, c in enumerate(df.columns)]]
+
+
+def sketch_columns(df: DataFrame) -> DataFrame:
+    """One row per column: its type, rows, non-null values and a ``sketch`` of its distinct values.
+
+    One pass over the table, from which each task sends a single row. The result can be stored, and sketches of
+    further files merged into it.
+    """
+    hashed = [F.when(F.col(f"`{c}`").isNotNull(), F.xxhash64(F.col(f"`{c}`"))) for c in df.columns]
+    sketches = [F.hll_sketch_agg(h, SKETCH_BITS).alias(f"sketch_{i}") for i, h in enumerate(hashed)]
+    return _per_column(df, df.agg(*_presence(df), *sketches), "sketch")
+
+
+def merge_sketches(*parts: DataFrame) -> DataFrame:
+    """The sketches of several sets of rows as those of all of them."""
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    return every.groupBy("position", "column_name", "column_type").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_present").alias("n_present"), F.hll_union_agg("sketch").alias("sketch")
+    )
+
+
+def estimate_distinct(sketches: DataFrame) -> DataFrame:
+    """``n_distinct`` in the place of ``sketch``, with a relative standard error of ``SKETCH_ERROR``."""
+    return sketches.withColumn("n_distinct", F.hll_sketch_estimate("sketch")).drop("sketch")
+
+
+def exact_distinct(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column_name, n_distinct`` by a pass over each column alone, so that no row is repeated per column."""
+    counted = None
+    for name in columns:
+        values = df.select(digest(df, name).alias("value")).filter(F.col("value").isNotNull()).distinct()
+        one = values.agg(F.count("*").alias("n_distinct")).select(F.lit(name).alias("column_name"), "n_distinct")
+        counted = one if counted is None else counted.unionByName(one)
+    return counted
+
+
+def profile_columns(df: DataFrame, exact: Sequence[str] | None = None) -> DataFrame:
+    """One row per column: its type, rows, non-null and distinct values.
+
+    Distinct values are counted exactly for the columns ``exact`` (all, if None) and estimated for the others.
+    """
+    exact = df.columns if exact is None else list(exact)
+    if not exact:
+        return estimate_distinct(sketch_columns(df))
+    counted = exact_distinct(df, exact)
+    if set(exact) == set(df.columns):
+        return _per_column(df, df.agg(*_presence(df))).join(counted, "column_name").select(
+            "position", "column_name", "column_type", "n_rows", "n_present", "n_distinct"
+        )
+    estimated = estimate_distinct(sketch_columns(df))
+    either = F.coalesce(counted["n_distinct"], estimated["n_distinct"]).alias("n_distinct")
+    return estimated.join(counted, "column_name", "left").select(
+        "position", "column_name", "column_type", "n_rows", "n_present", either
+    )

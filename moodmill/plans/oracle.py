@@ -365,22 +365,30 @@ def theta_columns(key: str = "term") -> str:
     return f"SELECT term AS {key}, {cells} FROM theta GROUP BY term"
 
 
-SCORE_NEW = with_(
-    V_UNIT,
-    rf"""fresh_words AS (
+FRESH = rf"""fresh_words AS (
   SELECT item_id AS doc_id, regexp_extract_all(lower(text), '[{WORD}]{{2,}}') AS u
   FROM benchmark WHERE text IS NOT NULL),
 fresh AS (
   SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(list_concat(u,
     list_transform(range(1, len(u)), lambda i: u[i] || ' ' || u[i + 1]))) AS term FROM fresh_words)
-  GROUP BY doc_id, term),
-vals AS (
+  GROUP BY doc_id, term)"""
+FRESH_SCORED = SCORED.replace("FROM docs CROSS JOIN prior", "FROM fresh_words AS docs CROSS JOIN prior").replace(
+    "predicted AS (SELECT doc_id, label, split, prediction FROM docs JOIN best USING (doc_id)),\n", ""
+)
+FRESH_WIDE = "SELECT doc_id, score_0, score_1, score_2, prediction FROM best JOIN wide USING (doc_id)"
+
+SCORE_NEW = with_(
+    V_UNIT,
+    FRESH,
+    """vals AS (
   SELECT doc_id, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id)) AS v
   FROM fresh JOIN idf USING (term))""",
     SUMS,
-    SCORED.replace("FROM docs CROSS JOIN prior", "FROM fresh_words AS docs CROSS JOIN prior")
-    .replace("predicted AS (SELECT doc_id, label, split, prediction FROM docs JOIN best USING (doc_id)),\n", ""),
-    then="SELECT doc_id, score_0, score_1, score_2, prediction FROM best JOIN wide USING (doc_id)",
+    FRESH_SCORED,
+    then=FRESH_WIDE,
+)
+SCORE_NEW_COUNTS = with_(
+    V_COUNT, FRESH, COUNT_VALUES.replace("FROM ent", "FROM fresh"), SUMS, FRESH_SCORED, then=FRESH_WIDE
 )
 
 # -- evaluation ------------------------------------------------------------------------
@@ -437,8 +445,11 @@ AUC_ROW = "n_positive, n_negative, round(auc, 6) AS auc FROM sizes LEFT JOIN win
 FOLD = f"({hash32('doc_id')} // 10)"
 
 
-def cross_validated(entries: str, k: int, size: str, tfidf: bool) -> str:
-    """Each fold's model from the rows of the other folds, over an explicit cross product."""
+def cross_validated(entries: str, k: int, size: str, tfidf: bool, known: str = "") -> str:
+    """Each fold's model from the rows of the other folds, over an explicit cross product.
+
+    ``known`` joins what the scores are restricted to.
+    """
     idf = "ln((m + 1.0) / (coalesce(df, 0) + 1.0))" if tfidf else "1.0"
     prior = "ln((n + 1.0) / (m + kc))" if tfidf else "ln(n / m)"
     return f"""{entries},
@@ -460,6 +471,7 @@ sums AS (
   SELECT doc_id, z.c, sum(tf * idf * ln((coalesce(s, 0) + 1.0) / (z + {size}))) AS s
   FROM tent JOIN idf ON idf.f = tent.fold AND idf.term = tent.term
   JOIN z ON z.f = tent.fold
+  {known}
   LEFT JOIN mass ON mass.f = tent.fold AND mass.term = tent.term AND mass.c = z.c
   GROUP BY doc_id, z.c),
 best AS (
@@ -475,6 +487,11 @@ acc AS (
   FROM tdocs JOIN best USING (doc_id) GROUP BY fold)"""
 
 
+#: The terms of the other folds, and how many they are.
+OTHER_FOLDS = """JOIN (SELECT f, term AS t, count(*) OVER (PARTITION BY f) AS n_voc FROM dft) k
+    ON k.f = tent.fold AND k.t = tent.term"""
+
+
 def profile() -> str:
     names = ["doc_id", "text", "lang", "source", "n_chars"]
     kinds = ["bigint", "string", "string", "string", "bigint"]
@@ -515,8 +532,18 @@ ORACLE: dict[str, str] = {
         LABELLED,
         then="SELECT doc_id, sentiment, replace(string_split(text, chr(10))[1], '\"', '') AS text FROM labelled",
     ),
+    "load_csv_checked": with_(
+        LABELLED,
+        """kinds AS (
+  SELECT length(text) AS n, CASE WHEN doc_id % 7 = 0 THEN 'columns' WHEN doc_id % 11 = 0 THEN 'type of doc_id'
+    WHEN doc_id % 13 = 0 THEN 'missing sentiment' WHEN doc_id % 17 = 0 THEN 'columns' ELSE sentiment END AS kind,
+    kind = sentiment AS good FROM labelled)""",
+        then="SELECT kind, count(*) AS n_rows, CAST(sum(n) FILTER (good) AS BIGINT) AS n_chars FROM kinds GROUP BY kind",
+    ),
     "project_labelled": with_(LABELLED, then="SELECT sentiment, text FROM labelled"),
     "profile_columns": profile(),
+    "profile_sketches": "SELECT position, column_name, n_rows, n_present, n_distinct AS n_exact, true AS within_error "
+    f"FROM ({profile()})",
     "first_rows": with_(
         LABELLED, then="SELECT doc_id, text, sentiment FROM labelled ORDER BY doc_id LIMIT 20"
     ),
@@ -587,6 +614,7 @@ ORACLE: dict[str, str] = {
     "norm_emoticons": tweets(emoticons("lower(text)")),
     "norm_single_letters": tweets(single_letters("lower(text)")),
     "norm_contractions": tweets(contractions("lower(text)")),
+    "norm_contractions_table": tweets(contractions("lower(text)")),
     "norm_punct": tweets(punctuation("lower(text)")),
     "squeeze_to_two": with_(
         "l AS (SELECT doc_id, string_split(text, '') AS c FROM documents WHERE text IS NOT NULL)",
@@ -644,6 +672,32 @@ ORACLE: dict[str, str] = {
         then="SELECT doc_id, label, count(*) AS n_features, round(sum(tf * idf), 6) AS total "
         "FROM ent JOIN idf USING (term) WHERE split = 'train' GROUP BY doc_id, label",
     ),
+    "nb_train_vocabulary_predict": with_(
+        V_ENT,
+        CLASS_SIZES,
+        PLAIN_PRIOR,
+        "voc AS (SELECT DISTINCT term FROM ent WHERE split = 'train')",
+        COUNT_THETA,
+        COUNT_VALUES,
+        SUMS,
+        SCORED,
+        then=WIDE,
+    ),
+    "nb_model_grown": with_(V_COUNT, then=theta_columns()),
+    "nb_grown_predict": with_(H_PREDICTED, then=WIDE),
+    "cv_train_vocabulary": with_(
+        cross_validated(V_ENT, 10, "n_voc", False, OTHER_FOLDS),
+        then="SELECT fold, n_rows, n_correct, round(accuracy, 6) AS accuracy FROM acc",
+    ),
+    "cv_vocabulary_sizes": with_(
+        V_ENT,
+        f"""tent AS (SELECT term, {FOLD} % 10 AS fold FROM ent WHERE split = 'train'),
+f AS (SELECT DISTINCT fold FROM tent)""",
+        then="""SELECT CAST(fold AS INTEGER) AS fold,
+  (SELECT count(DISTINCT term) FROM tent WHERE tent.fold = f.fold
+    AND term NOT IN (SELECT t.term FROM tent t WHERE t.fold <> f.fold)) AS n_exclusive,
+  (SELECT count(DISTINCT term) FROM tent WHERE tent.fold <> f.fold) AS n_terms FROM f""",
+    ),
     "nb_priors": with_(
         LABELLED,
         H_DOCS,
@@ -671,6 +725,8 @@ ORACLE: dict[str, str] = {
     "nb_tfidf_predict": with_(V_TFIDF, then=WIDE),
     "nb_roles_predict": with_(R_PREDICTED, then=WIDE),
     "score_new_docs": SCORE_NEW,
+    "score_stream_versions": f"SELECT *, CAST(1 AS INTEGER) AS model_version FROM ({SCORE_NEW}) WHERE doc_id % 2 = 0 "
+    f"UNION ALL SELECT *, CAST(2 AS INTEGER) FROM ({SCORE_NEW_COUNTS}) WHERE doc_id % 2 = 1",
     "score_new_stream": SCORE_NEW,
     "accuracy_by_split": with_(
         H_PREDICTED, then=f"SELECT split, {ACCURACY} FROM predicted GROUP BY split"

@@ -14,17 +14,23 @@ from ..functions import normalize, tokens
 from ..functions.hashing import hash_bucket
 from ..functions.terms import ngrams, word_terms
 from ..functions.wordlists import COMMON_CONTRACTIONS, MOJIBAKE_QUOTE, STOP_WORDS
-from ..operators import crossval, evaluate, features, naive_bayes, prepare, ranking, splits
+from ..operators import crossval, evaluate, features, lookup, naive_bayes, prepare, ranking, splits
+from ..operators.training_state import TrainingState
 from ..sources import (
     SENTIMENT_CLASSES,
     bind_positions,
     labelled_conversations,
     labelled_documents,
     read_csv,
+    read_csv_checked,
     read_dictionary,
+    read_dictionary_table,
+    read_runs,
     read_table,
     write_csv,
     write_dictionary,
+    write_dictionary_table,
+    write_run,
 )
 from ..storage import materialise, new_path
 from . import hashed, vocabulary
@@ -107,6 +113,36 @@ def load_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(F.col("doc_id").cast("bigint").alias("doc_id"), "sentiment", "text")
 
 
+def load_csv_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per sentiment and broken records per reason, from a file with planted faults, written as repeated runs."""
+    rows = labelled_documents(spark, sf_dir)
+    size = F.length("text").cast("string")
+    key = F.col("doc_id").cast("string")
+    line = (
+        F.when(F.col("doc_id") % 7 == 0, F.concat_ws(",", key, "sentiment"))
+        .when(F.col("doc_id") % 11 == 0, F.concat_ws(",", F.concat(F.lit("no"), key), "sentiment", size))
+        .when(F.col("doc_id") % 13 == 0, F.concat_ws(",", key, F.lit(""), size))
+        .when(F.col("doc_id") % 17 == 0, F.concat_ws(",", key, "sentiment", size, F.lit("more")))
+        .otherwise(F.concat_ws(",", key, "sentiment", size))
+    )
+    path = new_path(spark, "csv")
+    rows.select(line.alias("value")).write.text(path)
+    columns = {"doc_id": "bigint", "sentiment": "string", "n_chars": "int"}
+    good, broken = read_csv_checked(spark, path, columns, ["sentiment"], header=False)
+    kept, aside = new_path(spark, "rows"), new_path(spark, "quarantine")
+    # The first attempt at the second run fails after some of its rows; the repetition replaces it.
+    for run, part in (("0", good.filter("doc_id % 2 = 0")), ("1", good.limit(5)), ("1", good.filter("doc_id % 2 = 1"))):
+        write_run(part, kept, run, "sentiment")
+    write_run(broken, aside, "0", "reason")
+    good_counts = read_runs(spark, kept).groupBy(F.col("sentiment").alias("kind")).agg(
+        F.count("*").alias("n_rows"), F.sum("n_chars").alias("n_chars")
+    )
+    broken_counts = read_runs(spark, aside).groupBy(F.col("reason").alias("kind")).agg(
+        F.count("*").alias("n_rows"), F.lit(None).cast("long").alias("n_chars")
+    )
+    return good_counts.unionByName(broken_counts)
+
+
 # -- preparation -----------------------------------------------------------------------
 
 
@@ -118,6 +154,20 @@ def profile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare.profile_columns(read_table(spark, sf_dir, "documents"))
 
 
+def profile_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct counts from merged sketches of three parts of the table, held against the exact ones."""
+    table = read_table(spark, sf_dir, "documents")
+    parts = [prepare.sketch_columns(table.filter(F.pmod(F.xxhash64(*table.columns), F.lit(3)) == i)) for i in range(3)]
+    estimated = prepare.estimate_distinct(materialise(prepare.merge_sketches(*parts), "column-sketches"))
+    exact = prepare.exact_distinct(table, table.columns).withColumnRenamed("n_distinct", "n_exact")
+    off = F.abs(F.col("n_distinct") - F.col("n_exact"))
+    # Four standard errors.
+    near = off <= F.greatest(F.lit(1.0), 4 * prepare.SKETCH_ERROR * F.col("n_exact"))
+    return estimated.join(exact, "column_name").select(
+        "position", "column_name", "n_rows", "n_present", "n_exact", near.alias("within_error")
+    )
+
+
 def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled_documents(spark, sf_dir).orderBy("doc_id").limit(20)
 
@@ -238,6 +288,14 @@ def norm_contractions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select("doc_id", expanded.alias("result"))
 
 
+def norm_contractions_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the dictionary as a table of one entry per row, stored and read line by line."""
+    rows = spark.createDataFrame(list(COMMON_CONTRACTIONS.items()), "short string, long string")
+    path = write_dictionary_table(rows, new_path(spark, "dictionary"))
+    texts = _documents(spark, sf_dir).select("doc_id", F.lower(tweet_text(F.col("text"))).alias("result"))
+    return lookup.expand_from_table(texts, read_dictionary_table(spark, path, lines=True), text="result")
+
+
 def _words(text: Column) -> Column:
     return tokens.drop_empty(F.split(text, f"[{tokens.SPACE}]"))
 
@@ -396,6 +454,35 @@ def nb_tfidf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(vocabulary.predictions(model, docs))
 
 
+def nb_train_vocabulary_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vocabulary is what training documents hold; what only test documents hold is left out."""
+    docs = vocabulary.labelled_vectors(spark, sf_dir)
+    model = naive_bayes.fit_counts(naive_bayes.training_vocabulary(vocabulary.counts(docs)))
+    return _rounded(vocabulary.predictions(model, docs, known_only=True))
+
+
+def _grown_state(spark: SparkSession, sf_dir: str, entries: Callable[..., DataFrame], docs: DataFrame) -> TrainingState:
+    state = TrainingState(spark, new_path(spark, "training-state"))
+    for part in (0, 1, 2):
+        state.add(f"part{part}", entries(docs.filter(F.col("doc_id") % 3 == part), "label", "split"))
+    return state
+
+
+def nb_model_grown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The count model from three sets of documents that were added one after the other."""
+    docs = vocabulary.labelled_vectors(spark, sf_dir)
+    state = _grown_state(spark, sf_dir, vocabulary.entries, docs)
+    return _rounded(naive_bayes.log_likelihoods(naive_bayes.fit_counts(state.counts())))
+
+
+def nb_grown_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The TF-IDF model of buckets from a grown and compacted state, with its IDF refitted from the sums."""
+    docs = hashed.vectors(spark, sf_dir)
+    state = _grown_state(spark, sf_dir, hashed.entries, docs).compacted(new_path(spark, "training-state"))
+    model = naive_bayes.fit_plain_tfidf(state.counts(), features.NUM_FEATURES)
+    return _rounded(naive_bayes.predict(model, hashed.entries(docs, "label", "split")))
+
+
 def nb_ml_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same job with ``pyspark.ml`` stages, on the same bucket numbers."""
     bucket = F.transform("words", lambda w: hash_bucket(w, features.NUM_FEATURES).cast("string"))
@@ -429,6 +516,10 @@ def score_new_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(vocabulary.score_new_stream(spark, sf_dir))
 
 
+def score_stream_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(vocabulary.score_versioned(spark, sf_dir))
+
+
 # -- evaluation ------------------------------------------------------------------------
 
 
@@ -518,12 +609,26 @@ def cv_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(crossval.summarise_folds(crossval.fold_accuracy(scored)))
 
 
+def cv_train_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy per fold with the vocabulary refitted on the other folds."""
+    docs = vocabulary.labelled_vectors(spark, sf_dir)
+    return _rounded(crossval.fold_accuracy(vocabulary.cross_validated(docs, training_vocabulary=True)))
+
+
+def cv_vocabulary_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms that only one fold holds, and the vocabulary without it."""
+    docs = vocabulary.with_vectors(vocabulary.prepared(spark, sf_dir))
+    return crossval.vocabulary_sizes(vocabulary.folded_entries(docs))
+
+
 QUERIES: dict[str, Query] = {
     "load_csv": load_csv,
     "load_csv_latin1": load_csv_latin1,
     "load_csv_lines": load_csv_lines,
+    "load_csv_checked": load_csv_checked,
     "project_labelled": project_labelled,
     "profile_columns": profile_columns,
+    "profile_sketches": profile_sketches,
     "first_rows": first_rows,
     "filter_labels": filter_labels,
     "drop_nulls": drop_nulls,
@@ -568,6 +673,7 @@ QUERIES: dict[str, Query] = {
     "norm_emoticons": _tweet_like(lambda t: normalize.replace_emoticons(F.lower(t))),
     "norm_single_letters": _tweet_like(lambda t: normalize.drop_single_letters(F.lower(t))),
     "norm_contractions": norm_contractions,
+    "norm_contractions_table": norm_contractions_table,
     "norm_punct": _tweet_like(lambda t: normalize.blank_punctuation(F.lower(t))),
     "squeeze_to_two": _per_document(normalize.squeeze_to_two),
     "normalize_text": _per_document(normalize.normalize_text),
@@ -590,10 +696,14 @@ QUERIES: dict[str, Query] = {
     "nb_predict": nb_predict,
     "nb_bernoulli_predict": nb_bernoulli_predict,
     "nb_tfidf_predict": nb_tfidf_predict,
+    "nb_train_vocabulary_predict": nb_train_vocabulary_predict,
+    "nb_model_grown": nb_model_grown,
+    "nb_grown_predict": nb_grown_predict,
     "nb_ml_stages": nb_ml_stages,
     "nb_roles_predict": nb_roles_predict,
     "score_new_docs": score_new_docs,
     "score_new_stream": score_new_stream,
+    "score_stream_versions": score_stream_versions,
     "accuracy_by_split": accuracy_by_split,
     "accuracy_replicated": accuracy_replicated,
     "accuracy_by_model": accuracy_by_model,
@@ -607,4 +717,6 @@ QUERIES: dict[str, Query] = {
     "auc_by_class": auc_by_class,
     "cv_fold_accuracy": cv_fold_accuracy,
     "cv_summary": cv_summary,
+    "cv_train_vocabulary": cv_train_vocabulary,
+    "cv_vocabulary_sizes": cv_vocabulary_sizes,
 }

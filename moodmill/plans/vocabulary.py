@@ -14,6 +14,7 @@ from ..operators.features import term_vector, unfold
 from ..sources import labelled_documents, read_table
 from ..storage import materialise, new_path
 from ..streaming.score import score_stream
+from ..streaming.versions import ModelStore, read_scores, score_versioned_stream
 
 CV_FOLDS = 10
 
@@ -62,15 +63,17 @@ def fit_tfidf(docs: DataFrame, score_on: str = "count") -> naive_bayes.Model:
     return naive_bayes.fit_unit_tfidf(unit_counts(docs), score_on)
 
 
-def predictions(models: naive_bayes.Model | dict[str, naive_bayes.Model], docs: DataFrame) -> DataFrame:
+def predictions(
+    models: naive_bayes.Model | dict[str, naive_bayes.Model], docs: DataFrame, known_only: bool = False
+) -> DataFrame:
     """``doc_id, label, split`` and the prediction of one model or of several.
 
     Only the key travels with the terms; label and split meet the result once per document.
     """
     if isinstance(models, dict):
-        scored = naive_bayes.predict_all(models, entries(docs), ["doc_id"])
+        scored = naive_bayes.predict_all(models, entries(docs), ["doc_id"], known_only)
     else:
-        scored = naive_bayes.predict(models, entries(docs), ["doc_id"])
+        scored = naive_bayes.predict(models, entries(docs), ["doc_id"], known_only)
     return docs.select("doc_id", "label", "split").join(scored, "doc_id")
 
 
@@ -106,9 +109,27 @@ def score_new_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).drop("batch")
 
 
-def cross_validated(docs: DataFrame, k: int = CV_FOLDS) -> DataFrame:
-    """Folds of the training part; the vocabulary is that of all documents."""
-    folded = splits.folds(docs, k)
+def score_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts in two files: the second arrives after a second model has been published."""
+    docs = labelled_vectors(spark, sf_dir)
+    texts = read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    store = ModelStore(spark, new_path(spark, "models"))
+    arriving, out, progress = (new_path(spark, name) for name in ("arriving", "scored", "progress"))
+    models = (lambda: fit_tfidf(docs, "tfidf"), lambda: naive_bayes.fit_counts(counts(docs)))
+    for part, fit in enumerate(models):
+        store.publish(fit())
+        texts.filter(F.col("doc_id") % 2 == part).coalesce(1).write.mode("append").parquet(arriving)
+        stream = spark.readStream.schema(texts.schema).parquet(arriving)
+        score_versioned_stream(stream, store, score_texts, out, progress).awaitTermination()
+    return read_scores(spark, out).drop("batch")
+
+
+def folded_entries(docs: DataFrame, k: int = CV_FOLDS) -> DataFrame:
+    """Entries with the fold of training documents; those of the others have none."""
     fold = F.when(F.col("split") == "train", F.col("fold"))
-    rows = entries(folded.withColumn("fold", fold), "label", "fold")
-    return crossval.cross_validate(rows, k, tfidf=False)
+    return entries(splits.folds(docs, k).withColumn("fold", fold), "label", "fold")
+
+
+def cross_validated(docs: DataFrame, k: int = CV_FOLDS, training_vocabulary: bool = False) -> DataFrame:
+    """Folds of the training part; the vocabulary is that of all documents, or of the other folds only."""
+    return crossval.cross_validate(folded_entries(docs, k), k, tfidf=False, training_vocabulary=training_vocabulary)

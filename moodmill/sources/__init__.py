@@ -1,6 +1,6 @@
-from .csv import bind_positions, read_csv, write_csv
-from .dictionary import read_dictionary, write_dictionary
-from .sinks import write_table
+from .csv import bind_positions, read_csv, read_csv_checked, write_csv
+from .dictionary import read_dictionary, read_dictionary_table, write_dictionary, write_dictionary_table
+from .sinks import read_runs, write_run, write_table
 from .tables import (
     SENTIMENT_CLASSES,
     labelled_conversations,
@@ -14,9 +14,14 @@ __all__ = [
     "labelled_conversations",
     "labelled_documents",
     "read_csv",
+    "read_csv_checked",
     "read_dictionary",
+    "read_dictionary_table",
+    "read_runs",
     "read_table",
     "write_csv",
     "write_dictionary",
+    "write_dictionary_table",
+    "write_run",
     "write_table",
 ]

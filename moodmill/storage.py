@@ -40,6 +40,27 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to ``path`` to its end."""
+    files, place = _file_system(spark, f"{path}/_SUCCESS")
+    return files.exists(place)
+
+
+def numbered_folders(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The ``n`` of all complete tables ``path/name=n``, in order."""
+    files, place = _file_system(spark, path)
+    if not files.exists(place):
+        return []
+    found = [status.getPath().getName() for status in files.listStatus(place)]
+    numbers = sorted(int(f.removeprefix(f"{name}=")) for f in found if f.startswith(f"{name}="))
+    return [n for n in numbers if is_complete(spark, f"{path}/{name}={n}")]
+
+
 @contextmanager
 def removing_tables(spark: SparkSession) -> Iterator[None]:
     """Remove the tables that were stored inside, once the results that need them are written.
@@ -52,10 +73,9 @@ def removing_tables(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _open_scopes.reset(token)
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
         for path in paths:
-            place = hadoop.Path(path)
-            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+            files, place = _file_system(spark, path)
+            files.delete(place, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -83,3 +83,27 @@ def test_profile(spark):
     rows = {r.column_name: r for r in prepare.profile_columns(df).collect()}
     assert (rows["t"].n_rows, rows["t"].n_present, rows["t"].n_distinct) == (3, 2, 1)
     assert rows["id"].column_type == "bigint"
+
+
+def test_profile_without_repeating_rows(spark, small):
+    df = spark.read.parquet(f"{small}/documents.parquet")
+    plan = prepare.profile_columns(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "SortAggregate" not in plan
+
+
+def test_profile_of_asked_columns_and_odd_values(spark):
+    rows = [(i % 7, None if i % 3 else float(i), ["a"] * (i % 2), f"t{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "k int, `x y` double, list array<string>, t string")
+    got = {r.column_name: r for r in prepare.profile_columns(df, exact=["k"]).collect()}
+    assert (got["k"].n_distinct, got["x y"].n_present, got["list"].n_distinct) == (7, 1000, 2)
+    assert abs(got["t"].n_distinct - 3000) < 4 * prepare.SKETCH_ERROR * 3000
+    assert [r.n_distinct for r in prepare.profile_columns(df.filter("false")).orderBy("position").collect()] == [0] * 4
+
+
+def test_merged_sketches_are_those_of_all_rows(spark):
+    df = spark.range(5000).select(F.col("id") % 1237, F.concat(F.lit("v"), "id").alias("v"))
+    whole = prepare.estimate_distinct(prepare.sketch_columns(df))
+    parts = [prepare.sketch_columns(df.filter(F.col("v").endswith(str(i)))) for i in range(10)]
+    merged = prepare.estimate_distinct(prepare.merge_sketches(*parts))
+    as_rows = lambda d: sorted(tuple(r) for r in d.select(*whole.columns).collect())
+    assert as_rows(merged) == as_rows(whole)

@@ -11,10 +11,13 @@ from moodmill.sources import (
     SENTIMENT_CLASSES,
     bind_positions,
     read_csv,
+    read_csv_checked,
     read_dictionary,
+    read_runs,
     read_table,
     write_csv,
     write_dictionary,
+    write_run,
     write_table,
 )
 from moodmill.streaming.score import score_stream
@@ -138,3 +141,36 @@ def test_stream_batches_are_stored_once(spark, tmp_path):
         measure = lambda b: b.select("text", F.length("text").alias("n"))
         score_stream(stream, measure, out, progress).awaitTermination()
     assert sorted((r.text, r.n) for r in spark.read.parquet(out).collect()) == [("a", 1), ("bb", 2)]
+
+
+def test_checked_csv_loses_no_line(spark, tmp_path):
+    lines = ["id,word,n", "1,a,5", "2,b", "x,c,7", "3,,8", "4,d,9,10", '5,"e,f",1', '6,"open,2', "7,g,3.5", "", "8,h,"]
+    (tmp_path / "in.csv").write_text("\n".join(lines) + "\n")
+    good, broken = read_csv_checked(spark, str(tmp_path / "in.csv"), {"id": "bigint", "word": "string", "n": "int"}, ["word"])
+    assert sorted(tuple(r) for r in good.collect()) == [(1, "a", 5), (5, "e,f", 1), (8, "h", None)]
+    found = {r.record: r.reason for r in broken.collect()}
+    assert found == {
+        "2,b": "columns",
+        "x,c,7": "type of id",
+        "3,,8": "missing word",
+        "4,d,9,10": "columns",
+        '6,"open,2': "columns",
+        "7,g,3.5": "type of n",
+    }
+    assert all(r.file.endswith("in.csv") for r in broken.collect())
+
+
+def test_checked_csv_without_lines(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("a,b\n")
+    good, broken = read_csv_checked(spark, str(tmp_path / "in.csv"), {"a": "int", "b": "string"})
+    assert (good.count(), broken.count()) == (0, 0)
+
+
+def test_a_repeated_run_replaces_its_rows_only(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = lambda *pairs: spark.createDataFrame(pairs, "k int, part string")
+    write_run(rows((1, "a"), (2, "b")), path, "one", "part")
+    write_run(rows((3, "a"), (4, "c")), path, "two", "part")
+    write_run(rows((5, "a")), path, "two", "part")
+    got = sorted((r.run, r.part, r.k) for r in read_runs(spark, path).collect())
+    assert got == [("one", "a", 1), ("one", "b", 2), ("two", "a", 5)]
