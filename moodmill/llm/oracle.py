@@ -65,8 +65,8 @@ def scanned(kind: int, pattern: str, value: str, passes: str) -> str:
 
 SECRETS = f"""
 WITH s_docs AS (
-  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner,
-    coalesce(source, '') || '/' || coalesce(lang, '') AS repository
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, coalesce('=' || source, '') AS owner,
+    concat_ws('/', source, lang) AS repository
   FROM documents),
 s_base AS (
 {scanned(0, ASSIGN, f"regexp_extract(m, '{ASSIGN}', 2)", f"length(regexp_extract(m, '{ASSIGN}', 2)) >= 6")}
@@ -82,11 +82,11 @@ s_all AS (
   SELECT * FROM s_bare r WHERE NOT EXISTS (
     SELECT 1 FROM s_base b WHERE b.rid = r.rid AND b.start < r.stop AND r.start < b.stop)),
 s_owners AS (
-  SELECT value, count(DISTINCT owner) AS n,
+  SELECT value, count(DISTINCT owner) AS n, count(DISTINCT repository) AS places,
     length(value) >= 12 AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AS live
   FROM s_all JOIN s_docs USING (rid) GROUP BY value),
 s_judged AS (
-  SELECT s_all.*, CASE WHEN n >= 3 THEN 'example' WHEN n = 1 AND live THEN 'live' ELSE 'shared' END AS verdict,
+  SELECT s_all.*, places, CASE WHEN n >= 3 OR places >= 4 THEN 'example' WHEN n = 1 AND live THEN 'live' ELSE 'shared' END AS verdict,
     ['assign', 'access', 'hex', 'bare'][kind + 1] || ':' || start::BIGINT || ':' || stop::BIGINT AS said
   FROM s_all JOIN s_owners USING (value)),
 s_totals AS (
@@ -94,11 +94,13 @@ s_totals AS (
     count(*) FILTER (kind = 2) AS n_hex,
     string_agg(said, ',' ORDER BY start, kind) FILTER (kind < 3) AS base,
     string_agg(said, ',' ORDER BY start, kind) FILTER (kind < 3 OR verdict = 'live') AS spans,
-    count(*) FILTER (verdict = 'live') AS n_live, count(*) FILTER (verdict = 'example') AS n_example
+    count(*) FILTER (verdict = 'live') AS n_live, count(*) FILTER (verdict = 'example') AS n_example,
+    max(places) AS most_repositories
   FROM s_judged GROUP BY rid)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
-  coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+  coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example,
+  coalesce(most_repositories, 0) AS most_repositories
 FROM s_docs LEFT JOIN s_totals USING (rid)
 """
 

@@ -52,7 +52,7 @@ def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    repository = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")))
+    repository = F.concat_ws("/", "source", "lang")
     return secret_scan.report(docs, F.col("source"), repository)
 
 
