@@ -3,8 +3,10 @@
 *Fingerprints.* A text's words (ASCII letters lower-cased) form shingles; a bit is 1 if more than
 half of the shingles' XXH64 values (seed 42) have it set.
 
-*Self-join.* Equal fingerprints are one entry. 64 bits are cut into ``budget + 1`` blocks; two
-fingerprints within the budget agree in a block, so entries meet in the groups of (block, value).
+*Self-join.* Equal fingerprints are one entry. 64 bits are cut into ``budget + agree`` blocks; two fingerprints
+within the budget agree in at least ``agree`` of them, so entries meet in the groups of (blocks, their value). One
+block is enough for few entries; the more there are, the more blocks have to agree, so that groups stay
+small: the value has 12, 21, 27 or 32 bits at 5, 15, 35 or 70 groups an entry.
 Each group builds a binary trie, as ranges of a sorted array, over the remaining bits and walks
 pairs of nodes together: a pair of nodes carries the bits in which its prefixes differ and is
 dropped beyond the budget, or when both nodes lie in one component already. A task returns a star
@@ -14,18 +16,22 @@ per component and never the pairs. A group above ``group_rows`` is cut into chun
 
 Defined results: a null text, or one without words, has fingerprint zero and links like any other;
 fewer words than a shingle form one shingle; repeated rows share everything; a null key never is the
-least one, and a component of null keys alone has a null id; an empty table gives an empty table.
+least one, and a component of null keys alone has a null id; a very long text is read whole; an empty table gives an
+empty table; other columns, whatever their names, are not read by ``near_duplicates`` and come back unchanged from
+``keep_one``. ``keep_one`` keeps the row with the least (key, digest of the text) of each component, null keys last, and one
+of rows that are equal in both.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from moodmill.llm.components import components
@@ -33,15 +39,15 @@ from moodmill.storage import materialise
 
 SHINGLE = 4
 BUDGET = 4
+#: Entries of a group on average, above which more blocks have to agree, and the most that have to.
+AVERAGE_GROUP = 64
+MOST_AGREE = 4
 #: Entries of a (block, value) group that one trie takes.
 GROUP_ROWS = 4096
 #: Rows that a task gathers before it walks their tries together, and node pairs walked at once.
 BATCH_ROWS = 1 << 16
 FRONTIER = 1 << 18
 
-#: Which of the pairs of places ``(a, b)`` belong together.
-Alike = Callable[[np.ndarray, np.ndarray], np.ndarray]
-
 _BYTE_ONES = np.uint64(0x0101010101010101)
 
 
@@ -106,23 +112,10 @@ def _unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         parent = _roots(parent)
 
 
-def _unite_alike(parent: np.ndarray, a: np.ndarray, b: np.ndarray, apart: np.ndarray, alike: Alike) -> np.ndarray:
-    """Unites the pairs that ``alike`` confirms, nearest first; pairs that are united by then are not asked."""
-    order = np.argsort(apart, kind="stable")
-    a, b, step = a[order], b[order], 64
-    while len(a):
-        open_ = parent[a] != parent[b]
-        a, b = a[open_], b[open_]
-        good = alike(a[:step], b[:step])
-        parent = _unite(parent, a[:step][good], b[:step][good])
-        a, b, step = a[step:], b[step:], min(2 * step, 4096)
-    return parent
-
-
-def trie_components(values: np.ndarray, groups: np.ndarray, budget: int, alike: Alike | None = None) -> np.ndarray:
+def trie_components(values: np.ndarray, groups: np.ndarray, budget: int) -> np.ndarray:
     """Component (as the least place) of every entry among those of its group within the budget.
 
-    With ``alike`` a pair within the budget is united only if that confirms it. A row of ``values`` is a fingerprint of one or more 64-bit words; rows are distinct within a group
+    A row of ``values`` is a fingerprint of one or more 64-bit words; rows are distinct within a group
     and sorted by (group, words).
     """
     n, words = values.shape
@@ -158,10 +151,7 @@ def trie_components(values: np.ndarray, groups: np.ndarray, budget: int, alike:
             for word in range(words):
                 apart += np.bitwise_count(values[a, word] ^ values[b, word])
             near = apart <= budget
-            if alike is None:
-                parent = _unite(parent, a[near], b[near])
-            else:
-                parent = _unite_alike(parent, a[near], b[near], apart[near], alike)
+            parent = _unite(parent, a[near], b[near])
             alo, ahi, blo, bhi, diff = (x[~single] for x in (alo, ahi, blo, bhi, diff))
         if not len(alo):
             continue
@@ -188,11 +178,35 @@ def trie_components(values: np.ndarray, groups: np.ndarray, budget: int, alike:
     return parent
 
 
-def _block_bounds(budget: int) -> list[tuple[int, int]]:
-    """``(shift, bits)`` of each block from the lowest bit up."""
-    blocks = budget + 1
+def must_agree(count: int, budget: int) -> int:
+    """How many blocks have to agree so that a group has ``AVERAGE_GROUP`` entries or fewer on average."""
+    for agree in range(1, MOST_AGREE):
+        if count <= AVERAGE_GROUP << (64 // (budget + agree) * agree):
+            return agree
+    return MOST_AGREE
+
+
+def block_orders(budget: int, agree: int) -> list[list[tuple[int, int]]]:
+    """For each choice of ``agree`` blocks: ``(shift, bits)`` of all blocks, the chosen ones first."""
+    blocks = budget + agree
     sizes = [64 // blocks + (i < 64 % blocks) for i in range(blocks)]
-    return [(sum(sizes[:i]), size) for i, size in enumerate(sizes)]
+    bounds = [(sum(sizes[:i]), size) for i, size in enumerate(sizes)]
+    chosen = combinations(range(blocks), agree)
+    return [[bounds[i] for i in pick] + [bounds[i] for i in range(blocks) if i not in pick] for pick in chosen]
+
+
+def reordered(fps: np.ndarray, choice: np.ndarray, orders: list[list[tuple[int, int]]]) -> np.ndarray:
+    """Fingerprints with their blocks in the order of their choice, so that the walk starts below the shared ones."""
+    out = np.zeros(len(fps), dtype=np.uint64)
+    for c in np.unique(choice):
+        mine = choice == c
+        left, given = 64, fps[mine]
+        turned = np.zeros(len(given), dtype=np.uint64)
+        for shift, size in orders[c]:
+            left -= size
+            turned |= ((given >> np.uint64(shift)) & np.uint64((1 << size) - 1)) << np.uint64(left)
+        out[mine] = turned
+    return out
 
 
 def _met(entries: DataFrame, group_rows: int, node: str) -> DataFrame:
@@ -254,26 +268,27 @@ def _stars(
     return run
 
 
-def links(distinct: DataFrame, budget: int = BUDGET, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Stars ``(a, b)`` that connect all distinct ``fp`` within the budget of each other."""
-    bounds = _block_bounds(budget)
-    blocks = F.array(
-        *(
-            F.struct(
-                F.lit(i).alias("block"),
-                F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << size) - 1)).alias("value"),
-            )
-            for i, (shift, size) in enumerate(bounds)
-        )
-    )
-    met = _met(distinct.select("fp", F.inline(blocks)), group_rows, "fp")
-    shifts = np.array([(64 - shift - size) % 64 for shift, size in bounds], dtype=np.uint64)
+def links(distinct: DataFrame, budget: int = BUDGET, group_rows: int = GROUP_ROWS, agree: int | None = None) -> DataFrame:
+    """Stars ``(a, b)`` that connect all distinct ``fp`` within the budget of each other.
+
+    ``agree`` decides how entries meet, not what is found; it follows from their number unless given.
+    """
+    orders = block_orders(budget, must_agree(distinct.count(), budget) if agree is None else agree)
+    chosen = len(orders[0]) - budget
+
+    def value(order: list[tuple[int, int]]) -> Column:
+        parts, left = F.lit(0).cast("long"), 0
+        for shift, size in reversed(order[:chosen]):
+            block = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << size) - 1))
+            parts, left = parts.bitwiseOR(F.shiftleft(block, left)), left + size
+        return parts
+
+    groups = F.array(*(F.struct(F.lit(i).alias("block"), value(o).alias("value")) for i, o in enumerate(orders)))
+    met = _met(distinct.select("fp", F.inline(groups)), group_rows, "fp")
 
     def solve(rows: pd.DataFrame, group: np.ndarray) -> pd.DataFrame:
         fps = rows["fp"].to_numpy().view(np.uint64)
-        turn = shifts[rows["block"].to_numpy()]
-        # The shared block comes first, so that the walk starts below it.
-        turned = (fps << turn) | (fps >> ((np.uint64(64) - turn) % np.uint64(64)))
+        turned = reordered(fps, rows["block"].to_numpy(), orders)
         order = np.lexsort((turned, group))
         fps = fps[order].view(np.int64)
         root = trie_components(turned[order][:, None], group[order], budget)
@@ -283,6 +298,12 @@ def links(distinct: DataFrame, budget: int = BUDGET, group_rows: int = GROUP_ROW
     return met.mapInPandas(_stars(solve), "a bigint, b bigint")
 
 
+def _rooted(distinct: DataFrame, budget: int, group_rows: int) -> DataFrame:
+    """``distinct`` rows, unique in ``fp``, with ``root``, which names their component."""
+    labels = components(links(distinct.select("fp"), budget, group_rows)).withColumnRenamed("node", "fp")
+    return distinct.join(labels, "fp", "left").withColumn("root", F.coalesce("label", "fp")).drop("label")
+
+
 def near_duplicates(
     docs: DataFrame,
     key: str = "doc_id",
@@ -294,12 +315,51 @@ def near_duplicates(
     """``key``, ``fp`` and ``component_id`` (the least key reachable) for every row."""
     stored = materialise(fingerprints(docs, key, text, width), "simhash")
     first = materialise(stored.groupBy("fp").agg(F.min(key).alias("first")), "simhash-distinct")
-    labels = components(links(first.select("fp"), budget, group_rows)).withColumnRenamed("node", "fp")
-    rooted = first.join(labels, "fp", "left").select("fp", "first", F.coalesce("label", "fp").alias("root"))
+    rooted = _rooted(first, budget, group_rows)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     ids = rooted.join(least, "root").select("fp", "component_id")
     return stored.join(ids, "fp").select(key, "fp", "component_id")
 
 
+_ROW = ["_null", "_key", "_digest"]
+
+
+def keep_one(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    width: int = SHINGLE,
+    budget: int = BUDGET,
+    group_rows: int = GROUP_ROWS,
+) -> DataFrame:
+    """One row of each component of near-duplicates, with all columns of ``docs``.
+
+    Only keys and digests travel until the rows to keep are known.
+    """
+    names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    # Rows in a form of their own, whatever the columns are called.
+    bound = docs.select(
+        *[F.col(f"`{c}`").alias(n) for c, n in names.items()],
+        F.col(f"`{key}`").isNull().alias("_null"),
+        F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).alias("_key"),
+        F.md5(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("_digest"),
+    )
+    row = F.struct("_null", names[key], "_key", "_digest")
+    stored = materialise(fingerprints(bound.withColumn("_row", row), "_row", names[text], width), "simhash-rows")
+    # The least row of each fingerprint, and of each component; one row per task and fingerprint travels.
+    first = materialise(stored.groupBy("fp").agg(F.min("_row").alias("_row")), "simhash-distinct")
+    least = _rooted(first, budget, group_rows).groupBy("root").agg(F.min("_row").alias("_row"))
+    chosen = least.select(*[F.col(f"_row.{c}").alias(c) for c in _ROW])
+    counts = stored.select(*[F.col(f"_row.{c}").alias(c) for c in _ROW]).groupBy(*_ROW).count()
+    staying = materialise(chosen.join(counts, _ROW), "simhash-keepers")
+    own = [F.col(n).alias(c) for c, n in names.items()]
+    single = bound.join(staying.filter("count = 1").select(*_ROW), _ROW, "left_semi").select(*own)
+    # Of rows that are equal in key and text, one stays.
+    equal = bound.join(staying.filter("count > 1").select(*_ROW), _ROW, "left_semi")
+    order = Window.partitionBy(*_ROW).orderBy(F.xxhash64(*names.values()))
+    one = equal.withColumn("_n", F.row_number().over(order)).filter("_n = 1").select(*own)
+    return single.unionByName(one)
+
+
 def hexadecimal(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from moodmill.llm import hnsw, simhash_dedup, simhash_similar, substring_dedup
+from moodmill.llm import hnsw, simhash_dedup, substring_dedup
 from moodmill.llm.components import components
 
 
@@ -72,12 +72,12 @@ def test_trie_join(seed):
     assert got.tolist() == slow_components(values, 4)
 
 
-@pytest.mark.parametrize("group_rows", [4096, 8])  # 8: nearly every group is cut into chunks
-def test_links_over_all_blocks(spark, group_rows):
+@pytest.mark.parametrize(("group_rows", "agree"), [(4096, None), (8, None), (4096, 2), (8, 3), (4096, 4)])
+def test_links_over_all_blocks(spark, group_rows, agree):  # 8: nearly every group is cut into chunks
     values = clustered(400, 3)
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
     df = spark.createDataFrame([(v,) for v in signed], "fp long")
-    labels = {r.node: r.label for r in components(simhash_dedup.links(df, 4, group_rows)).collect()}
+    labels = {r.node: r.label for r in components(simhash_dedup.links(df, 4, group_rows, agree)).collect()}
     want = slow_components(values, 4)
     sizes = Counter(want)
     got = {}
@@ -111,59 +111,50 @@ def test_components_of_a_long_chain(spark):
     assert got[20_002] == 20_000 and 30_000 not in got
 
 
-def test_similar_texts_stay_once(spark, odd, empty):
-    rng = random.Random(9)
-    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
-    rows, number = [], 0
-    for group in range(40):
-        base = [word() for _ in range(400)]
-        for copy in range(3):
-            changed = list(base)
-            for _ in range(3 * copy):
-                changed[rng.randrange(400)] = word()
-            rows.append((number, " ".join(changed), group))
-            number += 1
-    df = spark.createDataFrame(rows, "doc_id long, text string, size int")
-    kept = simhash_similar.keep_one(df)
-    assert kept.columns == df.columns
-    assert sorted(r["size"] for r in kept.collect()) == list(range(40))
-    assert {r.doc_id for r in kept.collect()} == {3 * g for g in range(40)}
-    odd_kept = Counter(r.doc_id for r in simhash_similar.keep_one(odd).select("doc_id").collect())
-    assert odd_kept[6] == 1 and 7 not in odd_kept and 8 not in odd_kept and odd_kept[1] == 1
-    assert 2 not in odd_kept and 3 not in odd_kept and odd_kept[10] == 2
-    assert simhash_similar.keep_one(empty).count() == 0
-
-
-def test_a_repeated_line_does_not_make_texts_similar(spark):
-    rng = random.Random(21)
-    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
-    part = lambda: " ".join(word() for _ in range(20)) + " one line that comes back"
-    text = lambda: "\n".join(part() for _ in range(400))
-    df = spark.createDataFrame([(i, text()) for i in range(2)], "doc_id long, text string")
-    assert {r.doc_id for r in simhash_similar.keep_one(df).collect()} == {0, 1}
+def test_more_blocks_agree_as_entries_grow():
+    sizes = [10, 10**6, 10**8, 10**10, 10**13]
+    assert [simhash_dedup.must_agree(n, 4) for n in sizes] == [1, 2, 3, 4, 4]
+    for agree in range(1, 5):
+        orders = simhash_dedup.block_orders(4, agree)
+        assert len(orders) == math.comb(4 + agree, agree)
+        assert all(sum(size for _, size in order) == 64 for order in orders)
+        fps = np.array([random.Random(1).getrandbits(64)] * len(orders), dtype=np.uint64)
+        turned = simhash_dedup.reordered(fps, np.arange(len(orders)), orders)
+        assert all(int(t).bit_count() == int(fps[0]).bit_count() for t in turned)
+
+
+def kept_by_hand(rows):
+    """The least (key, digest) of each component, null keys last."""
+    root = slow_components([slow_fingerprint(text) for _, text in rows], 4)
+    least = {}
+    for (key, text), r in zip(rows, root, strict=True):
+        row = (key is None, key or 0, hashlib.md5((text or "").encode()).hexdigest())
+        least[r] = min(row, least.get(r, row))
+    return Counter((None if null else key, digest) for null, key, digest in least.values())
+
+
+def kept(df):
+    found = simhash_dedup.keep_one(df)
+    assert found.columns == df.columns
+    return Counter((r.doc_id, hashlib.md5((r.text or "").encode()).hexdigest()) for r in found.collect())
 
 
-def test_similarity_is_exact_on_both_sides_of_the_threshold(spark):
-    rng = random.Random(33)
+def test_one_row_of_each_group_stays(spark, odd, odd_rows, empty):
+    rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
     rows = []
-    for pair in range(80):
-        # 396 shingles, of which the last 44 (0.8 exactly) or 45 (0.796) differ; or 5 and 4 shingles (0.8).
+    for group in range(30):
         base = [word() for _ in range(400)]
-        if pair >= 60:
-            base, other = base[:9], base[:8]
-        else:
-            other = [*base[: -44 - pair % 2], *(word() for _ in range(44 + pair % 2))]
-        rows += [(2 * pair, " ".join(base)), (2 * pair + 1, " ".join(other))]
-    got = {r.doc_id for r in simhash_similar.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {2 * p for p in range(80)} | {2 * p + 1 for p in range(60) if p % 2}
-
-
-def test_block_plan_keeps_recall_at_every_size():
-    for count in (0, 10, 10**4, 10**7, 10**10):
-        bits, blocks = simhash_similar.block_plan(count, 0.8)
-        agree = (1 - simhash_similar.differing_share(0.8)) ** bits
-        assert 1 - (1 - agree) ** blocks >= simhash_similar.RECALL
+        for copy in range(4):
+            changed = list(base)
+            for _ in range(copy):
+                changed[rng.randrange(400)] = word()
+            rows.append((rng.randrange(10**6), " ".join(changed)))
+    rows += rows[:7] + [(None, rows[3][1]), (None, "alone"), (None, "alone"), (5, ""), (4, None), (3, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert kept(df) == kept_by_hand(rows)
+    assert kept(odd) == kept_by_hand([r[:2] for r in odd_rows])
+    assert simhash_dedup.keep_one(empty).count() == 0
 
 
 def slow_removal(texts, window=35):
