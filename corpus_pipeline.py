@@ -4,10 +4,16 @@ Each stage reads what its predecessor has written. All but the last return the c
 ``documents``; the last returns the pieces of packed sequences.
 
 1. ``quality_rules`` drops the documents that the rules reject.
-2. ``near_duplicates`` keeps one document of each group of five-word-shingle similarity 0.8 or more.
+2. ``near_duplicates`` keeps one document of each group linked by SimHash fingerprints: four-word shingles, four bits.
 3. ``secrets`` replaces the secrets of one owner or a few in the texts; all documents stay.
 4. ``mix_sources`` repeats or leaves out documents to meet the sources' targets, in training order.
 5. ``pack`` cuts and packs the token ids into sequences.
+
+Defined results, stage by stage: documents with a null or an empty text, or with few words, go in the first stage; rows
+that share a key (null included) are documents of their own, and of rows equal in key and text one stays; a null source
+is a source of its own; very long texts are read, mixed and packed whole; ties go to the smaller key; an
+empty table gives an empty table. Extra columns of the documents, whatever their names, pass through all stages but the
+last, which returns the columns of packing.
 """
 
 from __future__ import annotations
@@ -16,7 +22,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodmill.llm import mixing, packing, quality_rules, secret_scan, simhash_similar
+from moodmill.llm import mixing, packing, quality_rules, secret_scan, simhash_dedup
 from moodmill.llm.text import word_count
 from moodmill.llm.workers import let_workers_import
 from moodmill.storage import materialise
@@ -28,11 +34,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     let_workers_import(spark)
-    return simhash_similar.keep_one(docs)
+    return simhash_dedup.keep_one(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    redacted = secret_scan.redact(docs, "source", "source")
+    redacted = secret_scan.redact(docs, F.col("source"), F.concat_ws("/", "source", "lang"))
     return redacted.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
