@@ -4,8 +4,10 @@
 or 3 by the share of their words that carry a toxic term, cut at the terciles of the sample.
 
 *Features.* Words and word beginnings of 4, 5 and 6 letters (compounds keep their stem). Of these, the
-model keeps the terms most over-represented in toxic documents, counted over the whole sample, and
-adds one feature for the share of words that carry such a term, in powers of two.
+model keeps the terms most over-represented in toxic documents, counted over the whole sample. A term has to
+stand out against chance: the evidence, n times the divergence of its share of toxic documents from that of the
+sample, must exceed the log of the number of terms by ``MARGIN``. So a handful of toxic documents is enough, however
+large the sample. The model adds one feature for the share of words that carry such a term, in powers of two.
 
 *Model.* P(grade <= k) = logistic(theta_k - w.x) with one weight vector for all thresholds and
 theta_1 < theta_2 < theta_3. Severity is the expected grade, from 0 to 3; a document is called toxic if
@@ -16,12 +18,16 @@ The sample is bounded by ``SAMPLE`` labelled rows, taken by a hash of the key, a
 
 Defined results: a null text or one without letters has no features and is not toxic (severity 0); a
 label that is null is no label, and a key labelled twice takes the larger; without labels of both
-kinds every severity is 0; repeated rows are scored alike; an empty table gives an empty table.
+kinds, or if no term stands out (with a warning), every severity is 0; a very long text is scored whole; repeated
+rows are scored alike, equal chances are ties on one side of the cut; an empty table gives an empty table; other
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
+import math
 import re
+import warnings
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -36,11 +42,11 @@ from moodmill.storage import materialise
 SAMPLE = 20_000
 #: Terms of the model, at most.
 TERMS = 4096
-#: Toxic documents that a term needs, as a number and as a share of those in the sample, and how much
-#: more often than others they must have it.
+#: Toxic documents that a term needs, how much more often than others they must have it, and by how much its
+#: evidence must exceed the log of the number of terms (natural logs).
 LEAST_DOCS = 4
-LEAST_SHARE = 0.02
 LEAST_LIFT = 8.0
+MARGIN = 3.0
 PREFIXES = (4, 5, 6)
 GRADES = 4
 #: Features for the share of words with a term: log2 of the share, from 2**-12 up.
@@ -169,6 +175,12 @@ def sample_of(docs: DataFrame, labels: DataFrame, key: str, text: str, label: st
     return materialise(labelled.groupBy("text").agg(F.max("toxic").alias("toxic")), "toxic-sample")
 
 
+def _times_log(count: str, expected: float) -> Column:
+    """``count`` times the log of its share of ``bad + good`` over the expected one."""
+    share = F.col(count) / (F.col("bad") + F.col("good"))
+    return F.when(F.col(count) > 0, F.col(count) * F.log(share / expected)).otherwise(0.0)
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -177,7 +189,7 @@ def fit(
     label: str = "toxic",
     bound: int = SAMPLE,
 ) -> Model | None:
-    """The model, or None where the labels do not hold both kinds."""
+    """The model, or None where the labels do not hold both kinds or no term stands out."""
     sample = sample_of(docs, labels, key, text, label, bound)
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
@@ -187,14 +199,19 @@ def fit(
         .groupBy("term")
         .agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
     )
+    counted = materialise(counted, "toxic-terms")
     lift = ((F.col("bad") + 0.1) / sizes[1]) / ((F.col("good") + 0.1) / sizes[0])
+    expected = sizes[1] / (sizes[0] + sizes[1])
+    evidence = _times_log("bad", expected) + _times_log("good", 1.0 - expected)
+    least = math.log(max(counted.count(), 1)) + MARGIN
     kept = (
-        counted.filter((F.col("bad") >= max(LEAST_DOCS, LEAST_SHARE * sizes[1])) & (lift >= LEAST_LIFT))
+        counted.filter((F.col("bad") >= LEAST_DOCS) & (lift >= LEAST_LIFT) & (evidence >= least))
         .orderBy((F.col("bad") * F.log(lift)).desc(), "term")
         .limit(TERMS)
         .collect()
     )
     if not kept:
+        warnings.warn("no term stands out in toxic documents; every document counts as clean", stacklevel=2)
         return None
     terms = {r["term"]: i for i, r in enumerate(kept)}
     read = sample.select("toxic", "text").mapInArrow(_reading(terms), "toxic int, numbers array<int>, share double")

@@ -131,6 +131,42 @@ def test_ordinal_fit_orders_thresholds():
     assert (np.diff(thresholds) > 0).all() and (weights > 1).all()
 
 
+def penalised(rows, grades, weights, thresholds):
+    """The mean negative log-likelihood and the ridge, from the definition."""
+    total = 0.0
+    for row, grade in zip(rows, grades, strict=True):
+        score = sum(weights[c] for c in row)
+        below = [0.0, *(1 / (1 + math.exp(score - t)) for t in thresholds), 1.0]
+        total -= math.log(below[grade + 1] - below[grade])
+    return total / len(rows) + toxicity.RIDGE / 2 * sum(w * w for w in weights)
+
+
+def test_ordinal_fit_is_at_the_least_loss():
+    rng = random.Random(3)
+    rows = [[c for c in range(5) if rng.random() < 0.4] for _ in range(300)]
+    grades = np.array([min(3, max(0, round(sum(c < 3 for c in row) + rng.gauss(-0.5, 0.8)))) for row in rows])
+    weights, thresholds = toxicity.fit_ordinal(rows, grades, 5)
+    best = penalised(rows, grades, weights, thresholds)
+    assert list(thresholds) == sorted(thresholds)
+    for _ in range(60):
+        moved = weights + np.array([rng.gauss(0, 0.1) for _ in weights])
+        shifted = np.sort(thresholds + np.array([rng.gauss(0, 0.1) for _ in thresholds]))
+        assert penalised(rows, grades, moved, shifted) >= best - 1e-6
+
+
+def test_a_few_toxic_documents_carry_a_term_in_a_large_sample(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(3))
+    rows = [(i, " ".join(word() for _ in range(20)) + (" zzqx" if i % 200 == 0 else " vvqx" if i % 2 == 0 else "")) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(4000)], "doc_id long, toxic int")
+    # 20 of 2,000 toxic texts hold the one term, 1,980 the other, none of the clean ones either.
+    assert {"=zzqx", "=vvqx"} <= set(toxicity.fit(docs, labels).terms)
+    noise = spark.createDataFrame([(i, rng.randrange(2)) for i in range(4000)], "doc_id long, toxic int")
+    with pytest.warns(UserWarning, match="no term"):
+        assert toxicity.fit(docs.select("doc_id", F.concat(F.lit("plain words "), "doc_id").alias("text")), noise) is None
+
+
 def test_toxicity_of_odd_rows(spark, odd, odd_rows, empty):
     labels = spark.createDataFrame([(6, 0), (9, 1), (9, None), (10, 1), (None, 1)], "doc_id long, toxic int")
     model = toxicity.fit(odd, labels)
