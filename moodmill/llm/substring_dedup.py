@@ -1,4 +1,4 @@
-"""Long repeated passages by recompression: consistent symbols, shared ones, and a check.
+"""Long repeated passages: places chosen by recompression rounds, names shared around them, and a check.
 
 A window of ``WINDOW`` words is repeated if its words also start anywhere else in the corpus; every
 word under a repeated window is removed.
@@ -10,19 +10,25 @@ every task without a shared dictionary. Where a symbol begins depends on ``REACH
 side, so equal windows have the same symbols inside that margin, and since a symbol spans at most
 ``SPAN`` words there always is one.
 
-*High-level symbols.* Doubling names of 2, 4, 8 and 16 words name the surroundings of a symbol start.
+A fourth round would lose that: its symbols depend on 16 words to either side and span up to 16, more than a
+window. After three a symbol spans 2 to 3 words on average, and nearly all are shared. So symbols choose
+places, and longer names reveal repeats.
+
+*Names around places.* Doubling names of 2, 4, 8 and 16 words name the surroundings of a symbol start.
 Each window keeps the start of least name in its interior; these anchors, about one in ten words, go
 through Spark, which finds those that two texts, or two places of a text, share. Every repeated
 window keeps the same anchor in all its places, so none is lost.
 
-*Check.* Only windows around shared anchors are compared, by 128-bit names of all their words.
+*Check.* Only windows around shared anchors are compared, by two 64-bit names of all their words, which are
+built from different hashes of the words.
 
 Texts equal as a whole are one entry of the check: all their words are removed if there is a
 window. So a group of copies, however large, sends one text. Sums and least values are merged
 before they travel, and joins on common anchors or windows are left to adaptive skew splitting.
 
 Defined results: a null text has no words; texts shorter than a window keep all words; repeated rows
-are copies of each other; an empty table gives an empty table; null keys are kept as they are.
+are copies of each other; a very long text is read whole; ties do not arise; an empty table gives an empty table; null keys
+are kept as they are; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -153,15 +159,19 @@ class _Batch:
     """The word names of a batch of texts, end to end."""
 
     def __init__(self, texts: list[list[bytes]]) -> None:
-        digest = xxhash.xxh3_64_intdigest
+        self.texts = texts
         sizes = np.array([len(t) for t in texts], dtype=np.int64)
         self.stop = np.cumsum(sizes)
         self.start = self.stop - sizes
         self.text_of = np.repeat(np.arange(len(texts)), sizes)
-        self.words = np.fromiter((digest(w) for t in texts for w in t), dtype=np.uint64, count=int(sizes.sum()))
+        self.words = self.hashed(0)
         self.place, self.name = anchors(self.words, self.text_of, self.start, self.stop)
         self.owner = self.text_of[self.place]
 
+    def hashed(self, seed: int) -> np.ndarray:
+        digest = xxhash.xxh3_64_intdigest
+        return np.fromiter((digest(w, seed) for t in self.texts for w in t), dtype=np.uint64, count=len(self.text_of))
+
 
 #: Characters of texts that are worked on together.
 _GROUP_CHARS = 1 << 23
@@ -207,7 +217,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch, texts in _groups(whole, 1):
             laid = _Batch(texts)
-            names = [stretch_names(laid.words, WINDOW, seed) for seed in (1000, 2000)]
+            names = [stretch_names(words, WINDOW, 1000) for words in (laid.words, laid.hashed(1))]
             bounds = np.searchsorted(laid.owner, np.arange(len(texts) + 1))
             starts, high, low = [], [], []
             for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
