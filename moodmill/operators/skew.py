@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -12,7 +12,7 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(stats: DataFrame, total: int, on: Sequence[str] = ("term",), order: str = "df") -> DataFrame:
+def hot_keys(stats: DataFrame, total: int | Column, on: Sequence[str] = ("term",), order: str = "df") -> DataFrame:
     """``on`` columns and ``salts`` of the keys that outweigh an average shuffle partition.
 
     ``stats`` has one row per key with its entries in ``order``, and ``total`` entries in all. A key
@@ -21,8 +21,8 @@ def hot_keys(stats: DataFrame, total: int, on: Sequence[str] = ("term",), order:
     partitions, so the list is short whatever the data. It only decides how rows travel.
     """
     partitions = shuffle_partitions(stats)
-    limit = max(total, 1) / partitions
-    share = F.col(order) / F.lit(limit)
+    limit = F.greatest(F.lit(1), total if isinstance(total, Column) else F.lit(total)) / partitions
+    share = F.col(order) / limit
     found = stats.filter(share > 1.0).select(*on, F.ceil(share).cast("int").alias("salts"))
     # Held in the plan, so that using the list twice costs nothing.
     return stats.sparkSession.createDataFrame(found.collect(), found.schema)
@@ -31,7 +31,8 @@ def hot_keys(stats: DataFrame, total: int, on: Sequence[str] = ("term",), order:
 def count_hot_keys(entries: DataFrame, on: Sequence[str] = ("term",)) -> DataFrame:
     """The same list for entries that nothing has counted yet."""
     stats = entries.groupBy(*on).agg(F.count("*").alias("df"))
-    return hot_keys(stats, entries.count(), on)
+    # The number of entries is the sum of these counts, whose exchange Spark reuses: the entries are read once.
+    return hot_keys(stats, stats.agg(F.coalesce(F.sum("df"), F.lit(0))).scalar(), on)
 
 
 def join_per_term(
