@@ -2,7 +2,8 @@
 
 *Vectors.* Equal vectors are one node that remembers its ``k + 1`` smallest ids; no further one can
 be among the nearest ``k`` of any query, so every row is indexed and a vector that a third of all
-rows hold is one node. Nodes are dealt to shards of about ``shard_rows`` by a hash; each length of
+rows hold is one node. Nodes are dealt to shards by a hash. Every query visits every shard, and a larger shard costs it
+only a little more, so shards grow with the table, up to ``MOST_ROWS`` nodes; each length of
 vector has shards of its own, for vectors of different lengths have no distance.
 
 *Graphs.* A shard's graph is built by inserting nodes in turn: a greedy walk through the upper layers,
@@ -16,7 +17,8 @@ merges the shards. There is no product of queries and rows.
 
 Defined results: vectors that are null, empty, all zero, or hold null or non-finite components are
 neither indexed nor queried, nor are rows without an id; rows equal in id and vector are one
-candidate; an empty table gives an empty table. Ties go to the smaller id.
+candidate; an empty table gives an empty table. Ties go to the smaller id. Other columns, whatever their names, are
+not read; there are no texts.
 """
 
 from __future__ import annotations
@@ -28,14 +30,16 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from moodmill.storage import materialise
 
 K = 10
-#: Nodes of a shard, on average.
-SHARD_ROWS = 4096
+#: Nodes of a shard, on average: the shards are as many as the root of nodes by LEAST_ROWS, and none has
+#: more than MOST_ROWS, which a task can hold.
+LEAST_ROWS = 4096
+MOST_ROWS = 65_536
 #: Links of a node in an upper layer; twice as many in the lowest.
 LINKS = 16
 BUILD_BEAM = 96
@@ -217,8 +221,13 @@ def _built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield finish(shard, nodes, ids)
 
 
-def index(rows: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """``shard, dim, graph``: the stored index of all ``id, v`` rows."""
+def shard_count(nodes: Column) -> Column:
+    by_root = F.sqrt(nodes / LEAST_ROWS)
+    return F.ceil(F.greatest(by_root, nodes / MOST_ROWS)).cast("long")
+
+
+def index(rows: DataFrame, k: int = K, shard_rows: int | None = None) -> DataFrame:
+    """``shard, dim, graph``: the stored index of all ``id, v`` rows, in shards of ``shard_rows`` nodes if given."""
     small = Window.partitionBy("v").orderBy("id")
     nodes = (
         rows.distinct()
@@ -229,7 +238,9 @@ def index(rows: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS) -> DataFram
         .withColumn("dim", F.size("v"))
     )
     stored = materialise(nodes, "ann-nodes")
-    sizes = stored.groupBy("dim").count().select("dim", F.ceil(F.col("count") / shard_rows).cast("long").alias("shards"))
+    n = F.col("count")
+    shards = F.ceil(n / shard_rows).cast("long") if shard_rows else shard_count(n)
+    sizes = stored.groupBy("dim").count().select("dim", shards.alias("shards"))
     # Shards are numbered by their vectors' length first.
     dealt = stored.join(F.broadcast(sizes), "dim").select(
         (F.col("dim").cast("long") * (1 << 32) + F.pmod(F.xxhash64("v"), F.col("shards"))).alias("shard"), "v", "ids"

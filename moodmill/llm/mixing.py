@@ -16,7 +16,7 @@
 Defined results: a null text has size 0; a null source is one source, last in order; repeated
 rows are separate documents; an empty table gives an empty table; a document of size 0 takes
 nothing and has no position. Ties in the hash go by key, then size; rows equal in all three are
-interchangeable.
+interchangeable. A very long text counts by all its words; other columns, whatever their names, are passed on as they are.
 """
 
 from __future__ import annotations

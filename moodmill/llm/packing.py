@@ -17,7 +17,7 @@ the sequence. Offsets are running sums inside a sequence.
 
 Defined results: a null text is an empty one and holds the end id only; repeated rows are packed
 one by one; an empty table gives an empty table; columns of the input other than key and text are
-not looked at. Ties of length go by row number of the stored table.
+not looked at; a very long text is cut into as many pieces as it needs. Ties of length go by row number of the stored table.
 """
 
 from __future__ import annotations

@@ -5,7 +5,10 @@ verdict is the conjunction of all rows, built by ``verdict`` at plan time. No us
 
 Defined results: a null text counts as an empty one (no words, so it fails); an empty table
 gives an empty table; repeated rows are judged one by one and alike; extra input columns are
-ignored by ``measure`` and returned untouched by ``keep``.
+ignored by ``measure`` and returned untouched by ``keep``; a very long text is measured whole; ties do not arise.
+
+The stop-word rule knows English, French, German and Spanish words. A longer text in any other language fails it;
+``rules`` without that line judge such corpora.
 """
 
 from __future__ import annotations

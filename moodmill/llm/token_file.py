@@ -13,8 +13,8 @@ writes the records as lines of raw bytes, so the files reach any store that Spar
 part numbers of the files follow the key ranges.
 
 Defined results: a null text is an empty one and holds the end id only; repeated keys keep all their
-rows, ordered by a hash of the text; null keys come first; an empty table gives no records. Ids must
-be below 65,536. A damaged record or block raises an error that names the file.
+rows, ordered by a hash of the text; null keys come first; a very long text is one document of one record; an
+empty table gives no records; other columns, whatever their names, are not read. Ids must be below 65,536. A damaged record or block raises an error that names the file.
 """
 
 from __future__ import annotations

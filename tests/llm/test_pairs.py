@@ -222,7 +222,8 @@ def test_neighbours(spark):
     rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
     rows += [(2000, None), (2001, []), (2002, [0.0] * 16), (2003, [float("nan")] * 16), (2004, [1.0, None] * 8)]
     rows += [(None, vectors[0].tolist()), (2005, [1.0, 2.0]), (2006, [1.0, 4.0]), rows[5]]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    names = "id string, v string, shard string, dim string, graph string, place string, ids string"
+    df = spark.createDataFrame([(*r, *("clash",) * 7) for r in rows], f"vec_id long, embedding array<double>, {names}")
     valid = hnsw.valid_vectors(df, "vec_id", "embedding")
     got = hnsw.nearest(valid.filter("id % 10 = 0 or id > 1000"), hnsw.index(valid, shard_rows=300)).collect()
     found = {}
