@@ -37,9 +37,9 @@ from moodmill.storage import materialise
 
 K = 10
 #: Nodes of a shard, on average: the shards are as many as the root of nodes by LEAST_ROWS, and none has
-#: more than MOST_ROWS, which a task can hold.
+#: more than MOST_ROWS, for which the beam finds 0.95 or more of the neighbours.
 LEAST_ROWS = 4096
-MOST_ROWS = 65_536
+MOST_ROWS = 16_384
 #: Links of a node in an upper layer; twice as many in the lowest.
 LINKS = 16
 BUILD_BEAM = 96
