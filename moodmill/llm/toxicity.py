@@ -6,7 +6,7 @@ or 3 by the share of their words that carry a toxic term, cut at the terciles of
 *Features.* Words and word beginnings of 4, 5 and 6 letters (compounds keep their stem). Of these, the
 model keeps the terms most over-represented in toxic documents, counted over the whole sample. A term has to
 stand out against chance: the evidence, n times the divergence of its share of toxic documents from that of the
-sample, must exceed the log of the number of terms by ``MARGIN``. So a handful of toxic documents is enough, however
+sample, must exceed the log of the number of terms by ``MARGIN``, and ``MOST_DOCS`` toxic documents are enough, however
 large the sample. The model adds one feature for the share of words that carry such a term, in powers of two.
 
 *Model.* P(grade <= k) = logistic(theta_k - w.x) with one weight vector for all thresholds and
@@ -42,9 +42,11 @@ from moodmill.storage import materialise
 SAMPLE = 20_000
 #: Terms of the model, at most.
 TERMS = 4096
-#: Toxic documents that a term needs, how much more often than others they must have it, and by how much its
-#: evidence must exceed the log of the number of terms (natural logs).
-LEAST_DOCS = 4
+#: Toxic documents that a term needs: a share of those in the sample, but no fewer and no more than these numbers (near
+#: copies share their rare words, so a handful proves little). How much more often than others they must have it,
+#: and by how much its evidence must exceed the log of the number of terms (natural logs).
+LEAST_DOCS, MOST_DOCS = 4, 32
+LEAST_SHARE = 0.02
 LEAST_LIFT = 8.0
 MARGIN = 3.0
 PREFIXES = (4, 5, 6)
@@ -204,8 +206,9 @@ def fit(
     expected = sizes[1] / (sizes[0] + sizes[1])
     evidence = _times_log("bad", expected) + _times_log("good", 1.0 - expected)
     least = math.log(max(counted.count(), 1)) + MARGIN
+    support = max(LEAST_DOCS, min(MOST_DOCS, LEAST_SHARE * sizes[1]))
     kept = (
-        counted.filter((F.col("bad") >= LEAST_DOCS) & (lift >= LEAST_LIFT) & (evidence >= least))
+        counted.filter((F.col("bad") >= support) & (lift >= LEAST_LIFT) & (evidence >= least))
         .orderBy((F.col("bad") * F.log(lift)).desc(), "term")
         .limit(TERMS)
         .collect()

@@ -157,10 +157,10 @@ def test_ordinal_fit_is_at_the_least_loss():
 def test_a_few_toxic_documents_carry_a_term_in_a_large_sample(spark):
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(3))
-    rows = [(i, " ".join(word() for _ in range(20)) + (" zzqx" if i % 200 == 0 else " vvqx" if i % 2 == 0 else "")) for i in range(4000)]
+    rows = [(i, " ".join(word() for _ in range(20)) + ("" if i % 2 else " zzqx" if i < 72 else " vvqx")) for i in range(4000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(4000)], "doc_id long, toxic int")
-    # 20 of 2,000 toxic texts hold the one term, 1,980 the other, none of the clean ones either.
+    # 36 of 2,000 toxic texts hold the one term, the others the other, none of the clean ones either.
     assert {"=zzqx", "=vvqx"} <= set(toxicity.fit(docs, labels).terms)
     noise = spark.createDataFrame([(i, rng.randrange(2)) for i in range(4000)], "doc_id long, toxic int")
     with pytest.warns(UserWarning, match="no term"):
