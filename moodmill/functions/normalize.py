@@ -15,20 +15,22 @@ from .binding import let, only_if
 from .wordlists import COMMON_CONTRACTIONS
 
 SPACE = r"\t-\r\x{1C}- \x{85}\p{Z}"
-WORD = r"\p{L}\p{N}_"
+# The ASCII ranges are part of the Unicode classes; a class is tried from left to right.
+WORD = r"a-z0-9A-Z_\p{L}\p{N}"
 
 POSITIVE = " positiveemoji "
 NEGATIVE = " negetiveemoji "
 
 # The emoticon groups in the order in which they are replaced. The
-# spelling of the negative marker is part of the result.
+# spelling of the negative marker is part of the result. Each pattern begins with the
+# class of its first characters, so that other characters cost a single test.
 EMOTICONS = (
-    (rf"(:[{SPACE}]?\)|:-\)|\([{SPACE}]?:|\(-:|:'\)|:O)", POSITIVE),
-    (rf"(:[{SPACE}]?D|:-D|x-?D|X-?D)", POSITIVE),
-    (r"(<3|:\*)", POSITIVE),
-    (r"(;-?\)|;-?D|\(-?;|@-\))", POSITIVE),
-    (rf"(:[{SPACE}]?\(|:-\(|\)[{SPACE}]?:|\)-:|:-/|:-\|)", NEGATIVE),
-    (r"""(:,\(|:'\(|:"\()""", NEGATIVE),
+    (rf"[:(](?:(?<=:)(?:[{SPACE}]?\)|-\)|'\)|O)|(?<=\()[-{SPACE}]?:)", POSITIVE),
+    (rf"[:xX](?:(?<=:)[-{SPACE}]?|(?<=[xX])-?)D", POSITIVE),
+    (r"[<:](?:(?<=<)3|(?<=:)\*)", POSITIVE),
+    (r"[;(@](?:(?<=;)-?[)D]|(?<=\()-?;|(?<=@)-\))", POSITIVE),
+    (rf"[:)](?:(?<=:)(?:[{SPACE}]?\(|-[(/|])|(?<=\))[-{SPACE}]?:)", NEGATIVE),
+    (r""":[,'"]\(""", NEGATIVE),
 )
 
 
@@ -63,12 +65,42 @@ def replace_emoticons(text: Column) -> Column:
 
 
 def drop_single_letters(text: Column) -> Column:
-    return F.regexp_replace(text, f"(?<![{WORD}])[a-zA-Z](?![{WORD}])", "")
+    # The letter is tried first, what precedes it last.
+    return F.regexp_replace(text, f"[a-zA-Z](?![{WORD}])(?<![{WORD}][a-zA-Z])", "")
 
 
 def _expanded(text: Column, longs: Column, known: Callable[[Column], Column]) -> Column:
+    """Replace the known words of ``text`` one after the other, in the order of the text.
+
+    Every replacement reads the whole text, so a word is replaced where it first occurs and its repetitions are left
+    out: they change nothing unless a later replacement has formed the word anew. This is tested, and where it is so,
+    or a test costs more than it saves, every occurrence has its turn.
+    """
+
+    def replaced(acc: Column, w: Column) -> Column:
+        return F.replace(acc, w, longs[F.lower(w)])
+
+    def state(changed: Column, settled: Column, done: Column) -> Column:
+        return F.struct(changed.alias("text"), settled.alias("settled"), done.alias("done"))
+
+    def once_each(own: Column) -> Column:
+        def step(acc: Column, w: Column) -> Column:
+            def check(x: Column) -> Column:
+                back = F.exists(F.slice(own, F.lit(1), acc["done"]), lambda u: x.contains(u))
+                return state(x, acc["settled"] & ((x == acc["text"]) | ~back), acc["done"] + 1)
+
+            return let(replaced(acc["text"], w), check)
+
+        return F.aggregate(own, state(text, F.lit(True), F.lit(1)), step)
+
+    def expand(words: Column, own: Column) -> Column:
+        in_turn = F.aggregate(words, text, replaced)
+        checks = F.size(own) * (F.size(own) + 1) / 2
+        short = let(once_each(own), lambda r: F.when(r["settled"], r["text"]).otherwise(in_turn))
+        return F.when(checks < F.size(words), short).otherwise(in_turn)
+
     words = F.filter(F.split(text, f"[{SPACE}]+"), lambda w: known(F.lower(w)))
-    return F.aggregate(words, text, lambda acc, w: F.replace(acc, w, longs[F.lower(w)]))
+    return let(words, lambda x: let(F.array_distinct(x), lambda own: expand(x, own)))
 
 
 def expand_contractions(

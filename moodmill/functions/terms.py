@@ -15,7 +15,8 @@ NO_BUCKET = -1
 
 def word_terms(text: Column) -> Column:
     """Lower-cased words of two or more word characters."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]{2,}"), 0)
+    # The ASCII ranges are part of the Unicode classes and are tried first.
+    return F.regexp_extract_all(F.lower(text), F.lit(r"[a-z0-9_\p{L}\p{N}]{2,}"), 0)
 
 
 def ngrams(tokens: Column, low: int = 1, high: int = 2) -> Column:

@@ -3,6 +3,7 @@
 import random
 import re
 import sys
+import time
 import unicodedata
 
 from hypothesis import given, settings
@@ -125,6 +126,58 @@ def test_contractions_replace_every_occurrence(column):
     assert swapped == ["x xc", "abc", "x x"]
 
 
+def _expanded_in_turn(text, dictionary):
+    for word in text.split():
+        if word.lower() in dictionary:
+            text = text.replace(word, dictionary[word.lower()])
+    return text
+
+
+def test_contractions_are_linear_in_the_text(column):
+    # Searched once per occurrence, this text takes 200 thousand passes over 2 MB, which is minutes.
+    text = "We're sure they'll go, " * 100_000
+    want = text.replace("We're", "we are").replace("they'll", "they will")
+    began = time.monotonic()
+    assert column(norm.expand_contractions, [text]) == [want]
+    assert time.monotonic() - began < 40
+
+
+def test_contractions_formed_anew_are_replaced_again(column):
+    dictionary = {"ab": "b", "b": "ab", "aa": "", "ba": "a", "c": "ba"}
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcA", k=rng.randrange(1, 4))) for _ in range(12)) for _ in range(200)]
+    got = column(lambda t: norm.expand_contractions(t, dictionary), texts)
+    assert got == [_expanded_in_turn(t, dictionary) for t in texts]
+
+
+def test_emoticons_group_by_group(column):
+    space = "[\t-\r\x1c- \x85\xa0\u2003]"
+    groups = [
+        (rf"(:{space}?\)|:-\)|\({space}?:|\(-:|:'\)|:O)", norm.POSITIVE),
+        (rf"(:{space}?D|:-D|x-?D|X-?D)", norm.POSITIVE),
+        (r"(<3|:\*)", norm.POSITIVE),
+        (r"(;-?\)|;-?D|\(-?;|@-\))", norm.POSITIVE),
+        (rf"(:{space}?\(|:-\(|\){space}?:|\)-:|:-/|:-\|)", norm.NEGATIVE),
+        (r"""(:,\(|:'\(|:"\()""", norm.NEGATIVE),
+    ]
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("::;()()<3xXDO'\"--*@,/| a\xa0\u2003é😀", k=40)) for _ in range(400)]
+
+    def in_turn(text):
+        for pattern, marker in groups:
+            text = re.sub(pattern, marker, text)
+        return text
+
+    assert column(norm.replace_emoticons, texts) == [in_turn(t) for t in texts]
+
+
+def test_single_letters_beside_other_letters(column):
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("abZ é_1½-', \u0301", k=30)) for _ in range(300)]
+    want = [re.sub(r"(?<![\w½])[a-zA-Z](?![\w½])", "", t) for t in texts]
+    assert column(norm.drop_single_letters, texts) == want
+
+
 def test_normalize_tail(column):
     assert column(norm.squeeze_to_two, ["aaab  \n\n\n!!!", "aa"]) == ["aab  \n\n\n!!", "aa"]
     assert column(norm.blank_punctuation, ["a-b_c é½!"]) == ["a b_c é½ "]
