@@ -55,6 +55,21 @@ def join_per_term(
     own = F.pmod(F.xxhash64(spread_by), F.col("salts")).cast("int")
     left = entries.join(marked, keys, "left")
     left = left.withColumn("_salt", F.coalesce(own, F.lit(0))).drop("salts")
-    every = F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - 1)
-    right = table.join(marked, keys, "left").withColumn("_salt", F.explode(every)).drop("salts")
+    every = F.sequence(F.lit(0), _salts(hot, keys) - 1)
+    right = table.withColumn("_salt", F.explode(every))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
+
+
+def _salts(hot: DataFrame, keys: Sequence[str]) -> Column:
+    """The salts of a row of the table, as an expression: after a join the optimizer would not know the table's size."""
+    kinds = [hot.schema[k].dataType for k in keys]
+    rows = [row for row in hot.select(*keys, "salts").collect() if None not in row]
+    if not rows:
+        return F.lit(1)
+    lines = []
+    for *values, salts in rows:
+        key = [F.lit(v).cast(kind).alias(k) for v, kind, k in zip(values, kinds, keys, strict=True)]
+        lines += [F.struct(*key), F.lit(salts)]
+    listed = F.create_map(*lines)[F.struct(*[F.col(k) for k in keys])]
+    # Most rows end at the first test, a look-up in a set.
+    return F.when(F.col(keys[0]).isin(list({row[0] for row in rows})), F.coalesce(listed, F.lit(1))).otherwise(1)

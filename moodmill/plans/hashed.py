@@ -58,12 +58,13 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replicated_vectors(spark: SparkSession, sf_dir: str, times: int) -> DataFrame:
     """Every labelled document ``times`` times under keys of their own, copies kept.
 
-    A text is cleaned and counted once, before its row is repeated.
+    A text is cleaned and counted once, and its vector stored once; the rows are repeated where they are read.
     """
     rows = prepare.keep_labels(labelled_documents(spark, sf_dir), "sentiment", SENTIMENT_CLASSES)
     rows = prepare.encode_label(prepare.drop_nulls(rows, "text", "sentiment"), "sentiment")
     vector = bucket_vector(clean_tokens(F.col("text"))).alias("vector")
-    copies = prepare.replicate(rows.select("doc_id", "label", vector), times)
+    stored = materialise(rows.select("doc_id", "label", vector), "single-vectors")
+    copies = prepare.replicate(stored, times)
     keyed = copies.withColumn("doc_id", F.concat_ws("-", "doc_id", "copy")).drop("copy")
     return splits.train_test(keyed)
 

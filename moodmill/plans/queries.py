@@ -530,7 +530,7 @@ def accuracy_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def accuracy_replicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The load form: every labelled document eight times, without deduplication."""
-    docs = materialise(hashed.replicated_vectors(spark, sf_dir, REPLICAS), "replicated-vectors")
+    docs = hashed.replicated_vectors(spark, sf_dir, REPLICAS)
     return _rounded(evaluate.accuracy(hashed.predictions(docs), "split"))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from moodmill.functions.terms import ngrams
 from moodmill.operators import crossval, features, naive_bayes, prepare, skew, splits
 from moodmill.plans import hashed, vocabulary
+from moodmill.storage import materialise
 
 BUCKETS = 64
 
@@ -169,6 +170,35 @@ def test_join_per_term_with_a_hot_term(spark):
     assert joined.filter("term = 'hot' and w = 3").count() == 2000
 
 
+def test_a_small_table_is_broadcast_beside_hot_terms(spark):
+    """The list of hot terms must not hide the size of the table, else all entries are moved."""
+    entries = spark.range(60000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id") % 500)).alias("term"),
+    )
+    table = materialise(entries.select("term").distinct().withColumn("w", F.length("term")), "weights")
+    hot = skew.count_hot_keys(entries)
+    assert [r.term for r in hot.collect()] == ["hot"]
+    joined = skew.join_per_term(entries, table, hot)
+    plan = joined._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert joined.filter("w is not null").count() == 60000
+
+
+def test_replicated_vectors_are_stored_once(spark, small, monkeypatch):
+    sizes = []
+
+    def stored(df, name):
+        table = materialise(df, name)
+        sizes.append(table.count())
+        return table
+
+    monkeypatch.setattr(hashed, "materialise", stored)
+    docs = hashed.replicated_vectors(spark, small, 8)
+    assert docs.count() == docs.select("doc_id").distinct().count() == 8 * sizes[0]
+    assert len(sizes) == 1
+
+
 @pytest.fixture
 def many_partitions(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
