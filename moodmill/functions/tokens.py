@@ -22,7 +22,7 @@ RUN = r"(?s)(.)\1{2,}"
 # Every character that Unicode gives a digit value: decimal digits, then the
 # superscript, subscript, circled and other digits outside that category.
 DIGIT = (
-    r"[\p{Nd}²³¹⁰⁴-⁹₀-₉①-⑨⑴-⑼⒈-⒐⓪⓵-⓽⓿❶-❾➀-➈➊-➒"
+    r"[0-9\p{Nd}²³¹⁰⁴-⁹₀-₉①-⑨⑴-⑼⒈-⒐⓪⓵-⓽⓿❶-❾➀-➈➊-➒"
     r"\x{1369}-\x{1371}\x{19DA}\x{10A40}-\x{10A43}\x{10E60}-\x{10E68}"
     r"\x{11052}-\x{1105A}\x{1F100}-\x{1F10A}]"
 )
@@ -71,7 +71,8 @@ def squeeze_runs(text: Column) -> Column:
     by_token = lambda x: F.array_join(
         F.transform(
             F.split(x, f"[{SPACE}]"),
-            lambda w: F.when(_same_letter_twice(w), _squeeze_token(w)).otherwise(plain(w)),
+            # Most tokens have no run and end at the first test.
+            lambda w: F.when(~w.rlike(RUN), w).when(_same_letter_twice(w), _squeeze_token(w)).otherwise(plain(w)),
         ),
         " ",
     )
@@ -85,10 +86,10 @@ def squeeze_runs(text: Column) -> Column:
 def drop_number_led(text: Column) -> Column:
     """Empty every token whose first character is a digit."""
     # The wide digit class is tried only at the start of a token.
-    number_led = rf"(^|[{SPACE}]){DIGIT}[^{SPACE}]*"
+    number_led = rf"([{SPACE}]|^){DIGIT}[^{SPACE}]*"
     return only_if(
         text,
-        lambda x: x.rlike(rf"(?:^|[{SPACE}]){DIGIT}"),
+        lambda x: x.rlike(rf"(?:[{SPACE}]|^){DIGIT}"),
         lambda x: F.regexp_replace(x, number_led, "$1"),
     )
 
