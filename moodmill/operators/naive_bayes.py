@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.terms import NO_BUCKET, NO_TERM
 from ..storage import materialise
-from .features import idf_plain, idf_smooth, real_terms, tfidf, unit_length
+from .features import idf_plain, idf_smooth, real_terms
 from .skew import count_hot_keys, hot_keys, join_per_term
 
 CLASSES = (0, 1, 2)
@@ -184,17 +184,26 @@ def with_unit_masses(
 ) -> Counts:
     """The counts with ``u_c``, the summed tf-idf of unit-length documents, stored once more.
 
-    ``entries(docs, *keep)`` unfolds documents to term rows, once. After the join with the IDF
-    table the weighted rows go to their document, where the sum of squares gives its length, and
-    the shares go back to their term: three shuffles of narrow rows, and no vector travels.
+    ``entries(docs, *keep)`` unfolds the documents that ``counts`` counted as training ones to term rows. The join
+    with the IDF table gives the length of each document, one number for its key. A share is ``tf * idf / length``
+    and the IDF is one for a term, so ``tf / length`` is summed by term from the documents themselves, after
+    partial sums in each task: no weighted row travels to its document and back.
     """
-    idf = smooth_idf_table(counts)
-    weighted = tfidf(real_terms(entries(train_docs, "label")), idf, counts.hot)
-    shares = unit_length(weighted.select("doc_id", "label", "term", "tfidf"))
-    in_class = {c: F.when(F.col("label") == c, F.col("tfidf")) for c in counts.classes}
+    # A term of a training document that is in no row of this table has a training frequency of one.
+    frequent = counts.terms.filter(counts.train_df > 1).select("term", smooth_idf(counts).alias("idf"))
+    weighted = join_per_term(real_terms(entries(train_docs)), frequent, counts.hot)
+    weight = F.col("tf") * F.coalesce("idf", idf_smooth(F.lit(1), counts.n_train))
+    square = F.sum(weight * weight)
+    found = weighted.groupBy(F.col("doc_id").alias("_key")).agg(F.sqrt(square).alias("length"))
+    # A stored narrow table, so Spark decides by its size whether documents move to their lengths.
+    lengths = materialise(found, "document-lengths")
+    measured = train_docs.join(lengths, F.col("doc_id").eqNullSafe(F.col("_key")))
+    shares = real_terms(entries(measured, "label", "length"))
+    in_class = {c: F.when(F.col("label") == c, F.col("tf") / F.col("length")) for c in counts.classes}
     sums = shares.groupBy("term").agg(*[F.sum(e).alias(f"s_{c}") for c, e in in_class.items()])
     # Terms without training documents keep a row: they count as known and weigh nothing.
-    masses = [F.coalesce(F.col(f"s_{c}"), F.lit(0.0)).alias(f"u_{c}") for c in counts.classes]
+    idf = smooth_idf(counts)
+    masses = [(F.coalesce(F.col(f"s_{c}"), F.lit(0.0)) * idf).alias(f"u_{c}") for c in counts.classes]
     joined = counts.table.join(sums, "term", "left")
     return replace(counts, table=materialise(joined.select(counts.table["*"], *masses), "masses"))
 

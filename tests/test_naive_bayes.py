@@ -185,6 +185,30 @@ def test_a_small_table_is_broadcast_beside_hot_terms(spark):
     assert joined.filter("w is not null").count() == 60000
 
 
+def test_unit_masses_from_document_lengths(spark, monkeypatch):
+    """One length per key is stored, shared by rows with one key; a term of one document needs no IDF row."""
+    texts = [(1, 0, "train", "aa bb bb"), (2, 2, "train", "aa cc"), (2, 2, "train", "dd"), (3, 0, "train", ""), (4, 2, "test", "aa zz")]
+    docs = spark.createDataFrame(texts, "doc_id long, label int, split string, text string")
+    docs = vocabulary.stored_vectors(docs)
+    stored = {}
+
+    def kept(df, name):
+        stored[name] = materialise(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(naive_bayes, "materialise", kept)
+    got = {r.term: (r.u_0, r.u_2) for r in vocabulary.unit_counts(docs).table.collect()}
+    assert sorted(r._key for r in stored["document-lengths"].collect()) == [1, 2]
+    idf = {"aa": math.log(5 / 3) + 1}
+    once = math.log(5 / 2) + 1
+    words = {1: {"aa": 1, "bb": 2, "aa bb": 1, "bb bb": 1}, 2: {"aa": 1, "cc": 1, "aa cc": 1, "dd": 1}}
+    for doc, place in ((1, 0), (2, 1)):
+        length = math.sqrt(sum((n * idf.get(t, once)) ** 2 for t, n in words[doc].items()))
+        for term, n in words[doc].items():
+            assert got[term][place] == pytest.approx(n * idf.get(term, once) / length)
+    assert got["zz"] == got["aa zz"] == (0.0, 0.0)
+
+
 def test_replicated_vectors_are_stored_once(spark, small, monkeypatch):
     sizes = []
 
