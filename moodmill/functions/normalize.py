@@ -65,8 +65,8 @@ def replace_emoticons(text: Column) -> Column:
 
 
 def drop_single_letters(text: Column) -> Column:
-    # The letter is tried first, what precedes it last.
-    return F.regexp_replace(text, f"[a-zA-Z](?![{WORD}])(?<![{WORD}][a-zA-Z])", "")
+    # Letters inside a word end at a test of one ASCII range; the wide classes are tried last.
+    return F.regexp_replace(text, f"(?<![a-z])[a-zA-Z](?![a-z])(?![{WORD}])(?<![{WORD}][a-zA-Z])", "")
 
 
 def _expanded(text: Column, longs: Column, known: Callable[[Column], Column]) -> Column:
@@ -139,10 +139,18 @@ def collapse_spaces(text: Column) -> Column:
     return F.regexp_replace(text, f"[{SPACE}]+", " ")
 
 
+def blank_and_collapse(text: Column) -> Column:
+    """``collapse_spaces(blank_punctuation(text))`` in one pass: whatever is no word character ends up as one space."""
+    return F.regexp_replace(text, f"[^{WORD}]+", " ")
+
+
 def normalize_text(
     text: Column, contractions: Mapping[str, str] | Column = COMMON_CONTRACTIONS
 ) -> Column:
-    """The whole chain, in its fixed order."""
+    """The whole chain, in its fixed order.
+
+    Runs of spaces may be collapsed before other runs are squeezed: a run of one character is either of spaces, and
+    ends as one space, or holds none.
+    """
     text = drop_single_letters(replace_emoticons(normalize_basic(text)))
-    text = blank_punctuation(expand_contractions(text, contractions))
-    return collapse_spaces(squeeze_to_two(text))
+    return squeeze_to_two(blank_and_collapse(expand_contractions(text, contractions)))

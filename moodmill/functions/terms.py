@@ -46,7 +46,7 @@ def count_entries(terms: Column, extra: str | int) -> Column:
     def measure(s: Column) -> Column:
         first = F.filter(
             F.sequence(F.lit(0), F.size(s) - 1),
-            lambda i: F.coalesce(F.get(s, i) != F.get(s, i - 1), F.lit(True)),
+            lambda i: ~F.get(s, i).eqNullSafe(F.get(s, i - 1)),
         )
         return let(
             first,

@@ -188,3 +188,22 @@ def test_normalize_tail(column):
 
 def test_unicode_spaces_end_a_mention(column):
     assert column(norm.normalize_basic, ["@me x @you y"]) == [" x  y"]
+
+
+def test_blanks_are_one_pass_and_the_chain_is_its_steps(spark, column):
+    rng = random.Random(11)
+    # Marks and white space of several planes, a letter that lower-cases to two, line ends, runs of everything.
+    marks = ["a", "b", "İ", "é", "ß", "_", "7", "Ⅷ", " ", "  ", "\n", "\r\n", "\t", "\x1c", "\x85", " ", " ", ".", "!!!", "'", "-", ":", ")", "(", "D", "x", "é", "😀", "😀", "𝒜", "i'm", "don't"]
+    texts = ["".join(rng.choice(marks) * rng.choice((1, 1, 2, 4)) for _ in range(rng.randint(0, 60))) for _ in range(300)]
+
+    def stepwise(t):
+        t = F.regexp_replace(
+            norm.replace_emoticons(norm.normalize_basic(t)), f"[a-zA-Z](?![{norm.WORD}])(?<![{norm.WORD}][a-zA-Z])", ""
+        )
+        return norm.collapse_spaces(norm.squeeze_to_two(norm.blank_punctuation(norm.expand_contractions(t))))
+
+    assert column(norm.normalize_text, texts) == column(stepwise, texts)
+    rows = spark.createDataFrame([("a",)], "text string")
+    plan = lambda c: rows.select(c)._jdf.queryExecution().analyzed().toString().lower()
+    passes = [plan(f(F.col("text"))).count("regexp_replace(") for f in (stepwise, norm.normalize_text)]
+    assert passes[1] < passes[0]
