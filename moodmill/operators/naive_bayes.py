@@ -27,8 +27,8 @@ CLASSES = (0, 1, 2)
 TIE_DIGITS = 9
 
 
-def count_by_class(entries: DataFrame, classes: Sequence[int], train: Column) -> DataFrame:
-    """One row per term: ``df`` over all documents, ``df_c`` and ``tf_c`` over training ones.
+def count_by_class(entries: DataFrame, classes: Sequence[int], train: Column, *more: Column) -> DataFrame:
+    """One row per term: ``df`` over all documents, ``df_c`` and ``tf_c`` over training ones, and ``more`` sums.
 
     One shuffle on the term after partial sums inside each task. The row of the extra
     entry holds the number of documents in all and in each class.
@@ -38,7 +38,7 @@ def count_by_class(entries: DataFrame, classes: Sequence[int], train: Column) ->
         mine = train & (F.col("label") == c)
         sums.append(F.count_if(mine).alias(f"df_{c}"))
         sums.append(F.coalesce(F.sum(F.when(mine, F.col("tf"))), F.lit(0)).alias(f"tf_{c}"))
-    return entries.groupBy("term").agg(F.count("*").alias("df"), *sums)
+    return entries.groupBy("term").agg(F.count("*").alias("df"), *sums, *more)
 
 
 def _extra_term(table: DataFrame) -> Column:
@@ -189,14 +189,8 @@ def with_unit_masses(
     and the IDF is one for a term, so ``tf / length`` is summed by term from the documents themselves, after
     partial sums in each task: no weighted row travels to its document and back.
     """
-    # A term of a training document that is in no row of this table has a training frequency of one.
     frequent = counts.terms.filter(counts.train_df > 1).select("term", smooth_idf(counts).alias("idf"))
-    weighted = join_per_term(real_terms(entries(train_docs)), frequent, counts.hot)
-    weight = F.col("tf") * F.coalesce("idf", idf_smooth(F.lit(1), counts.n_train))
-    square = F.sum(weight * weight)
-    found = weighted.groupBy(F.col("doc_id").alias("_key")).agg(F.sqrt(square).alias("length"))
-    # A stored narrow table, so Spark decides by its size whether documents move to their lengths.
-    lengths = materialise(found, "document-lengths")
+    lengths = document_lengths(frequent, counts.n_train, counts.hot, train_docs, entries)
     measured = train_docs.join(lengths, F.col("doc_id").eqNullSafe(F.col("_key")))
     shares = real_terms(entries(measured, "label", "length"))
     in_class = {c: F.when(F.col("label") == c, F.col("tf") / F.col("length")) for c in counts.classes}
@@ -208,6 +202,56 @@ def with_unit_masses(
     return replace(counts, table=materialise(joined.select(counts.table["*"], *masses), "masses"))
 
 
+def document_lengths(
+    frequent: DataFrame, n_train: int, hot: DataFrame, train_docs: DataFrame, entries: Callable[..., DataFrame]
+) -> DataFrame:
+    """``_key, length`` of the tf-idf of each training document, stored.
+
+    ``frequent`` has the IDF of the terms of more than one training document; a term of a training document that is
+    in no row of it has a training frequency of one.
+    """
+    weighted = join_per_term(real_terms(entries(train_docs)), frequent, hot)
+    weight = F.col("tf") * F.coalesce("idf", idf_smooth(F.lit(1), n_train))
+    square = F.sum(weight * weight)
+    found = weighted.groupBy(F.col("doc_id").alias("_key")).agg(F.sqrt(square).alias("length"))
+    # A stored narrow table, so Spark decides by its size whether documents move to their lengths.
+    return materialise(found, "document-lengths")
+
+
+def count_unit_training(
+    docs: DataFrame, entries: Callable[..., DataFrame], classes: Sequence[int] = CLASSES
+) -> Counts:
+    """``count_training`` and ``with_unit_masses`` of the documents, with the wide rows of a term summed and stored once.
+
+    Lengths need the IDF alone, so a first pass counts training documents by term and keeps the terms that occur in
+    more than one. The second counts everything, masses among it, when the lengths are known: no table with a row
+    for each term is joined with another.
+    """
+    train = F.col("split") == "train"
+    train_docs, others = docs.filter(train), docs.filter(F.coalesce(~train, F.lit(True)))
+    counted = entries(train_docs, "label").groupBy("term").agg(F.count_if(F.col("label").isin(*classes)).alias("df"))
+    extra = F.col("term") == _extra_term(counted)
+    # The extra entry's row stays, whatever its frequency: it is the number of training documents.
+    found = materialise(counted.filter((F.col("df") > 1) | extra), "frequent-terms")
+    sizes = found.agg(F.sum("df").alias("entries"), F.max(F.when(extra, F.col("df"))).alias("n_train")).first()
+    n_train = sizes["n_train"] or 0
+    frequent = real_terms(found).select("term", idf_smooth(F.col("df"), n_train).alias("idf"))
+    lengths = document_lengths(frequent, n_train, hot_keys(found, sizes["entries"] or 0), train_docs, entries)
+
+    measured = train_docs.join(lengths, F.col("doc_id").eqNullSafe(F.col("_key")), "left").drop("_key")
+    every = measured.unionByName(others.withColumn("length", F.lit(None).cast("double")))
+    # Test documents have no length.
+    in_class = {c: F.when(F.col("label") == c, F.col("tf") / F.col("length")) for c in classes}
+    shares = [F.sum(e).alias(f"s_{c}") for c, e in in_class.items()]
+    table = count_by_class(entries(every, "label", "split", "length"), classes, train, *shares)
+    idf = idf_smooth(sum((F.col(f"df_{c}") for c in classes), F.lit(0)), n_train)
+    # Terms without training documents keep a row: they count as known and weigh nothing.
+    masses = {c: F.when(~extra, F.col(f"s_{c}") * idf) for c in classes}
+    kept = [c for c in table.columns if not c.startswith("s_")]
+    wide = table.select(*kept, *[F.coalesce(m, F.lit(0.0)).alias(f"u_{c}") for c, m in masses.items()])
+    return of_table(materialise(wide, "masses"), classes)
+
+
 def fit_unit_tfidf(counts: Counts, score_on: str = "count", alpha: float = 1.0) -> Model:
     """Multinomial on ``with_unit_masses`` counts, scored on term counts or on tf-idf."""
     masses = {c: F.col(f"u_{c}") for c in counts.classes}

@@ -55,8 +55,8 @@ def counts(docs: DataFrame) -> naive_bayes.Counts:
 
 
 def unit_counts(docs: DataFrame) -> naive_bayes.Counts:
-    train = docs.filter(F.col("split") == "train")
-    return naive_bayes.with_unit_masses(counts(docs), train, entries)
+    """The same with the masses of unit-length documents, from a single wide count."""
+    return naive_bayes.count_unit_training(docs, entries)
 
 
 def fit_tfidf(docs: DataFrame, score_on: str = "count") -> naive_bayes.Model:

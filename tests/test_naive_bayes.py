@@ -414,3 +414,27 @@ def test_pairs_are_counted_in_the_row(spark):
     assert {r.term: r.tf for r in rows.collect()} == {"": 1, "a": 2, "b": 2, "a b": 2, "b a": 1}
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_unit_counts_store_one_wide_table(spark, monkeypatch):
+    """The masses come with the one wide count: no second table of all terms is stored, joined or read again."""
+    texts = [(1, 0, "train", "aa bb bb"), (2, 2, "train", "aa cc"), (None, 0, "train", "aa dd"), (3, 0, "train", ""), (1, 2, "test", "aa zz"), (5, 1, "test", "")]
+    rows = spark.createDataFrame(texts, "doc_id long, label int, split string, text string")
+    docs = vocabulary.stored_vectors(rows)
+    train = docs.filter("split = 'train'")
+    want = naive_bayes.with_unit_masses(vocabulary.counts(docs), train, vocabulary.entries)
+    stored = {}
+
+    def kept(df, name):
+        stored[name] = materialise(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(naive_bayes, "materialise", kept)
+    got = vocabulary.unit_counts(docs)
+    assert (got.classes, got.n_docs) == (want.classes, want.n_docs)
+    columns = want.table.columns
+    by_term = [{r.term: list(r)[1:] for r in c.table.select(columns).collect()} for c in (got, want)]
+    assert by_term[0].keys() == by_term[1].keys()
+    for term, values in by_term[0].items():
+        assert values == pytest.approx(by_term[1][term])
+    assert [name for name, table in stored.items() if "zz" in {r.term for r in table.collect() if "term" in table.columns}] == ["masses"]
