@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import materialise
@@ -28,20 +28,17 @@ def count_by_fold(entries: DataFrame, classes: Sequence[int] = CLASSES) -> DataF
         own.append(F.coalesce(mine, F.lit(0)).alias(f"own_tf_{c}"))
     counted = entries.groupBy("term", "fold").agg(*own)
 
-    # One row per term with a list of at most one entry per fold, and back again.
+    # A term has at most one row per fold and one outside, so its window is short; these rows move to their term once.
     names = ["df", *[f"tf_{c}" for c in classes]]
+    term = Window.partitionBy("term").orderBy("fold")
+    every = term.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     inside = F.col("fold").isNotNull()
     totals = [
-        F.coalesce(F.sum(F.when(inside, F.col(f"own_{n}"))), F.lit(0)).alias(f"all_{n}") for n in names
+        F.coalesce(F.sum(F.when(inside, F.col(f"own_{n}"))).over(every), F.lit(0)).alias(f"all_{n}") for n in names
     ]
-    parts = F.sort_array(F.collect_list(F.struct("fold", *[f"own_{n}" for n in names])))
-    per_term = counted.groupBy("term").agg(*totals, parts.alias("parts"))
-    all_names = [f"all_{n}" for n in names]
-    rows = per_term.select("term", *all_names, F.posexplode("parts").alias("place", "part"))
-    others = [(F.col(f"all_{n}") - F.col(f"part.own_{n}")).alias(n) for n in names]
-    return rows.select(
-        "term", "part.fold", (F.col("place") == 0).alias("first"), *others, *all_names
-    )
+    rows = counted.select("*", *totals, (F.row_number().over(term) == 1).alias("first"))
+    others = [(F.col(f"all_{n}") - F.col(f"own_{n}")).alias(n) for n in names]
+    return rows.select("term", "fold", "first", *others, *[f"all_{n}" for n in names])
 
 
 def cross_validate(

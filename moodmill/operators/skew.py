@@ -23,7 +23,9 @@ def hot_keys(stats: DataFrame, total: int | Column, on: Sequence[str] = ("term",
     partitions = shuffle_partitions(stats)
     limit = F.greatest(F.lit(1), total if isinstance(total, Column) else F.lit(total)) / partitions
     share = F.col(order) / limit
-    found = stats.filter(share > 1.0).select(*on, F.ceil(share).cast("int").alias("salts"))
+    # Whole numbers compare with a whole limit, so a stored table is read only where such a key is.
+    least = F.floor(limit) if isinstance(total, Column) else F.lit(max(1, total) // partitions).cast("bigint")
+    found = stats.filter(F.col(order) > least).select(*on, F.ceil(share).cast("int").alias("salts"))
     # Held in the plan, so that using the list twice costs nothing.
     return stats.sparkSession.createDataFrame(found.collect(), found.schema)
 

@@ -438,3 +438,53 @@ def test_unit_counts_store_one_wide_table(spark, monkeypatch):
     for term, values in by_term[0].items():
         assert values == pytest.approx(by_term[1][term])
     assert [name for name, table in stored.items() if "zz" in {r.term for r in table.collect() if "term" in table.columns}] == ["masses"]
+
+
+def test_fold_counts_keep_no_lists(spark):
+    """Totals of a term come from a window over its few rows: no list is collected and exploded."""
+    rows = [(1, 0, 0, "a", 2), (2, 1, 1, "a", 1), (3, 0, 1, "a", 4), (4, 2, None, "a", 9), (4, 2, None, "b", 1), (1, 0, 0, "c", 3), (5, None, 2, "c", 5)]
+    entries = spark.createDataFrame(rows, "doc_id long, label int, fold int, term string, tf int")
+    table = crossval.count_by_fold(entries)
+    got = {(r.term, r.fold): tuple(r)[2:] for r in table.collect()}
+    # first; df and tf of the other folds; the same of all folds
+    assert got == {
+        ("a", None): (True, 2, 6, 1, 0 - 9, 3, 6, 1, 0),
+        ("a", 0): (False, 2, 4, 1, 0, 3, 6, 1, 0),
+        ("a", 1): (False, 1, 2, 0, 0, 3, 6, 1, 0),
+        ("b", None): (True, -1, 0, 0, -1, 0, 0, 0, 0),
+        ("c", 0): (True, 1, 0, 0, 0, 2, 3, 0, 0),
+        ("c", 2): (False, 1, 3, 0, 0, 2, 3, 0, 0),
+    }
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and plan.count("Generate") == 0
+
+
+def test_hot_keys_of_a_stored_table_skip_pages(spark, monkeypatch):
+    stored = materialise(spark.range(1000).selectExpr("cast(id as string) as term", "id as df"), "counts")
+    seen = []
+    real = spark.createDataFrame
+
+    def kept(rows, schema):
+        seen.append(sorted(tuple(r) for r in rows))
+        return real(rows, schema)
+
+    total, parts = 499500, skew.shuffle_partitions(stored)
+    plans = []
+    collect = type(stored).collect
+
+    def collected(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return collect(df)
+
+    spark.createDataFrame = kept
+    monkeypatch.setattr(type(stored), "collect", collected)
+    try:
+        skew.hot_keys(stored, total)
+        skew.hot_keys(stored, stored.agg(F.sum("df")).scalar())
+        skew.hot_keys(stored, 500 * parts)
+    finally:
+        del spark.createDataFrame
+    limit = total / parts
+    assert f"GreaterThan(df,{total // parts})" in plans[0]
+    assert seen[0] == seen[1] == sorted((str(n), math.ceil(n / limit)) for n in range(1000) if n > limit)
+    assert seen[2] == sorted((str(n), 2) for n in range(501, 1000))
