@@ -31,7 +31,7 @@ RATE = 5
 LEAST = 32
 MIX_BITS = 3
 #: Ids after which the weights of the mixture are set anew.
-LOOK = 4
+LOOK = 8
 #: Blocks that are coded side by side.
 LANES = 4096
 
@@ -47,13 +47,27 @@ _START = (_BOUND * (TOTAL // SYMBOLS)).astype(np.int16)
 #: Eight 16-bit bounds as one element, so that rows are gathered and scattered at once.
 _ROW = np.complex128
 _TARGET_ROWS = _TARGET.reshape(-1).view(_ROW)
+#: Row w: the weight w once for each bound.
+_WEIGHT_ROWS = np.repeat(np.arange((1 << MIX_BITS) + 1, dtype=np.uint16), SYMBOLS).view(_ROW)
+#: A 16-bit number times this is that number four times.
+_FOUR_TIMES = np.uint64(0x0001_0001_0001_0001)
+_ONE = np.uint32(1)
 _U16 = np.uint32(16)
 _SHIFT = np.uint32(SYMBOL_BITS)
 _FULL = np.uint32(0xFFFFFFFF)
 _SMALL = np.uint32(0x10000)
-_CLASS_OF = (FIRST_CLASS - 1 + np.searchsorted(CLASS_START, np.arange(1 << 16), side="right")).astype(np.int64)
+#: Symbol by size class (three bits) and, above these, whether orders 0, 1 and 2 are right.
+_CHOSEN = np.array(
+    [HIT2 if i & 32 else HIT1 if i & 16 else HIT0 if i & 8 else FIRST_CLASS + (i & 7) for i in range(64)], dtype=np.int64
+)
 _RAW_BITS = np.r_[0, 0, 8, CLASS_BITS]
 _RAW_START = np.r_[0, 0, 0, CLASS_START].astype(np.int64)
+_RAW_MASK = (1 << _RAW_BITS) - 1
+_CLASS_EDGES = CLASS_START[1:].astype(np.uint16)
+#: Where a decoder has the id of a symbol: a prediction, or what follows from the plain bits.
+_ROW_OF = np.minimum(np.arange(SYMBOLS), FIRST_CLASS)
+#: How sure an entry is next, by its difference from the id that came (see ``_Model.compare``), 4 for all above.
+_SURE = np.array([1, 2, 3, 3, 1], dtype=np.int32)
 
 
 class _Model:
@@ -63,50 +77,65 @@ class _Model:
     """
 
     def __init__(self, lanes: int) -> None:
+        self.lane = np.arange(lanes, dtype=np.int64)
         self.by_two = np.zeros(lanes * ORDER2, dtype=np.int32)
         self.by_one = np.zeros(lanes * ORDER1, dtype=np.int32)
-        self.recent = np.zeros(lanes * ORDER0, dtype=np.int32)
+        # A slot begins with its own number, which is an id of that slot.
+        self.recent = np.tile(np.arange(ORDER0, dtype=np.uint16), lanes)
         self.a = np.tile(_START, lanes * 16).view(_ROW)
         self.b = np.tile(_START, lanes * SYMBOLS).view(_ROW)
         self.c = np.tile(_START, lanes)
+        self.lane_two, self.lane_one, self.lane_recent, self.lane_a, self.lane_row = (
+            self.lane * n for n in (ORDER2, ORDER1, ORDER0, 16, SYMBOLS)
+        )
         self.score = np.full((3, lanes), 1 << 12, dtype=np.int32)
-        self.weight = np.ones((3, lanes * SYMBOLS), dtype=np.uint16)
+        self.weight: list[np.ndarray] = []
         self.last = np.zeros(lanes, dtype=np.int64)
         self.before = np.zeros(lanes, dtype=np.int64)
         self.symbol = np.full(lanes, FIRST_CLASS, dtype=np.int64)
-        self.lane = np.arange(lanes, dtype=np.int64)
         self.step = 0
 
     def predict(self, n: int) -> np.ndarray:
         """Mixed cumulative distribution of the next symbol, a row per lane."""
-        lane, last = self.lane[:n], self.last[:n]
-        self.at_two = lane * ORDER2 + ((last * 40503 + self.before[:n] * 9973) & (ORDER2 - 1))
-        self.at_one = lane * ORDER1 + ((last * 40503 >> 5) & (ORDER1 - 1))
-        entry_two, entry_one = self.by_two.take(self.at_two), self.by_one.take(self.at_one)
-        self.two, self.one = entry_two >> 2, entry_one >> 2
-        self.sure2, self.sure1 = entry_two & 3, entry_one & 3
-        self.row_a = lane * 16 + (self.sure2 * 4 + self.sure1)
-        self.row_b = lane * SYMBOLS + self.symbol[:n]
+        near = self.last[:n] * 40503
+        at = self.before[:n] * 9973
+        at += near
+        at &= ORDER2 - 1
+        at += self.lane_two[:n]
+        near >>= 5
+        near &= ORDER1 - 1
+        near += self.lane_one[:n]
+        self.at_two, self.at_one = at, near
+        self.two, self.one = self.by_two.take(at), self.by_one.take(near)
+        self.sure2, self.sure1 = self.two & 3, self.one & 3
+        self.row_a = self.lane_a[:n] + ((self.sure2 << 2) | self.sure1)
+        self.row_b = self.lane_row[:n] + self.symbol[:n]
         self.pa = self.a.take(self.row_a).view(np.int16)
         self.pb = self.b.take(self.row_b).view(np.int16)
         self.pc = self.c[: n * SYMBOLS]
         if self.step % LOOK == 0:
-            total = self.score.sum(axis=0)
-            share = (self.score[:2] << MIX_BITS) // total
+            share = (self.score[:2] << MIX_BITS) // self.score.sum(axis=0)
             rest = (1 << MIX_BITS) - share[0] - share[1]
-            self.weight = np.repeat(np.vstack([share, rest]).astype(np.uint16), SYMBOLS, axis=1)
-        w = self.weight[:, : n * SYMBOLS]
-        mixed = self.pa.view(np.uint16) * w[0]
-        mixed += self.pb.view(np.uint16) * w[1]
-        mixed += self.pc.view(np.uint16) * w[2]
+            self.weight = [_WEIGHT_ROWS.take(w).view(np.uint16) for w in (share[0], share[1], rest)]
+        w = self.weight
+        mixed = self.pa.view(np.uint16) * w[0][: n * SYMBOLS]
+        mixed += self.pb.view(np.uint16) * w[1][: n * SYMBOLS]
+        mixed += self.pc.view(np.uint16) * w[2][: n * SYMBOLS]
         mixed >>= np.uint16(MIX_BITS)
         return mixed
 
+    def compare(self, ids: np.ndarray) -> None:
+        """Turn the predictions into their differences from the ids: 1 to 3 is right and as sure as that."""
+        self.entry = ids.astype(np.int32)
+        self.entry <<= 2
+        self.two ^= self.entry
+        self.one ^= self.entry
+
     def learn(self, n: int, symbol: np.ndarray, ids: np.ndarray) -> None:
-        lane = self.lane[:n]
         if self.step % LOOK == 0:
+            at = self.lane_row[:n] + symbol
             for k, p in enumerate((self.pa, self.pb, self.pc)):
-                mass = _interval(p, lane, symbol)[1].astype(np.int32)
+                mass = _interval(p, at)[1].astype(np.int32)
                 self.score[k, :n] += (mass - self.score[k, :n]) >> 3
             np.maximum(self.score, 1, out=self.score)
         self.step += 1
@@ -114,17 +143,11 @@ class _Model:
         self.a[self.row_a] = _moved(self.pa, target).view(_ROW)
         self.b[self.row_b] = _moved(self.pb, target).view(_ROW)
         self.c[: n * SYMBOLS] = _moved(self.pc, target)
-        small = ids.astype(np.int32)
-        for table, at, guess, sure in (
-            (self.by_two, self.at_two, self.two, self.sure2),
-            (self.by_one, self.at_one, self.one, self.sure1),
-        ):
-            right = (guess == small) & (sure > 0)
-            entry = (small << 2) + 1
-            np.copyto(entry, (guess << 2) + 1, where=sure > 1)
-            np.copyto(entry, (guess << 2) + np.minimum(sure + 1, 3), where=right)
-            table[at] = entry
-        self.recent[lane * ORDER0 + (ids & (ORDER0 - 1))] = small + 1
+        for table, at, differs in ((self.by_two, self.at_two, self.two), (self.by_one, self.at_one, self.one)):
+            sure = _SURE.take(np.minimum(differs.view(np.uint32), 4))
+            sure |= self.entry
+            table[at] = sure
+        self.recent[self.lane_recent[:n] + (ids & (ORDER0 - 1))] = ids.astype(np.uint16)
         self.before[:n] = self.last[:n]
         self.last[:n] = ids
         self.symbol[:n] = symbol
@@ -138,14 +161,21 @@ def _moved(p: np.ndarray, target: np.ndarray) -> np.ndarray:
     return step
 
 
-def _interval(bounds: np.ndarray, lane: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First count and number of counts of each lane's symbol."""
-    at = lane * SYMBOLS + symbol
+def _interval(bounds: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First count and number of counts of the symbols at these places; before a lane's first is another's TOTAL."""
     first = bounds.take(at - 1).astype(np.uint32)
-    first *= symbol > 0
+    first &= np.uint32(TOTAL - 1)
     return first, bounds.take(at).astype(np.uint32) - first
 
 
+def _transposed(rows: np.ndarray) -> np.ndarray:
+    """A copy with rows and columns exchanged, made in strips that a processor's cache holds."""
+    out = np.empty(rows.shape[::-1], dtype=rows.dtype)
+    for at in range(0, rows.shape[0], 64):
+        out[:, at : at + 64] = rows[at : at + 64].T
+    return out
+
+
 def _padded(blocks: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Blocks as rows, longest first, with their lengths and the order they came from."""
     lengths = np.array([len(b) for b in blocks], dtype=np.int64)
@@ -164,53 +194,61 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
 
 
 def _encode_lanes(blocks: list[np.ndarray]) -> list[bytes]:
-    rows, lengths, order = _padded(blocks)
-    lanes, longest = rows.shape
-    rows = np.ascontiguousarray(rows.T)
+    table, lengths, order = _padded(blocks)
+    lanes, longest = table.shape
+    rows = _transposed(table)
     model = _Model(lanes)
     low = np.zeros(lanes, dtype=np.uint32)
     width = np.full(lanes, _FULL, dtype=np.uint32)
     # A symbol costs at most one word, and two end the block.
     words = np.zeros((lanes, longest + 4), dtype=np.uint32)
-    used = np.zeros(lanes, dtype=np.int64)
-    kinds = np.zeros((longest, lanes), dtype=np.int8)
+    flat = words.reshape(-1)
+    begin = model.lane * (longest + 4)
+    used = begin.copy()
+    # Order 2 right, which has no plain bits, stands where a lane has ended.
+    kinds = np.full((longest, lanes), HIT2, dtype=np.int8)
     running = np.searchsorted(-lengths, -np.arange(longest), side="left").tolist()
     for step, n in enumerate(running):
-        ids = rows[step, :n].astype(np.int64)
+        short_ids = rows[step, :n]
+        ids = short_ids.astype(np.int64)
         mixed = model.predict(n)
-        lane = model.lane[:n]
-        symbol = _CLASS_OF.take(ids)
-        known = model.recent.take(lane * ORDER0 + (ids & (ORDER0 - 1))) == ids + 1
-        np.copyto(symbol, HIT0, where=known)
-        np.copyto(symbol, HIT1, where=(model.one == ids) & (model.sure1 > 0))
-        np.copyto(symbol, HIT2, where=(model.two == ids) & (model.sure2 > 0))
+        hits = (model.recent.take(model.lane_recent[:n] + (ids & (ORDER0 - 1))) == short_ids).view(np.int8) << 3
+        model.compare(ids)
+        hits |= (model.one.view(np.uint32) - _ONE < 3).view(np.int8) << 4
+        hits |= (model.two.view(np.uint32) - _ONE < 3).view(np.int8) << 5
+        for start in _CLASS_EDGES:
+            hits += short_ids >= start
+        symbol = _CHOSEN.take(hits)
         kinds[step, :n] = symbol
-        first, share = _interval(mixed, lane, symbol)
+        first, share = _interval(mixed, model.lane_row[:n] + symbol)
         unit = width[:n] >> _SHIFT
-        total = unit * first
-        total += low[:n]
+        first *= unit
+        total = low[:n] + first
         share *= unit
-        carry = np.flatnonzero(total < low[:n])
+        carry = np.flatnonzero(total < first)
         if len(carry):
             place = used[carry] - 1
             while len(carry):
-                words[carry, place] += np.uint32(1)
-                more = words[carry, place] > 0xFFFF
-                words[carry[more], place[more]] = 0
+                flat[place] += np.uint32(1)
+                more = flat[place] > 0xFFFF
+                flat[place[more]] = 0
                 carry, place = carry[more], place[more] - 1
         short = np.flatnonzero(share < _SMALL)
-        out = total[short]
-        words[short, used[short]] = out >> _U16
-        used[short] += 1
+        out = total.take(short)
+        at = used.take(short)
+        flat[at] = out >> _U16
+        at += 1
+        used[short] = at
         total[short] = out << _U16
         share[short] <<= _U16
         low[:n], width[:n] = total, share
         model.learn(n, symbol, ids)
     for _ in range(2):
-        words[model.lane, used] = low >> _U16
+        flat[used] = low >> _U16
         used += 1
         low <<= _U16
-    plain = _packed(rows, kinds, lengths)
+    used -= begin
+    plain = _packed(table, kinds)
     out = [b""] * lanes
     for row, source in enumerate(order):
         head = np.array([used[row]], dtype="<u4").tobytes()
@@ -218,28 +256,29 @@ def _encode_lanes(blocks: list[np.ndarray]) -> list[bytes]:
     return out
 
 
-def _packed(rows: np.ndarray, kinds: np.ndarray, lengths: np.ndarray) -> list[bytes]:
+def _packed(rows: np.ndarray, kinds: np.ndarray) -> list[bytes]:
     """The plain bits of each lane: slot numbers and offsets in turn, in 16-bit words."""
-    longest, lanes = rows.shape
+    lanes, longest = rows.shape
     out: list[bytes] = []
     for some in range(0, lanes, 64):
-        ids = rows[:, some : some + 64].T.astype(np.int64)
-        kind = kinds[:, some : some + 64].T
-        real = np.arange(longest) < lengths[some : some + 64, None]
-        bits = _RAW_BITS[kind] * real
-        value = np.where(kind == HIT0, ids & (ORDER0 - 1), ids - _RAW_START[kind]) * (bits > 0)
+        kind = kinds[:, some : some + 64].T.astype(np.int64)
+        bits = _RAW_BITS.take(kind)
+        value = rows[some : some + 64] - _RAW_START.take(kind)
+        value &= _RAW_MASK.take(kind)
         end = np.cumsum(bits, axis=1)
         at = end - bits
         # A value lies in the 32 bits from its first word on; fields do not overlap, so sums are unions.
-        field = value << (32 - (at & 15) - bits)
-        used = (end[:, -1] + 15 >> 4) + 1 if longest else np.ones(len(ids), dtype=np.int64)
+        value <<= 32 - (at & 15) - bits
+        used = (end[:, -1] + 15 >> 4) + 1 if longest else np.ones(len(value), dtype=np.int64)
         stride = longest + 2
-        word = ((at >> 4) + np.arange(len(ids))[:, None] * stride).reshape(-1)
-        size = len(ids) * stride
-        words = np.bincount(word, weights=(field >> 16).reshape(-1), minlength=size)
-        words[1:] += np.bincount(word, weights=(field & 0xFFFF).reshape(-1), minlength=size)[:-1]
-        table = words.astype("<u2").reshape(len(ids), stride)
-        out.extend(table[i, : used[i]].tobytes() for i in range(len(ids)))
+        at >>= 4
+        at += np.arange(len(value))[:, None] * stride
+        # Sums of 32-bit fields stay exact in a double.
+        sums = np.bincount(at.reshape(-1), weights=value.reshape(-1), minlength=len(value) * stride).astype(np.int64)
+        words = sums >> 16
+        words[1:] += sums[:-1] & 0xFFFF
+        lines = words.astype("<u2").reshape(len(value), stride)
+        out.extend(lines[i, : used[i]].tobytes() for i in range(len(value)))
     return out
 
 
@@ -268,6 +307,9 @@ def _decode_lanes(payloads: list[bytes], counts: list[int]) -> list[np.ndarray]:
     parts = [np.frombuffer(payloads[i][4:], dtype="<u2") for i in order]
     words, size = _matrix([p[:h] for p, h in zip(parts, heads, strict=True)])
     plain, plain_size = _matrix([p[h:] for p, h in zip(parts, heads, strict=True)])
+    # A value may lie in two words, so both are read at once.
+    plain <<= _U16
+    plain[:-1] |= plain[1:] >> _U16
     model = _Model(lanes)
     row = model.lane * size
     code = (words[row] << _U16) | words[row + 1]
@@ -278,41 +320,47 @@ def _decode_lanes(payloads: list[bytes], counts: list[int]) -> list[np.ndarray]:
     width = np.full(lanes, _FULL, dtype=np.uint32)
     rows = np.zeros((longest, lanes), dtype=np.uint16)
     running = np.searchsorted(-lengths, -np.arange(longest), side="left").tolist()
+    choice = np.empty((4, lanes), dtype=np.int64)
     for step, n in enumerate(running):
         mixed = model.predict(n)
-        lane = model.lane[:n]
         unit = width[:n] >> _SHIFT
-        value = np.minimum(code[:n] // unit, np.uint32(TOTAL - 1)).astype(np.uint16)
+        value = np.minimum(code[:n] // unit, np.uint32(TOTAL - 1))
         # The number of bounds at or below the value: eight truth bytes of a lane counted at once.
-        below = np.less_equal(mixed, np.repeat(value, SYMBOLS)).view(np.uint64)
+        lined = np.empty((n, 2), dtype=np.uint64)
+        np.multiply(value, _FOUR_TIMES, out=lined[:, 0])
+        lined[:, 1] = lined[:, 0]
+        below = np.less_equal(mixed, lined.reshape(-1).view(np.uint16)).view(np.uint64)
         symbol = np.bitwise_count(below).astype(np.int64)
-        first, share = _interval(mixed, lane, symbol)
+        first, share = _interval(mixed, model.lane_row[:n] + symbol)
         first *= unit
         rest = code[:n] - first
         share *= unit
         short = np.flatnonzero(share < _SMALL)
-        rest[short] = (rest[short] << _U16) | words.take(used[short])
-        used[short] += 1
+        at = used.take(short)
+        rest[short] = (rest.take(short) << _U16) | words.take(at)
+        at += 1
+        used[short] = at
         share[short] <<= _U16
         code[:n], width[:n] = rest, share
         bits = _RAW_BITS.take(symbol)
         at = bit[:n]
-        word = at >> 4
-        window = (plain.take(word).astype(np.int64) << 16) | plain.take(word + 1)
-        value = (window >> (32 - (at & 15) - bits)) & ((1 << bits) - 1)
-        ids = value + _RAW_START.take(symbol)
-        seen = model.recent.take(lane * ORDER0 + (value & (ORDER0 - 1))).astype(np.int64) - 1
-        np.copyto(ids, seen, where=symbol == HIT0)
-        np.copyto(ids, model.one, where=symbol == HIT1)
-        np.copyto(ids, model.two, where=symbol == HIT2)
+        value = plain.take(at >> 4).astype(np.int64)
+        value >>= 32 - (at & 15) - bits
+        value &= _RAW_MASK.take(symbol)
+        np.right_shift(model.two, 2, out=choice[HIT2, :n])
+        np.right_shift(model.one, 2, out=choice[HIT1, :n])
+        choice[HIT0, :n] = model.recent.take(model.lane_recent[:n] + (value & (ORDER0 - 1)))
+        np.add(value, _RAW_START.take(symbol), out=choice[FIRST_CLASS, :n])
         # A damaged block may decode to anything; it stays inside the tables until its checksum fails.
-        ids &= 0xFFFF
-        bit[:n] = np.minimum(at + bits, last_bit[:n])
+        ids = choice.take((_ROW_OF * lanes).take(symbol) + model.lane[:n]) & 0xFFFF
+        at += bits
+        np.minimum(at, last_bit[:n], out=at)
         np.minimum(used, last_word, out=used)
         np.maximum(width, 1 << SYMBOL_BITS, out=width)
         rows[step, :n] = ids
+        model.compare(ids)
         model.learn(n, symbol, ids)
     out: list[np.ndarray] = [np.zeros(0, np.uint16)] * lanes
-    for place, source in enumerate(order):
-        out[source] = rows[: lengths[place], place].copy()
+    for place, ids in enumerate(_transposed(rows)):
+        out[order[place]] = ids[: lengths[place]]
     return out

@@ -40,7 +40,7 @@ RECORD_IDS = 1 << 18
 FILE_RECORDS = 32
 #: Ids that a task gathers before it codes them side by side.
 GATHER_IDS = 1 << 23
-VERSION = 1
+VERSION = 2
 
 _HEAD = struct.Struct("<4sIII")
 _COUNTS = struct.Struct("<II")
@@ -109,7 +109,7 @@ def write(
                 yield pa.RecordBatch.from_arrays([pa.array([record], pa.binary())], ["record"])
 
         for batch in batches:
-            encoded = encode(value.as_py() for value in batch.column(1))
+            encoded = encode(batch.column(1))
             for k, own in zip(batch.column(0).to_pylist(), encoded, strict=True):
                 keys.append(k)
                 ids.append(own + end)
