@@ -73,7 +73,8 @@ _SURE = np.array([1, 2, 3, 3, 1], dtype=np.int32)
 class _Model:
     """The predictions of every lane; ``n`` lanes from the first on are still running.
 
-    An entry of a table holds an id and, in its two lowest bits, how sure it is (0: empty).
+    An entry of a table holds an id and, in its two lowest bits, how sure it is (0: empty). The id that came
+    replaces a wrong one.
     """
 
     def __init__(self, lanes: int) -> None:

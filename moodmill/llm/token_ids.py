@@ -2,8 +2,8 @@
 
 Both tokenizers cut a text into pieces before they merge inside a piece, and a break between two
 words always is such a cut. So a text's ids are its words' ids in a row, and a task encodes a word
-through the library once. Texts with white space other than single blanks and line ends between words
-are encoded whole.
+through the library once as long as it is remembered. Texts with white space other than single blanks and line
+ends between words are encoded whole.
 """
 
 from __future__ import annotations
